@@ -183,6 +183,34 @@ def normalise_background(counts: DataFrame, gamma: float) -> DataFrame:
     return counts.select("word_id", F.lit(0.0).alias("bg"))
 
 
+def initial_state(bags: DataFrame, vocab: Vocabulary, phi0: DataFrame, k: int, robust: bool,
+                  background0: DataFrame | None = None):
+    """(bags, theta, phi_side) of state 0: θ = 1/K (C2); robust adds ν = 1/Σn
+    on each distinct word (R1, as u = 1 with normaliser Σn) and β = 1/V (R2)."""
+    if robust and "u" not in bags.columns:
+        bags = bags.select("row_id", "word_id", "n", F.lit(1.0).alias("u"))
+    init = bags.groupBy("row_id").agg(F.sum("n").alias("nd"))
+    theta = init.select("row_id", F.array_repeat(F.lit(1.0 / k), k).alias("theta"),
+                        *([F.col("nd").alias("nu_sum")] if robust else []))
+    theta = cut_lineage(theta)
+    if robust:
+        bg = background0
+        if bg is None:
+            bg = vocab.table.select("word_id", F.lit(1.0 / max(vocab.size, 1)).alias("bg"))
+        phi_side = phi0.join(bg, "word_id")
+    else:
+        phi_side = phi0
+    return bags, theta, cut_lineage(phi_side)
+
+
+def state0_pairs(bags: DataFrame, vocab: Vocabulary, k: int, seed: int = 13, robust: bool = False,
+                 gamma: float = 0.0, eps: float = 0.0) -> DataFrame:
+    """Per-pair view of state 0 (row_id, word_id, n, phi, theta, z, r[, bg, nu])."""
+    b, theta, side = initial_state(bags, vocab, initial_phi(vocab, k, seed), k, robust)
+    step = _Step(k, robust, gamma, eps, vocab.size, default_partitions(bags.sparkSession))
+    return step.with_r(step.join(b, side, theta))
+
+
 def run_em(bags: DataFrame, vocab: Vocabulary, phi0: DataFrame, k: int, iterations: int, *,
            robust: bool = False, gamma: float = 0.0, eps: float = 0.0, background0: DataFrame | None = None,
            freeze_phi: bool = False, theta_prior: Prior | None = None, phi_prior: Prior | None = None,
@@ -194,23 +222,7 @@ def run_em(bags: DataFrame, vocab: Vocabulary, phi0: DataFrame, k: int, iteratio
     p = partitions or default_partitions(spark)
     step = _Step(k, robust, gamma, eps, vocab.size, p)
 
-    if robust and "u" not in bags.columns:
-        # Initial noise 1/Σ_w n_dw on each distinct word: u = 1, nu_sum = Σ n.
-        bags = bags.select("row_id", "word_id", "n", F.lit(1.0).alias("u"))
-    init = bags.groupBy("row_id").agg(F.sum("n").alias("nd"))
-    theta = init.select("row_id", F.array_repeat(F.lit(1.0 / k), k).alias("theta"),
-                        *( [F.col("nd").alias("nu_sum")] if robust else []))
-    theta = cut_lineage(theta)
-
-    phi = phi0
-    if robust:
-        bg = background0
-        if bg is None:   # R2: uniform background 1/V
-            bg = vocab.table.select("word_id", F.lit(1.0 / max(vocab.size, 1)).alias("bg"))
-        phi_side = phi.join(bg, "word_id")
-    else:
-        phi_side = phi
-    phi_side = cut_lineage(phi_side)
+    bags, theta, phi_side = initial_state(bags, vocab, phi0, k, robust, background0)
 
     history = []
     for it in range(iterations):

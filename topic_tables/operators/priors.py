@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from topic_tables.functions.dirichlet import dirichlet_logpdf
+from topic_tables.functions.dirichlet import SMALL_VALUE, dirichlet_log_beta, dirichlet_logpdf
 
 
 class Prior:
@@ -30,9 +30,18 @@ class Prior:
     def adjust(self, count: Column, old: Column) -> Column:  # pragma: no cover - interface
         return count
 
-    def log_prob(self, vec: Column, size: int) -> Column:  # pragma: no cover - interface
+    def log_norm(self, size: int) -> float:
+        """Constant part of the log prior of a vector of length ``size``."""
+        return 0.0
+
+    def cell_log_term(self, cell: Column) -> Column:
+        """Per-cell part of the log prior (summed over the vector's cells)."""
         return F.lit(0.0)
 
+    def log_prob(self, vec: Column, size: int) -> Column:
+        """Log prior of one vector: the constant plus the summed cell terms."""
+        return F.lit(self.log_norm(size)) + F.aggregate(vec, F.lit(0.0), lambda s, x: s + self.cell_log_term(x))
+
 
 class Uniform(Prior):
     """No prior; counts untouched, log prior 0."""
@@ -48,6 +57,12 @@ class SymmetricDirichlet(Prior):
     def adjust(self, count: Column, old: Column) -> Column:
         return count + F.lit(self.alpha - 1.0)
 
+    def log_norm(self, size: int) -> float:
+        return -dirichlet_log_beta(self.alpha, size)
+
+    def cell_log_term(self, cell: Column) -> Column:
+        return F.lit(self.alpha - 1.0) * F.log(cell + F.lit(SMALL_VALUE))
+
     def log_prob(self, vec: Column, size: int) -> Column:
         return dirichlet_logpdf(vec, self.alpha, size)
 

@@ -33,8 +33,8 @@ def conversation_tokens(conversations: DataFrame) -> DataFrame:
     (partially aggregated) bag builder.
     """
     toks = F.regexp_extract_all(F.col("text"), F.lit(TOKEN_PATTERN), 0)
-    return conversations.select(F.col("conv_id").cast("bigint").alias("row_id"),
-                                F.lower(F.explode(toks)).alias("token"))
+    rows = conversations.select(F.col("conv_id").cast("bigint").alias("row_id"), F.explode(toks).alias("t"))
+    return rows.select("row_id", F.lower("t").alias("token"))
 
 
 def conversation_names(conversations: DataFrame) -> DataFrame:

@@ -42,8 +42,8 @@ def parse_bag_lines(lines: DataFrame, field_sep: str = "\t", token_sep: str = ":
     keep = (F.size("f") == 2) if exact_fields else (F.size("f") >= 2)
     return (lines.select(f.alias("f")).where(keep)
             .select(F.monotonically_increasing_id().alias("row_id"),
-                    F.col("f")[0].alias("name"),
-                    _java_split(F.col("f")[1], token_sep).alias("tokens")))
+                    F.get(F.col("f"), 0).alias("name"),
+                    _java_split(F.get(F.col("f"), 1), token_sep).alias("tokens")))
 
 
 def read_bags(spark: SparkSession, path: str, field_sep: str = "\t", token_sep: str = ":",
@@ -56,12 +56,12 @@ def read_bags(spark: SparkSession, path: str, field_sep: str = "\t", token_sep:
 def parse_doc_topic_lines(lines: DataFrame, k: int) -> DataFrame:
     """A2: ``name \\t contents \\t t:p;t:p`` → (row_id, name, tokens, theta[K])."""
     f = _java_split(F.col("value"), "\t")
-    cells = F.transform(F.split(F.col("f")[2], ";", -1), lambda e: F.split(e, ":", -1))
+    cells = F.transform(F.split(F.get(F.col("f"), 2), ";", -1), lambda e: F.split(e, ":", -1))
     m = F.map_from_entries(F.transform(cells, lambda c: F.struct(c[0].cast("int"), c[1].cast("double"))))
     theta = k_array([F.coalesce(F.element_at(F.col("m"), F.lit(t)), F.lit(0.0)) for t in range(k)])
     return (lines.select(f.alias("f")).where(F.size("f") > 2)
-            .select(F.monotonically_increasing_id().alias("row_id"), F.col("f")[0].alias("name"),
-                    _java_split(F.col("f")[1], ":").alias("tokens"), m.alias("m"))
+            .select(F.monotonically_increasing_id().alias("row_id"), F.get(F.col("f"), 0).alias("name"),
+                    _java_split(F.get(F.col("f"), 1), ":").alias("tokens"), m.alias("m"))
             .select("row_id", "name", "tokens", theta.alias("theta")))
 
 
@@ -75,8 +75,8 @@ def parse_topic_word_lines(lines: DataFrame, k: int) -> DataFrame:
     One K-wide sum aggregate per word (partial aggregation on the map side, no
     per-word list is ever built)."""
     f = F.split(F.col("value"), "\t", -1)
-    cells = lines.select(f[0].cast("int").alias("topic"), f[1].cast("int").alias("word_id"),
-                         f[2].cast("double").alias("p"))
+    cells = lines.select(F.get(f, 0).cast("int").alias("topic"), F.get(f, 1).cast("int").alias("word_id"),
+                         F.get(f, 2).cast("double").alias("p")).where(F.col("p").isNotNull())
     aggs = [F.sum(F.when(F.col("topic") == t, F.col("p")).otherwise(F.lit(0.0))).alias(f"c{t}") for t in range(k)]
     return cells.groupBy("word_id").agg(*aggs).select(
         "word_id", k_array([F.col(f"c{t}") for t in range(k)]).alias("phi"))
