@@ -160,27 +160,69 @@ def phi_counts(step: _Step, jr: DataFrame, prior: Prior | None, with_topics: boo
     return jr.groupBy("word_id").agg(*aggs)
 
 
+def _adjusted_counts(counts: DataFrame, k: int, prior: Prior | None, vocab: Vocabulary) -> DataFrame:
+    """E3 + E5: apply the φ prior to every vocabulary cell, then cut at 0."""
+    if not is_active(prior):
+        return counts
+    c = counts
+    extra = ["b"] if "b" in counts.columns else []
+    if prior.adds_mass:
+        c = vocab.table.select("word_id").join(counts, "word_id", "left").na.fill(0.0)
+    return c.select("word_id", *[F.greatest(prior.adjust(F.col(f"c{t}"), F.col(f"o{t}")), F.lit(0.0)).alias(f"c{t}")
+                                 for t in range(k)], *extra)
+
+
 def normalise_phi(counts: DataFrame, k: int, prior: Prior | None, vocab: Vocabulary) -> DataFrame:
     """C7 (+E3): cut, normalise per topic; a topic with no mass stays 0."""
-    c = counts
-    if is_active(prior):
-        if prior.adds_mass:
-            base = vocab.table.select("word_id")
-            c = base.join(counts, "word_id", "left").na.fill(0.0)
-        c = c.select("word_id", *[F.greatest(prior.adjust(F.col(f"c{t}"), F.col(f"o{t}")), F.lit(0.0)).alias(f"c{t}")
-                                  for t in range(k)])
+    c = _adjusted_counts(counts, k, prior, vocab)
     tot = c.agg(*[F.sum(f"c{t}").alias(f"t{t}") for t in range(k)]).first()
     tot = [(tot[f"t{t}"] or 0.0) for t in range(k)]
-    return c.select("word_id", k_array([
-        (F.col(f"c{t}") / F.lit(tot[t])) if tot[t] > 0 else F.lit(0.0) for t in range(k)]).alias("phi"))
+    return c.select("word_id", _phi_expr(k, tot).alias("phi"))
 
 
-def normalise_background(counts: DataFrame, gamma: float) -> DataFrame:
+def _phi_expr(k: int, tot: list) -> Column:
+    return k_array([(F.col(f"c{t}") / F.lit(tot[t])) if tot[t] > 0 else F.lit(0.0) for t in range(k)])
+
+
+def _bg_expr(tot_b: float, gamma: float) -> Column:
     """β ∝ background counts; all 0 when the total is 0 or γ = 0."""
+    return (F.col("b") / F.lit(tot_b)) if (tot_b > 0 and gamma != 0) else F.lit(0.0)
+
+
+def next_phi_side(counts: DataFrame, phi_side: DataFrame, k: int, prior: Prior | None, vocab: Vocabulary,
+                  robust: bool, gamma: float, freeze_phi: bool, freeze_background: bool) -> DataFrame:
+    """The broadcast side of the next iteration: (word_id, phi[, bg]).
+
+    A projection of the materialised counts with the K (+1) totals as
+    literals, so no further job writes it; a frozen part comes from the
+    previous side.  All totals come back in one small aggregate job.
+    """
+    if freeze_phi:
+        # Only the background moves (robust fold-in); words absent from the
+        # folded documents get β = 0.
+        tot_b = counts.agg(F.sum("b").alias("t")).first()["t"] or 0.0
+        bg = counts.select("word_id", _bg_expr(tot_b, gamma).alias("bg"))
+        return cut_lineage(phi_side.select("word_id", "phi").join(bg, "word_id", "left")
+                           .na.fill(0.0, ["bg"]), "phi")
+    c = _adjusted_counts(counts, k, prior, vocab)
+    if c is not counts:
+        c = cut_lineage(c, "counts")
+    want_b = robust and not freeze_background
+    row = c.agg(*[F.sum(f"c{t}").alias(f"t{t}") for t in range(k)],
+                *([F.sum("b").alias("tb")] if want_b else [])).first()
+    tot = [(row[f"t{t}"] or 0.0) for t in range(k)]
+    cols = [F.col("word_id"), _phi_expr(k, tot).alias("phi")]
+    if want_b:
+        cols.append(_bg_expr(row["tb"] or 0.0, gamma).alias("bg"))
+    side = c.select(*cols)
+    if robust and freeze_background:
+        side = cut_lineage(side.join(phi_side.select("word_id", "bg"), "word_id"), "phi")
+    return side
+
+
+def normalise_background(counts: DataFrame, gamma: float) -> DataFrame:
     tot = counts.agg(F.sum("b").alias("t")).first()["t"] or 0.0
-    if tot > 0 and gamma != 0:
-        return counts.select("word_id", (F.col("b") / F.lit(tot)).alias("bg"))
-    return counts.select("word_id", F.lit(0.0).alias("bg"))
+    return counts.select("word_id", _bg_expr(tot, gamma).alias("bg"))
 
 
 def initial_state(bags: DataFrame, vocab: Vocabulary, phi0: DataFrame, k: int, robust: bool,
@@ -192,7 +234,7 @@ def initial_state(bags: DataFrame, vocab: Vocabulary, phi0: DataFrame, k: int, r
     init = bags.groupBy("row_id").agg(F.sum("n").alias("nd"))
     theta = init.select("row_id", F.array_repeat(F.lit(1.0 / k), k).alias("theta"),
                         *([F.col("nd").alias("nu_sum")] if robust else []))
-    theta = cut_lineage(theta)
+    theta = write_theta(theta, bags)
     if robust:
         bg = background0
         if bg is None:
@@ -200,7 +242,24 @@ def initial_state(bags: DataFrame, vocab: Vocabulary, phi0: DataFrame, k: int, r
         phi_side = phi0.join(bg, "word_id")
     else:
         phi_side = phi0
-    return bags, theta, cut_lineage(phi_side)
+    return bags, theta, cut_lineage(phi_side, "phi")
+
+
+def _buckets(bags: DataFrame) -> int:
+    spec = bags.sparkSession.conf.get("spark.sql.shuffle.partitions")
+    try:
+        rel = bags._jdf.queryExecution().analyzed()
+        nb = rel.collectLeaves().head().relation().bucketSpec().get().numBuckets()
+        return int(nb)
+    except Exception:  # not a bucketed scan
+        return int(spec)
+
+
+def write_theta(theta: DataFrame, bags: DataFrame) -> DataFrame:
+    """θ is written bucketed exactly like the bags (same key, same count), so
+    the next bags ⋈ θ join and the per-document aggregate need no exchange;
+    θ rows produced from the bags already sit in the right partition."""
+    return write_bucketed(theta, ["row_id"], _buckets(bags), "theta", prepartitioned=True)
 
 
 def state0_pairs(bags: DataFrame, vocab: Vocabulary, k: int, seed: int = 13, robust: bool = False,
@@ -225,25 +284,16 @@ def run_em(bags: DataFrame, vocab: Vocabulary, phi0: DataFrame, k: int, iteratio
     bags, theta, phi_side = initial_state(bags, vocab, phi0, k, robust, background0)
 
     history = []
+    theta_tables = []
     for it in range(iterations):
         jr = step.with_r(step.join(bags, phi_side, theta))
-        new_theta = cut_lineage(theta_step(step, jr, theta_prior))
-        stats = new_theta.agg(F.sum("ll").alias("ll"), F.sum("skipped").alias("sk")).first()
-        history.append((it, float(stats["ll"] or 0.0), int(stats["sk"] or 0)))
+        new_theta = write_theta(theta_step(step, jr, theta_prior), bags)
+        theta_tables.append(new_theta)
 
-        new_phi = phi_side.select("word_id", "phi")
         if not freeze_phi or (robust and not freeze_background):
-            counts = cut_lineage(phi_counts(step, jr, phi_prior, with_topics=not freeze_phi))
-            if not freeze_phi:
-                new_phi = normalise_phi(counts, k, phi_prior, vocab)
-            if robust and freeze_background:
-                new_side = new_phi.join(phi_side.select("word_id", "bg"), "word_id")
-            elif robust:
-                new_bg = normalise_background(counts, gamma)
-                new_side = new_phi.join(new_bg, "word_id", "left").na.fill(0.0, ["bg"])
-            else:
-                new_side = new_phi
-            phi_side = cut_lineage(new_side)
+            counts = cut_lineage(phi_counts(step, jr, phi_prior, with_topics=not freeze_phi), "counts")
+            phi_side = next_phi_side(counts, phi_side, k, phi_prior, vocab, robust, gamma,
+                                     freeze_phi, freeze_background)
 
         if robust:
             # Unnormalised new noise per (document, word); the normaliser
@@ -252,6 +302,15 @@ def run_em(bags: DataFrame, vocab: Vocabulary, phi0: DataFrame, k: int, iteratio
             bags = write_bucketed(new_bags, ["row_id"], p, "noise", prepartitioned=True)
         theta = new_theta.select("row_id", "theta", *(["nu_sum"] if robust else []))
 
+    if theta_tables:
+        # One job for the whole history: state i's log-likelihood was summed
+        # per document while computing θ_{i+1}.
+        per = None
+        for i, t in enumerate(theta_tables):
+            a = t.agg(F.lit(i).alias("it"), F.sum("ll").alias("ll"), F.sum("skipped").alias("sk"))
+            per = a if per is None else per.unionByName(a)
+        for r in sorted(per.collect(), key=lambda r: r["it"]):
+            history.append((int(r["it"]), float(r["ll"] or 0.0), int(r["sk"] or 0)))
     if compute_loglik:
         jr = step.with_r(step.join(bags, phi_side, theta))
         stats = jr.agg(*step.loglik_terms()).first()

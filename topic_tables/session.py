@@ -10,6 +10,9 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+JIT_FLAGS = "-XX:-DontCompileHugeMethods"
+
+
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
                   app: str = "topic_tables") -> SparkSession:
     """A local session for tests and the bench (the UI stays off)."""
@@ -22,6 +25,10 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "16g")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        # The K-wide EM aggregates generate methods above the JVM's 8000-byte
+        # JIT limit; without this flag they would run interpreted.
+        .config("spark.driver.extraJavaOptions", JIT_FLAGS)
+        .config("spark.executor.extraJavaOptions", JIT_FLAGS)
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
@@ -54,14 +61,20 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{base}/{label}-{uuid.uuid4().hex}"
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable, eager checkpoint into the shared checkpoint folder.
+def cut_lineage(df: DataFrame, label: str = "state") -> DataFrame:
+    """Materialise ``df`` as parquet in the shared checkpoint folder and read
+    it back, cutting the lineage.
 
-    Never ``localCheckpoint``: its blocks die with the executor that holds
-    them, while these files survive executor loss.
+    One job (an eager ``checkpoint()`` of an unpersisted plan runs it twice:
+    once for the action and once more to write the files).  Never
+    ``localCheckpoint``: its blocks die with the executor that holds them,
+    while these files survive executor loss.  The parquet read also gives the
+    next step column pruning and filter pushdown.
     """
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    spark = df.sparkSession
+    path = scratch_path(spark, label)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
 
 
 def write_bucketed(df: DataFrame, keys: list[str], buckets: int, label: str,
