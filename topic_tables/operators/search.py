@@ -93,22 +93,23 @@ def similar_docs(doc_theta: DataFrame, query_theta: DataFrame, n: int = 20) -> D
     chunk = max(1, limit // per_q)
     docs = doc_theta.where(F.col("theta").isNotNull()).select("row_id", "name", "theta")
     parts = []
-    ordered = q.select("query_id", "theta").orderBy("query_id")
-    # Chunks of queries, each proven to fit the broadcast limit.
-    for lo in range(0, n_q, chunk):
-        rows = (ordered.withColumn("_i", F.row_number().over(Window.orderBy("query_id")) - 1)
-                .where((F.col("_i") >= lo) & (F.col("_i") < lo + chunk)).select("query_id", "theta")
-                .toPandas()) if n_q > chunk else ordered.toPandas()
+    for chunk_df in _chunks(q.select("query_id", "theta"), n_q, chunk):
+        rows = chunk_df.toPandas()            # size proven <= broadcast limit
+        if rows.empty:
+            continue
         qv = np.stack(rows["theta"].to_numpy()).astype(np.float64)
         qnrm = np.linalg.norm(qv, axis=1)
         okq = qnrm > 0
         ids = rows["query_id"].to_numpy()[okq]
         unit = qv[okq] / qnrm[okq, None]
         bc = spark.sparkContext.broadcast((ids, unit))
+
         def runner(batches, bc=bc):
             i, u = bc.value
             return _local_top(n, i, u, 64 * 1024 * 1024)(batches)
         parts.append(docs.mapInPandas(runner, _HITS_SCHEMA))
+    if not parts:
+        return spark.createDataFrame([], "query_id bigint, query_name string, rank int, row_id bigint, name string, score double")
     cand = parts[0]
     for p in parts[1:]:
         cand = cand.unionByName(p)
@@ -119,6 +120,21 @@ def similar_docs(doc_theta: DataFrame, query_theta: DataFrame, n: int = 20) -> D
                                               "row_id", "name", "score")
 
 
+def _chunks(q: DataFrame, count: int, limit_rows: int, salt: int = 0):
+    """Split the query table into pieces of at most ``limit_rows`` rows by
+    hashing query_id (distributed filters, no global ordering); a piece that
+    comes out too large is split again with another hash seed."""
+    if count <= limit_rows:
+        yield q
+        return
+    pieces = -(-count * 3 // (2 * limit_rows))
+    h = F.pmod(F.xxhash64(F.col("query_id"), F.lit(salt)), F.lit(pieces))
+    for i in range(pieces):
+        part = q.where(h == i)
+        c = part.count()
+        yield from _chunks(part, c, limit_rows, salt + 1) if c > limit_rows else [part]
+
+
 def top_words(model, n: int = 30) -> DataFrame:
     """top-n tokens per topic (topic, rank, token, p).  The row_number
     filter plans a partial WindowGroupLimit before the shuffle, so each map
