@@ -31,7 +31,7 @@ from topic_tables.functions.vectors import hash_uniform, k_array, k_sum
 from topic_tables.operators.joins import broadcast_limit
 from topic_tables.operators.priors import Prior, is_active
 from topic_tables.operators.vocab import Vocabulary
-from topic_tables.session import cut_lineage, default_partitions, write_bucketed
+from topic_tables.session import cut_lineage, write_bucketed
 
 
 @dataclass
@@ -266,7 +266,7 @@ def state0_pairs(bags: DataFrame, vocab: Vocabulary, k: int, seed: int = 13, rob
                  gamma: float = 0.0, eps: float = 0.0) -> DataFrame:
     """Per-pair view of state 0 (row_id, word_id, n, phi, theta, z, r[, bg, nu])."""
     b, theta, side = initial_state(bags, vocab, initial_phi(vocab, k, seed), k, robust)
-    step = _Step(k, robust, gamma, eps, vocab.size, default_partitions(bags.sparkSession))
+    step = _Step(k, robust, gamma, eps, vocab.size, _buckets(bags))
     return step.with_r(step.join(b, side, theta))
 
 
@@ -278,7 +278,8 @@ def run_em(bags: DataFrame, vocab: Vocabulary, phi0: DataFrame, k: int, iteratio
     """The EM driver loop (C8/R10).  ``bags`` must come from :func:`to_bags`
     (bucketed by row_id); ``freeze_phi`` gives fold-in (C10/R12)."""
     spark = bags.sparkSession
-    p = partitions or default_partitions(spark)
+    buckets = _buckets(bags)
+    p = partitions or buckets
     step = _Step(k, robust, gamma, eps, vocab.size, p)
 
     bags, theta, phi_side = initial_state(bags, vocab, phi0, k, robust, background0)
@@ -299,7 +300,7 @@ def run_em(bags: DataFrame, vocab: Vocabulary, phi0: DataFrame, k: int, iteratio
             # Unnormalised new noise per (document, word); the normaliser
             # sits in θ's nu_sum.  Written bucketed like the bags it replaces.
             new_bags = jr.select("row_id", "word_id", "n", (F.lit(eps) * F.col("nu") * F.col("r")).alias("u"))
-            bags = write_bucketed(new_bags, ["row_id"], p, "noise", prepartitioned=True)
+            bags = write_bucketed(new_bags, ["row_id"], buckets, "noise", prepartitioned=True)
         theta = new_theta.select("row_id", "theta", *(["nu_sum"] if robust else []))
 
     if theta_tables:

@@ -39,6 +39,7 @@ class Vocabulary:
     table: DataFrame       # token string, word_id int, n bigint
     size: int              # V
     token_bytes: int       # sum of token lengths, for broadcast size bounds
+    occurrences: int = 0   # Σ n: in-vocabulary token occurrences of the corpus
 
     def side_bytes(self, per_row: int = 48) -> int:
         return self.token_bytes + per_row * self.size
@@ -59,7 +60,9 @@ def index_tokens(pruned: DataFrame, partitions: int | None = None) -> Vocabulary
         .select("token", "n", F.spark_partition_id().alias("pid"),
                 F.monotonically_increasing_id().alias("mid")))
     per_part = ranged.groupBy("pid").agg(F.count(F.lit(1)).alias("c"),
-                                         F.sum(F.length("token")).alias("b")).collect()
+                                         F.sum(F.length("token")).alias("b"),
+                                         F.sum("n").alias("o")).collect()
+    occurrences = sum((r["o"] or 0) for r in per_part)
     per_part = sorted((r["pid"], r["c"], r["b"] or 0) for r in per_part)
     offsets, run = [], 0
     for pid, c, _ in per_part:
@@ -70,13 +73,27 @@ def index_tokens(pruned: DataFrame, partitions: int | None = None) -> Vocabulary
     local = F.col("mid") - F.shiftleft(F.col("pid").cast("bigint"), 33)
     table = (ranged.join(F.broadcast(off), "pid")
              .select("token", (F.col("off") + local).cast("int").alias("word_id"), "n"))
-    return Vocabulary(cut_lineage(table), size, token_bytes)
+    return Vocabulary(cut_lineage(table), size, token_bytes, occurrences)
 
 
 def build_vocab(docs: DataFrame, rare_token_threshold: int = 2, partitions: int | None = None) -> Vocabulary:
     return index_tokens(prune(token_counts(docs), rare_token_threshold), partitions)
 
 
+# Target size of one bag bucket, in token occurrences (an upper bound on its
+# document-word pairs): ~16 M keeps a bucket in the low hundreds of MB.
+OCCURRENCES_PER_BUCKET = 16_000_000
+
+
+def bag_buckets(spark, vocab: Vocabulary) -> int:
+    """Bucket count of the bag table, from the corpus size (not from
+    spark.sql.shuffle.partitions): at least the default parallelism, about
+    one bucket per 16 M token occurrences, capped by topic_tables.maxBuckets."""
+    cap = int(spark.conf.get("topic_tables.maxBuckets", "100000"))
+    by_size = -(-max(vocab.occurrences, 1) // OCCURRENCES_PER_BUCKET)
+    return max(1, min(cap, max(spark.sparkContext.defaultParallelism, by_size)))
+
+
 def to_bags(docs: DataFrame, vocab: Vocabulary, partitions: int | None = None,
             materialise: bool = True) -> DataFrame:
     """Drop out-of-vocabulary tokens and count each (document, word).
@@ -89,7 +106,7 @@ def to_bags(docs: DataFrame, vocab: Vocabulary, partitions: int | None = None,
     without moving the bags again.
     """
     spark = docs.sparkSession
-    p = partitions or default_partitions(spark)
+    p = partitions or bag_buckets(spark, vocab)
     rows = token_rows(docs)
     hot = None
     if vocab.side_bytes() > 0:
