@@ -99,3 +99,17 @@ def test_robust_ten_iterations_loglik(golden):
     _, vocab, bags = golden
     m = fit_robust_plsa(bags, vocab, 2, 10, 13)
     assert m.history[-1][1] == pytest.approx(-21.265631, abs=1e-5)
+
+
+def test_fold_in_row_and_table_methods_agree(spark, golden):
+    from topic_tables import SymmetricDirichlet
+    docs, vocab, bags = golden
+    for prior in (None, SymmetricDirichlet(0.5)):
+        m = fit_plsa(bags, vocab, 2, 2, 13, theta_prior=prior)
+        q = spark.createDataFrame([(10, "q", ["a", "y", "y"]), (11, "r", ["x", "n", "b", "b"]), (12, "s", ["zzz"])],
+                                  "row_id bigint, name string, tokens array<string>")
+        a = _theta(fold_in(q, m, 3, method="row"))
+        b = _theta(fold_in(q, m, 3, method="table"))
+        assert set(a) == set(b) == {10, 11}
+        for key in a:
+            close(a[key], b[key], 1e-12)

@@ -24,7 +24,9 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+import uuid
+
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from topic_tables.functions.vectors import hash_uniform, k_array, k_sum
@@ -160,6 +162,14 @@ def phi_counts(step: _Step, jr: DataFrame, prior: Prior | None, with_topics: boo
     return jr.groupBy("word_id").agg(*aggs)
 
 
+def _write_observed(df: DataFrame, sums: dict, label: str) -> tuple[DataFrame, dict]:
+    """Materialise ``df`` and, in the same job, sum the given columns
+    (``DataFrame.observe``), so totals cost no extra pass."""
+    obs = Observation(f"{label}-{uuid.uuid4().hex[:8]}")
+    out = cut_lineage(df.observe(obs, *[F.sum(c).alias(name) for name, c in sums.items()]), label)
+    return out, obs.get
+
+
 def _adjusted_counts(counts: DataFrame, k: int, prior: Prior | None, vocab: Vocabulary) -> DataFrame:
     """E3 + E5: apply the φ prior to every vocabulary cell, then cut at 0."""
     if not is_active(prior):
@@ -189,27 +199,28 @@ def _bg_expr(tot_b: float, gamma: float) -> Column:
     return (F.col("b") / F.lit(tot_b)) if (tot_b > 0 and gamma != 0) else F.lit(0.0)
 
 
-def next_phi_side(counts: DataFrame, phi_side: DataFrame, k: int, prior: Prior | None, vocab: Vocabulary,
-                  robust: bool, gamma: float, freeze_phi: bool, freeze_background: bool) -> DataFrame:
+def next_phi_side(counts: DataFrame, totals: dict, phi_side: DataFrame, k: int, prior: Prior | None,
+                  vocab: Vocabulary, robust: bool, gamma: float, freeze_phi: bool,
+                  freeze_background: bool) -> DataFrame:
     """The broadcast side of the next iteration: (word_id, phi[, bg]).
 
     A projection of the materialised counts with the K (+1) totals as
     literals, so no further job writes it; a frozen part comes from the
-    previous side.  All totals come back in one small aggregate job.
+    previous side.  ``totals`` (t0..t{K-1}, tb) were observed while the
+    counts were written.
     """
     if freeze_phi:
         # Only the background moves (robust fold-in); words absent from the
         # folded documents get β = 0.
-        tot_b = counts.agg(F.sum("b").alias("t")).first()["t"] or 0.0
-        bg = counts.select("word_id", _bg_expr(tot_b, gamma).alias("bg"))
+        bg = counts.select("word_id", _bg_expr(totals.get("tb") or 0.0, gamma).alias("bg"))
         return cut_lineage(phi_side.select("word_id", "phi").join(bg, "word_id", "left")
                            .na.fill(0.0, ["bg"]), "phi")
     c = _adjusted_counts(counts, k, prior, vocab)
+    row = totals
     if c is not counts:
-        c = cut_lineage(c, "counts")
+        c, row = _write_observed(c, {f"t{t}": F.col(f"c{t}") for t in range(k)}, "counts")
+        row = dict(row, tb=totals.get("tb"))
     want_b = robust and not freeze_background
-    row = c.agg(*[F.sum(f"c{t}").alias(f"t{t}") for t in range(k)],
-                *([F.sum("b").alias("tb")] if want_b else [])).first()
     tot = [(row[f"t{t}"] or 0.0) for t in range(k)]
     cols = [F.col("word_id"), _phi_expr(k, tot).alias("phi")]
     if want_b:
@@ -285,15 +296,24 @@ def run_em(bags: DataFrame, vocab: Vocabulary, phi0: DataFrame, k: int, iteratio
     bags, theta, phi_side = initial_state(bags, vocab, phi0, k, robust, background0)
 
     history = []
-    theta_tables = []
     for it in range(iterations):
         jr = step.with_r(step.join(bags, phi_side, theta))
-        new_theta = write_theta(theta_step(step, jr, theta_prior), bags)
-        theta_tables.append(new_theta)
+        # θ job; the log-likelihood of the current state is observed on the way.
+        obs = Observation(f"loglik-{it}-{uuid.uuid4().hex[:8]}")
+        th = theta_step(step, jr, theta_prior).observe(obs, F.sum("ll").alias("ll"), F.sum("skipped").alias("sk"))
+        new_theta = write_theta(th, bags)
+        m = obs.get
+        history.append((it, float(m.get("ll") or 0.0), int(m.get("sk") or 0)))
 
         if not freeze_phi or (robust and not freeze_background):
-            counts = cut_lineage(phi_counts(step, jr, phi_prior, with_topics=not freeze_phi), "counts")
-            phi_side = next_phi_side(counts, phi_side, k, phi_prior, vocab, robust, gamma,
+            # φ job; the K topic totals (and the background total) are observed
+            # while the counts are written, so no pass computes them again.
+            with_topics = not freeze_phi
+            sums = {f"t{t}": F.col(f"c{t}") for t in range(k)} if with_topics else {}
+            if robust:
+                sums["tb"] = F.col("b")
+            counts, totals = _write_observed(phi_counts(step, jr, phi_prior, with_topics=with_topics), sums, "counts")
+            phi_side = next_phi_side(counts, totals, phi_side, k, phi_prior, vocab, robust, gamma,
                                      freeze_phi, freeze_background)
 
         if robust:
@@ -303,15 +323,6 @@ def run_em(bags: DataFrame, vocab: Vocabulary, phi0: DataFrame, k: int, iteratio
             bags = write_bucketed(new_bags, ["row_id"], buckets, "noise", prepartitioned=True)
         theta = new_theta.select("row_id", "theta", *(["nu_sum"] if robust else []))
 
-    if theta_tables:
-        # One job for the whole history: state i's log-likelihood was summed
-        # per document while computing θ_{i+1}.
-        per = None
-        for i, t in enumerate(theta_tables):
-            a = t.agg(F.lit(i).alias("it"), F.sum("ll").alias("ll"), F.sum("skipped").alias("sk"))
-            per = a if per is None else per.unionByName(a)
-        for r in sorted(per.collect(), key=lambda r: r["it"]):
-            history.append((int(r["it"]), float(r["ll"] or 0.0), int(r["sk"] or 0)))
     if compute_loglik:
         jr = step.with_r(step.join(bags, phi_side, theta))
         stats = jr.agg(*step.loglik_terms()).first()

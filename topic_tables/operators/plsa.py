@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
-from topic_tables.operators.em import TopicModel, initial_phi, run_em
-from topic_tables.operators.priors import Prior
+from topic_tables.operators.em import TopicModel, initial_phi, run_em, write_theta
+from topic_tables.operators.joins import broadcast_limit
+from topic_tables.operators.priors import Prior, is_active
 from topic_tables.operators.vocab import Vocabulary, to_bags
 
 
@@ -20,9 +22,58 @@ def fit_plsa(bags: DataFrame, vocab: Vocabulary, k: int, iterations: int, seed:
 
 
 def fold_in(docs: DataFrame, model: TopicModel, iterations: int, compute_loglik: bool = False,
-            partitions: int | None = None) -> TopicModel:
+            partitions: int | None = None, method: str = "auto") -> TopicModel:
     """θ of new documents with φ frozen, from θ = 1/K.  Documents are bagged
-    with the *model's* vocabulary (tokens stored as strings, D4)."""
+    with the *model's* vocabulary (tokens stored as strings, D4).
+
+    With φ frozen every document is independent.  ``method="row"`` runs all
+    iterations inside one row per document (one job, no per-iteration
+    materialisation); it is chosen by ``"auto"`` when φ passes the broadcast
+    size check, because one document's bag holds at most V words and so is
+    bounded by the same V·K bytes.  ``"table"`` runs the distributed EM loop.
+    """
     bags = to_bags(docs, model.vocab, partitions)
-    return run_em(bags, model.vocab, model.phi, model.k, iterations, freeze_phi=True,
-                  theta_prior=model.theta_prior, compute_loglik=compute_loglik, partitions=partitions)
+    k = model.k
+    fits = model.vocab.size * (8 * k + 64) <= broadcast_limit(bags.sparkSession)
+    if method == "table" or (method == "auto" and not fits):
+        return run_em(bags, model.vocab, model.phi, k, iterations, freeze_phi=True,
+                      theta_prior=model.theta_prior, compute_loglik=compute_loglik, partitions=partitions)
+    theta = _row_local_theta(bags, model.phi, k, iterations, model.theta_prior)
+    theta = write_theta(theta, bags)
+    out = TopicModel(k=k, vocab=model.vocab, phi=model.phi, theta=theta, theta_prior=model.theta_prior)
+    if compute_loglik:
+        from topic_tables.operators.em import _buckets, _Step
+        step = _Step(k, False, 0.0, 0.0, model.vocab.size, _buckets(bags))
+        jr = step.with_r(step.join(bags, model.phi, theta))
+        st = jr.agg(*step.loglik_terms()).first()
+        out.history = [(iterations, float(st["ll"] or 0.0), int(st["skipped"] or 0))]
+    return out
+
+
+def _row_local_theta(bags: DataFrame, phi: DataFrame, k: int, iterations: int,
+                     prior: Prior | None) -> DataFrame:
+    """All fold-in iterations of one document as one higher-order expression.
+
+    The bag is joined to the broadcast φ and gathered per document (no
+    exchange: bags are bucketed by row_id); θ then goes through ``iterations``
+    E+M steps inside ``aggregate(sequence(1, I), θ0, step)``.
+    """
+    words = (bags.join(F.broadcast(phi), "word_id")
+             .groupBy("row_id").agg(F.collect_list(F.struct("n", "phi")).alias("ws")))
+
+    def em_step(th: Column) -> Column:
+        def add(acc, w):
+            z = F.aggregate(F.zip_with(w["phi"], th, lambda p, t: p * t), F.lit(0.0), lambda a, b: a + b)
+            r = F.when(z > 0, w["n"] / z).otherwise(F.lit(0.0))
+            return F.zip_with(acc, w["phi"], lambda a, p: a + r * p)
+        s = F.aggregate(F.col("ws"), F.array_repeat(F.lit(0.0), k), add)
+        c = F.zip_with(th, s, lambda t, x: t * x)
+        if is_active(prior):
+            c = F.zip_with(c, th, lambda x, t: F.greatest(prior.adjust(x, t), F.lit(0.0)))
+        total = F.aggregate(c, F.lit(0.0), lambda a, b: a + b)
+        new = F.when(total > 0, F.transform(c, lambda x: x / total))
+        return new.otherwise(th) if is_active(prior) else new
+
+    theta = F.aggregate(F.sequence(F.lit(1), F.lit(iterations)), F.array_repeat(F.lit(1.0 / k), k),
+                        lambda th, _: em_step(th)) if iterations > 0 else F.array_repeat(F.lit(1.0 / k), k)
+    return words.select("row_id", theta.alias("theta"))

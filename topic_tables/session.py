@@ -10,7 +10,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
-JIT_FLAGS = "-XX:-DontCompileHugeMethods"
+JIT_FLAGS = os.environ.get("TOPIC_TABLES_JVM_FLAGS", "")
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
@@ -25,8 +25,9 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "16g")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
-        # The K-wide EM aggregates generate methods above the JVM's 8000-byte
-        # JIT limit; without this flag they would run interpreted.
+        # Extra JVM flags (e.g. -XX:-DontCompileHugeMethods so the K-wide
+        # generated methods get JIT-compiled; it pays off only when a plan
+        # runs long enough to amortise the compile).
         .config("spark.driver.extraJavaOptions", JIT_FLAGS)
         .config("spark.executor.extraJavaOptions", JIT_FLAGS)
         .getOrCreate()
