@@ -13,7 +13,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from topic_tables.operators.joins import hot_keys, lookup_join
+from topic_tables.operators.joins import broadcast_limit, hot_keys, lookup_join
 from topic_tables.session import cut_lineage, default_partitions, write_bucketed
 
 
@@ -71,9 +71,11 @@ def index_tokens(pruned: DataFrame, partitions: int | None = None) -> Vocabulary
     size, token_bytes = run, sum(b for _, _, b in per_part)
     off = spark.createDataFrame(offsets or [(0, 0)], "pid int, off bigint")
     local = F.col("mid") - F.shiftleft(F.col("pid").cast("bigint"), 33)
+    # A projection of the materialised ranged table plus a P-row broadcast:
+    # cheap to re-evaluate, so it is not written a second time.
     table = (ranged.join(F.broadcast(off), "pid")
              .select("token", (F.col("off") + local).cast("int").alias("word_id"), "n"))
-    return Vocabulary(cut_lineage(table), size, token_bytes, occurrences)
+    return Vocabulary(table, size, token_bytes, occurrences)
 
 
 def build_vocab(docs: DataFrame, rare_token_threshold: int = 2, partitions: int | None = None) -> Vocabulary:
@@ -109,8 +111,9 @@ def to_bags(docs: DataFrame, vocab: Vocabulary, partitions: int | None = None,
     p = partitions or bag_buckets(spark, vocab)
     rows = token_rows(docs)
     hot = None
-    if vocab.side_bytes() > 0:
-        hot = hot_keys(vocab.table, "token", "n", p).hint("broadcast")
+    if vocab.side_bytes() > broadcast_limit(spark):
+        # Only the shuffle fallback needs the frequent-token list.
+        hot = hot_keys(vocab.table, "token", "n", p)
     joined = lookup_join(rows, vocab.table.select("token", "word_id"), "token",
                          vocab.side_bytes(), spread_col="row_id", hot=hot)
     bags = (joined.repartition(p, "row_id")
