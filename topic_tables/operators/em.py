@@ -56,12 +56,13 @@ class TopicModel:
 
 
 def initial_phi(vocab: Vocabulary, k: int, seed: int = 13) -> DataFrame:
-    """u(seed, t, token) per cell, rows of each topic normalised to 1."""
-    u = vocab.table.select("word_id", k_array([hash_uniform(seed, F.lit(t), F.col("token")) for t in range(k)]).alias("u"))
-    tot = u.agg(*[F.sum(F.col("u")[t]).alias(f"t{t}") for t in range(k)]).first()
-    tot = [tot[f"t{t}"] or 0.0 for t in range(k)]
-    return u.select("word_id", k_array([
-        (F.col("u")[t] / F.lit(tot[t])) if tot[t] > 0 else F.lit(0.0) for t in range(k)]).alias("phi"))
+    """u(seed, t, token) per cell, rows of each topic normalised to 1.
+
+    The K·V hashes are computed once: the unnormalised cells are written and
+    their K topic totals observed in the same job."""
+    u = vocab.table.select("word_id", *[hash_uniform(seed, F.lit(t), F.col("token")).alias(f"c{t}") for t in range(k)])
+    cells, tot = _write_observed(u, {f"t{t}": F.col(f"c{t}") for t in range(k)}, "phi0")
+    return cells.select("word_id", _phi_expr(k, [(tot.get(f"t{t}") or 0.0) for t in range(k)]).alias("phi"))
 
 
 def _phi_arr(t: int) -> Column:
