@@ -33,7 +33,7 @@ from topic_tables.functions.vectors import hash_uniform, k_array, k_sum
 from topic_tables.operators.joins import broadcast_limit
 from topic_tables.operators.priors import Prior, is_active
 from topic_tables.operators.vocab import Vocabulary
-from topic_tables.session import cut_lineage, write_bucketed
+from topic_tables.session import cut_lineage, release, write_bucketed
 
 
 @dataclass
@@ -229,6 +229,13 @@ def next_phi_side(counts: DataFrame, totals: dict, phi_side: DataFrame, k: int,
     side = c.select(*cols)
     if robust and freeze_background:
         side = cut_lineage(side.join(phi_side.select("word_id", "bg"), "word_id"), "phi")
+        release(c)
+        if c is not counts:
+            release(counts)
+        return side
+    side._tt_source = c
+    if c is not counts:
+        release(counts)
     return side
 
 
@@ -297,7 +304,9 @@ def run_em(bags: DataFrame, vocab: Vocabulary, phi0: DataFrame, k: int, iteratio
     bags, theta, phi_side = initial_state(bags, vocab, phi0, k, robust, background0)
 
     history = []
+    given_bags = bags
     for it in range(iterations):
+        old_bags, old_theta, old_side = bags, theta, phi_side
         jr = step.with_r(step.join(bags, phi_side, theta))
         # θ job; the log-likelihood of the current state is observed on the way.
         obs = Observation(f"loglik-{it}-{uuid.uuid4().hex[:8]}")
@@ -322,7 +331,14 @@ def run_em(bags: DataFrame, vocab: Vocabulary, phi0: DataFrame, k: int, iteratio
             # sits in θ's nu_sum.  Written bucketed like the bags it replaces.
             new_bags = jr.select("row_id", "word_id", "n", (F.lit(eps) * F.col("nu") * F.col("r")).alias("u"))
             bags = write_bucketed(new_bags, ["row_id"], buckets, "noise", prepartitioned=True)
-        theta = new_theta.select("row_id", "theta", *(["nu_sum"] if robust else []))
+        theta = new_theta
+        # The previous state is no longer read by anything: delete its tables.
+        release(old_theta)
+        if old_side is not phi_side:
+            release(old_side)
+            release(getattr(old_side, "_tt_source", None))
+        if old_bags is not bags and old_bags is not given_bags:
+            release(old_bags)
 
     if compute_loglik:
         jr = step.with_r(step.join(bags, phi_side, theta))

@@ -75,7 +75,9 @@ def cut_lineage(df: DataFrame, label: str = "state") -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, label)
     df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    out = spark.read.parquet(path)
+    out._tt_path = path
+    return out
 
 
 def write_bucketed(df: DataFrame, keys: list[str], buckets: int, label: str,
@@ -98,7 +100,29 @@ def write_bucketed(df: DataFrame, keys: list[str], buckets: int, label: str,
        .bucketBy(buckets, *keys)
        .option("path", path)
        .saveAsTable(name))
-    return spark.table(name)
+    out = spark.table(name)
+    out._tt_path, out._tt_table = path, name
+    return out
+
+
+def release(df: DataFrame | None) -> None:
+    """Delete an intermediate table written by :func:`cut_lineage` or
+    :func:`write_bucketed` once nothing reads it any more (EM keeps only the
+    current state, so a 100 TB corpus does not leave one pair-sized table per
+    iteration behind).  DataFrames not written by us are left alone."""
+    if df is None:
+        return
+    path = getattr(df, "_tt_path", None)
+    if path is None:
+        return
+    spark = df.sparkSession
+    name = getattr(df, "_tt_table", None)
+    if name:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+    jvm = spark.sparkContext._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hpath, True)
+    df._tt_path = None
 
 
 def default_partitions(spark: SparkSession) -> int:
