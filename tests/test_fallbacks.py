@@ -34,3 +34,36 @@ def test_salted_shuffle_paths_match_broadcast(spark):
         assert set(ta) == set(tb)
         for key in ta:
             assert ta[key] == pytest.approx(tb[key], abs=1e-9)
+
+
+def test_split_documents_match_unsplit(spark, golden):
+    """Documents spread over several parts (as huge documents are) give the
+    same θ, φ, β, ν and log-likelihood as single-part documents."""
+    docs, vocab, bags = golden
+    ref = fit_plsa(bags, vocab, 2, 3)
+    ref_r = fit_robust_plsa(bags, vocab, 2, 3)
+    spark.conf.set("topic_tables.documentPartRows", "2")
+    try:
+        split = to_bags(docs, vocab)
+        assert split.where("part > 0").count() > 0
+        got = fit_plsa(split, vocab, 2, 3)
+        got_r = fit_robust_plsa(split, vocab, 2, 3)
+        fb = fold_in(docs, ref, 2, method="table")
+    finally:
+        spark.conf.unset("topic_tables.documentPartRows")
+    fr = fold_in(docs, ref, 2, method="row")
+    for a, b in ((ref, got), (ref_r, got_r), (fr, fb)):
+        ta, tb = _theta(a), _theta(b)
+        assert set(ta) == set(tb)
+        for key in ta:
+            assert ta[key] == pytest.approx(tb[key], abs=1e-9)
+    for x, y in zip(ref.history + ref_r.history, got.history + got_r.history):
+        assert x[1] == pytest.approx(y[1], abs=1e-9)
+    pa = {r["word_id"]: r["phi"] for r in ref.phi.collect()}
+    for r in got.phi.collect():
+        assert r["phi"] == pytest.approx(pa[r["word_id"]], abs=1e-9)
+    na = {(r["row_id"], r["word_id"]): r["p"] for r in ref_r.noise.collect()}
+    nb = {(r["row_id"], r["word_id"]): r["p"] for r in got_r.noise.collect()}
+    assert set(na) == set(nb)
+    for key in na:
+        assert na[key] == pytest.approx(nb[key], abs=1e-9)

@@ -2,15 +2,18 @@
 
 State between iterations lives in tables, never in driver matrices:
 
-  bags   (row_id, word_id, n[, u])  bucketed by row_id (u: unnormalised noise)
-  theta  (row_id, theta[K][, nu_sum])  one row per document
+  bags   (row_id, part, word_id, n[, u])  bucketed by (row_id, part)
+         (u: unnormalised noise; part > 0 only for the few huge documents)
+  theta  (row_id, part, theta[K][, nu_sum])  one row per (document, part)
   phi    (word_id, phi[K][, bg])        one row per vocabulary word
 
 One iteration computes, from the *previous* state only:
 
   j = bags ⋈ phi (broadcast, size-checked) ⋈ theta (shuffled hash, θ side moves)
   z = Σ_t φ_tw θ_dt   [robust: (z + γβ_w + εν_dw) / (1 + γ + ε)],  r = n / z
-  θ' ∝ θ_dt Σ_w r φ_tw          groupBy(row_id): no exchange (bucketed bags)
+  θ' ∝ θ_dt Σ_w r φ_tw          groupBy(row_id, part): no exchange (bucketed);
+                               huge documents' parts are merged in a tiny
+                               side aggregate and θ' copied back to each part
   φ' ∝ φ_tw Σ_d r θ_dt          groupBy(word_id): partial agg + small exchange
   β' ∝ β_w Σ_d r γ              (robust)
   ν' ∝ ε ν_dw r                 (robust, rewrites the bag table)
@@ -99,7 +102,7 @@ class _Step:
             j = lookup_join(bags, phi_side, "word_id", side_bytes, spread_col="row_id", hot=hot)
         # θ side: one row per document; it is the side that moves, into the
         # bags' own bucketing, and is the hash-table side of the join.
-        return j.join(theta.hint("shuffle_hash"), "row_id")
+        return j.join(theta.hint("shuffle_hash"), ["row_id", "part"])
 
     # --- per-pair expressions ------------------------------------------------
     def nu(self) -> Column:
@@ -112,7 +115,8 @@ class _Step:
         return (mix + F.lit(self.gamma) * F.col("bg") + F.lit(self.eps) * self.nu()) / F.lit(1.0 + self.gamma + self.eps)
 
     def with_r(self, j: DataFrame) -> DataFrame:
-        cols = [F.col("row_id"), F.col("word_id"), F.col("n"), F.col("phi"), F.col("theta"), self.z().alias("z")]
+        cols = [F.col("row_id"), F.col("part"), F.col("word_id"), F.col("n"), F.col("phi"), F.col("theta"),
+                self.z().alias("z")]
         if self.robust:
             cols += [F.col("bg"), self.nu().alias("nu")]
         j = j.select(*cols)
@@ -134,20 +138,56 @@ def _normalise_theta(k: int, prior: Prior | None) -> Column:
     return F.when(total > 0, k_array([x / total for x in s]))
 
 
-def theta_step(step: _Step, jr: DataFrame, prior: Prior | None) -> DataFrame:
-    """C5/R7 (+R6 normaliser, C11 terms): new θ per document."""
+def per_document(partial: DataFrame, hot: DataFrame, sums: list[str], maxes: list[str],
+                 finish: list[Column], once: tuple[str, ...] = ()) -> DataFrame:
+    """Finish per-(document, part) partial aggregates into per-document values
+    and give every part of the document its own copy.
+
+    ``partial`` has one row per (row_id, part) and is partitioned like the
+    bags.  Ordinary documents have only part 0, so their row is final where
+    it is (no exchange).  Only the huge documents of ``hot`` (row_id, np),
+    at most P of them, are merged by a small aggregate and expanded back to
+    parts 0..np-1.  Columns named in ``once`` (document totals such as the
+    log-likelihood) are kept on part 0 only, so sums over the table count
+    each document once.
+    """
+    hb = F.broadcast(hot.select("row_id"))
+    cold = partial.join(hb, "row_id", "left_anti").select("row_id", "part", *finish)
+    merged = (partial.join(hb, "row_id", "left_semi").groupBy("row_id")
+              .agg(*[F.sum(c).alias(c) for c in sums], *[F.max(c).alias(c) for c in maxes])
+              .join(F.broadcast(hot), "row_id")
+              .withColumn("part", F.explode(F.sequence(F.lit(0), F.col("np") - 1))))
+    warm = merged.select("row_id", "part", *finish)
+    if once:
+        warm = warm.select(*[F.when(F.col("part") == 0, F.col(c)).otherwise(F.lit(0)).alias(c) if c in once
+                             else F.col(c) for c in warm.columns])
+    return cold.unionByName(warm)
+
+
+def hot_documents(bags: DataFrame) -> DataFrame:
+    """(row_id, np) of documents split over several parts (at most P rows)."""
+    return cut_lineage(bags.where(F.col("part") > 0).groupBy("row_id")
+                       .agg((F.max("part") + 1).alias("np")), "hotdocs")
+
+
+def theta_step(step: _Step, jr: DataFrame, prior: Prior | None, hot: DataFrame) -> DataFrame:
+    """C5/R7 (+R6 normaliser, C11 terms): new θ per document (and part)."""
     k = step.k
     aggs = [F.sum(F.col("r") * _phi_arr(t) * _theta_arr(t)).alias(f"s{t}") for t in range(k)]
     aggs += step.loglik_terms()
+    sums = [f"s{t}" for t in range(k)] + ["ll", "skipped"]
     if step.robust:
         aggs.append(F.sum(F.lit(step.eps) * F.col("nu") * F.col("r")).alias("nu_sum"))
+        sums.append("nu_sum")
+    maxes = []
     if is_active(prior):
         aggs += [F.max(_theta_arr(t)).alias(f"o{t}") for t in range(k)]
-    g = jr.groupBy("row_id").agg(*aggs)
-    cols = [F.col("row_id"), _normalise_theta(k, prior).alias("theta"), F.col("ll"), F.col("skipped")]
+        maxes = [f"o{t}" for t in range(k)]
+    g = jr.groupBy("row_id", "part").agg(*aggs)
+    cols = [_normalise_theta(k, prior).alias("theta"), F.col("ll"), F.col("skipped")]
     if step.robust:
         cols.append(F.col("nu_sum"))
-    return g.select(*cols)
+    return per_document(g, hot, sums, maxes, cols, once=("ll", "skipped"))
 
 
 def phi_counts(step: _Step, jr: DataFrame, prior: Prior | None, with_topics: bool = True) -> DataFrame:
@@ -245,14 +285,17 @@ def normalise_background(counts: DataFrame, gamma: float) -> DataFrame:
 
 
 def initial_state(bags: DataFrame, vocab: Vocabulary, phi0: DataFrame, k: int, robust: bool,
-                  background0: DataFrame | None = None):
+                  background0: DataFrame | None = None, hot: DataFrame | None = None):
     """(bags, theta, phi_side) of state 0: θ = 1/K (C2); robust adds ν = 1/Σn
     on each distinct word (R1, as u = 1 with normaliser Σn) and β = 1/V (R2)."""
     if robust and "u" not in bags.columns:
-        bags = bags.select("row_id", "word_id", "n", F.lit(1.0).alias("u"))
-    init = bags.groupBy("row_id").agg(F.sum("n").alias("nd"))
-    theta = init.select("row_id", F.array_repeat(F.lit(1.0 / k), k).alias("theta"),
-                        *([F.col("nd").alias("nu_sum")] if robust else []))
+        bags = bags.select("row_id", "part", "word_id", "n", F.lit(1.0).alias("u"))
+    if hot is None:
+        hot = hot_documents(bags)
+    init = bags.groupBy("row_id", "part").agg(F.sum("n").alias("nd"))
+    theta = per_document(init, hot, ["nd"], [],
+                         [F.array_repeat(F.lit(1.0 / k), k).alias("theta"),
+                          *([F.col("nd").alias("nu_sum")] if robust else [])])
     theta = write_theta(theta, bags)
     if robust:
         bg = background0
@@ -261,7 +304,7 @@ def initial_state(bags: DataFrame, vocab: Vocabulary, phi0: DataFrame, k: int, r
         phi_side = phi0.join(bg, "word_id")
     else:
         phi_side = phi0
-    return bags, theta, cut_lineage(phi_side, "phi")
+    return bags, theta, cut_lineage(phi_side, "phi"), hot
 
 
 def _buckets(bags: DataFrame) -> int:
@@ -278,13 +321,13 @@ def write_theta(theta: DataFrame, bags: DataFrame) -> DataFrame:
     """θ is written bucketed exactly like the bags (same key, same count), so
     the next bags ⋈ θ join and the per-document aggregate need no exchange;
     θ rows produced from the bags already sit in the right partition."""
-    return write_bucketed(theta, ["row_id"], _buckets(bags), "theta", prepartitioned=True)
+    return write_bucketed(theta, ["row_id", "part"], _buckets(bags), "theta", prepartitioned=True)
 
 
 def state0_pairs(bags: DataFrame, vocab: Vocabulary, k: int, seed: int = 13, robust: bool = False,
                  gamma: float = 0.0, eps: float = 0.0) -> DataFrame:
     """Per-pair view of state 0 (row_id, word_id, n, phi, theta, z, r[, bg, nu])."""
-    b, theta, side = initial_state(bags, vocab, initial_phi(vocab, k, seed), k, robust)
+    b, theta, side, _ = initial_state(bags, vocab, initial_phi(vocab, k, seed), k, robust)
     step = _Step(k, robust, gamma, eps, vocab.size, _buckets(bags))
     return step.with_r(step.join(b, side, theta))
 
@@ -301,7 +344,7 @@ def run_em(bags: DataFrame, vocab: Vocabulary, phi0: DataFrame, k: int, iteratio
     p = partitions or buckets
     step = _Step(k, robust, gamma, eps, vocab.size, p)
 
-    bags, theta, phi_side = initial_state(bags, vocab, phi0, k, robust, background0)
+    bags, theta, phi_side, hot = initial_state(bags, vocab, phi0, k, robust, background0)
 
     history = []
     given_bags = bags
@@ -310,7 +353,7 @@ def run_em(bags: DataFrame, vocab: Vocabulary, phi0: DataFrame, k: int, iteratio
         jr = step.with_r(step.join(bags, phi_side, theta))
         # θ job; the log-likelihood of the current state is observed on the way.
         obs = Observation(f"loglik-{it}-{uuid.uuid4().hex[:8]}")
-        th = theta_step(step, jr, theta_prior).observe(obs, F.sum("ll").alias("ll"), F.sum("skipped").alias("sk"))
+        th = theta_step(step, jr, theta_prior, hot).observe(obs, F.sum("ll").alias("ll"), F.sum("skipped").alias("sk"))
         new_theta = write_theta(th, bags)
         m = obs.get
         history.append((it, float(m.get("ll") or 0.0), int(m.get("sk") or 0)))
@@ -329,8 +372,9 @@ def run_em(bags: DataFrame, vocab: Vocabulary, phi0: DataFrame, k: int, iteratio
         if robust:
             # Unnormalised new noise per (document, word); the normaliser
             # sits in θ's nu_sum.  Written bucketed like the bags it replaces.
-            new_bags = jr.select("row_id", "word_id", "n", (F.lit(eps) * F.col("nu") * F.col("r")).alias("u"))
-            bags = write_bucketed(new_bags, ["row_id"], buckets, "noise", prepartitioned=True)
+            new_bags = jr.select("row_id", "part", "word_id", "n",
+                                 (F.lit(eps) * F.col("nu") * F.col("r")).alias("u"))
+            bags = write_bucketed(new_bags, ["row_id", "part"], buckets, "noise", prepartitioned=True)
         theta = new_theta
         # The previous state is no longer read by anything: delete its tables.
         release(old_theta)
@@ -346,10 +390,10 @@ def run_em(bags: DataFrame, vocab: Vocabulary, phi0: DataFrame, k: int, iteratio
         history.append((iterations, float(stats["ll"] or 0.0), int(stats["skipped"] or 0)))
 
     model = TopicModel(k=k, vocab=vocab, phi=phi_side.select("word_id", "phi"),
-                       theta=theta.select("row_id", "theta"), history=history,
+                       theta=theta.where(F.col("part") == 0).select("row_id", "theta"), history=history,
                        gamma=gamma, eps=eps, theta_prior=theta_prior, phi_prior=phi_prior)
     if robust:
         model.background = phi_side.select("word_id", F.col("bg").alias("p"))
-        nb = bags.join(theta.select("row_id", "nu_sum").hint("shuffle_hash"), "row_id")
+        nb = bags.join(theta.select("row_id", "part", "nu_sum").hint("shuffle_hash"), ["row_id", "part"])
         model.noise = nb.select("row_id", "word_id", step.nu().alias("p"))
     return model

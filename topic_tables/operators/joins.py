@@ -21,12 +21,16 @@ def broadcast_limit(spark) -> int:
     return int(v) if v else DEFAULT_BROADCAST_LIMIT
 
 
-def hot_keys(weights: DataFrame, key: str, weight: str, partitions: int) -> DataFrame:
-    """Keys whose weight exceeds total/partitions, with their salt count."""
-    total = weights.agg(F.sum(weight).alias("t")).first()["t"] or 0
-    if total <= 0:
-        return weights.select(key).limit(0).withColumn("salts", F.lit(1))
-    share = float(total) / partitions
+def hot_keys(weights: DataFrame, key: str, weight: str, partitions: int,
+             share: float | None = None) -> DataFrame:
+    """Keys whose weight exceeds ``share`` (default total/partitions), with
+    their salt count ceil(weight/share) capped at ``partitions``.  With the
+    default share there are at most ``partitions`` such keys."""
+    if share is None:
+        total = weights.agg(F.sum(weight).alias("t")).first()["t"] or 0
+        if total <= 0:
+            return weights.select(key).limit(0).withColumn("salts", F.lit(1))
+        share = float(total) / partitions
     return (weights.where(F.col(weight) > share)
             .select(key, F.least(F.lit(partitions),
                                  F.ceil(F.col(weight) / F.lit(share)).cast("int")).alias("salts")))

@@ -32,15 +32,17 @@ def fold_in(docs: DataFrame, model: TopicModel, iterations: int, compute_loglik:
     size check, because one document's bag holds at most V words and so is
     bounded by the same V·K bytes.  ``"table"`` runs the distributed EM loop.
     """
-    bags = to_bags(docs, model.vocab, partitions)
     k = model.k
-    fits = model.vocab.size * (8 * k + 64) <= broadcast_limit(bags.sparkSession)
-    if method == "table" or (method == "auto" and not fits):
+    fits = model.vocab.size * (8 * k + 64) <= broadcast_limit(docs.sparkSession)
+    row_local = method == "row" or (method == "auto" and fits)
+    # Row-local fold-in gathers a document anyway, so its bags keep one part.
+    bags = to_bags(docs, model.vocab, partitions, split_hot=not row_local)
+    if not row_local:
         return run_em(bags, model.vocab, model.phi, k, iterations, freeze_phi=True,
                       theta_prior=model.theta_prior, compute_loglik=compute_loglik, partitions=partitions)
-    theta = _row_local_theta(bags, model.phi, k, iterations, model.theta_prior)
-    theta = write_theta(theta, bags)
-    out = TopicModel(k=k, vocab=model.vocab, phi=model.phi, theta=theta, theta_prior=model.theta_prior)
+    theta = write_theta(_row_local_theta(bags, model.phi, k, iterations, model.theta_prior), bags)
+    out = TopicModel(k=k, vocab=model.vocab, phi=model.phi, theta=theta.select("row_id", "theta"),
+                     theta_prior=model.theta_prior)
     if compute_loglik:
         from topic_tables.operators.em import _buckets, _Step
         step = _Step(k, False, 0.0, 0.0, model.vocab.size, _buckets(bags))
@@ -59,7 +61,7 @@ def _row_local_theta(bags: DataFrame, phi: DataFrame, k: int, iterations: int,
     E+M steps inside ``aggregate(sequence(1, I), θ0, step)``.
     """
     words = (bags.join(F.broadcast(phi), "word_id")
-             .groupBy("row_id").agg(F.collect_list(F.struct("n", "phi")).alias("ws")))
+             .groupBy("row_id", "part").agg(F.collect_list(F.struct("n", "phi")).alias("ws")))
 
     def em_step(th: Column) -> Column:
         def add(acc, w):
@@ -76,4 +78,4 @@ def _row_local_theta(bags: DataFrame, phi: DataFrame, k: int, iterations: int,
 
     theta = F.aggregate(F.sequence(F.lit(1), F.lit(iterations)), F.array_repeat(F.lit(1.0 / k), k),
                         lambda th, _: em_step(th)) if iterations > 0 else F.array_repeat(F.lit(1.0 / k), k)
-    return words.select("row_id", theta.alias("theta"))
+    return words.select("row_id", "part", theta.alias("theta"))

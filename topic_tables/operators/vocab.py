@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from topic_tables.operators.joins import broadcast_limit, hot_keys, lookup_join
-from topic_tables.session import cut_lineage, default_partitions, write_bucketed
+from topic_tables.session import cut_lineage, default_partitions, release, write_bucketed
 
 
 def token_rows(docs: DataFrame) -> DataFrame:
@@ -97,15 +97,21 @@ def bag_buckets(spark, vocab: Vocabulary) -> int:
 
 
 def to_bags(docs: DataFrame, vocab: Vocabulary, partitions: int | None = None,
-            materialise: bool = True) -> DataFrame:
+            materialise: bool = True, split_hot: bool = True) -> DataFrame:
     """Drop out-of-vocabulary tokens and count each (document, word).
 
-    The vocabulary lookup is a broadcast hash join when the vocabulary's size
-    bound allows, else a salted shuffle join.  Token rows are then hashed once
-    by ``row_id`` and counted there, so the count and the bucketed write share
-    one shuffle.  The result is a parquet table bucketed by ``row_id`` under
-    the checkpoint folder: every EM step joins θ and aggregates per document
-    without moving the bags again.
+    Result: ``bags(row_id, part, word_id, n)``, a parquet table bucketed by
+    (row_id, part) under the checkpoint folder, so every EM step joins θ and
+    aggregates per document without moving the pairs.
+
+    * The vocabulary lookup is a broadcast hash join when the vocabulary's
+      size bound allows, else a salted shuffle join.
+    * Counting shuffles on (row_id, word_id) after map-side partial
+      aggregation, so one huge document is spread over all reducers.
+    * A document with more pairs than an average bucket (total/P) is split
+      into ceil(pairs/share) parts by hashing the word, so no task holds more
+      than about one bucket of one document.  There are at most P such
+      documents; all others have the single part 0.
     """
     spark = docs.sparkSession
     p = partitions or bag_buckets(spark, vocab)
@@ -116,11 +122,26 @@ def to_bags(docs: DataFrame, vocab: Vocabulary, partitions: int | None = None,
         hot = hot_keys(vocab.table, "token", "n", p)
     joined = lookup_join(rows, vocab.table.select("token", "word_id"), "token",
                          vocab.side_bytes(), spread_col="row_id", hot=hot)
-    bags = (joined.repartition(p, "row_id")
-            .groupBy("row_id", "word_id").agg(F.count(F.lit(1)).cast("double").alias("n")))
+    pairs = joined.groupBy("row_id", "word_id").agg(F.count(F.lit(1)).cast("double").alias("n"))
     if not materialise:
-        return bags
-    return write_bucketed(bags, ["row_id"], p, "bags", prepartitioned=True)
+        return pairs.select("row_id", F.lit(0).alias("part"), "word_id", "n")
+    pairs = cut_lineage(pairs, "pairs")
+    part = F.lit(0)
+    hot_docs = None
+    if split_hot:
+        sizes = pairs.groupBy("row_id").agg(F.count(F.lit(1)).alias("w"))
+        forced = spark.conf.get("topic_tables.documentPartRows", None)
+        hot_docs = cut_lineage(hot_keys(sizes, "row_id", "w", p, float(forced) if forced else None), "hotdocs")
+        pairs_h = pairs.join(F.broadcast(hot_docs), "row_id", "left")
+        part = F.when(F.col("salts").isNull(), F.lit(0)).otherwise(
+            F.pmod(F.xxhash64(F.col("word_id")), F.col("salts")).cast("int"))
+        src = pairs_h
+    else:
+        src = pairs
+    out = write_bucketed(src.select("row_id", part.alias("part"), "word_id", "n"), ["row_id", "part"], p, "bags")
+    release(pairs)
+    release(hot_docs)
+    return out
 
 
 def corpus_stats(bags: DataFrame) -> DataFrame:
