@@ -21,13 +21,9 @@ def test_no_exchange_on_bags_or_theta(spark):
         b, theta, side, hot = initial_state(bags, vocab, initial_phi(vocab, 4), 4, False)
         step = _Step(4, False, 0, 0, vocab.size, 8)
         jr = step.with_r(step.join(b, side, theta))
+        assert hot is None                   # no huge document at this size
         tp = _plan(theta_step(step, jr, None, hot))
-        # The only exchange merges the parts of the few huge documents (a
-        # semi-joined, partially aggregated side branch); the bags ⋈ θ join
-        # and the per-(document, part) aggregate have none.
-        ex = tp.replace("BroadcastExchange", "")
-        assert ex.count("Exchange") == 1
-        assert "Exchange hashpartitioning(row_id#" in ex
+        assert "Exchange" not in tp.replace("BroadcastExchange", "")
         assert "ShuffledHashJoin [row_id" in tp and "Bucketed: true" in tp
         pp = _plan(phi_counts(step, jr, None))
         # exactly one exchange: partial word counts to their final aggregate
@@ -37,6 +33,26 @@ def test_no_exchange_on_bags_or_theta(spark):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
 
 
+def test_split_documents_move_only_their_partials(spark):
+    from topic_tables import build_vocab, to_bags
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("topic_tables.documentPartRows", "50")
+    try:
+        docs = tokens_from_text(load_table(spark, SF001, "documents"), "doc_id", "text")
+        vocab = build_vocab(docs, 15)
+        bags = to_bags(docs, vocab)
+        b, theta, side, hot = initial_state(bags, vocab, initial_phi(vocab, 4), 4, False)
+        assert hot is not None
+        step = _Step(4, False, 0, 0, vocab.size, 8)
+        jr = step.with_r(step.join(b, side, theta))
+        ex = _plan(theta_step(step, jr, None, hot)).replace("BroadcastExchange", "")
+        # one exchange: the split documents' partial sums, merged per row_id
+        assert ex.count("Exchange") == 1 and "Exchange hashpartitioning(row_id#" in ex
+    finally:
+        spark.conf.unset("topic_tables.documentPartRows")
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10485760")
+
+
 def test_scan_prunes_columns(spark):
     docs = tokens_from_text(load_table(spark, SF001, "documents"), "doc_id", "text")
     p = _plan(docs)

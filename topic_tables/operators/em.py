@@ -151,6 +151,9 @@ def per_document(partial: DataFrame, hot: DataFrame, sums: list[str], maxes: lis
     log-likelihood) are kept on part 0 only, so sums over the table count
     each document once.
     """
+    if hot is None:
+        # No document is split: every (row_id, 0) row is already final.
+        return partial.select("row_id", "part", *finish)
     hb = F.broadcast(hot.select("row_id"))
     cold = partial.join(hb, "row_id", "left_anti").select("row_id", "part", *finish)
     merged = (partial.join(hb, "row_id", "left_semi").groupBy("row_id")
@@ -164,10 +167,12 @@ def per_document(partial: DataFrame, hot: DataFrame, sums: list[str], maxes: lis
     return cold.unionByName(warm)
 
 
-def hot_documents(bags: DataFrame) -> DataFrame:
-    """(row_id, np) of documents split over several parts (at most P rows)."""
-    return cut_lineage(bags.where(F.col("part") > 0).groupBy("row_id")
-                       .agg((F.max("part") + 1).alias("np")), "hotdocs")
+def hot_documents(bags: DataFrame) -> DataFrame | None:
+    """(row_id, np) of documents split over several parts (at most P rows),
+    or None when no document is split (the common case)."""
+    hot = cut_lineage(bags.where(F.col("part") > 0).groupBy("row_id")
+                      .agg((F.max("part") + 1).alias("np")), "hotdocs")
+    return hot if hot.count() > 0 else None
 
 
 def theta_step(step: _Step, jr: DataFrame, prior: Prior | None, hot: DataFrame) -> DataFrame:
