@@ -83,6 +83,14 @@ class _Step:
         self.k, self.robust, self.gamma, self.eps = k, robust, float(gamma), float(eps)
         self.v = vocab_size
         self.p = partitions
+        self._cols: dict = {}
+
+    def cols(self, key, build):
+        """Column expressions are independent of the iteration's tables, so
+        they are built once per fit (saves planning time every iteration)."""
+        if key not in self._cols:
+            self._cols[key] = build()
+        return self._cols[key]
 
     # --- joins -------------------------------------------------------------
     def join(self, bags: DataFrame, phi_side: DataFrame, theta: DataFrame) -> DataFrame:
@@ -115,16 +123,21 @@ class _Step:
         return (mix + F.lit(self.gamma) * F.col("bg") + F.lit(self.eps) * self.nu()) / F.lit(1.0 + self.gamma + self.eps)
 
     def with_r(self, j: DataFrame) -> DataFrame:
-        cols = [F.col("row_id"), F.col("part"), F.col("word_id"), F.col("n"), F.col("phi"), F.col("theta"),
-                self.z().alias("z")]
-        if self.robust:
-            cols += [F.col("bg"), self.nu().alias("nu")]
-        j = j.select(*cols)
-        return j.withColumn("r", F.when(F.col("z") > 0, F.col("n") / F.col("z")).otherwise(F.lit(0.0)))
+        def build():
+            cols = [F.col("row_id"), F.col("part"), F.col("word_id"), F.col("n"), F.col("phi"), F.col("theta"),
+                    self.z().alias("z")]
+            if self.robust:
+                cols += [F.col("bg"), self.nu().alias("nu")]
+            names = ["row_id", "part", "word_id", "n", "phi", "theta", "z"] + (["bg", "nu"] if self.robust else [])
+            r = F.when(F.col("z") > 0, F.col("n") / F.col("z")).otherwise(F.lit(0.0)).alias("r")
+            return cols, [F.col(c) for c in names] + [r]
+        first, second = self.cols("with_r", build)
+        return j.select(*first).select(*second)
 
     def loglik_terms(self):
-        return [F.sum(F.when(F.col("z") > 0, F.col("n") * F.log(F.col("z")))).alias("ll"),
-                F.sum(F.when(~(F.col("z") > 0) | F.col("z").isNull(), F.lit(1)).otherwise(F.lit(0))).alias("skipped")]
+        return self.cols("loglik", lambda: [
+            F.sum(F.when(F.col("z") > 0, F.col("n") * F.log(F.col("z")))).alias("ll"),
+            F.sum(F.when(~(F.col("z") > 0) | F.col("z").isNull(), F.lit(1)).otherwise(F.lit(0))).alias("skipped")])
 
 
 def _normalise_theta(k: int, prior: Prior | None) -> Column:
@@ -178,34 +191,41 @@ def hot_documents(bags: DataFrame) -> DataFrame | None:
 def theta_step(step: _Step, jr: DataFrame, prior: Prior | None, hot: DataFrame) -> DataFrame:
     """C5/R7 (+R6 normaliser, C11 terms): new θ per document (and part)."""
     k = step.k
-    aggs = [F.sum(F.col("r") * _phi_arr(t) * _theta_arr(t)).alias(f"s{t}") for t in range(k)]
-    aggs += step.loglik_terms()
-    sums = [f"s{t}" for t in range(k)] + ["ll", "skipped"]
-    if step.robust:
-        aggs.append(F.sum(F.lit(step.eps) * F.col("nu") * F.col("r")).alias("nu_sum"))
-        sums.append("nu_sum")
-    maxes = []
-    if is_active(prior):
-        aggs += [F.max(_theta_arr(t)).alias(f"o{t}") for t in range(k)]
-        maxes = [f"o{t}" for t in range(k)]
+
+    def build():
+        aggs = [F.sum(F.col("r") * _phi_arr(t) * _theta_arr(t)).alias(f"s{t}") for t in range(k)]
+        aggs += step.loglik_terms()
+        sums = [f"s{t}" for t in range(k)] + ["ll", "skipped"]
+        if step.robust:
+            aggs.append(F.sum(F.lit(step.eps) * F.col("nu") * F.col("r")).alias("nu_sum"))
+            sums.append("nu_sum")
+        maxes = []
+        if is_active(prior):
+            aggs += [F.max(_theta_arr(t)).alias(f"o{t}") for t in range(k)]
+            maxes = [f"o{t}" for t in range(k)]
+        cols = [_normalise_theta(k, prior).alias("theta"), F.col("ll"), F.col("skipped")]
+        if step.robust:
+            cols.append(F.col("nu_sum"))
+        return aggs, sums, maxes, cols
+    aggs, sums, maxes, cols = step.cols(("theta", id(prior)), build)
     g = jr.groupBy("row_id", "part").agg(*aggs)
-    cols = [_normalise_theta(k, prior).alias("theta"), F.col("ll"), F.col("skipped")]
-    if step.robust:
-        cols.append(F.col("nu_sum"))
     return per_document(g, hot, sums, maxes, cols, once=("ll", "skipped"))
 
 
 def phi_counts(step: _Step, jr: DataFrame, prior: Prior | None, with_topics: bool = True) -> DataFrame:
     """Expected counts per word (K topic sums [+ background])."""
     k = step.k
-    aggs = []
-    if with_topics:
-        aggs += [F.sum(F.col("r") * _theta_arr(t) * _phi_arr(t)).alias(f"c{t}") for t in range(k)]
-        if is_active(prior):
-            aggs += [F.max(_phi_arr(t)).alias(f"o{t}") for t in range(k)]
-    if step.robust:
-        aggs.append(F.sum(F.col("r") * F.lit(step.gamma) * F.col("bg")).alias("b"))
-    return jr.groupBy("word_id").agg(*aggs)
+
+    def build():
+        aggs = []
+        if with_topics:
+            aggs += [F.sum(F.col("r") * _theta_arr(t) * _phi_arr(t)).alias(f"c{t}") for t in range(k)]
+            if is_active(prior):
+                aggs += [F.max(_phi_arr(t)).alias(f"o{t}") for t in range(k)]
+        if step.robust:
+            aggs.append(F.sum(F.col("r") * F.lit(step.gamma) * F.col("bg")).alias("b"))
+        return aggs
+    return jr.groupBy("word_id").agg(*step.cols(("phi", id(prior), with_topics), build))
 
 
 def _write_observed(df: DataFrame, sums: dict, label: str) -> tuple[DataFrame, dict]:
