@@ -10,7 +10,9 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+import uuid
+
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from topic_tables.operators.joins import broadcast_limit, hot_keys, lookup_join
@@ -125,19 +127,27 @@ def to_bags(docs: DataFrame, vocab: Vocabulary, partitions: int | None = None,
     pairs = joined.groupBy("row_id", "word_id").agg(F.count(F.lit(1)).cast("double").alias("n"))
     if not materialise:
         return pairs.select("row_id", F.lit(0).alias("part"), "word_id", "n")
-    pairs = cut_lineage(pairs, "pairs")
-    part = F.lit(0)
-    hot_docs = None
-    if split_hot:
-        sizes = pairs.groupBy("row_id").agg(F.count(F.lit(1)).alias("w"))
-        forced = spark.conf.get("topic_tables.documentPartRows", None)
-        hot_docs = cut_lineage(hot_keys(sizes, "row_id", "w", p, float(forced) if forced else None), "hotdocs")
-        pairs_h = pairs.join(F.broadcast(hot_docs), "row_id", "left")
+    if not split_hot:
+        return write_bucketed(pairs.select("row_id", F.lit(0).alias("part"), "word_id", "n"),
+                              ["row_id", "part"], p, "bags")
+    # Materialise the pairs once; their number is observed on the way.
+    obs = Observation(f"pairs-{uuid.uuid4().hex[:8]}")
+    pairs = cut_lineage(pairs.observe(obs, F.count(F.lit(1)).alias("n_pairs")), "pairs")
+    total = obs.get.get("n_pairs") or 0
+    forced = spark.conf.get("topic_tables.documentPartRows", None)
+    share = float(forced) if forced else max(float(total) / p, 1.0)
+    # Documents larger than one bucket's share (at most P of them).
+    obs_h = Observation(f"hot-{uuid.uuid4().hex[:8]}")
+    hot_docs = cut_lineage(
+        pairs.groupBy("row_id").agg(F.count(F.lit(1)).alias("w")).where(F.col("w") > F.lit(share))
+        .select("row_id", F.least(F.lit(p), F.ceil(F.col("w") / F.lit(share))).cast("int").alias("salts"))
+        .observe(obs_h, F.count(F.lit(1)).alias("n_hot")), "hotdocs")
+    if (obs_h.get.get("n_hot") or 0) > 0:
+        src = pairs.join(F.broadcast(hot_docs), "row_id", "left")
         part = F.when(F.col("salts").isNull(), F.lit(0)).otherwise(
             F.pmod(F.xxhash64(F.col("word_id")), F.col("salts")).cast("int"))
-        src = pairs_h
     else:
-        src = pairs
+        src, part = pairs, F.lit(0)
     out = write_bucketed(src.select("row_id", part.alias("part"), "word_id", "n"), ["row_id", "part"], p, "bags")
     release(pairs)
     release(hot_docs)
