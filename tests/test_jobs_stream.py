@@ -39,3 +39,22 @@ def test_streaming_fold_in(spark):
     res = spark.read.parquet(out)
     assert res.count() > 0
     assert res.groupBy("query_id").count().where(F.col("count") > 3).count() == 0
+
+
+def test_load_model_round_trip(spark):
+    import pytest
+    from topic_tables import fold_in
+    from topic_tables.plans.jobs import load_model
+    docs = tokens_from_text(load_table(spark, SF001, "documents"), "doc_id", "text")
+    tw, dt, vp = scratch_path(spark, "tw"), scratch_path(spark, "dt"), scratch_path(spark, "vocab")
+    trained = train_job(docs, 3, 2, 15, topic_word_path=tw, doc_topic_path=dt, vocab_path=vp)
+    loaded = load_model(spark, tw, vp, 3, dt)
+    assert loaded.docs.count() == trained.model.theta.count()
+    q = tokens_from_text(load_table(spark, SF001, "benchmark"), "item_id", "text")
+    a = {r["row_id"]: r["theta"] for r in fold_in(q, trained.model, 3).theta.collect()}
+    b = {r["row_id"]: r["theta"] for r in fold_in(q, loaded.model, 3).theta.collect()}
+    assert set(a) == set(b) and len(a) > 0
+    for key in a:
+        assert a[key] == pytest.approx(b[key], abs=1e-12)
+    hits = search_job(loaded, q, 3, 5)
+    assert hits.count() > 0

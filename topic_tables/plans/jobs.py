@@ -48,6 +48,28 @@ def train_job(docs: DataFrame, k: int, iterations: int, rare_token_threshold: in
     return TrainResult(model, docs)
 
 
+def load_model(spark, topic_word_path: str, vocab_path: str, k: int,
+               doc_topic_path: str | None = None) -> TrainResult:
+    """Read a model written by :func:`train_job` back (F7's first step): φ from
+    the topic-word file (A3), the vocabulary with its token strings (D4), and
+    optionally the documents' θ from the doc-topic file (A2).  Every word of
+    the vocabulary gets a φ row (cells missing from the file are 0)."""
+    from topic_tables.operators.vocab import Vocabulary
+    vt = spark.read.parquet(vocab_path)
+    stats = vt.agg(F.count(F.lit(1)).alias("v"), F.sum(F.length("token")).alias("b"), F.sum("n").alias("o")).first()
+    vocab = Vocabulary(vt, int(stats["v"] or 0), int(stats["b"] or 0), int(stats["o"] or 0))
+    phi = T.read_topic_word(spark, topic_word_path, k)
+    phi = (vt.select("word_id").join(phi, "word_id", "left")
+           .select("word_id", F.coalesce("phi", F.array_repeat(F.lit(0.0), k)).alias("phi")))
+    if doc_topic_path:
+        dt = T.read_doc_topic(spark, doc_topic_path, k)
+        docs, theta = dt.select("row_id", "name", "tokens"), dt.select("row_id", "theta")
+    else:
+        docs = spark.createDataFrame([], "row_id bigint, name string, tokens array<string>")
+        theta = spark.createDataFrame([], "row_id bigint, theta array<double>")
+    return TrainResult(TopicModel(k=k, vocab=vocab, phi=phi, theta=theta), docs)
+
+
 def search_job(trained: TrainResult, queries: DataFrame, iterations: int, n: int = 20,
                similarity_path: str | None = None, topics_report_path: str | None = None,
                docs_report_path: str | None = None, words_per_topic: int = 30,
