@@ -20,7 +20,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from topic_tables.operators.plsa import fit_plsa, fold_in  # noqa: E402
 from topic_tables.operators.robust import fit_robust_plsa  # noqa: E402
 from topic_tables.operators.search import similar_docs, top_words  # noqa: E402
-from topic_tables.operators.vocab import build_vocab, to_bags  # noqa: E402
+from topic_tables.operators.vocab import build_corpus  # noqa: E402
 from topic_tables.session import local_session  # noqa: E402
 from topic_tables.sources.tables import load_table, tokens_from_text  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
@@ -37,8 +37,7 @@ def main():
 
     t = time.time()
     docs = tokens_from_text(load_table(spark, sf_dir, "documents"), "doc_id", "text")
-    vocab = build_vocab(docs, 15)
-    bags = to_bags(docs, vocab)
+    vocab, bags, _ = build_corpus(docs, 15)
     q["vocab_bags"] = time.time() - t
 
     t = time.time()

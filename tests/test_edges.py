@@ -92,3 +92,12 @@ def test_empty_input(spark):
     bags = to_bags(docs, vocab)
     m = fit_plsa(bags, vocab, 2, 2)
     assert m.theta.count() == 0
+
+
+def test_build_corpus_matches_two_pass(spark, golden):
+    from topic_tables import build_corpus, token_counts
+    docs, vocab, bags = golden
+    v2, b2, c2 = build_corpus(docs, 0)
+    assert sorted(tuple(r) for r in v2.table.collect()) == sorted(tuple(r) for r in vocab.table.collect())
+    assert sorted(tuple(r) for r in b2.collect()) == sorted(tuple(r) for r in bags.collect())
+    assert sorted(tuple(r) for r in c2.collect()) == sorted(tuple(r) for r in token_counts(docs).collect())

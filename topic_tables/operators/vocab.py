@@ -133,10 +133,20 @@ def to_bags(docs: DataFrame, vocab: Vocabulary, partitions: int | None = None,
     # Materialise the pairs once; their number is observed on the way.
     obs = Observation(f"pairs-{uuid.uuid4().hex[:8]}")
     pairs = cut_lineage(pairs.observe(obs, F.count(F.lit(1)).alias("n_pairs")), "pairs")
-    total = obs.get.get("n_pairs") or 0
+    out = bucket_pairs(pairs, obs.get.get("n_pairs") or 0, p)
+    release(pairs)
+    return out
+
+
+def bucket_pairs(pairs: DataFrame, total_pairs: int, p: int) -> DataFrame:
+    """(row_id, word_id, n) → the bag table bucketed by (row_id, part).
+
+    Documents larger than one bucket's share (total/P; at most P of them) are
+    spread over ceil(pairs/share) parts by hashing the word.  ``pairs`` should
+    be cheap to read twice (a written table, or one plus a broadcast join)."""
+    spark = pairs.sparkSession
     forced = spark.conf.get("topic_tables.documentPartRows", None)
-    share = float(forced) if forced else max(float(total) / p, 1.0)
-    # Documents larger than one bucket's share (at most P of them).
+    share = float(forced) if forced else max(float(total_pairs) / p, 1.0)
     obs_h = Observation(f"hot-{uuid.uuid4().hex[:8]}")
     hot_docs = cut_lineage(
         pairs.groupBy("row_id").agg(F.count(F.lit(1)).alias("w")).where(F.col("w") > F.lit(share))
@@ -149,11 +159,38 @@ def to_bags(docs: DataFrame, vocab: Vocabulary, partitions: int | None = None,
     else:
         src, part = pairs, F.lit(0)
     out = write_bucketed(src.select("row_id", part.alias("part"), "word_id", "n"), ["row_id", "part"], p, "bags")
-    release(pairs)
     release(hot_docs)
     return out
 
 
+def build_corpus(docs: DataFrame, rare_token_threshold: int = 2,
+                 partitions: int | None = None) -> tuple[Vocabulary, DataFrame, DataFrame]:
+    """B1–B4 with one pass over the text: (vocabulary, bags, token_counts).
+
+    The documents are tokenised once into (row_id, token, n) pairs (partial
+    aggregation, shuffle on both keys) and written; token counts, the
+    vocabulary and the bucketed bags are all derived from that pair table,
+    so the tokeniser never runs twice over the corpus.
+    """
+    spark = docs.sparkSession
+    raw = token_rows(docs).groupBy("row_id", "token").agg(F.count(F.lit(1)).alias("n"))
+    obs = Observation(f"raw-{uuid.uuid4().hex[:8]}")
+    raw = cut_lineage(raw.observe(obs, F.count(F.lit(1)).alias("c")), "rawpairs")
+    # All pairs, in vocabulary or not: an upper bound of the bag pairs, which
+    # only makes the huge-document share larger (still at most P of them).
+    n_raw = obs.get.get("c") or 0
+    counts = cut_lineage(raw.groupBy("token").agg(F.sum("n").cast("bigint").alias("n")), "tokencounts")
+    vocab = index_tokens(prune(counts, rare_token_threshold), partitions)
+    p = partitions or bag_buckets(spark, vocab)
+    hot = hot_keys(vocab.table, "token", "n", p) if vocab.side_bytes() > broadcast_limit(spark) else None
+    joined = lookup_join(raw, vocab.table.select("token", "word_id"), "token",
+                         vocab.side_bytes(), spread_col="row_id", hot=hot)
+    pairs = joined.select("row_id", "word_id", F.col("n").cast("double").alias("n"))
+    bags = bucket_pairs(pairs, n_raw, p)
+    release(raw)
+    return vocab, bags, counts
+
+
 def corpus_stats(bags: DataFrame) -> DataFrame:
     """Vocabulary actually used, documents, pairs, collection length."""
     return bags.agg(F.countDistinct("word_id").alias("n_words"),

@@ -19,7 +19,7 @@ from topic_tables.operators.plsa import fit_plsa, fold_in
 from topic_tables.operators.priors import Prior, SymmetricDirichlet
 from topic_tables.operators.robust import fit_robust_plsa, robust_fold_in
 from topic_tables.operators.search import similar_docs, top_topics, top_words
-from topic_tables.operators.vocab import build_vocab, corpus_stats, prune, to_bags, token_counts
+from topic_tables.operators.vocab import build_corpus, corpus_stats, prune, token_counts
 from topic_tables.plans import oracle as O
 from topic_tables.session import scratch_path
 from topic_tables.sources import text as T
@@ -51,8 +51,8 @@ def _memo_get(spark: SparkSession, key, build):
 def corpus(spark: SparkSession, sf: str):
     def build():
         docs = tokens_from_text(load_table(spark, sf, "documents"), "doc_id", "text")
-        vocab = build_vocab(docs, THRESHOLD)
-        return docs, vocab, to_bags(docs, vocab)
+        vocab, bags, _ = build_corpus(docs, THRESHOLD)
+        return docs, vocab, bags
     return _memo_get(spark, ("corpus", sf), build)
 
 

@@ -21,7 +21,7 @@ from topic_tables.operators.em import TopicModel
 from topic_tables.operators.plsa import fit_plsa, fold_in
 from topic_tables.operators.priors import Prior
 from topic_tables.operators.search import similar_docs, top_topics, top_words
-from topic_tables.operators.vocab import build_vocab, to_bags
+from topic_tables.operators.vocab import build_corpus
 from topic_tables.sources import text as T
 
 
@@ -36,8 +36,7 @@ def train_job(docs: DataFrame, k: int, iterations: int, rare_token_threshold: in
               topic_word_path: str | None = None, doc_topic_path: str | None = None,
               vocab_path: str | None = None) -> TrainResult:
     """F6.  ``docs(row_id, name, tokens)`` (from read_bags or tokens_from_text)."""
-    vocab = build_vocab(docs, rare_token_threshold)
-    bags = to_bags(docs, vocab)
+    vocab, bags, _ = build_corpus(docs, rare_token_threshold)
     model = fit_plsa(bags, vocab, k, iterations, seed, theta_prior=theta_prior, phi_prior=phi_prior)
     if topic_word_path:
         T.write_lines(T.format_topic_word(model.phi), topic_word_path)
