@@ -12,7 +12,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from topic_tables.functions.dirichlet import dirichlet_log_beta
 from topic_tables.operators.em import phi_counts, state0_pairs, _Step, initial_phi
 from topic_tables.operators.metrics import loglik_history, model_checks
 from topic_tables.operators.plsa import fit_plsa, fold_in
