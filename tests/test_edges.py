@@ -101,3 +101,22 @@ def test_build_corpus_matches_two_pass(spark, golden):
     assert sorted(tuple(r) for r in v2.table.collect()) == sorted(tuple(r) for r in vocab.table.collect())
     assert sorted(tuple(r) for r in b2.collect()) == sorted(tuple(r) for r in bags.collect())
     assert sorted(tuple(r) for r in c2.collect()) == sorted(tuple(r) for r in token_counts(docs).collect())
+
+
+def test_perplexity_with_priors_matches_direct_formula(golden):
+    import math
+    from topic_tables.operators.metrics import perplexity
+    _, vocab, bags = golden
+    a = 0.5
+    m = fit_plsa(bags, vocab, 2, 2, theta_prior=SymmetricDirichlet(a), phi_prior=SymmetricDirichlet(a))
+    n_total = bags.agg(F.sum("n")).first()[0]
+
+    def logpdf(x):
+        return -(len(x) * math.lgamma(a) - math.lgamma(len(x) * a)) + (a - 1) * sum(math.log(v + 1e-5) for v in x)
+    thetas = [r["theta"] for r in m.theta.collect()]
+    phis = [r["phi"] for r in m.phi.collect()]
+    lp = sum(logpdf(t) for t in thetas) + sum(logpdf([row[k] for row in phis]) for k in range(2))
+    want = math.exp(-(m.history[-1][1] + lp) / n_total)
+    assert perplexity(m, n_total) == pytest.approx(want, rel=1e-9)
+    plain = fit_plsa(bags, vocab, 2, 2)
+    assert perplexity(plain, n_total) == pytest.approx(math.exp(-plain.history[-1][1] / n_total), rel=1e-12)
