@@ -33,11 +33,22 @@ def test_streaming_fold_in(spark):
     bench.write.parquet(src)
     stream = spark.readStream.schema(bench.schema).parquet(src)
     out, ck = scratch_path(spark, "stream-out"), scratch_path(spark, "stream-ck")
+    _ckdir = spark.sparkContext.getCheckpointDir()
+    _root = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_ckdir)
+    _fs = _root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    before = {st.getPath().getName() for st in _fs.listStatus(_root)}
     q = start_search_stream(stream, trained.model, dtheta, out, ck, iterations=2, n=3,
                             id_col="item_id", trigger_once=True)
     q.awaitTermination(300)
     res = spark.read.parquet(out)
     assert res.count() > 0
+    # each micro-batch deleted its own bag and θ tables
+    ckdir = spark.sparkContext.getCheckpointDir()
+    jvm = spark.sparkContext._jvm
+    root = jvm.org.apache.hadoop.fs.Path(ckdir)
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    names = [st.getPath().getName() for st in fs.listStatus(root)]
+    assert not any(nm.startswith("bags-") and nm not in before for nm in names)
     assert res.groupBy("query_id").count().where(F.col("count") > 3).count() == 0
 
 

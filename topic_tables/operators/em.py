@@ -52,6 +52,9 @@ class TopicModel:
     eps: float = 0.0
     theta_prior: Prior | None = None
     phi_prior: Prior | None = None
+    #: intermediate tables this model's DataFrames read (released by callers
+    #: that throw the model away, e.g. one streaming micro-batch)
+    scratch: list = field(default_factory=list)
 
     @property
     def robust(self) -> bool:
@@ -417,6 +420,9 @@ def run_em(bags: DataFrame, vocab: Vocabulary, phi0: DataFrame, k: int, iteratio
     model = TopicModel(k=k, vocab=vocab, phi=phi_side.select("word_id", "phi"),
                        theta=theta.where(F.col("part") == 0).select("row_id", "theta"), history=history,
                        gamma=gamma, eps=eps, theta_prior=theta_prior, phi_prior=phi_prior)
+    model.scratch = [theta, getattr(phi_side, "_tt_source", None) or phi_side]
+    if bags is not given_bags:
+        model.scratch.append(bags)
     if robust:
         model.background = phi_side.select("word_id", F.col("bg").alias("p"))
         nb = bags.join(theta.select("row_id", "part", "nu_sum").hint("shuffle_hash"), ["row_id", "part"])

@@ -38,11 +38,13 @@ def fold_in(docs: DataFrame, model: TopicModel, iterations: int, compute_loglik:
     # Row-local fold-in gathers a document anyway, so its bags keep one part.
     bags = to_bags(docs, model.vocab, partitions, split_hot=not row_local)
     if not row_local:
-        return run_em(bags, model.vocab, model.phi, k, iterations, freeze_phi=True,
-                      theta_prior=model.theta_prior, compute_loglik=compute_loglik, partitions=partitions)
+        out = run_em(bags, model.vocab, model.phi, k, iterations, freeze_phi=True,
+                     theta_prior=model.theta_prior, compute_loglik=compute_loglik, partitions=partitions)
+        out.scratch.append(bags)
+        return out
     theta = write_theta(_row_local_theta(bags, model.phi, k, iterations, model.theta_prior), bags)
     out = TopicModel(k=k, vocab=model.vocab, phi=model.phi, theta=theta.select("row_id", "theta"),
-                     theta_prior=model.theta_prior)
+                     theta_prior=model.theta_prior, scratch=[theta, bags])
     if compute_loglik:
         from topic_tables.operators.em import _buckets, _Step
         step = _Step(k, False, 0.0, 0.0, model.vocab.size, _buckets(bags))

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from topic_tables.operators.em import TopicModel
 from topic_tables.operators.plsa import fold_in
 from topic_tables.operators.search import similar_docs
+from topic_tables.session import release
 from topic_tables.sources.tables import tokens_from_text
 
 
@@ -31,6 +32,9 @@ def start_search_stream(stream: DataFrame, model: TopicModel, doc_theta: DataFra
             F.col("row_id").alias("query_id"), F.col("name").alias("query_name"), "theta")
         hits = similar_docs(doc_theta, qt, n).withColumn("epoch", F.lit(epoch))
         hits.write.mode("append").parquet(out_path)
+        # The batch's bag and θ tables are not needed once its hits are out.
+        for table in folded.scratch:
+            release(table)
 
     writer = stream.writeStream.foreachBatch(run_batch).option("checkpointLocation", checkpoint_path)
     if trigger_once:
