@@ -120,3 +120,20 @@ def test_perplexity_with_priors_matches_direct_formula(golden):
     assert perplexity(m, n_total) == pytest.approx(want, rel=1e-9)
     plain = fit_plsa(bags, vocab, 2, 2)
     assert perplexity(plain, n_total) == pytest.approx(math.exp(-plain.history[-1][1] / n_total), rel=1e-12)
+
+
+def test_robust_fold_in_background_modes(spark, golden):
+    from topic_tables import robust_fold_in
+    docs, vocab, bags = golden
+    m = fit_robust_plsa(bags, vocab, 2, 2)
+    q = spark.createDataFrame([(10, "q", ["a", "y", "y"]), (11, "r", ["x", "z"])],
+                              "row_id bigint, name string, tokens array<string>")
+    kept = robust_fold_in(q, m, 3, background="model")
+    trained = {r["word_id"]: r["p"] for r in m.background.collect()}
+    assert {r["word_id"]: r["p"] for r in kept.background.collect()} == pytest.approx(trained)
+    for r in kept.theta.collect():
+        assert sum(r["theta"]) == pytest.approx(1.0, abs=1e-12) and min(r["theta"]) >= 0
+    refit = robust_fold_in(q, m, 3)
+    bg = {r["word_id"]: r["p"] for r in refit.background.collect()}
+    assert sum(bg.values()) == pytest.approx(1.0, abs=1e-12)
+    assert bg != pytest.approx(trained)          # D8: re-estimated over the folded documents
