@@ -88,3 +88,12 @@ def test_similar_docs_with_query_chunks(spark):
     finally:
         spark.conf.unset("topic_tables.broadcastLimitBytes")
     assert one == many and len(one) == 250
+
+
+def test_null_and_zero_vectors_never_rank(spark):
+    d = spark.createDataFrame([(1, "a", [1.0, 0.0]), (2, "b", None), (3, "c", [0.0, 0.0])],
+                              "row_id bigint, name string, theta array<double>")
+    q = spark.createDataFrame([(1, "q", [1.0, 1.0]), (2, "z", [0.0, 0.0]), (3, "n", None)],
+                              "query_id bigint, query_name string, theta array<double>")
+    got = [(r["query_id"], r["row_id"]) for r in similar_docs(d, q, 5).collect()]
+    assert got == [(1, 1)]
