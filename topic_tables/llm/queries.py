@@ -4,21 +4,32 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from topic_tables.llm import bpe
+from topic_tables.llm import bpe, mixing, simhash
 from topic_tables.llm.text import read
 
 BYTE_BPE = "byte_bpe_50k.json"
 
 
+def op3_mixing(spark, sf_dir) -> DataFrame:
+    rows = mixing.mix(read(spark, sf_dir, "documents")).documents
+    return rows.select("doc_id", "size", "source_size", F.round("target", 6).alias("target"), "taken")
+
+
 def op4_bpe(spark, sf_dir) -> DataFrame:
     path = public_tokenizers.path(BYTE_BPE)
     return bpe.digests(bpe.decode(bpe.encode(read(spark, sf_dir, "documents"), path), path))
 
 
+def op6_simhash(spark, sf_dir) -> DataFrame:
+    near = simhash.near_duplicates(read(spark, sf_dir, "documents"))
+    return near.select("doc_id", simhash.hex_fingerprint("fp").alias("fingerprint"), "component_id")
+
+
 def queries() -> dict:
-    return {"op4_bpe": op4_bpe}
+    return {"op3_mixing": op3_mixing, "op4_bpe": op4_bpe, "op6_simhash": op6_simhash}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op3_mixing": mixing.ORACLE}
