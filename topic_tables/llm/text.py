@@ -23,6 +23,11 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def column(name: str) -> Column:
+    """The column of exactly that name, whatever characters it holds."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
 def fold(id_col: str, salt: int) -> Column:
     """crc32 of the id's text modulo ``salt``, the split that the contracts name
     (a null id counts as the empty text)."""
