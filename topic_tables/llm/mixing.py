@@ -25,7 +25,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from topic_tables.llm.text import WORD_CLASS
+from topic_tables.llm.text import WORD_CLASS, column
 from topic_tables.session import cut_lineage
 
 #: Weights of the sources in code point order, repeating.
@@ -156,6 +156,32 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     return Mix(sources, schedule, documents)
 
 
+def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **options) -> DataFrame:
+    """The mix itself, with the columns of docs: a document stands as often as
+    the mix takes it whole, and once more with the words of its last, partial
+    take (joined by single spaces).  What repeated equal rows take is shared
+    among them."""
+    names = docs.columns
+    plan = mix(docs.select(column(id_col).alias("id"), column(text_col).alias("text"), column(source_col).alias("source")),
+               "id", "text", "source", **options).documents
+    plan = cut_lineage(plan.groupBy("id", "source", "size").agg(F.sum("taken").alias("total"), F.count(F.lit(1)).alias("rows")).where("total > 0"), "mix-plan")
+    safe = docs.toDF(*(f"c{i}" for i in range(len(names))))
+    an_id, text, source = (F.col(f"c{names.index(c)}") for c in (id_col, text_col, source_col))
+    safe = safe.withColumn("words", word_count(text))
+    same = an_id.eqNullSafe(F.col("id")) & source.eqNullSafe(F.col("source")) & (F.col("words") == F.col("size"))
+    once = safe.join(plan.where("rows = 1"), same).withColumn("taken", F.col("total"))
+    again = safe.join(plan.where("rows > 1"), same)
+    nth = F.row_number().over(Window.partitionBy("id", "source", "size").orderBy(F.xxhash64(text)))
+    again = again.withColumn("nth", nth).withColumn("taken", (
+        F.floor(F.col("total") * F.col("nth") / F.col("rows")) - F.floor(F.col("total") * (F.col("nth") - 1) / F.col("rows"))).cast("bigint")).drop("nth")
+    rest = F.col("taken") % F.col("size")
+    copies = F.floor(F.col("taken") / F.col("size"))
+    out = once.unionByName(again).where("taken > 0").withColumn("copy", F.explode(F.sequence(F.lit(1).cast("bigint"), copies + (rest > 0).cast("int"))))
+    cut = F.array_join(F.slice(F.regexp_extract_all(text, F.lit(WORD_CLASS), F.lit(0)), 1, rest.cast("int")), " ")
+    cell = F.when(F.col("copy") <= copies, text).otherwise(cut)
+    return out.select(*((cell if c == text_col else F.col(f"c{i}")).alias(c) for i, c in enumerate(names)))
+
+
 ORACLE = """
 WITH d AS (SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0)::BIGINT AS size,
                   md5(coalesce(doc_id::VARCHAR, '')) AS k FROM documents),

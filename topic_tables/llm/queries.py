@@ -6,10 +6,23 @@ import public_tokenizers
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from topic_tables.llm import bpe, mixing, simhash
-from topic_tables.llm.text import read
+from topic_tables.llm import bpe, langid, mixing, passages, perplexity, pii, simhash, token_files, toxicity, vectors
+from topic_tables.llm.text import fold, read
 
 BYTE_BPE = "byte_bpe_50k.json"
+BYTE_BPE_RANKS = "byte_bpe_50k.tiktoken"
+PIECES = "piece_bpe_32k.model"
+
+
+def op1_toxicity(spark, sf_dir) -> DataFrame:
+    docs, labels = read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels")
+    machine = toxicity.fit(docs, labels, fold("doc_id", 5) != 0)
+    scored = toxicity.score(docs, machine)
+    return scored.select("doc_id", (fold("doc_id", 5) == 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+def op2_perplexity(spark, sf_dir) -> DataFrame:
+    return perplexity.quality(read(spark, sf_dir, "documents"))
 
 
 def op3_mixing(spark, sf_dir) -> DataFrame:
@@ -22,13 +35,38 @@ def op4_bpe(spark, sf_dir) -> DataFrame:
     return bpe.digests(bpe.decode(bpe.encode(read(spark, sf_dir, "documents"), path), path))
 
 
+def op5_langid(spark, sf_dir) -> DataFrame:
+    docs, path = read(spark, sf_dir, "documents"), public_tokenizers.path(PIECES)
+    model = langid.fit(docs, path, fold("doc_id", 4) != 2)
+    found = langid.predict(docs, model, path)
+    return found.select("doc_id", (fold("doc_id", 4) == 2).alias("held_out"), "lang_pred", "score")
+
+
 def op6_simhash(spark, sf_dir) -> DataFrame:
     near = simhash.near_duplicates(read(spark, sf_dir, "documents"))
     return near.select("doc_id", simhash.hex_fingerprint("fp").alias("fingerprint"), "component_id")
 
 
+def op7_vectors(spark, sf_dir) -> DataFrame:
+    return vectors.near_duplicates(read(spark, sf_dir, "embeddings"))
+
+
+def op8_pii(spark, sf_dir) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    return pii.digests(pii.find(docs, pii.fit(docs)))
+
+
+def op9_passages(spark, sf_dir) -> DataFrame:
+    return passages.repeated(read(spark, sf_dir, "documents"))
+
+
+def op10_token_counts(spark, sf_dir) -> DataFrame:
+    return token_files.count_tokens(read(spark, sf_dir, "documents"), public_tokenizers.path(BYTE_BPE_RANKS))
+
+
 def queries() -> dict:
-    return {"op3_mixing": op3_mixing, "op4_bpe": op4_bpe, "op6_simhash": op6_simhash}
+    return {f.__name__: f for f in (op1_toxicity, op2_perplexity, op3_mixing, op4_bpe, op5_langid, op6_simhash, op7_vectors,
+                                    op8_pii, op9_passages, op10_token_counts)}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -22,9 +22,10 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from topic_tables.llm.components import bucket_links, components
-from topic_tables.llm.text import slices
+from topic_tables.llm.text import column, slices
 from topic_tables.session import cut_lineage
 
 SEED = 42
@@ -85,18 +86,47 @@ def linked_within(bits: int):
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3,
                     bits: int = 3) -> DataFrame:
-    """``(id, fp, component)`` of every row: the component is the smallest id
-    reachable over links of at most ``bits`` differing bits."""
+    """``(id, fp, component_id, root)`` of every row: the component is the
+    smallest id reachable over links of at most ``bits`` differing bits, and
+    root a fingerprint that names it whatever the ids."""
     marked = cut_lineage(fingerprints(docs, id_col, text_col, shingle), "fingerprints")
     distinct = cut_lineage(marked.groupBy("fp").agg(F.min("id").alias("low")), "distinct-fp")
     edges = bucket_links(variants(distinct), linked_within(bits), "simhash-links")
     nodes = components(edges, "simhash").select(F.col("node").alias("fp"), "component")
     classes = cut_lineage(nodes.join(distinct, "fp"), "simhash-classes")
     named = cut_lineage(classes.groupBy("component").agg(F.min("low").alias("least")), "simhash-names")
-    moved = classes.join(named, "component").select("fp", "least")
-    of_fp = cut_lineage(distinct.join(moved, "fp", "left").select("fp", F.coalesce("least", "low").alias("component_id")),
+    moved = classes.join(named, "component").select("fp", "least", F.col("component").alias("root"))
+    of_fp = cut_lineage(distinct.join(moved, "fp", "left").select("fp", F.coalesce("least", "low").alias("component_id"), F.coalesce("root", "fp").alias("root")),
                         "simhash-map")
-    return marked.join(of_fp, "fp").select(F.col("id").alias(id_col), "fp", "component_id")
+    return marked.join(of_fp, "fp").select(F.col("id").alias(id_col), "fp", "component_id", "root")
+
+
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, bits: int = 3) -> DataFrame:
+    """The rows, with their columns, of one document of each component: the
+    one with the smallest id (null last), one row of it if it is repeated."""
+    near = near_duplicates(docs.select(column(id_col).alias("id"), column(text_col).alias("text")), "id", "text", shingle, bits)
+    near = cut_lineage(near, "simhash-rows")
+    best = near.groupBy("root").agg(F.min(F.struct(F.col("id").isNull(), "id", "fp")).alias("best")).select("best.id", "best.fp")
+    rows = near.groupBy("id").agg(F.count(F.lit(1)).alias("rows"))
+    keep = best.join(rows.withColumnRenamed("id", "id2"), F.col("id").eqNullSafe(F.col("id2"))).drop("id2")
+    keep = cut_lineage(keep, "simhash-keep")
+    names = docs.columns
+    at, text_at = names.index(id_col), names.index(text_col)
+    safe = docs.toDF(*(f"c{i}" for i in range(len(names))))
+    once = safe.join(keep.where("rows = 1").select("id"), F.col(f"c{at}").eqNullSafe(F.col("id")), "left_semi")
+    # Rows of a repeated id are told apart by their own fingerprints.
+    more = keep.where("rows > 1").select("id", "fp")
+    again = safe.join(more.select("id").distinct(), F.col(f"c{at}").eqNullSafe(F.col("id")), "left_semi")
+
+    def mark(batches):
+        for b in slices(batches, text_at):
+            fp = [fingerprint(t, shingle) for t in b.column(text_at).to_pylist()]
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(fp, pa.int64())], [*b.schema.names, "mark"])
+
+    marked = again.mapInArrow(mark, T.StructType([*again.schema.fields, T.StructField("mark", T.LongType())]))
+    marked = marked.join(more.withColumnRenamed("id", "id2"), F.col(f"c{at}").eqNullSafe(F.col("id2")) & (F.col("mark") == F.col("fp")), "left_semi")
+    marked = marked.dropDuplicates([f"c{at}", "mark"]).drop("mark")
+    return once.unionByName(marked).toDF(*names)
 
 
 def hex_fingerprint(fp):
