@@ -410,7 +410,8 @@ def redact(text: str | None, spans) -> str | None:
 
 def redacted(docs: DataFrame, model: Boosted | None, text_col: str = "text") -> DataFrame:
     """The same rows and columns with redacted texts; no shuffle."""
-    at = docs.columns.index(text_col)
+    at, names = docs.columns.index(text_col), docs.columns
+    safe = docs.toDF(*(f"c{i}" for i in range(len(names))))       # the table's own names may hold dots
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):
@@ -419,7 +420,7 @@ def redacted(docs: DataFrame, model: Boosted | None, text_col: str = "text") ->
             clean = [redact(t, s) for t, s in zip(texts, select(texts, shared.value))]
             yield b.set_column(at, b.schema.field(at), pa.array(clean, b.schema.field(at).type))
 
-    return docs.mapInArrow(run, docs.schema)
+    return safe.mapInArrow(run, safe.schema).toDF(*names)
 
 
 def digests(found: DataFrame, id_col: str = "doc_id") -> DataFrame:
