@@ -21,6 +21,7 @@ table gives an empty table.  Only id, text and language are read.
 from __future__ import annotations
 
 from collections import Counter
+from itertools import batched
 
 import numpy as np
 import pyarrow as pa
@@ -38,9 +39,11 @@ SLOT_BITS = {0: 1, 1: 11, 2: 13, 3: 15, 4: 16, 5: 17}
 IN_SLOT = 8
 MAX_LANGS = 15
 OTHERS = ""
-#: Distinct words after which a task hands on its n-gram counts.
-FLUSH_WORDS = 300_000
-CACHE_WORDS = 300_000
+#: Distinct words after which a task hands on its n-gram counts; words whose
+#: symbols are in arrays at once; scored words that a worker keeps.
+FLUSH_WORDS = 100_000
+WORDS_AT_ONCE = 20_000
+CACHE_WORDS = 150_000
 CACHE_CHARS = 64
 #: Band: so many robust standard deviations around the median of log perplexity.
 BAND = 8.0
@@ -117,8 +120,8 @@ def top_grams(docs: DataFrame) -> DataFrame:
     """``(lang, gram, n)`` of every n-gram of the highest order, over all rows
     of ``docs(lang, text)``; each task adds up before the shuffle."""
     def flush(words: dict[str, Counter]):
-        for lang, c in words.items():
-            code, at, weight, flat = _codes(list(c), list(c.values()))
+        for lang, part in ((lang, part) for lang, c in words.items() for part in batched(c.items(), WORDS_AT_ONCE)):
+            code, at, weight, flat = _codes(*zip(*part))
             _, first, inverse = np.unique(_hashes(code, at, 0, ORDER), return_index=True, return_inverse=True)
             n = np.bincount(inverse, weights=weight).astype(np.int64)
             grams = [flat[p - ORDER + 1:p + 1] for p in at[first].tolist()]
@@ -126,7 +129,7 @@ def top_grams(docs: DataFrame) -> DataFrame:
 
     def run(batches):
         words: dict[str, Counter] = {}
-        for b in slices(batches, 1):
+        for b in slices(batches, 1, 2_000_000):
             for lang, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
                 if text:
                     found = WORD.findall(text)
@@ -226,14 +229,14 @@ class Scorer:
     def total(self, lang: str, lists: list[list[str]]) -> list[float]:
         seen = self.seen.setdefault(lang, {})
         table = self.table.get(lang, np.zeros(0))
-        if len(seen) > CACHE_WORDS:
-            seen, table = {}, np.zeros(0)
-            self.seen[lang] = seen
+        if sum(map(len, self.seen.values())) > CACHE_WORDS:
+            self.seen, self.table = {}, {}
+            seen, table = self.seen.setdefault(lang, {}), np.zeros(0)
         known = len(seen)
         at = [[seen.setdefault(w, len(seen)) for w in words] for words in lists]
         if len(seen) > known:
             new = list(seen)[known:]
-            parts = [word_scores(self.model, lang, new[k:k + 50_000]) for k in range(0, len(new), 50_000)]
+            parts = [word_scores(self.model, lang, new[k:k + WORDS_AT_ONCE]) for k in range(0, len(new), WORDS_AT_ONCE)]
             table = np.concatenate([table, *parts])
             if any(len(w) > CACHE_CHARS * 1000 for w in new):     # do not hold on to huge words
                 self.seen[lang] = {}
@@ -259,7 +262,7 @@ def quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lan
 
     def run(batches):
         scorer = Scorer(model.value)
-        for b in slices(batches, 2):
+        for b in slices(batches, 2, 2_000_000):
             langs, lists, counts = b.column(1).to_pylist(), [], []
             for text in b.column(2).to_pylist():
                 words, c = base_counts(text)
