@@ -35,9 +35,9 @@ ORDER = 5
 START, END = "\x02", "\x03"
 #: Slots of each order (as grams, and again as contexts): 2 to this power, with
 #: so many entries each.
-SLOT_BITS = {0: 1, 1: 11, 2: 13, 3: 15, 4: 16, 5: 17}
+SLOT_BITS = {0: 1, 1: 10, 2: 12, 3: 14, 4: 15, 5: 16}
 IN_SLOT = 8
-MAX_LANGS = 15
+MAX_LANGS = 11
 OTHERS = ""
 #: Distinct words after which a task hands on its n-gram counts; words whose
 #: symbols are in arrays at once; scored words that a worker keeps.
@@ -191,13 +191,16 @@ def _sorted_arrays(table: DataFrame, shift: int) -> dict:
     hashed = table.mapInArrow(run, "lang string, k int, slot bigint, h bigint, n bigint, value double")
     first = Window.partitionBy("lang", "k", "slot").orderBy(F.desc("n"), "h")
     best = hashed.withColumn("r", F.row_number().over(first)).where(F.col("r") <= IN_SLOT)
-    rows = best.select("lang", "k", "h", F.col("value").cast("float").alias("value")).toArrow().to_pandas()
-    out = {}
-    for (lang, k), g in rows.groupby(["lang", "k"]):
-        h = g["h"].to_numpy(np.int64).view(np.uint64)
+
+    def pack(key, t: pa.Table) -> pa.Table:
+        h = t["h"].to_numpy().view(np.uint64)
         order = np.argsort(h)
-        out[lang, int(k)] = h[order], g["value"].to_numpy(np.float32)[order]
-    return out
+        return pa.table({"lang": [key[0].as_py()], "k": pa.array([key[1].as_py()], pa.int32()), "hashes": [h[order].tobytes()],
+                         "probs": [t["value"].to_numpy()[order].astype(np.float32).tobytes()]})
+
+    # one row a language and order, whose size the slots bound
+    rows = best.select("lang", "k", "h", "value").groupBy("lang", "k").applyInArrow(pack, "lang string, k int, hashes binary, probs binary").collect()
+    return {(r["lang"], r["k"]): (np.frombuffer(r["hashes"], np.uint64), np.frombuffer(r["probs"], np.float32)) for r in rows}
 
 
 # --------------------------------------------------------------------- scoring
