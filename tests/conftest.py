@@ -12,7 +12,7 @@ SF001 = "/root/testdata/sf0.001"
 @pytest.fixture(scope="session")
 def spark():
     from topic_tables.session import local_session
-    s = local_session("*", 8, app="topic_tables_tests")
+    s = local_session(os.environ.get("TEST_CORES", "*"), 8, app="topic_tables_tests")
     yield s
     s.stop()
 

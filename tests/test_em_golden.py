@@ -9,7 +9,7 @@ TOK = ["a", "b", "n", "x", "y", "z"]
 
 
 def _theta(model):
-    return {r["row_id"]: list(r["theta"]) for r in model.theta.collect()}
+    return {r["row_id"]: r["theta"] and list(r["theta"]) for r in model.theta.collect()}
 
 
 def _phi(model):
@@ -110,6 +110,23 @@ def test_fold_in_row_and_table_methods_agree(spark, golden):
                                   "row_id bigint, name string, tokens array<string>")
         a = _theta(fold_in(q, m, 3, method="row"))
         b = _theta(fold_in(q, m, 3, method="table"))
-        assert set(a) == set(b) == {10, 11}
-        for key in a:
+        assert set(a) == set(b) == {10, 11, 12} and a[12] is None and b[12] is None
+        for key in (10, 11):
             close(a[key], b[key], 1e-12)
+
+
+def test_fold_in_history_does_not_depend_on_the_method(spark, golden):
+    """States 0..I either way, also where some documents are split."""
+    docs, vocab, bags = golden
+    m = fit_plsa(bags, vocab, 2, 2, 13)
+    row = fold_in(docs, m, 3, compute_loglik=True, method="row").history
+    table = fold_in(docs, m, 3, compute_loglik=True, method="table").history
+    spark.conf.set("topic_tables.documentPartRows", "2")
+    try:
+        split = fold_in(docs, m, 3, compute_loglik=True, method="row").history
+    finally:
+        spark.conf.unset("topic_tables.documentPartRows")
+    assert [h[0] for h in row] == [0, 1, 2, 3]
+    for other in (table, split):
+        assert [(i, s) for i, _, s in row] == [(i, s) for i, _, s in other]
+        close([h[1] for h in row], [h[1] for h in other], 1e-9)

@@ -1,7 +1,10 @@
-"""Physical plan of one EM pass: the bag side is never exchanged."""
+"""Physical plan of one EM pass: the pairs are never exchanged."""
+
+import pytest
 
 from topic_tables import build_vocab, to_bags
-from topic_tables.operators.em import _Step, initial_phi, initial_state, phi_counts, theta_step
+from topic_tables.operators.em import _Step, em_pass, initial_phi, initial_state, next_theta, word_counts
+from topic_tables.session import write_bucketed
 from topic_tables.sources.tables import load_table, tokens_from_text
 
 from conftest import SF001
@@ -11,46 +14,58 @@ def _plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-def test_no_exchange_on_bags_or_theta(spark):
-    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+@pytest.fixture
+def no_auto_broadcast(spark):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10485760")
+
+
+def _corpus(spark):
+    docs = tokens_from_text(load_table(spark, SF001, "documents"), "doc_id", "text")
+    vocab = build_vocab(docs, 15)
+    return vocab, to_bags(docs, vocab)
+
+
+@pytest.mark.parametrize("k,robust", [(4, False), (100, False), (4, True)])
+@pytest.mark.parametrize("limit", [None, "2000"])
+def test_no_exchange_of_pairs(spark, no_auto_broadcast, k, robust, limit):
+    """Also where φ is far larger than the broadcast limit (many word blocks)."""
+    vocab, bags = _corpus(spark)
+    if limit:
+        spark.conf.set("topic_tables.broadcastLimitBytes", limit)
     try:
-        docs = tokens_from_text(load_table(spark, SF001, "documents"), "doc_id", "text")
-        vocab = build_vocab(docs, 15)
-        bags = to_bags(docs, vocab)
-        b, theta, side, hot = initial_state(bags, vocab, initial_phi(vocab, 4), 4, False)
-        step = _Step(4, False, 0, 0, vocab.size, 8)
-        jr = step.with_r(step.join(b, side, theta))
+        step = _Step(k, robust, 0.3 if robust else 0.0, 0.01 if robust else 0.0)
+        blocks, rows, theta, phi, hot = initial_state(bags, initial_phi(vocab, k), vocab, step)
         assert hot is None                   # no huge document at this size
-        tp = _plan(theta_step(step, jr, None, hot))
-        assert "Exchange" not in tp.replace("BroadcastExchange", "")
-        assert "ShuffledHashJoin [row_id" in tp and "Bucketed: true" in tp
-        pp = _plan(phi_counts(step, jr, None))
-        # exactly one exchange: partial word counts to their final aggregate
-        assert pp.replace("BroadcastExchange", "").count("Exchange hashpartitioning(word_id") == 1
-        assert pp.replace("BroadcastExchange", "").count("Exchange") == 1
+        assert (len(blocks) > 1) == bool(limit)
+        for r, b in list(zip(rows, blocks))[:2]:
+            plan = _plan(em_pass(step, r, theta, phi, b, True))
+            assert "Exchange" not in plan and "ShuffledHashJoin [row_id" in plan and "Bucketed: true" in plan
     finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+        spark.conf.unset("topic_tables.broadcastLimitBytes")
 
 
-def test_split_documents_move_only_their_partials(spark):
-    from topic_tables import build_vocab, to_bags
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+def test_m_step_moves_only_word_sums(spark, no_auto_broadcast):
+    vocab, bags = _corpus(spark)
+    step = _Step(4)
+    blocks, rows, theta, phi, hot = initial_state(bags, initial_phi(vocab, 4), vocab, step)
+    passes = [write_bucketed(em_pass(step, rows[0], theta, phi, blocks[0], True), ["row_id", "part"], bags._tt_buckets, "pass", prepartitioned=True)]
+    assert "Exchange" not in _plan(next_theta(step, passes, theta, hot, None))
+    words = _plan(word_counts(step, passes))
+    assert words.count("Exchange") == 1 and "Exchange hashpartitioning(word_id" in words
+
+
+def test_split_documents_move_only_their_sums(spark, no_auto_broadcast):
     spark.conf.set("topic_tables.documentPartRows", "50")
     try:
-        docs = tokens_from_text(load_table(spark, SF001, "documents"), "doc_id", "text")
-        vocab = build_vocab(docs, 15)
-        bags = to_bags(docs, vocab)
-        b, theta, side, hot = initial_state(bags, vocab, initial_phi(vocab, 4), 4, False)
+        vocab, bags = _corpus(spark)
+        step = _Step(4)
+        blocks, rows, theta, phi, hot = initial_state(bags, initial_phi(vocab, 4), vocab, step)
         assert hot is not None
-        step = _Step(4, False, 0, 0, vocab.size, 8)
-        jr = step.with_r(step.join(b, side, theta))
-        ex = _plan(theta_step(step, jr, None, hot)).replace("BroadcastExchange", "")
-        # one exchange: the split documents' partial sums, merged per row_id
-        assert ex.count("Exchange") == 1 and "Exchange hashpartitioning(row_id#" in ex
+        assert "Exchange" not in _plan(em_pass(step, rows[0], theta, phi, blocks[0], True))
     finally:
         spark.conf.unset("topic_tables.documentPartRows")
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10485760")
 
 
 def test_scan_prunes_columns(spark):

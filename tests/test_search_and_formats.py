@@ -71,25 +71,6 @@ def test_preview_and_similarity_lines(spark):
     assert T.format_similarity(hits).first()["value"] == "q\td\t0.5000"
 
 
-def test_similar_docs_with_query_chunks(spark):
-    """Force several broadcast chunks and compare with one chunk."""
-    import random
-    rnd = random.Random(3)
-    d = spark.createDataFrame([(i, f"d{i}", [rnd.random() for _ in range(4)]) for i in range(300)],
-                              "row_id bigint, name string, theta array<double>")
-    q = spark.createDataFrame([(i, f"q{i}", [rnd.random() for _ in range(4)]) for i in range(50)],
-                              "query_id bigint, query_name string, theta array<double>")
-    def rows(df):
-        return sorted((r["query_id"], r["rank"], r["row_id"], round(r["score"], 12)) for r in df.collect())
-    one = rows(similar_docs(d, q, 5))
-    spark.conf.set("topic_tables.broadcastLimitBytes", str(64 * 7))    # 7 queries per chunk
-    try:
-        many = rows(similar_docs(d, q, 5))
-    finally:
-        spark.conf.unset("topic_tables.broadcastLimitBytes")
-    assert one == many and len(one) == 250
-
-
 def test_null_and_zero_vectors_never_rank(spark):
     d = spark.createDataFrame([(1, "a", [1.0, 0.0]), (2, "b", None), (3, "c", [0.0, 0.0])],
                               "row_id bigint, name string, theta array<double>")

@@ -1,8 +1,8 @@
 """Fixed-width vector arithmetic on ``array<double>`` columns.
 
-When the width K is known (topic vectors) the expressions are unrolled into K
-scalar terms, which stay inside whole-stage codegen; the higher-order forms
-(``aggregate``/``zip_with``) are only used when the width is not known.
+When the width K is known and small (up to 32) the expressions are unrolled
+into K scalar terms, which stay inside whole-stage codegen; wider vectors take
+the higher-order forms (``aggregate``/``zip_with``).
 """
 
 from __future__ import annotations
@@ -22,13 +22,9 @@ def k_sum(terms: list[Column]) -> Column:
     return out
 
 
-def k_array(terms: list[Column]) -> Column:
-    return F.array(*terms)
-
-
 def dot(a, b, k: int | None = None) -> Column:
     a, b = _c(a), _c(b)
-    if k is not None:
+    if k is not None and k <= 32:
         return k_sum([a[i] * b[i] for i in range(k)])
     return F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0), lambda s, v: s + v)
 
@@ -43,13 +39,6 @@ def cosine(a, b, k: int | None = None) -> Column:
     return F.when(den > 0, dot(a, b, k) / den)
 
 
-def normalise_array(a, k: int) -> Column:
-    """a / sum(a), or null when the sum is not positive."""
-    a = _c(a)
-    total = k_sum([a[i] for i in range(k)])
-    return F.when(total > 0, F.array(*[a[i] / total for i in range(k)]))
-
-
 def hash_uniform(seed: int, topic, token) -> Column:
     """Deterministic uniform value in (0, 1) for a (seed, topic, token) cell.
 

@@ -2,49 +2,59 @@
 
 State between iterations lives in tables, never in driver matrices:
 
-  bags   (row_id, part, word_id, n[, u])  bucketed by (row_id, part)
-         (u: unnormalised noise; part > 0 only for the few huge documents)
-  theta  (row_id, part, theta[K][, nu_sum])  one row per (document, part)
-  phi    (word_id, phi[K][, bg])        one row per vocabulary word
+  document rows  (row_id, part, words, ns[, us])   one list a document and part,
+                 cut by word blocks, bucketed by (row_id, part)
+                 (us: unnormalised noise; part > 0 only for huge documents)
+  theta          (row_id, part, theta[K], nu_sum)  bucketed in the same way
+  phi            (word_id, phi[K], bg)             one row per vocabulary word
+
+A word block is a range of word ids whose K-wide φ rows fit the broadcast
+limit; a small vocabulary is one block.  One iteration makes, for each block,
+one pass over the document rows joined with θ (co-located, so neither the
+pairs nor θ move) and the block's φ (broadcast).  The pass computes from the
+*previous* state only, in numpy over Arrow batches whose width is K:
 
-One iteration computes, from the *previous* state only:
-
-  j = bags ⋈ phi (broadcast, size-checked) ⋈ theta (shuffled hash, θ side moves)
   z = Σ_t φ_tw θ_dt   [robust: (z + γβ_w + εν_dw) / (1 + γ + ε)],  r = n / z
-  θ' ∝ θ_dt Σ_w r φ_tw          groupBy(row_id, part): no exchange (bucketed);
-                               huge documents' parts are merged in a tiny
-                               side aggregate and θ' copied back to each part
-  φ' ∝ φ_tw Σ_d r θ_dt          groupBy(word_id): partial agg + small exchange
-  β' ∝ β_w Σ_d r γ              (robust)
-  ν' ∝ ε ν_dw r                 (robust, rewrites the bag table)
-
-Every new table is cut from its lineage by a reliable checkpoint (or a bucketed
-table) in the shared checkpoint folder.  The driver only sees K topic totals,
-the background total and one log-likelihood number per iteration.
+  S_dt = θ_dt Σ_w r φ_tw     one row a document and part: θ' ∝ S
+  C_tw = φ_tw Σ_d r θ_dt     one row a word and task: φ' ∝ C after a merge
+  ν'_dw ∝ ε ν_dw r           (robust) written with the document's row
+
+and writes both kinds of rows as one bucketed table.  Only word rows (and the
+partial sums of huge documents, or of several blocks) are shuffled.  The cost
+of a plan does not depend on K: there is no column per topic.
+
+The driver sees one φ block at a time (bounded by the broadcast limit), K topic
+totals per task and one log-likelihood number per iteration.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
-
 import uuid
+from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, Observation
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from topic_tables.functions.vectors import hash_uniform, k_array, k_sum
-from topic_tables.operators.joins import broadcast_limit, hot_keys, lookup_join
+from topic_tables.functions.vectors import hash_uniform
+from topic_tables.operators.joins import broadcast_limit
 from topic_tables.operators.priors import Prior, is_active
-from topic_tables.operators.vocab import Vocabulary
+from topic_tables.operators.vocab import Vocabulary, buckets_of
 from topic_tables.session import cut_lineage, release, write_bucketed
 
+#: Pairs whose K-wide products a task holds at once.
+PAIRS_AT_ONCE = 20_000
+
+PASS_SCHEMA = "row_id bigint, part int, word_id int, vec array<double>, words array<int>, ns array<double>, us array<double>"
+
 
 @dataclass
 class TopicModel:
     k: int
     vocab: Vocabulary
     phi: DataFrame                      # word_id, phi array<double>
-    theta: DataFrame                    # row_id, theta array<double>
+    theta: DataFrame                    # row_id, theta array<double> (null: no known word)
     history: list = field(default_factory=list)   # (iteration, loglik, skipped)
     background: DataFrame | None = None  # word_id, p
     noise: DataFrame | None = None       # row_id, word_id, p
@@ -52,377 +62,500 @@ class TopicModel:
     eps: float = 0.0
     theta_prior: Prior | None = None
     phi_prior: Prior | None = None
-    #: intermediate tables this model's DataFrames read (released by callers
-    #: that throw the model away, e.g. one streaming micro-batch)
+    #: intermediate tables this model's DataFrames read; :meth:`release` drops them
     scratch: list = field(default_factory=list)
 
     @property
     def robust(self) -> bool:
         return self.background is not None
 
-
+    def release(self) -> None:
+        """Delete the tables behind this model (not its bags or vocabulary)."""
+        for table in self.scratch:
+            release(table)
+        self.scratch = []
+
+
+def with_all_documents(theta: DataFrame, docs: DataFrame | None) -> DataFrame:
+    """Documents without a known word keep a row, with θ null."""
+    if docs is None:
+        return theta
+    return docs.select("row_id").distinct().join(theta, "row_id", "left")
+
+
+# ------------------------------------------------------------------ vector sums
+def _rows(col: pa.Array, width: int) -> np.ndarray:
+    """Equal-length list column → matrix."""
+    return col.flatten().to_numpy(zero_copy_only=False).reshape(-1, width)
+
+
+def _lists(m: np.ndarray) -> pa.Array:
+    n, width = m.shape
+    return pa.ListArray.from_arrays(pa.array(np.arange(n + 1, dtype=np.int32) * width), pa.array(np.ascontiguousarray(m).ravel()))
+
+
+def sum_vectors(df: DataFrame, keys: list[str], width: int) -> DataFrame:
+    """``(keys..., vec)`` summed over rows of equal keys: one shuffle and sort,
+    then runs are added up in numpy (a run's sum is all that is carried on)."""
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in df.select(*keys).schema) + ", vec array<double>"
+
+    def run(batches):
+        held_key, held = None, None
+        for b in batches:
+            if not b.num_rows:
+                continue
+            cols = [c.to_numpy(zero_copy_only=False) for c in b.columns[:-1]]
+            m = _rows(b.column(len(keys)), width)
+            new = np.zeros(len(m), bool)
+            new[0] = True
+            for c in cols:
+                new[1:] |= c[1:] != c[:-1]
+            at = np.flatnonzero(new)
+            sums = np.add.reduceat(m, at, axis=0)
+            got = [c[at] for c in cols]
+            first = tuple(c[0] for c in got)
+            if held_key == first:
+                sums[0] += held
+            elif held_key is not None:
+                got = [np.r_[np.array([h], c.dtype), c] for h, c in zip(held_key, got)]
+                sums = np.vstack([held, sums])
+            held_key, held = tuple(c[-1] for c in got), sums[-1]
+            if len(sums) > 1:
+                yield pa.RecordBatch.from_arrays([*(pa.array(c[:-1]) for c in got), _lists(sums[:-1])], [*keys, "vec"])
+        if held_key is not None:
+            yield pa.RecordBatch.from_arrays([*(pa.array([h]) for h in held_key), _lists(held[None, :])], [*keys, "vec"])
+
+    return df.select(*keys, "vec").repartition(*keys).sortWithinPartitions(*keys).select(*keys, "vec").mapInArrow(run, schema)
+
+
+def column_totals(df: DataFrame, width: int) -> np.ndarray:
+    """Sum of the ``vec`` column: one partial vector per task reaches the driver."""
+    def run(batches):
+        total = np.zeros(width)
+        for b in batches:
+            if b.num_rows:
+                total += _rows(b.column(0), width).sum(axis=0)
+        yield pa.RecordBatch.from_arrays([_lists(total[None, :])], ["vec"])
+    parts = df.select("vec").mapInArrow(run, "vec array<double>").collect()
+    return np.sum([r["vec"] for r in parts], axis=0) if parts else np.zeros(width)
+
+
+# --------------------------------------------------------------- φ and documents
 def initial_phi(vocab: Vocabulary, k: int, seed: int = 13) -> DataFrame:
-    """u(seed, t, token) per cell, rows of each topic normalised to 1.
-
-    The K·V hashes are computed once: the unnormalised cells are written and
-    their K topic totals observed in the same job."""
-    u = vocab.table.select("word_id", *[hash_uniform(seed, F.lit(t), F.col("token")).alias(f"c{t}") for t in range(k)])
-    cells, tot = _write_observed(u, {f"t{t}": F.col(f"c{t}") for t in range(k)}, "phi0")
-    return cells.select("word_id", _phi_expr(k, [(tot.get(f"t{t}") or 0.0) for t in range(k)]).alias("phi"))
-
-
-def _phi_arr(t: int) -> Column:
-    return F.col("phi")[t]
-
-
-def _theta_arr(t: int) -> Column:
-    return F.col("theta")[t]
-
-
-class _Step:
-    """Expressions and joins of one EM configuration."""
-
-    def __init__(self, k, robust, gamma, eps, vocab_size, partitions):
-        self.k, self.robust, self.gamma, self.eps = k, robust, float(gamma), float(eps)
-        self.v = vocab_size
-        self.p = partitions
-        self._cols: dict = {}
-
-    def cols(self, key, build):
-        """Column expressions are independent of the iteration's tables, so
-        they are built once per fit (saves planning time every iteration)."""
-        if key not in self._cols:
-            self._cols[key] = build()
-        return self._cols[key]
-
-    # --- joins -------------------------------------------------------------
-    def join(self, bags: DataFrame, phi_side: DataFrame, theta: DataFrame) -> DataFrame:
-        spark = bags.sparkSession
-        # φ side: V rows of K doubles (+ background); its size is known exactly.
-        side_bytes = self.v * (8 * self.k + 64)
-        if side_bytes <= broadcast_limit(spark):
-            j = bags.join(F.broadcast(phi_side), "word_id")
-        else:
-            # Too large to broadcast: shuffle on word_id.  Frequent words would
-            # make one task hold most rows, so the bag side is salted by
-            # document and only hot words' φ rows are replicated.
-            weights = bags.groupBy("word_id").agg(F.count(F.lit(1)).alias("w"))
-            hot = hot_keys(weights, "word_id", "w", self.p)
-            j = lookup_join(bags, phi_side, "word_id", side_bytes, spread_col="row_id", hot=hot)
-        # θ side: one row per document; it is the side that moves, into the
-        # bags' own bucketing, and is the hash-table side of the join.
-        return j.join(theta.hint("shuffle_hash"), ["row_id", "part"])
-
-    # --- per-pair expressions ------------------------------------------------
-    def nu(self) -> Column:
-        return F.when(F.col("nu_sum") > 0, F.col("u") / F.col("nu_sum")).otherwise(F.lit(0.0))
-
-    def z(self) -> Column:
-        mix = k_sum([_phi_arr(t) * _theta_arr(t) for t in range(self.k)])
-        if not self.robust:
-            return mix
-        return (mix + F.lit(self.gamma) * F.col("bg") + F.lit(self.eps) * self.nu()) / F.lit(1.0 + self.gamma + self.eps)
-
-    def with_r(self, j: DataFrame) -> DataFrame:
-        def build():
-            cols = [F.col("row_id"), F.col("part"), F.col("word_id"), F.col("n"), F.col("phi"), F.col("theta"),
-                    self.z().alias("z")]
-            if self.robust:
-                cols += [F.col("bg"), self.nu().alias("nu")]
-            names = ["row_id", "part", "word_id", "n", "phi", "theta", "z"] + (["bg", "nu"] if self.robust else [])
-            r = F.when(F.col("z") > 0, F.col("n") / F.col("z")).otherwise(F.lit(0.0)).alias("r")
-            return cols, [F.col(c) for c in names] + [r]
-        first, second = self.cols("with_r", build)
-        return j.select(*first).select(*second)
-
-    def loglik_terms(self):
-        return self.cols("loglik", lambda: [
-            F.sum(F.when(F.col("z") > 0, F.col("n") * F.log(F.col("z")))).alias("ll"),
-            F.sum(F.when(~(F.col("z") > 0) | F.col("z").isNull(), F.lit(1)).otherwise(F.lit(0))).alias("skipped")])
-
-
-def _normalise_theta(k: int, prior: Prior | None) -> Column:
-    s = [F.col(f"s{t}") for t in range(k)]
-    if is_active(prior):
-        s = [F.greatest(prior.adjust(s[t], F.col(f"o{t}")), F.lit(0.0)) for t in range(k)]
-        total = k_sum(s)
-        old = k_array([F.col(f"o{t}") for t in range(k)])
-        return F.when(total > 0, k_array([x / total for x in s])).otherwise(old)
-    total = k_sum(s)
-    return F.when(total > 0, k_array([x / total for x in s]))
-
-
-def per_document(partial: DataFrame, hot: DataFrame, sums: list[str], maxes: list[str],
-                 finish: list[Column], once: tuple[str, ...] = ()) -> DataFrame:
-    """Finish per-(document, part) partial aggregates into per-document values
-    and give every part of the document its own copy.
-
-    ``partial`` has one row per (row_id, part) and is partitioned like the
-    bags.  Ordinary documents have only part 0, so their row is final where
-    it is (no exchange).  Only the huge documents of ``hot`` (row_id, np),
-    at most P of them, are merged by a small aggregate and expanded back to
-    parts 0..np-1.  Columns named in ``once`` (document totals such as the
-    log-likelihood) are kept on part 0 only, so sums over the table count
-    each document once.
-    """
-    if hot is None:
-        # No document is split: every (row_id, 0) row is already final.
-        return partial.select("row_id", "part", *finish)
-    hb = F.broadcast(hot.select("row_id"))
-    cold = partial.join(hb, "row_id", "left_anti").select("row_id", "part", *finish)
-    merged = (partial.join(hb, "row_id", "left_semi").groupBy("row_id")
-              .agg(*[F.sum(c).alias(c) for c in sums], *[F.max(c).alias(c) for c in maxes])
-              .join(F.broadcast(hot), "row_id")
-              .withColumn("part", F.explode(F.sequence(F.lit(0), F.col("np") - 1))))
-    warm = merged.select("row_id", "part", *finish)
-    if once:
-        warm = warm.select(*[F.when(F.col("part") == 0, F.col(c)).otherwise(F.lit(0)).alias(c) if c in once
-                             else F.col(c) for c in warm.columns])
-    return cold.unionByName(warm)
+    """u(seed, t, token) per cell, rows of each topic normalised to 1."""
+    topics = F.sequence(F.lit(0), F.lit(k - 1))
+    u = cut_lineage(vocab.table.select("word_id", F.transform(topics, lambda t: hash_uniform(seed, t, F.col("token"))).alias("vec")), "phi0")
+    out = _over(u, column_totals(u, k)).select("word_id", F.col("vec").alias("phi"))
+    out._tt_source = u
+    return out
+
+
+def _over(counts: DataFrame, totals: np.ndarray) -> DataFrame:
+    """Each topic's counts over its total; a topic without mass stays 0."""
+    by = F.lit([float(1.0 if t > 0 else 0.0) for t in totals]), F.lit([float(t if t > 0 else 1.0) for t in totals])
+    return counts.withColumn("vec", F.zip_with(F.zip_with("vec", by[1], lambda c, t: c / t), by[0], lambda c, on: c * on))
+
+
+def word_blocks(spark, vocab_size: int, k: int) -> list[tuple[int, int]]:
+    """Ranges of word ids whose φ and count rows fit the broadcast limit."""
+    words = max(1, broadcast_limit(spark) // (8 * (k + 2)))
+    return [(a, min(vocab_size, a + words)) for a in range(0, max(vocab_size, 1), words)]
+
+
+def document_rows(bags: DataFrame, blocks: list[tuple[int, int]], robust: bool = False) -> list[DataFrame]:
+    """The bags as lists, one table a word block.  Lists are bounded: huge
+    documents come in parts.  The bags' bucketing makes this a local step."""
+    out = []
+    for low, high in blocks:
+        some = bags.where(F.col("word_id").between(low, high - 1)) if len(blocks) > 1 else bags
+        lists = some.groupBy("row_id", "part").agg(F.array_sort(F.collect_list(F.struct("word_id", "n"))).alias("ws"))
+        cols = ["row_id", "part", F.col("ws.word_id").alias("words"), F.col("ws.n").alias("ns")]
+        if robust:
+            cols.append(F.transform("ws", lambda w: F.lit(1.0)).alias("us"))
+        out.append(write_bucketed(lists.select(*cols), ["row_id", "part"], buckets_of(bags), "docrows", prepartitioned=True))
+    return out
 
 
 def hot_documents(bags: DataFrame) -> DataFrame | None:
-    """(row_id, np) of documents split over several parts (at most P rows),
-    or None when no document is split (the common case)."""
-    hot = cut_lineage(bags.where(F.col("part") > 0).groupBy("row_id")
-                      .agg((F.max("part") + 1).alias("np")), "hotdocs")
-    return hot if hot.count() > 0 else None
-
-
-def theta_step(step: _Step, jr: DataFrame, prior: Prior | None, hot: DataFrame) -> DataFrame:
-    """C5/R7 (+R6 normaliser, C11 terms): new θ per document (and part)."""
-    k = step.k
-
-    def build():
-        aggs = [F.sum(F.col("r") * _phi_arr(t) * _theta_arr(t)).alias(f"s{t}") for t in range(k)]
-        aggs += step.loglik_terms()
-        sums = [f"s{t}" for t in range(k)] + ["ll", "skipped"]
-        if step.robust:
-            aggs.append(F.sum(F.lit(step.eps) * F.col("nu") * F.col("r")).alias("nu_sum"))
-            sums.append("nu_sum")
-        maxes = []
-        if is_active(prior):
-            aggs += [F.max(_theta_arr(t)).alias(f"o{t}") for t in range(k)]
-            maxes = [f"o{t}" for t in range(k)]
-        cols = [_normalise_theta(k, prior).alias("theta"), F.col("ll"), F.col("skipped")]
-        if step.robust:
-            cols.append(F.col("nu_sum"))
-        return aggs, sums, maxes, cols
-    aggs, sums, maxes, cols = step.cols(("theta", id(prior)), build)
-    g = jr.groupBy("row_id", "part").agg(*aggs)
-    return per_document(g, hot, sums, maxes, cols, once=("ll", "skipped"))
-
-
-def phi_counts(step: _Step, jr: DataFrame, prior: Prior | None, with_topics: bool = True) -> DataFrame:
-    """Expected counts per word (K topic sums [+ background])."""
-    k = step.k
-
-    def build():
-        aggs = []
-        if with_topics:
-            aggs += [F.sum(F.col("r") * _theta_arr(t) * _phi_arr(t)).alias(f"c{t}") for t in range(k)]
-            if is_active(prior):
-                aggs += [F.max(_phi_arr(t)).alias(f"o{t}") for t in range(k)]
-        if step.robust:
-            aggs.append(F.sum(F.col("r") * F.lit(step.gamma) * F.col("bg")).alias("b"))
-        return aggs
-    return jr.groupBy("word_id").agg(*step.cols(("phi", id(prior), with_topics), build))
+    """(row_id, np) of documents split over several parts, or None."""
+    if not getattr(bags, "_tt_split", True):
+        return None
+    hot = cut_lineage(bags.where(F.col("part") > 0).groupBy("row_id").agg((F.max("part") + 1).alias("np")), "hotdocs")
+    if hot.isEmpty():
+        release(hot)
+        return None
+    return hot
+
+
+def phi_block(phi: DataFrame, low: int, high: int, k: int, robust: bool) -> tuple[np.ndarray, np.ndarray]:
+    """φ rows (and β) of one word block as arrays; words without a row are 0."""
+    rows = phi.where(F.col("word_id").between(low, high - 1)).select("word_id", "phi", *(["bg"] if robust else [])).toArrow().combine_chunks()
+    m, bg = np.zeros((high - low, k)), np.zeros(high - low)
+    if rows.num_rows:
+        at = rows["word_id"].to_numpy() - low
+        m[at] = _rows(rows["phi"].combine_chunks(), k)
+        if robust:
+            bg[at] = rows["bg"].to_numpy()
+    return m, bg
 
 
-def _write_observed(df: DataFrame, sums: dict, label: str) -> tuple[DataFrame, dict]:
-    """Materialise ``df`` and, in the same job, sum the given columns
-    (``DataFrame.observe``), so totals cost no extra pass."""
-    obs = Observation(f"{label}-{uuid.uuid4().hex[:8]}")
-    out = cut_lineage(df.observe(obs, *[F.sum(c).alias(name) for name, c in sums.items()]), label)
-    return out, obs.get
+# ----------------------------------------------------------------------- kernel
+@dataclass
+class _Step:
+    """One EM configuration; methods run inside tasks."""
 
+    k: int
+    robust: bool = False
+    gamma: float = 0.0
+    eps: float = 0.0
 
-def _adjusted_counts(counts: DataFrame, k: int, prior: Prior | None, vocab: Vocabulary) -> DataFrame:
-    """E3 + E5: apply the φ prior to every vocabulary cell, then cut at 0."""
+    @property
+    def width(self) -> int:
+        return self.k + 3            # topics, log-likelihood, skipped pairs, noise normaliser
+
+    def flat(self, b: pa.RecordBatch, low: int):
+        """Pairs of a batch of document rows, as flat arrays."""
+        words = b.column(2)
+        sizes = words.value_lengths().to_numpy(zero_copy_only=False)
+        theta = b.column(4)
+        t = np.full((b.num_rows, self.k), np.nan)      # a null θ has no mixture
+        ok = theta.is_valid().to_numpy(zero_copy_only=False)
+        if ok.any():
+            t[ok] = _rows(theta.filter(theta.is_valid()), self.k)
+        doc = np.repeat(np.arange(b.num_rows), sizes)
+        w = words.flatten().to_numpy() - low
+        n = b.column(3).flatten().to_numpy(zero_copy_only=False)
+        nu = np.zeros(len(w))
+        if self.robust:
+            total = b.column(6).to_numpy(zero_copy_only=False).astype(float)[doc]
+            us = b.column(5).flatten().to_numpy(zero_copy_only=False)
+            nu = np.where(total > 0, us / np.where(total > 0, total, 1.0), 0.0)
+        return sizes, t, doc, w, n, nu
+
+    def mixture(self, f, t, bg, nu):
+        z = np.einsum("ij,ij->i", f, t)
+        return (z + self.gamma * bg + self.eps * nu) / (1.0 + self.gamma + self.eps) if self.robust else z
+
+    def batch(self, b: pa.RecordBatch, low: int, phi: np.ndarray, bg: np.ndarray, counts: np.ndarray | None):
+        """Document sums and new noise of one batch; adds into ``counts``."""
+        sizes, t, doc, w, n, nu = self.flat(b, low)
+        sums = np.zeros((b.num_rows, self.width))
+        fresh = np.zeros(len(w))
+        for a in range(0, len(w), PAIRS_AT_ONCE):
+            s = slice(a, a + PAIRS_AT_ONCE)
+            f, td, d = phi[w[s]], t[doc[s]], doc[s]
+            z = self.mixture(f, td, bg[w[s]], nu[s])
+            good = z > 0
+            r = np.where(good, n[s] / np.where(good, z, 1.0), 0.0)
+            td = np.where(good[:, None], td, 0.0)
+            starts = np.flatnonzero(np.r_[True, d[1:] != d[:-1]])
+            at = d[starts]
+            fresh[s] = self.eps * nu[s] * r
+            sums[at, :self.k] += np.add.reduceat(r[:, None] * f * td, starts, axis=0)
+            sums[at, self.k] += np.add.reduceat(np.where(good, n[s] * np.log(np.where(good, z, 1.0)), 0.0), starts)
+            sums[at, self.k + 1] += np.add.reduceat((~good).astype(float), starts)
+            sums[at, self.k + 2] += np.add.reduceat(fresh[s], starts)
+            if counts is not None:
+                order = np.argsort(w[s], kind="stable")
+                ws = w[s][order]
+                ends = np.flatnonzero(np.r_[True, ws[1:] != ws[:-1]])
+                counts[ws[ends], :self.k] += np.add.reduceat((r[:, None] * td)[order], ends, axis=0)
+                counts[ws[ends], self.k] += np.add.reduceat((r * self.gamma * bg[w[s]])[order], ends)
+                counts[ws[ends], self.k + 1] += 1.0
+        return sums, fresh, sizes
+
+
+def _joined(rows: DataFrame, theta: DataFrame, robust: bool) -> DataFrame:
+    """Document rows beside their θ; both are bucketed by (row_id, part)."""
+    cols = ["row_id", "part", "words", "ns", "theta", *(["us", "nu_sum"] if robust else [])]
+    return rows.join(theta.hint("shuffle_hash"), ["row_id", "part"]).select(*cols)
+
+
+def em_pass(step: _Step, rows: DataFrame, theta: DataFrame, phi: DataFrame, block: tuple[int, int], want_words: bool) -> DataFrame:
+    """Document and word rows of one word block (see the module's head).  A
+    word row carries the key of a document of its task, so that a task's rows
+    stay in one bucket."""
+    low, high = block
+    spark = rows.sparkSession
+    shared = spark.sparkContext.broadcast(phi_block(phi, low, high, step.k, step.robust))
+
+    def run(batches):
+        m, bg = shared.value
+        counts = np.zeros((len(m), step.k + 2)) if want_words else None
+        last = None
+        for batch in batches:
+            for b in (batch.slice(i, 2000) for i in range(0, batch.num_rows, 2000)):
+                sums, fresh, sizes = step.batch(b, low, m, bg, counts)
+                last = b.column(0)[-1].as_py(), b.column(1)[-1].as_py()
+                none = pa.nulls(b.num_rows, pa.list_(pa.float64()))
+                kept = [none.cast(pa.list_(pa.int32())), none, none]
+                if step.robust:
+                    offsets = pa.array(np.r_[0, np.cumsum(sizes)].astype(np.int32))
+                    kept = [b.column(2), b.column(3), pa.ListArray.from_arrays(offsets, pa.array(fresh))]
+                yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.nulls(b.num_rows, pa.int32()), _lists(sums), *kept],
+                                                 ["row_id", "part", "word_id", "vec", "words", "ns", "us"])
+        if counts is not None and last is not None:
+            used = np.flatnonzero(counts[:, step.k + 1])
+            for i in range(0, len(used), 5000):
+                at = used[i:i + 5000]
+                vec = np.c_[counts[at, :step.k] * m[at], counts[at, step.k]]
+                none = pa.nulls(len(at), pa.list_(pa.float64()))
+                yield pa.RecordBatch.from_arrays([pa.array([last[0]] * len(at), pa.int64()), pa.array([last[1]] * len(at), pa.int32()),
+                                                  pa.array((at + low).astype(np.int32)), _lists(vec), none.cast(pa.list_(pa.int32())), none, none],
+                                                 ["row_id", "part", "word_id", "vec", "words", "ns", "us"])
+
+    return _joined(rows, theta, step.robust).mapInArrow(run, PASS_SCHEMA)
+
+
+def pair_view(step: _Step, rows: list[DataFrame], theta: DataFrame, phi: DataFrame, blocks: list[tuple[int, int]]) -> DataFrame:
+    """Every pair of a state: (row_id, part, word_id, n, z, r, c[K], nu)."""
+    out = None
+    for (low, high), table in zip(blocks, rows):
+        shared = table.sparkSession.sparkContext.broadcast(phi_block(phi, low, high, step.k, step.robust))
+
+        def run(batches, shared=shared, low=low):
+            m, bg = shared.value
+            for batch in batches:
+                for b in (batch.slice(i, 100) for i in range(0, batch.num_rows, 100)):
+                    _, t, doc, w, n, nu = step.flat(b, low)
+                    for a in range(0, len(w), PAIRS_AT_ONCE):
+                        s = slice(a, a + PAIRS_AT_ONCE)
+                        f, td = m[w[s]], t[doc[s]]
+                        z = step.mixture(f, td, bg[w[s]], nu[s])
+                        good = z > 0
+                        r = np.where(good, n[s] / np.where(good, z, 1.0), 0.0)
+                        c = np.where(good[:, None], r[:, None] * f * td, 0.0)
+                        yield pa.RecordBatch.from_arrays(
+                            [b.column(0).take(pa.array(doc[s])), b.column(1).take(pa.array(doc[s])), pa.array((w[s] + low).astype(np.int32)),
+                             pa.array(n[s]), pa.array(z, from_pandas=True), pa.array(r), _lists(c), pa.array(nu[s])],
+                            ["row_id", "part", "word_id", "n", "z", "r", "c", "nu"])
+
+        part = _joined(table, theta, step.robust).mapInArrow(
+            run, "row_id bigint, part int, word_id int, n double, z double, r double, c array<double>, nu double")
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+# ----------------------------------------------------------------------- M-step
+def _slice(col: str, k: int):
+    return F.slice(col, 1, k)
+
+
+def _adjusted(counts, old, prior: Prior | None):
+    """E2/E3 + E5: the prior on every cell, then the positive cut."""
     if not is_active(prior):
         return counts
-    c = counts
-    extra = ["b"] if "b" in counts.columns else []
-    if prior.adds_mass:
-        c = vocab.table.select("word_id").join(counts, "word_id", "left").na.fill(0.0)
-    return c.select("word_id", *[F.greatest(prior.adjust(F.col(f"c{t}"), F.col(f"o{t}")), F.lit(0.0)).alias(f"c{t}")
-                                 for t in range(k)], *extra)
-
-
-def normalise_phi(counts: DataFrame, k: int, prior: Prior | None, vocab: Vocabulary) -> DataFrame:
-    """C7 (+E3): cut, normalise per topic; a topic with no mass stays 0."""
-    c = _adjusted_counts(counts, k, prior, vocab)
-    tot = c.agg(*[F.sum(f"c{t}").alias(f"t{t}") for t in range(k)]).first()
-    tot = [(tot[f"t{t}"] or 0.0) for t in range(k)]
-    return c.select("word_id", _phi_expr(k, tot).alias("phi"))
-
-
-def _phi_expr(k: int, tot: list) -> Column:
-    return k_array([(F.col(f"c{t}") / F.lit(tot[t])) if tot[t] > 0 else F.lit(0.0) for t in range(k)])
-
+    return F.zip_with(counts, old, lambda c, o: F.greatest(prior.adjust(c, o), F.lit(0.0)))
+
+
+def _document_sums(step: _Step, passes: list[DataFrame], hot: DataFrame | None) -> DataFrame:
+    """(row_id, part, vec): each document's sums over blocks and parts, on
+    every part; log-likelihood terms on part 0 only."""
+    docs = [p.where("word_id is null").select("row_id", "part", "vec") for p in passes]
+    one = docs[0]
+    if len(docs) > 1:
+        for d in docs[1:]:
+            one = one.unionByName(d)
+        one = sum_vectors(one, ["row_id", "part"], step.width)
+    if hot is None:
+        return one
+    cold = one.join(hot.select("row_id"), "row_id", "left_anti")
+    merged = sum_vectors(one.join(hot.select("row_id"), "row_id", "left_semi"), ["row_id"], step.width).join(hot, "row_id")
+    warm = merged.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("np") - 1)))
+    # a document counts once in the log-likelihood
+    once = F.transform("vec", lambda x, i: F.when((i >= step.k) & (i < step.k + 2) & (F.col("part") > 0), F.lit(0.0)).otherwise(x))
+    return cold.select("row_id", "part", "vec").unionByName(warm.select("row_id", F.col("part").cast("int"), once.alias("vec")))
+
+
+def next_theta(step: _Step, passes: list[DataFrame], theta: DataFrame, hot: DataFrame | None, prior: Prior | None) -> DataFrame:
+    """(row_id, part, theta, nu_sum, ll, skipped)."""
+    sums = _document_sums(step, passes, hot)
+    s = _slice("vec", step.k)
+    if is_active(prior):
+        sums = sums.join(theta.select("row_id", "part", F.col("theta").alias("old")), ["row_id", "part"])
+        s = _adjusted(s, F.col("old"), prior)
+    sums = sums.withColumn("s", s)
+    total = F.aggregate("s", F.lit(0.0), lambda a, x: a + x)
+    new = F.when(F.col("total") > 0, F.transform("s", lambda x: x / F.col("total")))
+    if is_active(prior):
+        new = new.otherwise(F.col("old"))
+    vec = F.col("vec")
+    return sums.withColumn("total", total).select("row_id", "part", new.alias("theta"), vec[step.k + 2].alias("nu_sum"),
+                                                  vec[step.k].alias("ll"), vec[step.k + 1].alias("skipped"))
 
-def _bg_expr(tot_b: float, gamma: float) -> Column:
-    """β ∝ background counts; all 0 when the total is 0 or γ = 0."""
-    return (F.col("b") / F.lit(tot_b)) if (tot_b > 0 and gamma != 0) else F.lit(0.0)
 
+def word_counts(step: _Step, passes: list[DataFrame]) -> DataFrame:
+    """(word_id, vec): K expected counts and the background's."""
+    parts = [p.where("word_id is not null").select("word_id", "vec") for p in passes]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return sum_vectors(out, ["word_id"], step.k + 1)
 
-def next_phi_side(counts: DataFrame, totals: dict, phi_side: DataFrame, k: int, prior: Prior | None,
-                  vocab: Vocabulary, robust: bool, gamma: float, freeze_phi: bool,
-                  freeze_background: bool) -> DataFrame:
-    """The broadcast side of the next iteration: (word_id, phi[, bg]).
 
-    A projection of the materialised counts with the K (+1) totals as
-    literals, so no further job writes it; a frozen part comes from the
-    previous side.  ``totals`` (t0..t{K-1}, tb) were observed while the
-    counts were written.
-    """
+def next_phi(step: _Step, passes: list[DataFrame], phi: DataFrame, prior: Prior | None, vocab: Vocabulary,
+             freeze_phi: bool, freeze_background: bool) -> DataFrame:
+    """C7/R9 (+E3): the next (word_id, phi[, bg]), written."""
+    k = step.k
+    raw = cut_lineage(word_counts(step, passes), "counts")
+    totals = column_totals(raw, k + 1)
+    bg_total = float(totals[k])
+    bg = (F.element_at("vec", k + 1) / bg_total) if bg_total > 0 and step.gamma != 0 else F.lit(0.0)
+    drop = [raw]
     if freeze_phi:
-        # Only the background moves (robust fold-in); words absent from the
-        # folded documents get β = 0.
-        bg = counts.select("word_id", _bg_expr(totals.get("tb") or 0.0, gamma).alias("bg"))
-        return cut_lineage(phi_side.select("word_id", "phi").join(bg, "word_id", "left")
-                           .na.fill(0.0, ["bg"]), "phi")
-    c = _adjusted_counts(counts, k, prior, vocab)
-    row = totals
-    if c is not counts:
-        c, row = _write_observed(c, {f"t{t}": F.col(f"c{t}") for t in range(k)}, "counts")
-        row = dict(row, tb=totals.get("tb"))
-    want_b = robust and not freeze_background
-    tot = [(row[f"t{t}"] or 0.0) for t in range(k)]
-    cols = [F.col("word_id"), _phi_expr(k, tot).alias("phi")]
-    if want_b:
-        cols.append(_bg_expr(row["tb"] or 0.0, gamma).alias("bg"))
-    side = c.select(*cols)
-    if robust and freeze_background:
-        side = cut_lineage(side.join(phi_side.select("word_id", "bg"), "word_id"), "phi")
-        release(c)
-        if c is not counts:
-            release(counts)
-        return side
-    side._tt_source = c
-    if c is not counts:
-        release(counts)
-    return side
-
-
-def normalise_background(counts: DataFrame, gamma: float) -> DataFrame:
-    tot = counts.agg(F.sum("b").alias("t")).first()["t"] or 0.0
-    return counts.select("word_id", _bg_expr(tot, gamma).alias("bg"))
-
-
-def initial_state(bags: DataFrame, vocab: Vocabulary, phi0: DataFrame, k: int, robust: bool,
-                  background0: DataFrame | None = None, hot: DataFrame | None = None):
-    """(bags, theta, phi_side) of state 0: θ = 1/K (C2); robust adds ν = 1/Σn
-    on each distinct word (R1, as u = 1 with normaliser Σn) and β = 1/V (R2)."""
-    if robust and "u" not in bags.columns:
-        bags = bags.select("row_id", "part", "word_id", "n", F.lit(1.0).alias("u"))
-    if hot is None:
-        hot = hot_documents(bags)
-    init = bags.groupBy("row_id", "part").agg(F.sum("n").alias("nd"))
-    theta = per_document(init, hot, ["nd"], [],
-                         [F.array_repeat(F.lit(1.0 / k), k).alias("theta"),
-                          *([F.col("nd").alias("nu_sum")] if robust else [])])
-    theta = write_theta(theta, bags)
-    if robust:
-        bg = background0
-        if bg is None:
-            bg = vocab.table.select("word_id", F.lit(1.0 / max(vocab.size, 1)).alias("bg"))
-        phi_side = phi0.join(bg, "word_id")
+        # Only the background moves (robust fold-in); words absent from the folded documents get β = 0.
+        out = phi.select("word_id", "phi").join(raw.select("word_id", bg.alias("bg")), "word_id", "left").na.fill(0.0, ["bg"])
     else:
-        phi_side = phi0
-    return bags, theta, cut_lineage(phi_side, "phi"), hot
-
-
-def _buckets(bags: DataFrame) -> int:
-    spec = bags.sparkSession.conf.get("spark.sql.shuffle.partitions")
-    try:
-        rel = bags._jdf.queryExecution().analyzed()
-        nb = rel.collectLeaves().head().relation().bucketSpec().get().numBuckets()
-        return int(nb)
-    except Exception:  # not a bucketed scan
-        return int(spec)
-
-
-def write_theta(theta: DataFrame, bags: DataFrame) -> DataFrame:
-    """θ is written bucketed exactly like the bags (same key, same count), so
-    the next bags ⋈ θ join and the per-document aggregate need no exchange;
-    θ rows produced from the bags already sit in the right partition."""
-    return write_bucketed(theta, ["row_id", "part"], _buckets(bags), "theta", prepartitioned=True)
+        counts = raw.select("word_id", _slice("vec", k).alias("vec"), bg.alias("bg"))
+        if is_active(prior):
+            every = vocab.table.select("word_id").join(counts, "word_id", "left") if prior.adds_mass else counts
+            every = every.join(phi.select("word_id", F.col("phi").alias("old")), "word_id", "left")
+            zero = F.array_repeat(F.lit(0.0), k)
+            adjusted = _adjusted(F.coalesce("vec", zero), F.coalesce("old", zero), prior)
+            counts = cut_lineage(every.select("word_id", adjusted.alias("vec"), F.coalesce("bg", F.lit(0.0)).alias("bg")), "counts")
+            drop.append(counts)
+            totals = column_totals(counts, k)
+        out = _over(counts, totals[:k]).select("word_id", F.col("vec").alias("phi"), "bg")
+        if step.robust and freeze_background:
+            out = out.drop("bg").join(phi.select("word_id", "bg"), "word_id")
+    out = cut_lineage(out, "phi")
+    for table in drop:
+        release(table)
+    return out
+
+
+# ------------------------------------------------------------------------- loop
+def initial_state(bags: DataFrame, phi0: DataFrame, vocab: Vocabulary, step: _Step, background0: DataFrame | None = None):
+    """(blocks, rows, theta, phi, hot) of state 0: θ = 1/K (C2); robust adds
+    ν = 1/Σn on each distinct word (R1, as u = 1 with normaliser Σn) and
+    β = 1/V (R2)."""
+    blocks = word_blocks(bags.sparkSession, vocab.size, step.k)
+    rows = document_rows(bags, blocks, step.robust)
+    hot = hot_documents(bags)
+    mass = bags.groupBy("row_id", "part").agg(F.sum("n").alias("nu_sum"))
+    if hot is not None and step.robust:
+        whole = bags.join(hot.select("row_id"), "row_id", "left_semi").groupBy("row_id").agg(F.sum("n").alias("whole"))
+        mass = mass.join(whole, "row_id", "left").select("row_id", "part", F.coalesce("whole", "nu_sum").alias("nu_sum"))
+    theta = write_bucketed(mass.select("row_id", "part", F.array_repeat(F.lit(1.0 / step.k), step.k).alias("theta"), "nu_sum"),
+                           ["row_id", "part"], buckets_of(bags), "theta", prepartitioned=hot is None or not step.robust)
+    phi = phi0.select("word_id", "phi")
+    if step.robust:
+        bg = background0 if background0 is not None else vocab.table.select("word_id", F.lit(1.0 / max(vocab.size, 1)).alias("bg"))
+        phi = phi.join(bg.select("word_id", "bg"), "word_id")
+    return blocks, rows, theta, cut_lineage(phi, "phi"), hot
 
 
 def state0_pairs(bags: DataFrame, vocab: Vocabulary, k: int, seed: int = 13, robust: bool = False,
                  gamma: float = 0.0, eps: float = 0.0) -> DataFrame:
-    """Per-pair view of state 0 (row_id, word_id, n, phi, theta, z, r[, bg, nu])."""
-    b, theta, side, _ = initial_state(bags, vocab, initial_phi(vocab, k, seed), k, robust)
-    step = _Step(k, robust, gamma, eps, vocab.size, _buckets(bags))
-    return step.with_r(step.join(b, side, theta))
+    """Per-pair view of state 0: (row_id, part, word_id, n, z, r, c[K], nu)."""
+    step = _Step(k, robust, gamma, eps)
+    blocks, rows, theta, phi, _ = initial_state(bags, initial_phi(vocab, k, seed), vocab, step)
+    return pair_view(step, rows, theta, phi, blocks)
+
+
+def state0_counts(bags: DataFrame, vocab: Vocabulary, k: int, seed: int = 13) -> DataFrame:
+    """C6 of state 0: (word_id, vec[K])."""
+    step = _Step(k)
+    blocks, rows, theta, phi, _ = initial_state(bags, initial_phi(vocab, k, seed), vocab, step)
+    passes = [cut_lineage(em_pass(step, r, theta, phi, b, True), "pass") for r, b in zip(rows, blocks)]
+    return word_counts(step, passes).select("word_id", _slice("vec", k).alias("vec"))
 
 
 def run_em(bags: DataFrame, vocab: Vocabulary, phi0: DataFrame, k: int, iterations: int, *,
            robust: bool = False, gamma: float = 0.0, eps: float = 0.0, background0: DataFrame | None = None,
            freeze_phi: bool = False, theta_prior: Prior | None = None, phi_prior: Prior | None = None,
-           compute_loglik: bool = True, partitions: int | None = None,
-           freeze_background: bool = False) -> TopicModel:
-    """The EM driver loop (C8/R10).  ``bags`` must come from :func:`to_bags`
-    (bucketed by row_id); ``freeze_phi`` gives fold-in (C10/R12)."""
-    spark = bags.sparkSession
-    buckets = _buckets(bags)
-    p = partitions or buckets
-    step = _Step(k, robust, gamma, eps, vocab.size, p)
-
-    bags, theta, phi_side, hot = initial_state(bags, vocab, phi0, k, robust, background0)
-
+           compute_loglik: bool = True, freeze_background: bool = False, docs: DataFrame | None = None) -> TopicModel:
+    """The EM driver loop (C8/R10).  ``bags`` must come from :func:`to_bags`;
+    ``freeze_phi`` gives fold-in (C10/R12)."""
+    step = _Step(k, robust, float(gamma), float(eps))
+    buckets = buckets_of(bags)
+    blocks, rows, theta, phi, hot = initial_state(bags, phi0, vocab, step, background0)
+    release(getattr(phi0, "_tt_source", None))
+    behind: list = [theta]                    # tables that θ reads
     history = []
-    given_bags = bags
     for it in range(iterations):
-        old_bags, old_theta, old_side = bags, theta, phi_side
-        jr = step.with_r(step.join(bags, phi_side, theta))
-        # θ job; the log-likelihood of the current state is observed on the way.
-        obs = Observation(f"loglik-{it}-{uuid.uuid4().hex[:8]}")
-        th = theta_step(step, jr, theta_prior, hot).observe(obs, F.sum("ll").alias("ll"), F.sum("skipped").alias("sk"))
-        new_theta = write_theta(th, bags)
-        m = obs.get
-        history.append((it, float(m.get("ll") or 0.0), int(m.get("sk") or 0)))
-
-        if not freeze_phi or (robust and not freeze_background):
-            # φ job; the K topic totals (and the background total) are observed
-            # while the counts are written, so no pass computes them again.
-            with_topics = not freeze_phi
-            sums = {f"t{t}": F.col(f"c{t}") for t in range(k)} if with_topics else {}
-            if robust:
-                sums["tb"] = F.col("b")
-            counts, totals = _write_observed(phi_counts(step, jr, phi_prior, with_topics=with_topics), sums, "counts")
-            phi_side = next_phi_side(counts, totals, phi_side, k, phi_prior, vocab, robust, gamma,
-                                     freeze_phi, freeze_background)
-
+        want_words = not freeze_phi or (robust and not freeze_background)
+        passes = [write_bucketed(em_pass(step, r, theta, phi, b, want_words), ["row_id", "part"], buckets, "pass", prepartitioned=True)
+                  for r, b in zip(rows, blocks)]
+        seen = Observation(f"loglik-{it}-{uuid.uuid4().hex[:8]}")
+        new = next_theta(step, passes, theta, hot, theta_prior)
+        new = new.observe(seen, F.sum("ll").alias("ll"), F.sum("skipped").alias("sk")).drop("ll", "skipped")
+        local = len(blocks) == 1 and hot is None
+        new_theta = write_bucketed(new, ["row_id", "part"], buckets, "theta", prepartitioned=local)
+        history.append((it, float(seen.get["ll"] or 0.0), int(seen.get["sk"] or 0)))
+        if want_words:
+            new_phi = next_phi(step, passes, phi, phi_prior, vocab, freeze_phi, freeze_background)
+            release(phi)
+            phi = new_phi
+        old_rows = rows
         if robust:
-            # Unnormalised new noise per (document, word); the normaliser
-            # sits in θ's nu_sum.  Written bucketed like the bags it replaces.
-            new_bags = jr.select("row_id", "part", "word_id", "n",
-                                 (F.lit(eps) * F.col("nu") * F.col("r")).alias("u"))
-            bags = write_bucketed(new_bags, ["row_id", "part"], buckets, "noise", prepartitioned=True)
+            # The pass holds each document row with its new noise.
+            rows = [p.where("word_id is null").select("row_id", "part", "words", "ns", "us") for p in passes]
+        for table in behind:
+            release(table)
+        if robust:
+            for table in old_rows:
+                release(table)
+            behind = [new_theta]
+            for p, r in zip(passes, rows):
+                r._tt_path, r._tt_table = p._tt_path, p._tt_table        # releasing the rows drops the pass
+        else:
+            behind = [new_theta]
+            for p in passes:
+                release(p)
         theta = new_theta
-        # The previous state is no longer read by anything: delete its tables.
-        release(old_theta)
-        if old_side is not phi_side:
-            release(old_side)
-            release(getattr(old_side, "_tt_source", None))
-        if old_bags is not bags and old_bags is not given_bags:
-            release(old_bags)
 
     if compute_loglik:
-        jr = step.with_r(step.join(bags, phi_side, theta))
-        stats = jr.agg(*step.loglik_terms()).first()
-        history.append((iterations, float(stats["ll"] or 0.0), int(stats["skipped"] or 0)))
-
-    model = TopicModel(k=k, vocab=vocab, phi=phi_side.select("word_id", "phi"),
-                       theta=theta.where(F.col("part") == 0).select("row_id", "theta"), history=history,
-                       gamma=gamma, eps=eps, theta_prior=theta_prior, phi_prior=phi_prior)
-    model.scratch = [theta, getattr(phi_side, "_tt_source", None) or phi_side]
-    if bags is not given_bags:
-        model.scratch.append(bags)
+        total = np.zeros(step.width)
+        for r, b in zip(rows, blocks):
+            total += column_totals(em_pass(step, r, theta, phi, b, False), step.width)
+        history.append((iterations, float(total[k]), int(round(total[k + 1]))))
+
+    zero = F.array_repeat(F.lit(0.0), k)
+    every = vocab.table.select("word_id").join(phi, "word_id", "left").select("word_id", F.coalesce("phi", zero).alias("phi"))
+    mine = with_all_documents(theta.where("part = 0").select("row_id", "theta"), docs)
+    model = TopicModel(k=k, vocab=vocab, phi=every, theta=mine, history=history, gamma=float(gamma), eps=float(eps),
+                       theta_prior=theta_prior, phi_prior=phi_prior, scratch=[phi, *behind, hot])
     if robust:
-        model.background = phi_side.select("word_id", F.col("bg").alias("p"))
-        nb = bags.join(theta.select("row_id", "part", "nu_sum").hint("shuffle_hash"), ["row_id", "part"])
-        model.noise = nb.select("row_id", "word_id", step.nu().alias("p"))
+        model.background = phi.select("word_id", F.col("bg").alias("p"))
+        nu = None
+        for r in rows:
+            pairs = r.join(theta.select("row_id", "part", "nu_sum"), ["row_id", "part"]).select(
+                "row_id", "nu_sum", F.explode(F.arrays_zip("words", "us")).alias("w"))
+            p = F.when(F.col("nu_sum") > 0, F.col("w.us") / F.col("nu_sum")).otherwise(F.lit(0.0))
+            pairs = pairs.select("row_id", F.col("w.words").alias("word_id"), p.alias("p"))
+            nu = pairs if nu is None else nu.unionByName(pairs)
+        model.noise = nu
+        model.scratch += rows
+    else:
+        for r in rows:
+            release(r)
     return model
+
+
+# --------------------------------------------------------------- row-wise fold-in
+def fold_rows(rows: DataFrame, phi: DataFrame, vocab_size: int, k: int, iterations: int) -> DataFrame:
+    """With φ frozen a document stands alone, so all iterations run where its
+    row is: (row_id, theta, stats) with the log-likelihood and the skipped
+    pairs of the states 0..iterations one after the other."""
+    step = _Step(k)
+    shared = rows.sparkSession.sparkContext.broadcast(phi_block(phi, 0, max(vocab_size, 1), k, False))
+
+    def run(batches):
+        m, bg = shared.value
+        for batch in batches:
+            for b in (batch.slice(i, 500) for i in range(0, batch.num_rows, 500)):
+                theta, stats = np.full((b.num_rows, k), 1.0 / k), []
+                for it in range(iterations + 1):
+                    valid = ~np.isnan(theta[:, 0])
+                    col = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(valid * k)].astype(np.int32)), pa.array(theta[valid].ravel()),
+                                                   mask=pa.array(~valid)) if not valid.all() else _lists(theta)
+                    sums, _, _ = step.batch(pa.RecordBatch.from_arrays([*b.columns, col], ["row_id", "part", "words", "ns", "theta"]), 0, m, bg, None)
+                    stats.append(sums[:, k:k + 2])
+                    if it < iterations:
+                        total = sums[:, :k].sum(axis=1, keepdims=True)
+                        theta = np.where(total > 0, sums[:, :k] / np.where(total > 0, total, 1.0), np.nan)
+                out = pa.array([None if np.isnan(t[0]) else t.tolist() for t in theta], pa.list_(pa.float64()))
+                yield pa.RecordBatch.from_arrays([b.column(0), out, _lists(np.concatenate(stats, axis=1))], ["row_id", "theta", "stats"])
+
+    return rows.select("row_id", "part", "words", "ns").mapInArrow(run, "row_id bigint, theta array<double>, stats array<double>")

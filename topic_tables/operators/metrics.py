@@ -7,7 +7,6 @@ import math
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from topic_tables.functions.vectors import k_sum
 from topic_tables.operators.em import TopicModel
 from topic_tables.operators.priors import is_active
 
@@ -30,7 +29,9 @@ def perplexity(model: TopicModel, collection_length: float) -> float:
         # K normalising constants plus one summed term per cell, so no topic
         # row is ever gathered in one place.
         pr = model.phi_prior
-        cells = k_sum([pr.cell_log_term(F.col("phi")[t]) for t in range(model.k)])
+        if not pr.by_cells():
+            raise TypeError("a prior on phi needs log_norm and cell_log_term: a topic's V cells are never gathered for log_prob")
+        cells = F.aggregate("phi", F.lit(0.0), lambda a, x: a + pr.cell_log_term(x))
         extra += model.k * pr.log_norm(model.vocab.size)
         extra += model.phi.agg(F.sum(cells).alias("s")).first()["s"] or 0.0
     return math.exp(-(ll + extra) / collection_length)
@@ -39,19 +40,22 @@ def perplexity(model: TopicModel, collection_length: float) -> float:
 def model_checks(model: TopicModel, tol: float = 1e-5) -> DataFrame:
     """F8: one row of invariant violations: negative cells and rows whose sum
     is off 1 by ``tol`` or more, with the worst deviation, for θ and φ."""
-    k = model.k
     th = model.theta.where(F.col("theta").isNotNull())
-    th_sum = k_sum([F.col("theta")[t] for t in range(k)])
-    th_neg = k_sum([F.when(F.col("theta")[t] < 0, 1).otherwise(0) for t in range(k)])
+
+    def total(v):
+        return F.aggregate(v, F.lit(0.0), lambda a, x: a + x)
+
+    def negative(v):
+        return F.size(F.filter(v, lambda x: x < 0))
+    th_sum, th_neg = total("theta"), negative("theta")
     a = th.agg(F.sum(th_neg).cast("bigint").alias("theta_negative"),
                F.sum(F.when(F.abs(th_sum - 1) >= tol, 1).otherwise(0)).cast("bigint").alias("theta_bad_sum"),
                F.max(F.abs(th_sum - 1)).alias("theta_max_dev"))
-    tot = model.phi.agg(*[F.sum(F.col("phi")[t]).alias(f"t{t}") for t in range(k)],
-                        F.sum(k_sum([F.when(F.col("phi")[t] < 0, 1).otherwise(0) for t in range(k)])).cast("bigint").alias("neg"))
-    devs = [F.abs(F.col(f"t{t}") - 1) for t in range(k)]
-    b = tot.select(F.col("neg").alias("phi_negative"),
-                   k_sum([F.when(d >= tol, 1).otherwise(0) for d in devs]).cast("bigint").alias("phi_bad_sum"),
-                   F.greatest(*devs).alias("phi_max_dev") if k > 1 else devs[0].alias("phi_max_dev"))
+    neg = model.phi.agg(F.sum(negative("phi")).cast("bigint").alias("phi_negative"))
+    sums = model.phi.select(F.posexplode("phi").alias("topic", "p")).groupBy("topic").agg(F.sum("p").alias("s"))
+    dev = F.abs(F.col("s") - 1)
+    devs = sums.agg(F.sum(F.when(dev >= tol, 1).otherwise(0)).cast("bigint").alias("phi_bad_sum"), F.max(dev).alias("phi_max_dev"))
+    b = _one_row(neg, devs)
     return _one_row(a, b)
 
 

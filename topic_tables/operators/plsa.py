@@ -2,82 +2,77 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import numpy as np
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from topic_tables.operators.em import TopicModel, initial_phi, run_em, write_theta
-from topic_tables.operators.joins import broadcast_limit
+from topic_tables.operators.em import (TopicModel, column_totals, document_rows, fold_rows, initial_phi, run_em,
+                                       with_all_documents, word_blocks)
 from topic_tables.operators.priors import Prior, is_active
 from topic_tables.operators.vocab import Vocabulary, to_bags
+from topic_tables.session import cut_lineage, release
 
 
 def fit_plsa(bags: DataFrame, vocab: Vocabulary, k: int, iterations: int, seed: int = 13,
              theta_prior: Prior | None = None, phi_prior: Prior | None = None,
-             compute_loglik: bool = True, partitions: int | None = None) -> TopicModel:
+             compute_loglik: bool = True, partitions: int | None = None, docs: DataFrame | None = None) -> TopicModel:
     """Fit PLSA from hashed-uniform φ and θ = 1/K; both updates of an
-    iteration use the previous θ and φ."""
+    iteration use the previous θ and φ.  With ``docs`` every document has a θ
+    row, null where no word is known (D5)."""
     phi0 = initial_phi(vocab, k, seed)
     return run_em(bags, vocab, phi0, k, iterations, theta_prior=theta_prior, phi_prior=phi_prior,
-                  compute_loglik=compute_loglik, partitions=partitions)
+                  compute_loglik=compute_loglik, docs=docs)
 
 
 def fold_in(docs: DataFrame, model: TopicModel, iterations: int, compute_loglik: bool = False,
             partitions: int | None = None, method: str = "auto") -> TopicModel:
     """θ of new documents with φ frozen, from θ = 1/K.  Documents are bagged
-    with the *model's* vocabulary (tokens stored as strings, D4).
+    with the *model's* vocabulary (tokens stored as strings, D4); one without
+    a known word keeps a row with θ null (D5).
 
-    With φ frozen every document is independent.  ``method="row"`` runs all
-    iterations inside one row per document (one job, no per-iteration
-    materialisation); it is chosen by ``"auto"`` when φ passes the broadcast
-    size check, because one document's bag holds at most V words and so is
-    bounded by the same V·K bytes.  ``"table"`` runs the distributed EM loop.
+    With φ frozen every document is independent, so where φ is one word block
+    and θ has no prior all iterations run beside the document's row, in one
+    job.  Documents that are split over parts, priors (which are column
+    expressions) and larger φ take the table loop.  The history holds the
+    states 0..iterations either way.  ``method`` forces ``"table"`` or
+    ``"row"``; the latter raises if φ is larger than the broadcast limit.
     """
-    k = model.k
-    fits = model.vocab.size * (8 * k + 64) <= broadcast_limit(docs.sparkSession)
-    row_local = method == "row" or (method == "auto" and fits)
-    # Row-local fold-in gathers a document anyway, so its bags keep one part.
-    bags = to_bags(docs, model.vocab, partitions, split_hot=not row_local)
-    if not row_local:
-        out = run_em(bags, model.vocab, model.phi, k, iterations, freeze_phi=True,
-                     theta_prior=model.theta_prior, compute_loglik=compute_loglik, partitions=partitions)
+    spark = docs.sparkSession
+    one_block = len(word_blocks(spark, model.vocab.size, model.k)) == 1
+    if method == "row" and not one_block:
+        raise ValueError("phi is larger than the broadcast limit: use the table method")
+    bags = to_bags(docs, model.vocab, partitions)
+    by_row = method != "table" and one_block and not is_active(model.theta_prior)
+
+    def by_table(some: DataFrame, loglik: bool) -> TopicModel:
+        return run_em(some, model.vocab, model.phi, model.k, iterations, freeze_phi=True,
+                      theta_prior=model.theta_prior, compute_loglik=loglik)
+    if not by_row:
+        out = by_table(bags, compute_loglik)
+        out.theta = with_all_documents(out.theta, docs)
         out.scratch.append(bags)
         return out
-    theta = write_theta(_row_local_theta(bags, model.phi, k, iterations, model.theta_prior), bags)
-    out = TopicModel(k=k, vocab=model.vocab, phi=model.phi, theta=theta.select("row_id", "theta"),
-                     theta_prior=model.theta_prior, scratch=[theta, bags])
+    whole, split = bags, None
+    if bags._tt_split:
+        parts = bags.where("part > 0").select("row_id").distinct()
+        whole, split = bags.join(parts, "row_id", "left_anti"), bags.join(parts, "row_id", "left_semi")
+        for some in (whole, split):
+            some._tt_buckets, some._tt_split = bags._tt_buckets, some is split
+    rows = document_rows(whole, word_blocks(spark, model.vocab.size, model.k))[0]
+    folded = cut_lineage(fold_rows(rows, model.phi, model.vocab.size, model.k, iterations), "folded")
+    release(rows)
+    theta, scratch = folded.select("row_id", "theta"), [folded, bags]
+    history = np.zeros((iterations + 1, 2))
+    if compute_loglik:
+        history += column_totals(folded.select(F.col("stats").alias("vec")), 2 * (iterations + 1)).reshape(-1, 2)
+    if split is not None:
+        rest = by_table(split, compute_loglik)
+        theta = theta.unionByName(rest.theta)
+        scratch += rest.scratch
+        if compute_loglik:
+            history += np.array([[ll, skipped] for _, ll, skipped in rest.history])
+    out = TopicModel(k=model.k, vocab=model.vocab, phi=model.phi, theta=with_all_documents(theta, docs),
+                     theta_prior=model.theta_prior, scratch=scratch)
     if compute_loglik:
-        from topic_tables.operators.em import _buckets, _Step
-        step = _Step(k, False, 0.0, 0.0, model.vocab.size, _buckets(bags))
-        jr = step.with_r(step.join(bags, model.phi, theta))
-        st = jr.agg(*step.loglik_terms()).first()
-        out.history = [(iterations, float(st["ll"] or 0.0), int(st["skipped"] or 0))]
+        out.history = [(i, float(ll), int(round(skipped))) for i, (ll, skipped) in enumerate(history)]
     return out
-
-
-def _row_local_theta(bags: DataFrame, phi: DataFrame, k: int, iterations: int,
-                     prior: Prior | None) -> DataFrame:
-    """All fold-in iterations of one document as one higher-order expression.
-
-    The bag is joined to the broadcast φ and gathered per document (no
-    exchange: bags are bucketed by row_id); θ then goes through ``iterations``
-    E+M steps inside ``aggregate(sequence(1, I), θ0, step)``.
-    """
-    words = (bags.join(F.broadcast(phi), "word_id")
-             .groupBy("row_id", "part").agg(F.collect_list(F.struct("n", "phi")).alias("ws")))
-
-    def em_step(th: Column) -> Column:
-        def add(acc, w):
-            z = F.aggregate(F.zip_with(w["phi"], th, lambda p, t: p * t), F.lit(0.0), lambda a, b: a + b)
-            r = F.when(z > 0, w["n"] / z).otherwise(F.lit(0.0))
-            return F.zip_with(acc, w["phi"], lambda a, p: a + r * p)
-        s = F.aggregate(F.col("ws"), F.array_repeat(F.lit(0.0), k), add)
-        c = F.zip_with(th, s, lambda t, x: t * x)
-        if is_active(prior):
-            c = F.zip_with(c, th, lambda x, t: F.greatest(prior.adjust(x, t), F.lit(0.0)))
-        total = F.aggregate(c, F.lit(0.0), lambda a, b: a + b)
-        new = F.when(total > 0, F.transform(c, lambda x: x / total))
-        return new.otherwise(th) if is_active(prior) else new
-
-    theta = F.aggregate(F.sequence(F.lit(1), F.lit(iterations)), F.array_repeat(F.lit(1.0 / k), k),
-                        lambda th, _: em_step(th)) if iterations > 0 else F.array_repeat(F.lit(1.0 / k), k)
-    return words.select("row_id", "part", theta.alias("theta"))

@@ -20,7 +20,10 @@ class Prior:
     ``adjust(count, old)`` receives one expected-count cell and the previous
     probability of the same cell; the engine then applies ``greatest(·, 0)``
     (E5, the positive cut) and normalises.  ``log_prob(vec, size)`` returns the
-    log prior of one probability vector of length ``size``.
+    log prior of one probability vector of length ``size``.  A prior on φ
+    should override ``log_norm`` and ``cell_log_term`` instead, so that the
+    vector of a topic (V cells) is never gathered; perplexity refuses one that
+    overrides only ``log_prob``.
     """
 
     #: True when ``adjust`` can give positive mass to a cell whose count is 0
@@ -30,6 +33,12 @@ class Prior:
     def adjust(self, count: Column, old: Column) -> Column:  # pragma: no cover - interface
         return count
 
+    def by_cells(self) -> bool:
+        """Whether the log prior is the constant plus a sum over cells; a
+        class that overrides only ``log_prob`` has whole vectors instead."""
+        kind = type(self)
+        return kind.cell_log_term is not Prior.cell_log_term or kind.log_norm is not Prior.log_norm or kind.log_prob is Prior.log_prob
+
     def log_norm(self, size: int) -> float:
         """Constant part of the log prior of a vector of length ``size``."""
         return 0.0

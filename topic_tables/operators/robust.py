@@ -20,11 +20,12 @@ DEFAULT_EPS = 0.01
 def fit_robust_plsa(bags: DataFrame, vocab: Vocabulary, k: int, iterations: int, seed: int = 13,
                     gamma: float = DEFAULT_GAMMA, eps: float = DEFAULT_EPS,
                     theta_prior: Prior | None = None, phi_prior: Prior | None = None,
-                    compute_loglik: bool = True, partitions: int | None = None) -> TopicModel:
+                    compute_loglik: bool = True, partitions: int | None = None, docs: DataFrame | None = None) -> TopicModel:
+    """R11.  With ``docs`` every document has a θ row, null where no word is
+    known (D5)."""
     phi0 = initial_phi(vocab, k, seed)
     return run_em(bags, vocab, phi0, k, iterations, robust=True, gamma=gamma, eps=eps,
-                  theta_prior=theta_prior, phi_prior=phi_prior, compute_loglik=compute_loglik,
-                  partitions=partitions)
+                  theta_prior=theta_prior, phi_prior=phi_prior, compute_loglik=compute_loglik, docs=docs)
 
 
 def robust_fold_in(docs: DataFrame, model: TopicModel, iterations: int, background: str = "refit",
@@ -37,6 +38,8 @@ def robust_fold_in(docs: DataFrame, model: TopicModel, iterations: int, backgrou
     bg0 = None
     if background == "model":
         bg0 = model.background.select("word_id", F.col("p").alias("bg"))
-    return run_em(bags, model.vocab, model.phi, model.k, iterations, robust=True, gamma=model.gamma,
-                  eps=model.eps, background0=bg0, freeze_phi=True, freeze_background=(background == "model"),
-                  theta_prior=model.theta_prior, compute_loglik=compute_loglik, partitions=partitions)
+    out = run_em(bags, model.vocab, model.phi, model.k, iterations, robust=True, gamma=model.gamma,
+                 eps=model.eps, background0=bg0, freeze_phi=True, freeze_background=(background == "model"),
+                 theta_prior=model.theta_prior, compute_loglik=compute_loglik, docs=docs)
+    out.scratch.append(bags)
+    return out

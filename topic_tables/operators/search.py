@@ -1,154 +1,109 @@
 """Similarity search and top-n reports.
 
 similar_docs: exact top-n documents per query by cosine of topic vectors.
-  The query vectors go out in broadcast chunks whose byte size is checked;
-  each document partition scores its documents against the chunk with one
-  matrix product per Arrow batch and keeps only its local top-n per query
-  (ties included), so the shuffle carries at most P·n rows per query and no
-  (document, query) pair table is ever materialised.  A final row_number per
-  query picks the global top-n from those candidates.
+  Documents and queries are dealt into blocks of a bounded number of bytes by
+  hashing their ids; each pair of blocks meets in one task, which scores it
+  with matrix products and emits the block's top-n of each query.  A final
+  row_number per query picks the global top-n from those candidates, so no
+  (document, query) pair table exists and no vector passes the driver.
 
 Ranking order everywhere (D11): score rounded to 8 digits descending, then the
-label (name / token / topic) ascending, then row_id.
+label (name / token / topic) ascending with null first, then row_id.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from topic_tables.functions.vectors import top_n_of_array
-from topic_tables.operators.joins import broadcast_limit, lookup_join
-
-_HITS_SCHEMA = "query_id bigint, row_id bigint, name string, score double"
-
-# The batch scorer runs in Python workers; ship this module's code with the
-# closure so executors need no installed copy of the package.
-try:
-    import sys as _sys
-
-    from pyspark import cloudpickle as _cp
-    _cp.register_pickle_by_value(_sys.modules[__name__])
-except Exception:  # pragma: no cover - older cloudpickle
-    pass
-
-
-def _local_top(n: int, q_ids: np.ndarray, q_unit: np.ndarray, block_bytes: int):
-    def run(batches):
-        keep = []   # candidate frames, re-trimmed as they grow
-        kept = 0
-        for pdf in batches:
-            if pdf.empty:
-                continue
-            mat = np.stack(pdf["theta"].to_numpy()).astype(np.float64)
-            nrm = np.linalg.norm(mat, axis=1)
-            ok = nrm > 0
-            if not ok.any():
-                continue
-            mat = mat[ok] / nrm[ok, None]
-            rid = pdf["row_id"].to_numpy()[ok]
-            names = pdf["name"].to_numpy()[ok]
-            step = max(1, block_bytes // max(8 * len(mat), 1))
-            for lo in range(0, len(q_ids), step):
-                qs = q_unit[lo:lo + step]
-                scores = mat @ qs.T                               # docs × queries
-                r8 = np.round(scores, 8)
-                m = min(n, r8.shape[0])
-                # n-th best rounded score per query; everything >= it may win
-                thr = -np.partition(-r8, m - 1, axis=0)[m - 1]
-                di, qi = np.nonzero(r8 >= thr[None, :])
-                cand = pd.DataFrame({"query_id": q_ids[lo:lo + step][qi], "row_id": rid[di],
-                                     "name": names[di], "score": scores[di, qi], "r8": r8[di, qi]})
-                keep.append(cand)
-                kept += len(cand)
-                if kept > 8 * n * len(q_ids) + 100000:
-                    keep = [_trim(pd.concat(keep), n)]
-                    kept = len(keep[0])
-        if keep:
-            out = _trim(pd.concat(keep), n)
-            yield out[["query_id", "row_id", "name", "score"]]
-    return run
-
-
-def _trim(cand: pd.DataFrame, n: int) -> pd.DataFrame:
-    cand = cand.sort_values(["query_id", "r8", "name", "row_id"], ascending=[True, False, True, True],
-                            kind="mergesort")
-    return cand.groupby("query_id", sort=False).head(n)
-
-
-def similar_docs(doc_theta: DataFrame, query_theta: DataFrame, n: int = 20) -> DataFrame:
+from topic_tables.operators.joins import lookup_join
+
+HITS = "query_id bigint, row_id bigint, name string, score double"
+#: Bytes of vectors in a block of documents, and of queries.
+DOC_BLOCK_BYTES = 32 << 20
+QUERY_BLOCK_BYTES = 8 << 20
+#: Scores that a task holds at once.
+SCORES_AT_ONCE = 4_000_000
+
+
+def _unit(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """Unit vectors of a block, and which rows have one."""
+    col = table["theta"].combine_chunks()
+    m = col.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(col), -1) if len(col) else np.zeros((0, 1))
+    norm = np.linalg.norm(m, axis=1) if len(m) else np.zeros(0)
+    ok = norm > 0
+    return m[ok] / norm[ok, None], ok
+
+
+def block_top(docs: pa.Table, queries: pa.Table, n: int) -> pa.Table:
+    """Top-n documents of the block for each query of the block."""
+    d, ok = _unit(docs)
+    q, okq = _unit(queries)
+    rid, names = docs["row_id"].to_numpy()[ok], np.array(docs["name"].to_pylist(), dtype=object)[ok]
+    qid = queries["query_id"].to_numpy()[okq]
+    out = [pd.DataFrame({"query_id": np.zeros(0, np.int64), "row_id": np.zeros(0, np.int64), "name": np.zeros(0, object), "score": np.zeros(0)})]
+    step = max(1, SCORES_AT_ONCE // max(1, len(d)))
+    for low in range(0, len(qid) if len(d) else 0, step):
+        scores = d @ q[low:low + step].T                     # documents x queries
+        r8 = np.round(scores, 8)
+        m = min(n, len(d))
+        best = -np.partition(-r8, m - 1, axis=0)[m - 1]       # the n-th best; ties with it may win
+        for j in range(scores.shape[1]):
+            at = np.flatnonzero(r8[:, j] >= best[j])
+            c = pd.DataFrame({"query_id": qid[low + j], "row_id": rid[at], "name": names[at], "score": scores[at, j], "r8": -r8[at, j]})
+            out.append(c.sort_values(["r8", "name", "row_id"], na_position="first", kind="mergesort").head(n).drop(columns="r8"))
+    hits = pd.concat(out)
+    return pa.table({"query_id": pa.array(hits["query_id"], pa.int64()), "row_id": pa.array(hits["row_id"], pa.int64()),
+                     "name": pa.array(hits["name"].tolist(), pa.string()), "score": pa.array(hits["score"], pa.float64())})
+
+
+def similar_docs(doc_theta: DataFrame, query_theta: DataFrame, n: int = 20, doc_block_bytes: int = DOC_BLOCK_BYTES,
+                 query_block_bytes: int = QUERY_BLOCK_BYTES) -> DataFrame:
     """F2+F3.  doc_theta(row_id, name, theta), query_theta(query_id, query_name, theta)
-    → (query_id, query_name, rank, row_id, name, score).  Null θ never ranks."""
-    spark = doc_theta.sparkSession
-    q = query_theta.where(F.col("theta").isNotNull())
-    qn = q.select(F.size("theta").alias("k")).first()
-    if qn is None:
-        return spark.createDataFrame([], "query_id bigint, query_name string, rank int, row_id bigint, name string, score double")
-    k = qn["k"]
-    n_q = q.count()
-    limit = broadcast_limit(spark)
-    per_q = 8 * k + 32
-    chunk = max(1, limit // per_q)
+    → (query_id, query_name, rank, row_id, name, score).  Null and zero θ never rank."""
     docs = doc_theta.where(F.col("theta").isNotNull()).select("row_id", "name", "theta")
-    parts = []
-    for chunk_df in _chunks(q.select("query_id", "theta"), n_q, chunk):
-        rows = chunk_df.toPandas()            # size proven <= broadcast limit
-        if rows.empty:
-            continue
-        qv = np.stack(rows["theta"].to_numpy()).astype(np.float64)
-        qnrm = np.linalg.norm(qv, axis=1)
-        okq = qnrm > 0
-        ids = rows["query_id"].to_numpy()[okq]
-        unit = qv[okq] / qnrm[okq, None]
-        bc = spark.sparkContext.broadcast((ids, unit))
-
-        def runner(batches, bc=bc):
-            i, u = bc.value
-            return _local_top(n, i, u, 64 * 1024 * 1024)(batches)
-        parts.append(docs.mapInPandas(runner, _HITS_SCHEMA))
-    if not parts:
-        return spark.createDataFrame([], "query_id bigint, query_name string, rank int, row_id bigint, name string, score double")
-    cand = parts[0]
-    for p in parts[1:]:
-        cand = cand.unionByName(p)
-    w = Window.partitionBy("query_id").orderBy(F.round("score", 8).desc(), F.col("name"), F.col("row_id"))
+    queries = query_theta.where(F.col("theta").isNotNull()).select("query_id", "theta")
+
+    def blocks(df: DataFrame, limit: int) -> int:
+        size = df.agg(F.sum(F.size("theta") * 8 + 64).alias("b")).first()["b"] or 0
+        return int(max(1, -(-size // limit)))
+    n_d, n_q = blocks(docs, doc_block_bytes), blocks(queries, query_block_bytes)
+
+    def every(count: int):
+        return F.explode(F.sequence(F.lit(0), F.lit(count - 1)))
+    left = docs.withColumn("bd", F.pmod(F.xxhash64("row_id"), F.lit(n_d)).cast("int")).withColumn("bq", every(n_q))
+    right = queries.withColumn("bq", F.pmod(F.xxhash64("query_id"), F.lit(n_q)).cast("int")).withColumn("bd", every(n_d))
+
+    def work(a: pa.Table, b: pa.Table) -> pa.Table:
+        return block_top(a, b, n)
+
+    cand = left.groupBy("bd", "bq").cogroup(right.groupBy("bd", "bq")).applyInArrow(work, HITS)
+    w = Window.partitionBy("query_id").orderBy(F.round("score", 8).desc(), F.col("name").asc_nulls_first(), F.col("row_id"))
     top = cand.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= n)
     names = query_theta.select("query_id", "query_name")
     return top.join(names, "query_id").select("query_id", "query_name", F.col("rank").cast("int"),
                                               "row_id", "name", "score")
 
 
-def _chunks(q: DataFrame, count: int, limit_rows: int, salt: int = 0):
-    """Split the query table into pieces of at most ``limit_rows`` rows by
-    hashing query_id (distributed filters, no global ordering); a piece that
-    comes out too large is split again with another hash seed."""
-    if count <= limit_rows:
-        yield q
-        return
-    pieces = -(-count * 3 // (2 * limit_rows))
-    h = F.pmod(F.xxhash64(F.col("query_id"), F.lit(salt)), F.lit(pieces))
-    for i in range(pieces):
-        part = q.where(h == i)
-        c = part.count()
-        yield from _chunks(part, c, limit_rows, salt + 1) if c > limit_rows else [part]
-
-
 def top_words(model, n: int = 30) -> DataFrame:
     """top-n tokens per topic (topic, rank, token, p).  The row_number
     filter plans a partial WindowGroupLimit before the shuffle, so each map
     task sends at most n rows per topic."""
-    cells = model.phi.select("word_id", F.posexplode("phi").alias("topic", "p"))
-    cells = lookup_join(cells, model.vocab.table.select("word_id", "token"), "word_id",
-                        model.vocab.side_bytes(), spread_col="topic")
+    named = lookup_join(model.phi, model.vocab.table.select("word_id", "token"), "word_id",
+                        model.vocab.side_bytes(), spread_col="word_id")
+    cells = named.select("token", F.posexplode("phi").alias("topic", "p"))
     w = Window.partitionBy("topic").orderBy(F.round("p", 8).desc(), F.col("token"))
     return (cells.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= n)
             .select(F.col("topic").cast("int"), F.col("rank").cast("int"), "token", "p"))
 
 
 def top_topics(theta: DataFrame, n: int = 20) -> DataFrame:
-    """top-n topics per document, row-local (no shuffle)."""
-    tops = theta.where(F.col("theta").isNotNull()).select("row_id", F.posexplode(top_n_of_array("theta", n)).alias("pos", "e"))
+    """top-n topics per document, row-local (no shuffle); one null row for
+    a document without θ."""
+    tops = theta.select("row_id", F.posexplode_outer(top_n_of_array("theta", n)).alias("pos", "e"))
     return tops.select("row_id", (F.col("pos") + 1).cast("int").alias("rank"),
                        F.col("e.topic").cast("int").alias("topic"), F.col("e.p").alias("p"))

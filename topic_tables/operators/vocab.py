@@ -40,7 +40,7 @@ def prune(counts: DataFrame, rare_token_threshold: int = 2) -> DataFrame:
 class Vocabulary:
     table: DataFrame       # token string, word_id int, n bigint
     size: int              # V
-    token_bytes: int       # sum of token lengths, for broadcast size bounds
+    token_bytes: int       # sum of token lengths in bytes, for broadcast size bounds
     occurrences: int = 0   # Σ n: in-vocabulary token occurrences of the corpus
 
     def side_bytes(self, per_row: int = 48) -> int:
@@ -62,7 +62,7 @@ def index_tokens(pruned: DataFrame, partitions: int | None = None) -> Vocabulary
         .select("token", "n", F.spark_partition_id().alias("pid"),
                 F.monotonically_increasing_id().alias("mid")))
     per_part = ranged.groupBy("pid").agg(F.count(F.lit(1)).alias("c"),
-                                         F.sum(F.length("token")).alias("b"),
+                                         F.sum(F.octet_length("token")).alias("b"),
                                          F.sum("n").alias("o")).collect()
     occurrences = sum((r["o"] or 0) for r in per_part)
     per_part = sorted((r["pid"], r["c"], r["b"] or 0) for r in per_part)
@@ -84,22 +84,30 @@ def build_vocab(docs: DataFrame, rare_token_threshold: int = 2, partitions: int
     return index_tokens(prune(token_counts(docs), rare_token_threshold), partitions)
 
 
-# Target size of one bag bucket, in token occurrences (an upper bound on its
-# document-word pairs): ~16 M keeps a bucket in the low hundreds of MB.
-OCCURRENCES_PER_BUCKET = 16_000_000
+# Size of one bag bucket: so many document-word pairs, and so many documents
+# (a bucket's θ rows are the hash table of a join: 100,000 of K=100 are 80 MB).
+PAIRS_PER_BUCKET = 4_000_000
+DOCUMENTS_PER_BUCKET = 100_000
+# Small tables are spread over the cores only from so many pairs a bucket on.
+PAIRS_TO_SPREAD = 20_000
+# A document's pairs in one part, which is one list while the model is fitted.
+PAIRS_PER_PART = 100_000
 
 
-def bag_buckets(spark, vocab: Vocabulary) -> int:
-    """Bucket count of the bag table, from the corpus size (not from
-    spark.sql.shuffle.partitions): at least the default parallelism, about
-    one bucket per 16 M token occurrences, capped by topic_tables.maxBuckets."""
-    cap = int(spark.conf.get("topic_tables.maxBuckets", "100000"))
-    by_size = -(-max(vocab.occurrences, 1) // OCCURRENCES_PER_BUCKET)
-    return max(1, min(cap, max(spark.sparkContext.defaultParallelism, by_size)))
+def bag_buckets(spark, pairs: int, documents: int) -> int:
+    """Bucket count of a bag table, from the documents being bagged."""
+    def ceil(a, b):
+        return -(-a // b)
+    spread = min(spark.sparkContext.defaultParallelism, ceil(pairs, PAIRS_TO_SPREAD))
+    return max(1, spread, ceil(pairs, PAIRS_PER_BUCKET), ceil(documents, DOCUMENTS_PER_BUCKET))
 
 
-def to_bags(docs: DataFrame, vocab: Vocabulary, partitions: int | None = None,
-            materialise: bool = True, split_hot: bool = True) -> DataFrame:
+def buckets_of(bags: DataFrame) -> int:
+    """Bucket count of a table from :func:`to_bags` (kept beside it)."""
+    return getattr(bags, "_tt_buckets", None) or default_partitions(bags.sparkSession)
+
+
+def to_bags(docs: DataFrame, vocab: Vocabulary, partitions: int | None = None, materialise: bool = True) -> DataFrame:
     """Drop out-of-vocabulary tokens and count each (document, word).
 
     Result: ``bags(row_id, part, word_id, n)``, a parquet table bucketed by
@@ -110,55 +118,56 @@ def to_bags(docs: DataFrame, vocab: Vocabulary, partitions: int | None = None,
       size bound allows, else a salted shuffle join.
     * Counting shuffles on (row_id, word_id) after map-side partial
       aggregation, so one huge document is spread over all reducers.
-    * A document with more pairs than an average bucket (total/P) is split
-      into ceil(pairs/share) parts by hashing the word, so no task holds more
-      than about one bucket of one document.  There are at most P such
-      documents; all others have the single part 0.
+    * A document with more pairs than an average bucket (or a list should
+      hold) is split into parts by hashing the word; all others have part 0.
+    * The number of buckets comes from the pairs and documents found here.
     """
     spark = docs.sparkSession
-    p = partitions or bag_buckets(spark, vocab)
     rows = token_rows(docs)
     hot = None
     if vocab.side_bytes() > broadcast_limit(spark):
         # Only the shuffle fallback needs the frequent-token list.
-        hot = hot_keys(vocab.table, "token", "n", p)
+        hot = hot_keys(vocab.table, "token", "n", partitions or default_partitions(spark))
     joined = lookup_join(rows, vocab.table.select("token", "word_id"), "token",
                          vocab.side_bytes(), spread_col="row_id", hot=hot)
     pairs = joined.groupBy("row_id", "word_id").agg(F.count(F.lit(1)).cast("double").alias("n"))
     if not materialise:
         return pairs.select("row_id", F.lit(0).alias("part"), "word_id", "n")
-    if not split_hot:
-        return write_bucketed(pairs.select("row_id", F.lit(0).alias("part"), "word_id", "n"),
-                              ["row_id", "part"], p, "bags")
     # Materialise the pairs once; their number is observed on the way.
     obs = Observation(f"pairs-{uuid.uuid4().hex[:8]}")
     pairs = cut_lineage(pairs.observe(obs, F.count(F.lit(1)).alias("n_pairs")), "pairs")
-    out = bucket_pairs(pairs, obs.get.get("n_pairs") or 0, p)
+    out = bucket_pairs(pairs, obs.get.get("n_pairs") or 0, partitions)
     release(pairs)
     return out
 
 
-def bucket_pairs(pairs: DataFrame, total_pairs: int, p: int) -> DataFrame:
+def bucket_pairs(pairs: DataFrame, total_pairs: int, p: int | None = None) -> DataFrame:
     """(row_id, word_id, n) → the bag table bucketed by (row_id, part).
 
-    Documents larger than one bucket's share (total/P; at most P of them) are
-    spread over ceil(pairs/share) parts by hashing the word.  ``pairs`` should
-    be cheap to read twice (a written table, or one plus a broadcast join)."""
+    Documents larger than one bucket's share, or than a list should be, are
+    spread over parts by hashing the word.  ``pairs`` should be cheap to read
+    twice (a written table, or one plus a broadcast join)."""
     spark = pairs.sparkSession
+    if p is None:
+        documents = pairs.agg(F.approx_count_distinct("row_id").alias("d")).first()["d"] if total_pairs else 0
+        p = bag_buckets(spark, total_pairs, documents)
     forced = spark.conf.get("topic_tables.documentPartRows", None)
-    share = float(forced) if forced else max(float(total_pairs) / p, 1.0)
+    share = float(forced) if forced else min(max(float(total_pairs) / p, 1000.0), float(PAIRS_PER_PART))
     obs_h = Observation(f"hot-{uuid.uuid4().hex[:8]}")
     hot_docs = cut_lineage(
         pairs.groupBy("row_id").agg(F.count(F.lit(1)).alias("w")).where(F.col("w") > F.lit(share))
-        .select("row_id", F.least(F.lit(p), F.ceil(F.col("w") / F.lit(share))).cast("int").alias("salts"))
+        .select("row_id", F.ceil(F.col("w") / F.lit(share)).cast("int").alias("salts"))
         .observe(obs_h, F.count(F.lit(1)).alias("n_hot")), "hotdocs")
-    if (obs_h.get.get("n_hot") or 0) > 0:
-        src = pairs.join(F.broadcast(hot_docs), "row_id", "left")
+    n_hot = obs_h.get.get("n_hot") or 0
+    if n_hot > 0:
+        small = n_hot * 32 <= broadcast_limit(spark)
+        src = pairs.join(F.broadcast(hot_docs) if small else hot_docs, "row_id", "left")
         part = F.when(F.col("salts").isNull(), F.lit(0)).otherwise(
             F.pmod(F.xxhash64(F.col("word_id")), F.col("salts")).cast("int"))
     else:
         src, part = pairs, F.lit(0)
     out = write_bucketed(src.select("row_id", part.alias("part"), "word_id", "n"), ["row_id", "part"], p, "bags")
+    out._tt_split = n_hot > 0
     release(hot_docs)
     return out
 
@@ -176,17 +185,16 @@ def build_corpus(docs: DataFrame, rare_token_threshold: int = 2,
     raw = token_rows(docs).groupBy("row_id", "token").agg(F.count(F.lit(1)).alias("n"))
     obs = Observation(f"raw-{uuid.uuid4().hex[:8]}")
     raw = cut_lineage(raw.observe(obs, F.count(F.lit(1)).alias("c")), "rawpairs")
-    # All pairs, in vocabulary or not: an upper bound of the bag pairs, which
-    # only makes the huge-document share larger (still at most P of them).
+    # All pairs, in vocabulary or not: an upper bound of the bag pairs.
     n_raw = obs.get.get("c") or 0
     counts = cut_lineage(raw.groupBy("token").agg(F.sum("n").cast("bigint").alias("n")), "tokencounts")
     vocab = index_tokens(prune(counts, rare_token_threshold), partitions)
-    p = partitions or bag_buckets(spark, vocab)
-    hot = hot_keys(vocab.table, "token", "n", p) if vocab.side_bytes() > broadcast_limit(spark) else None
+    salts = partitions or default_partitions(spark)
+    hot = hot_keys(vocab.table, "token", "n", salts) if vocab.side_bytes() > broadcast_limit(spark) else None
     joined = lookup_join(raw, vocab.table.select("token", "word_id"), "token",
                          vocab.side_bytes(), spread_col="row_id", hot=hot)
     pairs = joined.select("row_id", "word_id", F.col("n").cast("double").alias("n"))
-    bags = bucket_pairs(pairs, n_raw, p)
+    bags = bucket_pairs(pairs, n_raw, partitions)
     release(raw)
     return vocab, bags, counts
 

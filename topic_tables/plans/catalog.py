@@ -12,14 +12,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from topic_tables.operators.em import phi_counts, state0_pairs, _Step, initial_phi
-from topic_tables.operators.metrics import loglik_history, model_checks
+from topic_tables.functions.dirichlet import dirichlet_logpdf
+from topic_tables.functions.vectors import cosine
+from topic_tables.operators.em import initial_phi, state0_counts, state0_pairs
+from topic_tables.operators.metrics import loglik_history, model_checks, perplexity
 from topic_tables.operators.plsa import fit_plsa, fold_in
 from topic_tables.operators.priors import Prior, SymmetricDirichlet
 from topic_tables.operators.robust import fit_robust_plsa, robust_fold_in
 from topic_tables.operators.search import similar_docs, top_topics, top_words
 from topic_tables.operators.vocab import build_corpus, corpus_stats, prune, token_counts
-from topic_tables.plans import oracle as O
+from topic_tables.plans.jobs import load_model, search_job, train_job
 from topic_tables.session import scratch_path
 from topic_tables.sources import text as T
 from topic_tables.sources.tables import conversation_names, conversation_tokens, load_table, tokens_from_text
@@ -35,7 +37,9 @@ ALPHA = 0.2
 CUSTOM_SHIFT = 0.5
 TOP_DOCS = 20
 TOP_WORDS = 30
-TOP_TOPICS = 20
+TOP_TOPICS = 3
+K_WIDE = 100
+PHI_PENALTY = 3.0
 
 _memo: dict = {}
 
@@ -55,17 +59,17 @@ def corpus(spark: SparkSession, sf: str):
     return _memo_get(spark, ("corpus", sf), build)
 
 
-def plsa_model(spark, sf, theta_prior=None, phi_prior=None, tag="plain"):
+def plsa_model(spark, sf, theta_prior=None, phi_prior=None, tag="plain", k=K):
     def build():
-        _, vocab, bags = corpus(spark, sf)
-        return fit_plsa(bags, vocab, K, ITERATIONS, SEED, theta_prior=theta_prior, phi_prior=phi_prior)
+        docs, vocab, bags = corpus(spark, sf)
+        return fit_plsa(bags, vocab, k, ITERATIONS, SEED, theta_prior=theta_prior, phi_prior=phi_prior, docs=docs)
     return _memo_get(spark, ("plsa", sf, tag), build)
 
 
 def robust_model(spark, sf):
     def build():
-        _, vocab, bags = corpus(spark, sf)
-        return fit_robust_plsa(bags, vocab, K, ITERATIONS, SEED, gamma=GAMMA, eps=EPS)
+        docs, vocab, bags = corpus(spark, sf)
+        return fit_robust_plsa(bags, vocab, K, ITERATIONS, SEED, gamma=GAMMA, eps=EPS, docs=docs)
     return _memo_get(spark, ("robust", sf), build)
 
 
@@ -78,13 +82,17 @@ def _r6(c):
 
 
 def _theta_long(theta: DataFrame) -> DataFrame:
-    return theta.select("row_id", F.posexplode("theta").alias("topic", "p")).select(
+    return theta.select("row_id", F.posexplode_outer("theta").alias("topic", "p")).select(
         "row_id", F.col("topic").cast("int"), _r6(F.col("p")).alias("p"))
 
 
 def _phi_long(model) -> DataFrame:
-    cells = model.phi.select("word_id", F.posexplode("phi").alias("topic", "p"))
-    return cells.join(model.vocab.table.select("word_id", "token"), "word_id").select(
+    return _cells(model.phi, model.vocab)
+
+
+def _cells(phi: DataFrame, vocab) -> DataFrame:
+    named = phi.join(vocab.table.select("word_id", "token"), "word_id")
+    return named.select("token", F.posexplode("phi").alias("topic", "p")).select(
         F.col("topic").cast("int"), "token", _r6(F.col("p")).alias("p"))
 
 
@@ -119,10 +127,7 @@ def q_corpus_stats(spark, sf):
 # --------------------------------------------------------------------------- C
 def q_init_phi(spark, sf):
     _, vocab, _ = corpus(spark, sf)
-    phi0 = initial_phi(vocab, K, SEED)
-    cells = phi0.select("word_id", F.posexplode("phi").alias("topic", "p"))
-    return cells.join(vocab.table.select("word_id", "token"), "word_id").select(
-        F.col("topic").cast("int"), "token", _r6(F.col("p")).alias("p"))
+    return _cells(initial_phi(vocab, K, SEED), vocab)
 
 
 def _pairs0(spark, sf, robust=False):
@@ -138,19 +143,14 @@ def q_word_mixture(spark, sf):
 
 def q_responsibilities(spark, sf):
     jr, _ = _pairs0(spark, sf)
-    c = F.array(*[F.col("r") * F.col("phi")[t] * F.col("theta")[t] for t in range(K)])
-    return jr.select("row_id", "token", F.posexplode(c).alias("topic", "c")).select(
+    return jr.select("row_id", "token", F.posexplode("c").alias("topic", "c")).select(
         "row_id", "token", F.col("topic").cast("int"), _r6(F.col("c")).alias("c"))
 
 
 def q_topic_word_counts(spark, sf):
     _, vocab, bags = corpus(spark, sf)
-    jr = state0_pairs(bags, vocab, K, SEED)
-    step = _Step(K, False, 0.0, 0.0, vocab.size, 1)
-    counts = phi_counts(step, jr, None)
-    cells = counts.select("word_id", F.posexplode(F.array(*[F.col(f"c{t}") for t in range(K)])).alias("topic", "c"))
-    return cells.join(vocab.table.select("word_id", "token"), "word_id").select(
-        F.col("topic").cast("int"), "token", _r6(F.col("c")).alias("c"))
+    counts = state0_counts(bags, vocab, K, SEED).withColumnRenamed("vec", "phi")
+    return _cells(counts, vocab).withColumnRenamed("p", "c")
 
 
 def q_plsa_theta(spark, sf):
@@ -166,13 +166,41 @@ def q_plsa_loglik(spark, sf):
     return h.select("iteration", F.round("loglik", 3).alias("loglik"))
 
 
-def q_plsa_perplexity(spark, sf):
-    m = plsa_model(spark, sf)
+def _perplexity(spark, sf, model):
     _, _, bags = corpus(spark, sf)
-    ll = m.history[-1][1]
-    return bags.agg(F.sum("n").alias("collection_length")).select(
-        "collection_length", F.round(F.lit(ll), 3).alias("loglik"),
-        _r6(F.exp(F.lit(-ll) / F.col("collection_length"))).alias("perplexity"))
+    length = bags.agg(F.sum("n").alias("collection_length")).first()[0]
+    return spark.createDataFrame([(length, round(model.history[-1][1], 3), round(perplexity(model, length), 6))],
+                                 "collection_length double, loglik double, perplexity double")
+
+
+def q_plsa_perplexity(spark, sf):
+    return _perplexity(spark, sf, plsa_model(spark, sf))
+
+
+def q_perplexity_priors(spark, sf):
+    """C12 with Dirichlet priors on θ and φ."""
+    m = plsa_model(spark, sf, theta_prior=SymmetricDirichlet(ALPHA), phi_prior=SymmetricDirichlet(ALPHA), tag="both_priors")
+    return _perplexity(spark, sf, m)
+
+
+class SquarePenalty(Prior):
+    """A user-defined φ prior: counts untouched, log prior −c Σ p²."""
+
+    def cell_log_term(self, cell):
+        return F.lit(-PHI_PENALTY) * cell * cell
+
+
+def q_perplexity_custom_phi(spark, sf):
+    return _perplexity(spark, sf, plsa_model(spark, sf, phi_prior=SquarePenalty(), tag="square_penalty"))
+
+
+def q_plsa_k100_theta(spark, sf):
+    return _theta_long(plsa_model(spark, sf, tag="k100", k=K_WIDE).theta)
+
+
+def q_plsa_k100_loglik(spark, sf):
+    h = loglik_history(spark, plsa_model(spark, sf, tag="k100", k=K_WIDE))
+    return h.select("iteration", F.round("loglik", 3).alias("loglik"))
 
 
 def q_fold_in(spark, sf):
@@ -182,11 +210,11 @@ def q_fold_in(spark, sf):
 
 
 def q_cosine_sim(spark, sf):
-    """cosine between each document's trained θ and its fold-in θ."""
+    """cosine between each document's trained θ and its fold-in θ (null
+    for a document without known words)."""
     m = plsa_model(spark, sf)
     docs, _, _ = corpus(spark, sf)
     f = fold_in(docs, m, ITERATIONS)
-    from topic_tables.functions.vectors import cosine
     j = m.theta.join(f.theta.withColumnRenamed("theta", "folded"), "row_id")
     return j.select("row_id", _r6(cosine("theta", "folded", K)).alias("cosine"))
 
@@ -243,10 +271,8 @@ def q_model_checks(spark, sf):
 
 # --------------------------------------------------------------------------- R
 def q_noise_init(spark, sf):
-    _, vocab, bags = corpus(spark, sf)
-    nd = bags.groupBy("row_id").agg(F.sum("n").alias("nd"))
-    return (bags.join(nd, "row_id").join(vocab.table.select("word_id", "token"), "word_id")
-            .select("row_id", "token", _r6(F.lit(1.0) / F.col("nd")).alias("p")))
+    jr, _ = _pairs0(spark, sf, robust=True)
+    return jr.select("row_id", "token", _r6(F.col("nu")).alias("p"))
 
 
 def q_robust_mixture(spark, sf):
@@ -287,7 +313,6 @@ def q_robust_fold_in(spark, sf):
 
 # --------------------------------------------------------------------------- E
 def q_dirichlet_logpdf(spark, sf):
-    from topic_tables.functions.dirichlet import dirichlet_logpdf
     th = plsa_model(spark, sf).theta
     return th.select("row_id", _r6(dirichlet_logpdf("theta", ALPHA, K)).alias("logpdf"))
 
@@ -345,10 +370,7 @@ def q_phi_roundtrip(spark, sf):
     m = plsa_model(spark, sf)
     path = scratch_path(spark, "topicword")
     T.write_lines(T.format_topic_word(m.phi), path)
-    back = T.read_topic_word(spark, path, K)
-    cells = back.select("word_id", F.posexplode("phi").alias("topic", "p"))
-    return cells.join(m.vocab.table.select("word_id", "token"), "word_id").select(
-        F.col("topic").cast("int"), "token", _r6(F.col("p")).alias("p"))
+    return _cells(T.read_topic_word(spark, path, K), m.vocab)
 
 
 def q_theta_roundtrip(spark, sf):
@@ -358,7 +380,7 @@ def q_theta_roundtrip(spark, sf):
     path = scratch_path(spark, "doctopic")
     T.write_lines(T.format_doc_topic(docs, m.theta), path)
     back = T.read_doc_topic(spark, path, K)
-    return back.select("name", F.posexplode("theta").alias("topic", "p")).select(
+    return back.select("name", F.posexplode_outer("theta").alias("topic", "p")).select(
         "name", F.col("topic").cast("int"), _r6(F.col("p")).alias("p"))
 
 
@@ -367,18 +389,70 @@ def q_theta_sparse(spark, sf):
     docs, _, _ = corpus(spark, sf)
     lines = T.format_doc_topic(docs, m.theta)
     f = F.split(F.col("value"), "\t", -1)
-    third = F.get(f, 2)
-    return lines.select(F.get(f, 0).alias("name"), F.get(f, 1).alias("contents"),
-                        F.when(F.coalesce(third, F.lit("")) == "", 0).otherwise(F.size(F.split(third, ";"))).cast("int").alias("n_cells"))
+    third = F.coalesce(F.get(f, 2), F.lit(""))
+    cells = F.when(third != "", F.split(third, ";"))
+    rows = lines.select(F.get(f, 0).alias("name"), F.get(f, 1).alias("contents"), F.coalesce(F.size(cells), F.lit(0)).cast("int").alias("n_cells"),
+                        F.explode_outer(cells).alias("cell"))
+    cell = F.split("cell", ":")
+    return rows.select("name", "contents", "n_cells", cell[0].cast("int").alias("topic"), _r6(cell[1].cast("double")).alias("p"))
 
 
 def q_topic_preview(spark, sf):
     m = plsa_model(spark, sf)
-    cells = m.phi.select("word_id", F.posexplode("phi").alias("topic", "p")).join(
-        m.vocab.table.select("word_id", "token"), "word_id")
+    named = m.phi.join(m.vocab.table.select("word_id", "token"), "word_id")
+    cells = named.select("token", F.posexplode("phi").alias("topic", "p"))
     return T.format_topic_preview(cells).select(F.col("value").alias("line"))
 
 
+def q_doc_preview(spark, sf):
+    docs, _, _ = corpus(spark, sf)
+    return T.format_doc_preview(docs, plsa_model(spark, sf).theta).select(F.col("value").alias("line"))
+
+
+def _trained_files(spark, sf):
+    """F6 from a bag file: documents written as lines, read back, trained,
+    topic-word, doc-topic and vocabulary files written."""
+    def build():
+        docs = tokens_from_text(load_table(spark, sf, "documents"), "doc_id", "text")
+        paths = {p: scratch_path(spark, p) for p in ("job-bags", "job-topic-word", "job-doc-topic", "job-vocab")}
+        T.write_lines(docs.select(F.concat_ws("\t", "name", F.array_join("tokens", ":")).alias("value")), paths["job-bags"])
+        read = T.read_bags(spark, paths["job-bags"])
+        train_job(read, K, ITERATIONS, THRESHOLD, SEED, topic_word_path=paths["job-topic-word"],
+                  doc_topic_path=paths["job-doc-topic"], vocab_path=paths["job-vocab"])
+        return paths
+    return _memo_get(spark, ("files", sf), build)
+
+
+def q_train_files(spark, sf):
+    """the cells of both files that a training run writes."""
+    paths = _trained_files(spark, sf)
+    w = F.split("value", "\t")
+    words = spark.read.text(paths["job-topic-word"]).select(F.lit("topic-word").alias("kind"), w[1].alias("key"), w[0].cast("int").alias("topic"),
+                                                            _r6(w[2].cast("double")).alias("p"))
+    d = F.split("value", "\t", -1)
+    cells = spark.read.text(paths["job-doc-topic"]).select(d[0].alias("key"), F.explode_outer(F.when(d[2] != "", F.split(d[2], ";"))).alias("cell"))
+    c = F.split("cell", ":")
+    return words.unionByName(cells.select(F.lit("doc-topic").alias("kind"), "key", c[0].cast("int").alias("topic"), _r6(c[1].cast("double")).alias("p")))
+
+
+def q_search_files(spark, sf):
+    """F7 from files: the model is read back, benchmark items are folded in
+    and ranked; the cells of the similarity lines (A6) and both reports."""
+    files = _trained_files(spark, sf)
+    trained = load_model(spark, files["job-topic-word"], files["job-vocab"], K, files["job-doc-topic"])
+    out = {p: scratch_path(spark, p) for p in ("job-similar", "job-topics", "job-docs")}
+    search_job(trained, bench_docs(spark, sf), ITERATIONS, TOP_DOCS, out["job-similar"], out["job-topics"], out["job-docs"],
+               words_per_topic=TOP_WORDS, topics_per_doc=TOP_TOPICS)
+    f = F.split("value", "\t", -1)
+    three = [f[0].alias("a"), f[1].alias("b"), F.round(f[2].cast("double"), 4).alias("p")]
+    similar = spark.read.text(out["job-similar"]).select(F.lit("similar").alias("kind"), *three)
+    topics = spark.read.text(out["job-topics"]).select(F.lit("topic").alias("kind"), *three)
+    cells = spark.read.text(out["job-docs"]).select(f[0].alias("a"), F.explode(F.split(f[2], ";")).alias("cell"))
+    c = F.split(F.regexp_replace("cell", "[()]", ""), ",")
+    docs = cells.select(F.lit("document").alias("kind"), "a", c[1].alias("b"), F.round(c[0].cast("double"), 6).alias("p"))
+    return similar.unionByName(topics).unionByName(docs)
+
+
 def registry() -> dict:
     return {
         "token_counts": q_token_counts, "vocab_pruned": q_vocab_pruned, "vocab_index": q_vocab_index,
@@ -396,5 +470,8 @@ def registry() -> dict:
         "custom_prior": q_custom_prior,
         "read_bags": q_read_bags, "word_table": q_word_table, "phi_long": q_phi_long,
         "phi_roundtrip": q_phi_roundtrip, "theta_roundtrip": q_theta_roundtrip,
-        "theta_sparse": q_theta_sparse, "topic_preview": q_topic_preview,
+        "theta_sparse": q_theta_sparse, "topic_preview": q_topic_preview, "doc_preview": q_doc_preview,
+        "perplexity_priors": q_perplexity_priors, "perplexity_custom_phi": q_perplexity_custom_phi,
+        "plsa_k100_theta": q_plsa_k100_theta, "plsa_k100_loglik": q_plsa_k100_loglik,
+        "train_files": q_train_files, "search_files": q_search_files,
     }

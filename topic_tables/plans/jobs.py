@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from topic_tables.operators.em import TopicModel
 from topic_tables.operators.plsa import fit_plsa, fold_in
 from topic_tables.operators.priors import Prior
-from topic_tables.operators.search import similar_docs, top_topics, top_words
+from topic_tables.operators.search import similar_docs, top_words
 from topic_tables.operators.vocab import build_corpus
 from topic_tables.sources import text as T
 
@@ -37,7 +37,7 @@ def train_job(docs: DataFrame, k: int, iterations: int, rare_token_threshold: in
               vocab_path: str | None = None) -> TrainResult:
     """F6.  ``docs(row_id, name, tokens)`` (from read_bags or tokens_from_text)."""
     vocab, bags, _ = build_corpus(docs, rare_token_threshold)
-    model = fit_plsa(bags, vocab, k, iterations, seed, theta_prior=theta_prior, phi_prior=phi_prior)
+    model = fit_plsa(bags, vocab, k, iterations, seed, theta_prior=theta_prior, phi_prior=phi_prior, docs=docs)
     if topic_word_path:
         T.write_lines(T.format_topic_word(model.phi), topic_word_path)
     if doc_topic_path:
@@ -55,7 +55,7 @@ def load_model(spark, topic_word_path: str, vocab_path: str, k: int,
     the vocabulary gets a φ row (cells missing from the file are 0)."""
     from topic_tables.operators.vocab import Vocabulary
     vt = spark.read.parquet(vocab_path)
-    stats = vt.agg(F.count(F.lit(1)).alias("v"), F.sum(F.length("token")).alias("b"), F.sum("n").alias("o")).first()
+    stats = vt.agg(F.count(F.lit(1)).alias("v"), F.sum(F.octet_length("token")).alias("b"), F.sum("n").alias("o")).first()
     vocab = Vocabulary(vt, int(stats["v"] or 0), int(stats["b"] or 0), int(stats["o"] or 0))
     phi = T.read_topic_word(spark, topic_word_path, k)
     phi = (vt.select("word_id").join(phi, "word_id", "left")
@@ -80,7 +80,7 @@ def search_job(trained: TrainResult, queries: DataFrame, iterations: int, n: int
     qt = folded.theta
     qt = (qt.join(names, "row_id") if names is not None else qt.withColumn("name", F.col("row_id").cast("string")))
     qt = qt.select(F.col("row_id").alias("query_id"), F.col("name").alias("query_name"), "theta")
-    dt = model.theta.join(trained.docs.select("row_id", "name"), "row_id")
+    dt = model.theta.join(trained.docs.select("row_id", "name"), "row_id")       # documents without θ never rank
     hits = similar_docs(dt, qt, n)
     if similarity_path:
         T.write_lines(T.format_similarity(hits), similarity_path)
@@ -89,10 +89,5 @@ def search_job(trained: TrainResult, queries: DataFrame, iterations: int, n: int
         T.write_lines(tw.select(F.concat_ws("\t", F.col("topic").cast("string"), "token",
                                             F.format_string("%.4f", "p")).alias("value")), topics_report_path)
     if docs_report_path:
-        tt = top_topics(model.theta, topics_per_doc).groupBy("row_id").agg(
-            F.array_sort(F.collect_list(F.struct("rank", "p", "topic"))).alias("tops"))
-        line = F.array_join(F.transform("tops", lambda s: F.format_string("(%s,%d)", s["p"].cast("string"), s["topic"])), ";")
-        rep = trained.docs.join(tt, "row_id").select(
-            F.concat_ws("\t", "name", F.array_join("tokens", ":"), line).alias("value"))
-        T.write_lines(rep, docs_report_path)
+        T.write_lines(T.format_doc_report(trained.docs, model.theta, topics_per_doc), docs_report_path)
     return hits

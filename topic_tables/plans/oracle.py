@@ -11,7 +11,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 # Token pattern and the hashed-uniform initialisation constants.
-TOKEN_PATTERN = "[A-Za-z]+"
+TOKEN_PATTERN = r"[\p{L}\p{N}]+"
 HASH_DENOMINATOR = 4294967297
 
 

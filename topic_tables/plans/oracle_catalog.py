@@ -2,13 +2,19 @@
 
 from __future__ import annotations
 
-from topic_tables.functions.dirichlet import SMALL_VALUE, dirichlet_log_beta
 from topic_tables.plans import catalog as C
 from topic_tables.plans.oracle import (
-    EMSpec, bags_cte, em_ctes, phi0_ctes, tokens_cte, topics_cte, vocab_ctes, with_query,
+    TOKEN_PATTERN, EMSpec, bags_cte, em_ctes, phi0_ctes, tokens_cte, topics_cte, vocab_ctes, with_query,
 )
 
 K, I = C.K, C.ITERATIONS
+# Fixed value: the offset under the logarithm of the Dirichlet density.
+OFFSET = 1e-5
+
+
+def _log_density(alpha: float, size: str, total: str) -> str:
+    """Symmetric Dirichlet log density from the summed logs of its cells."""
+    return f"(lgamma({size} * {alpha!r}) - {size} * lgamma({alpha!r}) + ({alpha - 1.0!r}) * {total})"
 
 
 def _base(extra_tok: list[str] | None = None) -> list[str]:
@@ -25,8 +31,10 @@ def _robust(**kw) -> list[str]:
     return em_ctes(EMSpec(K, I, robust=True, gamma=C.GAMMA, eps=C.EPS, **kw))
 
 
-def _theta_sel(t: str, id_name: str = "row_id") -> str:
-    return f"SELECT row_id AS {id_name}, topic, round(p, 6) AS p FROM {t}"
+def _theta_sel(t: str, id_name: str = "row_id", table: str = "documents", key: str = "doc_id") -> str:
+    """Every document, with nulls where no word is known."""
+    return (f"SELECT d.row_id AS {id_name}, t.topic, round(t.p, 6) AS p FROM "
+            f"(SELECT DISTINCT CAST({key} AS BIGINT) AS row_id FROM {table}) d LEFT JOIN {t} t ON t.row_id = d.row_id")
 
 
 def _phi_sel(f: str) -> str:
@@ -81,10 +89,11 @@ def build() -> dict[str, str]:
     s["plsa_perplexity"] = with_query(plsa, f"SELECT (SELECT sum(n) FROM bags) AS collection_length, round(loglik, 3) AS loglik, "
                                             f"round(exp(-loglik / (SELECT sum(n) FROM bags)), 6) AS perplexity FROM ll{I}")
     fold = plsa + _BENCH + em_ctes(EMSpec(K, I, prefix="g", bags="qbags", phi0=f"f{I}", freeze_phi=True))
-    s["fold_in"] = with_query(fold, _theta_sel(f"gt{I}", "query_id"))
+    s["fold_in"] = with_query(fold, _theta_sel(f"gt{I}", "query_id", "benchmark", "item_id"))
     cos = plsa + em_ctes(EMSpec(K, I, prefix="h", bags="bags", phi0=f"f{I}", freeze_phi=True))
-    s["cosine_sim"] = with_query(cos, f"SELECT a.row_id, round(sum(a.p * b.p) / (sqrt(sum(a.p * a.p)) * sqrt(sum(b.p * b.p))), 6) AS cosine "
-                                      f"FROM t{I} a JOIN ht{I} b ON a.row_id = b.row_id AND a.topic = b.topic GROUP BY a.row_id")
+    s["cosine_sim"] = with_query(cos, f"SELECT d.row_id, round(sum(a.p * b.p) / (sqrt(sum(a.p * a.p)) * sqrt(sum(b.p * b.p))), 6) AS cosine "
+                                      f"FROM (SELECT DISTINCT CAST(doc_id AS BIGINT) AS row_id FROM documents) d LEFT JOIN t{I} a ON a.row_id = d.row_id "
+                                      f"LEFT JOIN ht{I} b ON a.row_id = b.row_id AND a.topic = b.topic GROUP BY d.row_id")
     srch = fold + [_DOCS_NAMES]
     sq = _search(f"gt{I}", f"t{I}", with_qname=False)
     s["similar_docs"] = "WITH " + ",\n".join(srch) + ",\n" + sq
@@ -100,9 +109,10 @@ def build() -> dict[str, str]:
     s["top_words"] = with_query(plsa, f"SELECT CAST(topic AS INTEGER) AS topic, CAST(rnk AS INTEGER) AS rank, token, round(p, 6) AS p FROM "
                                       f"(SELECT *, row_number() OVER (PARTITION BY topic ORDER BY round(p, 8) DESC, token) AS rnk FROM f{I}) "
                                       f"WHERE rnk <= {C.TOP_WORDS}")
-    s["top_topics"] = with_query(plsa, f"SELECT row_id, CAST(rnk AS INTEGER) AS rank, topic, round(p, 6) AS p FROM "
-                                       f"(SELECT *, row_number() OVER (PARTITION BY row_id ORDER BY round(p, 8) DESC, topic) AS rnk FROM t{I}) "
-                                       f"WHERE rnk <= {C.TOP_TOPICS}")
+    best = (f"(SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY row_id ORDER BY round(p, 8) DESC, topic) AS rnk FROM t{I}) "
+            f"WHERE rnk <= {C.TOP_TOPICS})")
+    s["top_topics"] = with_query(plsa, f"SELECT d.row_id, CAST(rnk AS INTEGER) AS rank, topic, round(p, 6) AS p FROM "
+                                       f"(SELECT DISTINCT CAST(doc_id AS BIGINT) AS row_id FROM documents) d LEFT JOIN {best} b ON b.row_id = d.row_id")
     s["model_checks"] = with_query(plsa, (
         f"SELECT a.theta_negative, a.theta_bad_sum, round(a.theta_max_dev, 6) AS theta_max_dev, "
         f"b.phi_negative, b.phi_bad_sum, round(b.phi_max_dev, 6) AS phi_max_dev FROM "
@@ -121,25 +131,56 @@ def build() -> dict[str, str]:
         f"SELECT CAST(iteration AS INTEGER) AS iteration, round(loglik, 3) AS loglik FROM ll{i}" for i in range(I + 1)))
     rf = rb + _BENCH + em_ctes(EMSpec(K, I, prefix="g", bags="qbags", phi0=f"f{I}", freeze_phi=True, robust=True,
                                       gamma=C.GAMMA, eps=C.EPS))
-    s["robust_fold_in"] = with_query(rf, _theta_sel(f"gt{I}", "query_id"))
-    lb = dirichlet_log_beta(C.ALPHA, K)
-    s["dirichlet_logpdf"] = with_query(plsa, f"SELECT row_id, round({-lb!r} + ({C.ALPHA - 1.0!r}) * sum(ln(p + {SMALL_VALUE!r})), 6) AS logpdf "
-                                             f"FROM t{I} GROUP BY row_id")
+    s["robust_fold_in"] = with_query(rf, _theta_sel(f"gt{I}", "query_id", "benchmark", "item_id"))
+    density = _log_density(C.ALPHA, str(K), f"sum(ln(p + {OFFSET!r}))")
+    s["dirichlet_logpdf"] = with_query(plsa, f"SELECT d.row_id, round({density}, 6) AS logpdf "
+                                             f"FROM (SELECT DISTINCT CAST(doc_id AS BIGINT) AS row_id FROM documents) d "
+                                             f"LEFT JOIN t{I} t ON t.row_id = d.row_id GROUP BY d.row_id")
+    both = base + _plsa(theta_alpha=C.ALPHA, phi_alpha=C.ALPHA)
+    of_theta = f"(SELECT sum(x) FROM (SELECT {density} AS x FROM t{I} GROUP BY row_id))"
+    topic = _log_density(C.ALPHA, "(SELECT count(*) FROM vocab)", f"sum(ln(p + {OFFSET!r}))")
+    of_phi = f"(SELECT sum(x) FROM (SELECT {topic} AS x FROM f{I} GROUP BY topic))"
+    length = "(SELECT sum(n) FROM bags)"
+
+    def perplexity(extra: str) -> str:
+        return (f"SELECT {length} AS collection_length, round(loglik, 3) AS loglik, "
+                f"round(exp(-(loglik + {extra}) / {length}), 6) AS perplexity FROM ll{I}")
+    s["perplexity_priors"] = with_query(both, perplexity(f"{of_theta} + {of_phi}"))
+    s["perplexity_custom_phi"] = with_query(plsa, perplexity(f"(SELECT sum(-{C.PHI_PENALTY!r} * p * p) FROM f{I})"))
+    kw = C.K_WIDE
+    wide = ([tokens_cte("tok", "documents", "doc_id")] + vocab_ctes(C.THRESHOLD) + [bags_cte("bags", "tok"), topics_cte(kw)]
+            + phi0_ctes(C.SEED) + em_ctes(EMSpec(kw, I)))
+    s["plsa_k100_theta"] = with_query(wide, _theta_sel(f"t{I}"))
+    s["plsa_k100_loglik"] = with_query(wide, " UNION ALL ".join(
+        f"SELECT CAST(iteration AS INTEGER) AS iteration, round(loglik, 3) AS loglik FROM ll{i}" for i in range(I + 1)))
     s["theta_prior"] = with_query(base + _plsa(theta_alpha=C.ALPHA), _theta_sel(f"t{I}"))
     s["phi_prior"] = with_query(base + _plsa(phi_alpha=C.ALPHA), _phi_sel(f"f{I}"))
     s["custom_prior"] = with_query(base + _plsa(theta_shift=C.CUSTOM_SHIFT), _theta_sel(f"t{I}"))
-    dtok = ("dt AS (SELECT CAST(doc_id AS VARCHAR) AS name, list_transform(coalesce(regexp_extract_all(text, '[A-Za-z]+'), []), lambda x: lower(x)) AS toks "
+    dtok = ("dt AS (SELECT CAST(doc_id AS VARCHAR) AS name, list_transform(coalesce(regexp_extract_all(text, '" + TOKEN_PATTERN + "'), []), lambda x: lower(x)) AS toks "
             "FROM documents)")
     s["read_bags"] = with_query([dtok], "SELECT name, CAST(len(toks) AS BIGINT) AS n_tokens, array_to_string(toks, ':') AS contents "
                                         "FROM dt WHERE len(toks) > 0")
     s["word_table"] = with_query(tok_only + vocab_ctes(C.THRESHOLD)[:1], "SELECT token || chr(9) || CAST(n AS VARCHAR) AS line FROM tc")
     s["phi_long"] = with_query(plsa, f"SELECT f.topic, v.word_id, round(f.p, 6) AS p FROM f{I} f JOIN vocab v ON v.token = f.token WHERE f.p > 0")
     s["phi_roundtrip"] = s["plsa_phi"]
-    s["theta_roundtrip"] = with_query(plsa + [_DOCS_NAMES], f"SELECT dn.name, t.topic, round(t.p, 6) AS p FROM t{I} t JOIN dn ON dn.row_id = t.row_id")
+    s["theta_roundtrip"] = with_query(plsa + [_DOCS_NAMES], f"SELECT dn.name, t.topic, round(t.p, 6) AS p FROM dn LEFT JOIN t{I} t ON dn.row_id = t.row_id")
     s["theta_sparse"] = with_query(plsa + [dtok.replace("dt AS (SELECT", "dt AS (SELECT CAST(doc_id AS BIGINT) AS row_id,")],
                                    f"SELECT dt.name, array_to_string(dt.toks, ':') AS contents, "
-                                   f"CAST(coalesce(x.c, 0) AS INTEGER) AS n_cells FROM dt LEFT JOIN "
-                                   f"(SELECT row_id, sum(CASE WHEN p > 0 THEN 1 ELSE 0 END) AS c FROM t{I} GROUP BY row_id) x ON x.row_id = dt.row_id")
+                                   f"CAST(count(x.p) OVER (PARTITION BY dt.row_id) AS INTEGER) AS n_cells, x.topic, round(x.p, 6) AS p "
+                                   f"FROM dt LEFT JOIN (SELECT * FROM t{I} WHERE p > 0) x ON x.row_id = dt.row_id")
     s["topic_preview"] = with_query(plsa, f"SELECT CAST(topic AS VARCHAR) || chr(9) || token || chr(9) || printf('%.4f', p) AS line "
                                           f"FROM f{I} WHERE p >= 1e-4")
+    s["doc_preview"] = with_query(plsa + [_DOCS_NAMES], f"SELECT dn.name || chr(9) || CAST(topic AS VARCHAR) || chr(9) || printf('%.4f', p) AS line "
+                                                        f"FROM t{I} t JOIN dn ON dn.row_id = t.row_id WHERE p >= 1e-4")
+    # a bag line without any token has no second field and is not read back
+    read = f"dr AS (SELECT CAST(doc_id AS VARCHAR) AS name, CAST(doc_id AS BIGINT) AS row_id FROM documents WHERE regexp_matches(text, '{TOKEN_PATTERN}'))"
+    s["train_files"] = with_query(plsa + [read], (
+        f"SELECT 'topic-word' AS kind, CAST(v.word_id AS VARCHAR) AS key, f.topic, round(f.p, 6) AS p FROM f{I} f JOIN vocab v ON v.token = f.token WHERE f.p > 0 "
+        f"UNION ALL SELECT 'doc-topic', dr.name, t.topic, round(t.p, 6) FROM dr LEFT JOIN (SELECT * FROM t{I} WHERE p > 0) t ON t.row_id = dr.row_id"))
+    ranked = s["similar_docs"]
+    word_rows = (f"SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY topic ORDER BY round(p, 8) DESC, token) AS rnk FROM f{I}) WHERE rnk <= {C.TOP_WORDS}")
+    s["search_files"] = "WITH similar_ AS (" + ranked + "),\n" + with_query(plsa + [_DOCS_NAMES], (
+        "SELECT 'similar' AS kind, CAST(query_id AS VARCHAR) AS a, name AS b, round(score, 4) AS p FROM similar_ "
+        f"UNION ALL SELECT 'topic', CAST(topic AS VARCHAR), token, round(p, 4) FROM ({word_rows}) "
+        f"UNION ALL SELECT 'document', dn.name, CAST(topic AS VARCHAR), round(p, 6) FROM {best} b JOIN dn ON dn.row_id = b.row_id"))[5:]
     return s

@@ -51,6 +51,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
         "spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         configured = tempfile.mkdtemp(prefix="topic-tables-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir()
@@ -101,7 +103,7 @@ def write_bucketed(df: DataFrame, keys: list[str], buckets: int, label: str,
        .option("path", path)
        .saveAsTable(name))
     out = spark.table(name)
-    out._tt_path, out._tt_table = path, name
+    out._tt_path, out._tt_table, out._tt_buckets = path, name, buckets
     return out
 
 
@@ -127,10 +129,3 @@ def release(df: DataFrame | None) -> None:
 
 def default_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
-
-
-def env_int(name: str, default: int) -> int:
-    try:
-        return int(os.environ.get(name, default))
-    except ValueError:
-        return default

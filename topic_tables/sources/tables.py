@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Fixed value: a token is a maximal run of ASCII letters, lower-cased.
-TOKEN_PATTERN = "[A-Za-z]+"
+# Fixed value: a token is a maximal run of letters and decimal or other digits of any script, lower-cased.
+TOKEN_PATTERN = r"[\p{L}\p{N}]+"
 
 
 def load_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

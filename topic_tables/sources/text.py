@@ -18,7 +18,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from topic_tables.functions.vectors import k_array
+from topic_tables.functions.vectors import top_n_of_array
+from topic_tables.session import cut_lineage
 
 
 def _quote(sep: str) -> str:
@@ -48,38 +49,50 @@ def parse_bag_lines(lines: DataFrame, field_sep: str = "\t", token_sep: str = ":
 
 def read_bags(spark: SparkSession, path: str, field_sep: str = "\t", token_sep: str = ":",
               exact_fields: bool = False) -> DataFrame:
-    """A1.  ``row_id`` comes from ``monotonically_increasing_id`` over the
-    file splits, which is stable for a given set of files."""
-    return parse_bag_lines(spark.read.text(path), field_sep, token_sep, exact_fields)
+    """A1.  Row ids depend on how files are split, so the parsed table is
+    written once: every later use sees the same ids."""
+    return cut_lineage(parse_bag_lines(spark.read.text(path), field_sep, token_sep, exact_fields), "bag-lines")
 
 
 def parse_doc_topic_lines(lines: DataFrame, k: int) -> DataFrame:
-    """A2: ``name \\t contents \\t t:p;t:p`` → (row_id, name, tokens, theta[K])."""
+    """A2: ``name \\t contents \\t t:p;t:p`` → (row_id, name, tokens, theta[K]).
+
+    A topic outside 0..K-1 or a malformed cell fails the read; a line without
+    cells has θ null (a document without known words)."""
     f = _java_split(F.col("value"), "\t")
     cells = F.transform(F.split(F.get(F.col("f"), 2), ";", -1), lambda e: F.split(e, ":", -1))
-    m = F.map_from_entries(F.transform(cells, lambda c: F.struct(c[0].cast("int"), c[1].cast("double"))))
-    theta = k_array([F.coalesce(F.element_at(F.col("m"), F.lit(t)), F.lit(0.0)) for t in range(k)])
-    return (lines.select(f.alias("f")).where(F.size("f") > 2)
+    good = F.forall(cells, lambda c: (F.size(c) == 2) & c[0].try_cast("int").between(0, k - 1) & c[1].try_cast("double").isNotNull())
+    entries = F.map_from_entries(F.transform(cells, lambda c: F.struct(c[0].cast("int"), c[1].cast("double"))))
+    m = (F.when(F.coalesce(F.get(F.col("f"), 2), F.lit("")) == "", F.lit(None))
+         .when(F.coalesce(good, F.lit(False)), entries)
+         .otherwise(F.raise_error(F.concat(F.lit(f"bad cell or topic outside 0..{k - 1}: "), F.get(F.col("f"), 2)))))
+    theta = F.when(F.col("m").isNotNull(), F.transform(F.sequence(F.lit(0), F.lit(k - 1)), lambda t: F.coalesce(F.col("m")[t], F.lit(0.0))))
+    return (lines.select(f.alias("f")).where(F.size("f") >= 2)
             .select(F.monotonically_increasing_id().alias("row_id"), F.get(F.col("f"), 0).alias("name"),
                     _java_split(F.get(F.col("f"), 1), ":").alias("tokens"), m.alias("m"))
             .select("row_id", "name", "tokens", theta.alias("theta")))
 
 
 def read_doc_topic(spark: SparkSession, path: str, k: int) -> DataFrame:
-    return parse_doc_topic_lines(spark.read.text(path), k)
+    """A2, written once so that row ids hold (see :func:`read_bags`)."""
+    return cut_lineage(parse_doc_topic_lines(spark.read.text(path), k), "doc-topic-lines")
 
 
 def parse_topic_word_lines(lines: DataFrame, k: int) -> DataFrame:
     """A3: ``topic \\t word_index \\t p`` → phi(word_id, phi[K]); missing cells 0.
 
-    One K-wide sum aggregate per word (partial aggregation on the map side, no
-    per-word list is ever built)."""
+    A topic outside 0..K-1 or a malformed line fails the read.  Cells are
+    summed by (word, topic), then a word's at most K cells make its row."""
     f = F.split(F.col("value"), "\t", -1)
-    cells = lines.select(F.get(f, 0).cast("int").alias("topic"), F.get(f, 1).cast("int").alias("word_id"),
-                         F.get(f, 2).cast("double").alias("p")).where(F.col("p").isNotNull())
-    aggs = [F.sum(F.when(F.col("topic") == t, F.col("p")).otherwise(F.lit(0.0))).alias(f"c{t}") for t in range(k)]
-    return cells.groupBy("word_id").agg(*aggs).select(
-        "word_id", k_array([F.col(f"c{t}") for t in range(k)]).alias("phi"))
+    cells = lines.where("value <> ''").select("value", F.get(f, 0).try_cast("int").alias("topic"), F.get(f, 1).try_cast("int").alias("word_id"),
+                                              F.get(f, 2).try_cast("double").alias("p"))
+    good = F.col("topic").between(0, k - 1) & F.col("word_id").isNotNull() & F.col("p").isNotNull()
+    topic = F.when(F.coalesce(good, F.lit(False)), F.col("topic")).otherwise(
+        F.raise_error(F.concat(F.lit(f"bad line or topic outside 0..{k - 1}: "), F.col("value"))).cast("int"))
+    summed = cells.select("word_id", topic.alias("topic"), "p").groupBy("word_id", "topic").agg(F.sum("p").alias("p"))
+    m = F.map_from_entries(F.collect_list(F.struct("topic", "p")))
+    return summed.groupBy("word_id").agg(m.alias("m")).select(
+        "word_id", F.transform(F.sequence(F.lit(0), F.lit(k - 1)), lambda t: F.coalesce(F.col("m")[t], F.lit(0.0))).alias("phi"))
 
 
 def read_topic_word(spark: SparkSession, path: str, k: int) -> DataFrame:
@@ -119,6 +132,21 @@ def format_topic_preview(cells: DataFrame) -> DataFrame:
                     F.format_string("%.4f", F.col("p"))).alias("value"))
 
 
+def format_doc_preview(docs: DataFrame, theta: DataFrame) -> DataFrame:
+    """A7, the θ half: (name, topic, p) → ``name \\t topic \\t %.4f`` for p >= 1e-4."""
+    cells = theta.select("row_id", F.posexplode("theta").alias("topic", "p")).where(F.col("p") >= 1e-4)
+    return cells.join(docs.select("row_id", "name"), "row_id").select(
+        F.concat_ws("\t", F.col("name"), F.col("topic").cast("string"), F.format_string("%.4f", F.col("p"))).alias("value"))
+
+
+def format_doc_report(docs: DataFrame, theta: DataFrame, n: int) -> DataFrame:
+    """F7's document report: ``name \\t contents \\t (p,topic);...`` with the n
+    best topics; the line is made from the θ row, without a group."""
+    tops = F.array_join(F.transform(top_n_of_array("theta", n), lambda e: F.format_string("(%s,%d)", e["p"].cast("string"), e["topic"])), ";")
+    return docs.join(theta.where("theta is not null"), "row_id").select(
+        F.concat_ws("\t", "name", F.array_join("tokens", ":"), tops).alias("value"))
+
+
 def format_word_table(counts: DataFrame) -> DataFrame:
     """``word \\t num``."""
     return counts.select(F.concat_ws("\t", F.col("token"), F.col("n").cast("string")).alias("value"))

@@ -2,8 +2,8 @@
 
 A fitted model is frozen, so each micro-batch of queries is independent of
 every other: ``foreachBatch`` runs the batch fold-in and the top-n search on
-that micro-batch (with the documents' θ table as the static side) and appends
-the hits to a sink table.  The streaming source is any Structured Streaming
+that micro-batch (with the documents' θ table as the static side) and writes
+the hits to the batch's own folder ``epoch=<n>`` of the sink table.  The streaming source is any Structured Streaming
 reader of (row_id, name, text) rows, e.g. ``spark.readStream.parquet``.
 """
 
@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from topic_tables.operators.em import TopicModel
 from topic_tables.operators.plsa import fold_in
 from topic_tables.operators.search import similar_docs
-from topic_tables.session import release
+from topic_tables.session import cut_lineage, release
 from topic_tables.sources.tables import tokens_from_text
 
 
@@ -26,15 +26,17 @@ def start_search_stream(stream: DataFrame, model: TopicModel, doc_theta: DataFra
     (row_id, name, theta) of the ranked documents."""
 
     def run_batch(batch: DataFrame, epoch: int) -> None:
-        docs = tokens_from_text(batch, id_col, text_col)
+        # read once: the batch's source is not evaluated again for its names
+        docs = cut_lineage(tokens_from_text(batch, id_col, text_col), "stream-batch")
         folded = fold_in(docs, model, iterations)
         qt = folded.theta.join(docs.select("row_id", "name"), "row_id").select(
             F.col("row_id").alias("query_id"), F.col("name").alias("query_name"), "theta")
-        hits = similar_docs(doc_theta, qt, n).withColumn("epoch", F.lit(epoch))
-        hits.write.mode("append").parquet(out_path)
+        hits = similar_docs(doc_theta, qt, n)
+        # A replayed batch overwrites its own folder, so hits never double.
+        hits.write.mode("overwrite").parquet(f"{out_path.rstrip('/')}/epoch={epoch}")
         # The batch's bag and θ tables are not needed once its hits are out.
-        for table in folded.scratch:
-            release(table)
+        folded.release()
+        release(docs)
 
     writer = stream.writeStream.foreachBatch(run_batch).option("checkpointLocation", checkpoint_path)
     if trigger_once:
