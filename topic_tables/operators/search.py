@@ -30,9 +30,9 @@ QUERY_BLOCK_BYTES = 8 << 20
 SCORES_AT_ONCE = 4_000_000
 
 
-def _unit(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+def _unit(table: pa.Table, name: str) -> tuple[np.ndarray, np.ndarray]:
     """Unit vectors of a block, and which rows have one."""
-    col = table["theta"].combine_chunks()
+    col = table[name].combine_chunks()
     m = col.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(col), -1) if len(col) else np.zeros((0, 1))
     norm = np.linalg.norm(m, axis=1) if len(m) else np.zeros(0)
     ok = norm > 0
@@ -41,8 +41,8 @@ def _unit(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
 
 def block_top(docs: pa.Table, queries: pa.Table, n: int) -> pa.Table:
     """Top-n documents of the block for each query of the block."""
-    d, ok = _unit(docs)
-    q, okq = _unit(queries)
+    d, ok = _unit(docs, "vec")
+    q, okq = _unit(queries, "qvec")
     rid, names = docs["row_id"].to_numpy()[ok], np.array(docs["name"].to_pylist(), dtype=object)[ok]
     qid = queries["query_id"].to_numpy()[okq]
     out = [pd.DataFrame({"query_id": np.zeros(0, np.int64), "row_id": np.zeros(0, np.int64), "name": np.zeros(0, object), "score": np.zeros(0)})]
@@ -75,13 +75,14 @@ def similar_docs(doc_theta: DataFrame, query_theta: DataFrame, n: int = 20, doc_
 
     def every(count: int):
         return F.explode(F.sequence(F.lit(0), F.lit(count - 1)))
-    left = docs.withColumn("bd", F.pmod(F.xxhash64("row_id"), F.lit(n_d)).cast("int")).withColumn("bq", every(n_q))
-    right = queries.withColumn("bq", F.pmod(F.xxhash64("query_id"), F.lit(n_q)).cast("int")).withColumn("bd", every(n_d))
+    # Both sides may come from one table: their columns get ids of their own.
+    left = docs.select("row_id", "name", F.col("theta").alias("vec"), F.pmod(F.xxhash64("row_id"), F.lit(n_d)).cast("int").alias("bd"), every(n_q).alias("bq"))
+    right = queries.select("query_id", F.col("theta").alias("qvec"), F.pmod(F.xxhash64("query_id"), F.lit(n_q)).cast("int").alias("rq"), every(n_d).alias("rd"))
 
     def work(a: pa.Table, b: pa.Table) -> pa.Table:
         return block_top(a, b, n)
 
-    cand = left.groupBy("bd", "bq").cogroup(right.groupBy("bd", "bq")).applyInArrow(work, HITS)
+    cand = left.groupBy("bd", "bq").cogroup(right.groupBy("rd", "rq")).applyInArrow(work, HITS)
     w = Window.partitionBy("query_id").orderBy(F.round("score", 8).desc(), F.col("name").asc_nulls_first(), F.col("row_id"))
     top = cand.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= n)
     names = query_theta.select("query_id", "query_name")

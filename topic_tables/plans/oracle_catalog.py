@@ -45,7 +45,7 @@ _BENCH = [tokens_cte("qtok", "benchmark", "item_id"), bags_cte("qbags", "qtok")]
 _DOCS_NAMES = "dn AS (SELECT CAST(doc_id AS BIGINT) AS row_id, CAST(doc_id AS VARCHAR) AS name FROM documents)"
 
 
-def _search(q_theta: str, d_theta: str, with_qname: bool) -> str:
+def _search(q_theta: str, d_theta: str, with_qname: bool, score: str = "round(h.score, 6)") -> str:
     """Top-n cosine ranking in long form (all pairs are fine for the oracle)."""
     qname = ", CAST(h.query_id AS VARCHAR) AS query_name" if with_qname else ""
     return (
@@ -57,7 +57,7 @@ def _search(q_theta: str, d_theta: str, with_qname: bool) -> str:
         f"JOIN qn ON qn.row_id = x.query_id JOIN dnr ON dnr.row_id = x.row_id JOIN dn ON dn.row_id = x.row_id "
         f"WHERE qn.nr > 0 AND dnr.nr > 0), "
         f"rk AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY round(score, 8) DESC, name, row_id) AS rnk FROM sc) "
-        f"SELECT h.query_id{qname}, CAST(h.rnk AS INTEGER) AS rank, h.row_id, h.name, round(h.score, 6) AS score "
+        f"SELECT h.query_id{qname}, CAST(h.rnk AS INTEGER) AS rank, h.row_id, h.name, {score} AS score "
         f"FROM rk h WHERE h.rnk <= {C.TOP_DOCS}")
 
 
@@ -177,7 +177,7 @@ def build() -> dict[str, str]:
     s["train_files"] = with_query(plsa + [read], (
         f"SELECT 'topic-word' AS kind, CAST(v.word_id AS VARCHAR) AS key, f.topic, round(f.p, 6) AS p FROM f{I} f JOIN vocab v ON v.token = f.token WHERE f.p > 0 "
         f"UNION ALL SELECT 'doc-topic', dr.name, t.topic, round(t.p, 6) FROM dr LEFT JOIN (SELECT * FROM t{I} WHERE p > 0) t ON t.row_id = dr.row_id"))
-    ranked = s["similar_docs"]
+    ranked = "WITH " + ",\n".join(srch) + ",\n" + _search(f"gt{I}", f"t{I}", with_qname=False, score="h.score")
     word_rows = (f"SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY topic ORDER BY round(p, 8) DESC, token) AS rnk FROM f{I}) WHERE rnk <= {C.TOP_WORDS}")
     s["search_files"] = "WITH similar_ AS (" + ranked + "),\n" + with_query(plsa + [_DOCS_NAMES], (
         "SELECT 'similar' AS kind, CAST(query_id AS VARCHAR) AS a, name AS b, round(score, 4) AS p FROM similar_ "
