@@ -8,8 +8,8 @@ State between iterations lives in tables, never in driver matrices:
   theta          (row_id, part, theta[K], nu_sum)  bucketed in the same way
   phi            (word_id, phi[K], bg)             one row per vocabulary word
 
-A word block is a range of word ids whose K-wide φ rows fit the broadcast
-limit; a small vocabulary is one block.  One iteration makes, for each block,
+A word block is a range of word ids whose K-wide φ rows fit 64 MB (or the
+broadcast limit); a small vocabulary is one block.  One iteration makes, for each block,
 one pass over the document rows joined with θ (co-located, so neither the
 pairs nor θ move) and the block's φ (broadcast).  The pass computes from the
 *previous* state only, in numpy over Arrow batches whose width is K:
@@ -43,6 +43,8 @@ from topic_tables.operators.priors import Prior, is_active
 from topic_tables.operators.vocab import Vocabulary, buckets_of
 from topic_tables.session import cut_lineage, release, write_bucketed
 
+#: Bytes of a word block's φ; a Python worker holds that and as many counts.
+BLOCK_BYTES = 64 << 20
 #: Pairs whose K-wide products a task holds at once.
 PAIRS_AT_ONCE = 20_000
 
@@ -157,8 +159,8 @@ def _over(counts: DataFrame, totals: np.ndarray) -> DataFrame:
 
 
 def word_blocks(spark, vocab_size: int, k: int) -> list[tuple[int, int]]:
-    """Ranges of word ids whose φ and count rows fit the broadcast limit."""
-    words = max(1, broadcast_limit(spark) // (8 * (k + 2)))
+    """Ranges of word ids whose φ rows fit a block."""
+    words = max(1, min(broadcast_limit(spark), BLOCK_BYTES) // (8 * (k + 2)))
     return [(a, min(vocab_size, a + words)) for a in range(0, max(vocab_size, 1), words)]
 
 
