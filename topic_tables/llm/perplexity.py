@@ -192,7 +192,7 @@ def _sorted_arrays(table: DataFrame, shift: int) -> dict:
     first = Window.partitionBy("lang", "k", "slot").orderBy(F.desc("n"), "h")
     best = hashed.withColumn("r", F.row_number().over(first)).where(F.col("r") <= IN_SLOT)
 
-    def pack(key, t: pa.Table) -> pa.Table:
+    def pack(key, t):
         h = t["h"].to_numpy().view(np.uint64)
         order = np.argsort(h)
         return pa.table({"lang": [key[0].as_py()], "k": pa.array([key[1].as_py()], pa.int32()), "hashes": [h[order].tobytes()],
