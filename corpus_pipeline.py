@@ -44,8 +44,7 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    path = public_tokenizers.path(queries.BYTE_BPE)
-    return bpe.digests(bpe.decode(bpe.encode(docs, path), path))
+    return bpe.digests(bpe.round_trip(docs, public_tokenizers.path(queries.BYTE_BPE)))
 
 
 STAGES = [("langid", identify), ("simhash", deduplicate), ("pii", redact), ("mixing", mix), ("bpe", encode)]

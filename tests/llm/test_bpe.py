@@ -53,6 +53,7 @@ def test_frame(spark):
         want.append((i, len(ids), hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest(),
                      hashlib.sha256((t or "").encode()).hexdigest()))
     assert got == sorted(want, key=str)
+    assert sorted(map(tuple, bpe.digests(bpe.round_trip(df, PATH)).collect()), key=str) == got
 
 
 def test_empty_table(spark):

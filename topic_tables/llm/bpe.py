@@ -27,8 +27,8 @@ from pyspark.sql import functions as F
 from topic_tables.llm.text import gather_ranges, slices
 
 #: A Python worker forgets its merged pre-tokens beyond either bound.
-CACHE_WORDS = 400_000
-CACHE_CHARS = 8_000_000
+CACHE_WORDS = 200_000
+CACHE_CHARS = 4_000_000
 FAR = np.int64(1) << 40
 
 
@@ -184,6 +184,22 @@ def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
             .mapInArrow(run, f"id {id_type}, ids array<int>").withColumnRenamed("id", id_col))
 
 
+def round_trip(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", special: bool = True) -> DataFrame:
+    """``(id, ids, decoded)`` of every row: encoded, and decoded from the ids,
+    in one pass, so that a task needs one Python worker."""
+    id_type = docs.schema[id_col].dataType.simpleString()
+
+    def run(batches):
+        bpe = codec(path)
+        for b in slices(batches, 1):
+            ids, counts = bpe.encode(b.column(1).to_pylist(), special)
+            text = bpe.decode(ids.astype(np.int64), counts)
+            yield pa.RecordBatch.from_arrays([b.column(0), _list(ids, counts), pa.array(text, pa.string())], ["id", "ids", "decoded"])
+
+    return (docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
+            .mapInArrow(run, f"id {id_type}, ids array<int>, decoded string").withColumnRenamed("id", id_col))
+
+
 def decode(tokens: DataFrame, path: str, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:
     """``(id, ids, decoded)``: the text of every row's ids (null ids: empty)."""
     id_type = tokens.schema[id_col].dataType.simpleString()

@@ -31,8 +31,7 @@ def op3_mixing(spark, sf_dir) -> DataFrame:
 
 
 def op4_bpe(spark, sf_dir) -> DataFrame:
-    path = public_tokenizers.path(BYTE_BPE)
-    return bpe.digests(bpe.decode(bpe.encode(read(spark, sf_dir, "documents"), path), path))
+    return bpe.digests(bpe.round_trip(read(spark, sf_dir, "documents"), public_tokenizers.path(BYTE_BPE)))
 
 
 def op5_langid(spark, sf_dir) -> DataFrame:
