@@ -7,7 +7,7 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from topic_tables.session import cut_lineage, release
@@ -171,20 +171,14 @@ def components(edges: DataFrame, label: str = "components") -> DataFrame:
     """
     now = cut_lineage(edges.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
                       .where("a <> b").distinct(), label)
-    before = None
     while True:
-        large = _stars(now, label).where("a <> b").distinct()
-        large = cut_lineage(large, label)
-        seen = Observation()
-        small = _small_stars(large, label).where("a <> b").distinct()
-        small = cut_lineage(small.observe(seen, F.count(F.lit(1)).alias("n"),
-                                          F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("h")), label)
+        large = cut_lineage(_stars(now, label).where("a <> b").distinct(), label)
+        small = cut_lineage(_small_stars(large, label).where("a <> b").distinct(), label)
         release(now)
         release(large)
-        state = (seen.get["n"], seen.get["h"])
         now = small
-        if state == before:
+        # Stars only: nobody hangs under a node that hangs itself.
+        if now.join(now.select(F.col("a").alias("b")), "b", "left_semi").isEmpty():
             break
-        before = state
     return now.select(F.col("b").alias("node"), F.col("a").alias("component")).unionByName(
         now.select(F.col("a").alias("node"), F.col("a").alias("component")).distinct())
