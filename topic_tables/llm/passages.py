@@ -245,7 +245,9 @@ def repeated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", si
     hex8 = F.regexp_extract_all(F.hex("shingles"), F.lit("[0-9A-F]{8}"), F.lit(0))
     buckets = hits.where("key is not null").select("key", "h", "small").distinct()
     in_bucket = cut_lineage(buckets, "buckets")
-    set_of = cut_lineage(found.join(in_bucket.select("h").distinct(), "h", "left_semi").groupBy("h").agg(F.min("shingles").alias("shingles"))
+    # A paragraph's many occurrences are one row before the join.
+    one_of = found.groupBy("h").agg(F.min("shingles").alias("shingles"))
+    set_of = cut_lineage(one_of.join(in_bucket.select("h").distinct(), "h", "left_semi")
                          .select("h", F.transform(F.array_distinct(hex8), lambda x: F.conv(x, 16, 10).cast("bigint")).alias("set")), "sets")
     small = in_bucket.where("small").select("key", "h")
     pairs = small.join(small.select("key", F.col("h").alias("h2")), "key").where("h < h2").select("h", "h2").distinct()
