@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 
 import numpy as np
-import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -48,8 +48,7 @@ def slices(batches, text_at: int, limit: int = 4_000_000):
         col = batch.column(text_at)
         if not batch.num_rows:
             continue
-        sizes = np.array([len(x) if x is not None else 0 for x in col.cast(pa.large_binary()).to_pylist()]) \
-            if batch.nbytes > limit else np.zeros(batch.num_rows)
+        sizes = pc.fill_null(pc.binary_length(col), 0).to_pylist()
         cuts, acc = [0], 0
         for i, s in enumerate(sizes):
             if acc and acc + s > limit:
