@@ -46,7 +46,7 @@ WORDS_AT_ONCE = 20_000
 CACHE_WORDS = 150_000
 CACHE_CHARS = 64
 #: Band: so many robust standard deviations around the median of log perplexity.
-BAND = 8.0
+BAND = 10.0
 LEAST_WIDTH = 0.02
 SYMBOLS = "#*$%&|<>"
 MIN_WORDS = 50
