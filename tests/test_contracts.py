@@ -96,12 +96,33 @@ def test_checkpoint_folder_is_shared_or_named(spark):
         def getConf(self):
             return Conf()
 
+    Context._tt_shipped = True
+
     class Session:
         sparkContext, conf = Context(), Conf()
     with pytest.raises(ValueError):
         ensure_checkpoint_dir(Session())
 
 
+def test_workers_find_the_package_from_anywhere(tmp_path):
+    """A driver that only has the package on its own path, in another folder."""
+    import os
+    import subprocess
+    import sys
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    code = f"""
+import sys
+sys.path.insert(0, {root!r})
+from pyspark.sql import SparkSession
+spark = SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false").config("spark.sql.shuffle.partitions", "2").getOrCreate()
+import __spark_entry__
+print("ROWS", __spark_entry__.queries()["similar_vectors"](spark, "/root/testdata/sf0.001").count())
+"""
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    out = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=300)
+    assert "ROWS" in out.stdout, out.stderr[-2000:]
+
+
 def _left(spark):
     root = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(spark.sparkContext.getCheckpointDir())
     fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())

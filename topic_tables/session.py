@@ -1,11 +1,13 @@
-"""Session helpers: building a local session for tests/bench and finding the
-shared checkpoint folder that the cluster names in ``spark.checkpoint.dir``."""
+"""Session helpers: building a local session for tests/bench, finding the shared
+checkpoint folder that the cluster names in ``spark.checkpoint.dir``, and
+sending the package's code to the executors."""
 
 from __future__ import annotations
 
 import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -44,6 +46,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     file system); we only pick our own folder when nothing is configured,
     which happens in local tests.
     """
+    ship_package(spark)
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
@@ -58,6 +61,24 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Send this package's code to the executors, once an application, so that
+    functions which run there find it whatever their working folder is."""
+    sc = spark.sparkContext
+    if getattr(sc, "_tt_shipped", False):
+        return
+    here = os.path.dirname(os.path.abspath(__file__))
+    root = os.path.dirname(here)
+    archive = os.path.join(tempfile.mkdtemp(prefix="topic-tables-code-"), f"{os.path.basename(here)}.zip")
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as z:
+        for folder, _, names in os.walk(here):
+            for name in names:
+                if name.endswith(".py"):
+                    z.write(os.path.join(folder, name), os.path.relpath(os.path.join(folder, name), root))
+    sc.addPyFile(archive)
+    sc._tt_shipped = True
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh, unique path under the shared checkpoint folder."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
