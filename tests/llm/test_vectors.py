@@ -1,3 +1,4 @@
+import duckdb
 import numpy as np
 import pytest
 
@@ -36,6 +37,9 @@ def test_embeddings_equal_brute_force(spark):
     rows = df.collect()
     want = sorted(brute([r["vec_id"] for r in rows], [r["embedding"] for r in rows]), key=str)
     assert rows_of(V.near_duplicates(df)) == want
+    con = duckdb.connect()
+    con.execute("CREATE VIEW embeddings AS SELECT * FROM '/root/testdata/sf0.01/embeddings.parquet'")
+    assert sorted(con.sql(V.ORACLE).fetchall(), key=str) == want
 
 
 @pytest.mark.parametrize("cell_rows,block_bytes", [(500, 4 << 20), (20, 4 << 20), (20, 400), (10_000, 1000)])

@@ -69,4 +69,4 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_mixing": mixing.ORACLE}
+    return {"op3_mixing": mixing.ORACLE, "op7_vectors": vectors.ORACLE}

@@ -219,3 +219,18 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "
         names.where("not valid").select("id", F.lit(0).cast("bigint").alias("links"), F.col("id").alias("least")))
     return out.select(F.col("id").alias(id_col), F.col("links").cast("bigint").alias("n_links"), F.col("least").alias("component_id"),
                       F.col("id").eqNullSafe(F.col("least")).alias("kept"))
+
+
+#: All pairs, exactly: what the cells find as long as no pair lies across a border.
+ORACLE = f"""
+WITH RECURSIVE v AS (SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings),
+g AS (SELECT * FROM v WHERE len(e) > 0 AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+                        AND len(list_filter(e, lambda x: x <> 0)) > 0),
+l AS (SELECT a.vec_id AS a, b.vec_id AS b FROM g a JOIN g b
+      ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e) AND list_cosine_similarity(a.e, b.e) >= {THRESHOLD}),
+r AS (SELECT a, b FROM l UNION SELECT r.a, l.b FROM r JOIN l ON r.b = l.a)
+SELECT vec_id, n_links, component_id, vec_id = component_id AS kept FROM (
+  SELECT v.vec_id, coalesce(c.n, 0) AS n_links, least(v.vec_id, coalesce(m.low, v.vec_id)) AS component_id
+  FROM v LEFT JOIN (SELECT a, count(*) AS n FROM l GROUP BY a) c ON c.a = v.vec_id
+         LEFT JOIN (SELECT a, min(b) AS low FROM r GROUP BY a) m ON m.a = v.vec_id)
+"""
