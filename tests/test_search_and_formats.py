@@ -1,7 +1,6 @@
 """Ranking, reports and text round trips."""
 
 import pytest
-from pyspark.sql import functions as F
 
 from topic_tables import fit_plsa
 from topic_tables.operators.search import similar_docs, top_topics, top_words
