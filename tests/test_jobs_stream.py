@@ -70,3 +70,17 @@ def test_load_model_round_trip(spark):
         assert (a[key] is None) == (b[key] is None) and (a[key] is None or a[key] == pytest.approx(b[key], abs=1e-12))
     hits = search_job(loaded, q, 3, 5)
     assert hits.count() > 0
+
+
+def test_replayed_batch_does_not_double(spark):
+    from topic_tables.streaming.fold_in_stream import search_batch
+    docs = tokens_from_text(load_table(spark, SF001, "documents"), "doc_id", "text")
+    model = train_job(docs, 3, 2, 15).model
+    dtheta = model.theta.join(docs.select("row_id", "name"), "row_id")
+    out = scratch_path(spark, "replayed")
+    bench = load_table(spark, SF001, "benchmark")
+    counts = []
+    for epoch in (0, 0, 1):
+        search_batch(bench, epoch, model, dtheta, out, iterations=2, n=3, id_col="item_id")
+        counts.append(spark.read.parquet(out).count())
+    assert counts[0] == counts[1] and counts[2] == 2 * counts[0] > 0
