@@ -352,7 +352,7 @@ def _adjusted(counts, old, prior: Prior | None):
 
 def _document_sums(step: _Step, passes: list[DataFrame], hot: DataFrame | None) -> DataFrame:
     """(row_id, part, vec): each document's sums over blocks and parts, on
-    every part; log-likelihood terms on part 0 only."""
+    every part."""
     docs = [p.where("word_id is null").select("row_id", "part", "vec") for p in passes]
     one = docs[0]
     if len(docs) > 1:
@@ -364,13 +364,11 @@ def _document_sums(step: _Step, passes: list[DataFrame], hot: DataFrame | None)
     cold = one.join(hot.select("row_id"), "row_id", "left_anti")
     merged = sum_vectors(one.join(hot.select("row_id"), "row_id", "left_semi"), ["row_id"], step.width).join(hot, "row_id")
     warm = merged.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("np") - 1)))
-    # a document counts once in the log-likelihood
-    once = F.transform("vec", lambda x, i: F.when((i >= step.k) & (i < step.k + 2) & (F.col("part") > 0), F.lit(0.0)).otherwise(x))
-    return cold.select("row_id", "part", "vec").unionByName(warm.select("row_id", F.col("part").cast("int"), once.alias("vec")))
+    return cold.select("row_id", "part", "vec").unionByName(warm.select("row_id", F.col("part").cast("int"), "vec"))
 
 
 def next_theta(step: _Step, passes: list[DataFrame], theta: DataFrame, hot: DataFrame | None, prior: Prior | None) -> DataFrame:
-    """(row_id, part, theta, nu_sum, ll, skipped)."""
+    """(row_id, part, theta, nu_sum)."""
     sums = _document_sums(step, passes, hot)
     s = _slice("vec", step.k)
     if is_active(prior):
@@ -381,9 +379,7 @@ def next_theta(step: _Step, passes: list[DataFrame], theta: DataFrame, hot: Data
     new = F.when(F.col("total") > 0, F.transform("s", lambda x: x / F.col("total")))
     if is_active(prior):
         new = new.otherwise(F.col("old"))
-    vec = F.col("vec")
-    return sums.withColumn("total", total).select("row_id", "part", new.alias("theta"), vec[step.k + 2].alias("nu_sum"),
-                                                  vec[step.k].alias("ll"), vec[step.k + 1].alias("skipped"))
+    return sums.withColumn("total", total).select("row_id", "part", new.alias("theta"), F.col("vec")[step.k + 2].alias("nu_sum"))
 
 
 def word_counts(step: _Step, passes: list[DataFrame]) -> DataFrame:
@@ -473,39 +469,37 @@ def run_em(bags: DataFrame, vocab: Vocabulary, phi0: DataFrame, k: int, iteratio
     buckets = buckets_of(bags)
     blocks, rows, theta, phi, hot = initial_state(bags, phi0, vocab, step, background0)
     release(getattr(phi0, "_tt_source", None))
-    behind: list = [theta]                    # tables that θ reads
     history = []
+    # With one block and no split document a pass's rows are the new θ as they
+    # stand (a prior needs the old θ beside them): nothing is written again.
+    as_it_stands = len(blocks) == 1 and hot is None and not is_active(theta_prior)
+    behind: list = [theta, *(rows if robust else [])]        # tables that the state reads
     for it in range(iterations):
         want_words = not freeze_phi or (robust and not freeze_background)
-        passes = [write_bucketed(em_pass(step, r, theta, phi, b, want_words), ["row_id", "part"], buckets, "pass", prepartitioned=True)
-                  for r, b in zip(rows, blocks)]
-        seen = Observation(f"loglik-{it}-{uuid.uuid4().hex[:8]}")
-        new = next_theta(step, passes, theta, hot, theta_prior)
-        new = new.observe(seen, F.sum("ll").alias("ll"), F.sum("skipped").alias("sk")).drop("ll", "skipped")
-        local = len(blocks) == 1 and hot is None
-        new_theta = write_bucketed(new, ["row_id", "part"], buckets, "theta", prepartitioned=local)
-        history.append((it, float(seen.get["ll"] or 0.0), int(seen.get["sk"] or 0)))
+        passes, loglik, skipped = [], 0.0, 0.0
+        for r, b in zip(rows, blocks):
+            seen = Observation(f"loglik-{it}-{uuid.uuid4().hex[:8]}")
+            is_doc, vec = F.col("word_id").isNull(), F.col("vec")
+            out = em_pass(step, r, theta, phi, b, want_words).observe(
+                seen, F.sum(F.when(is_doc, vec[k])).alias("ll"), F.sum(F.when(is_doc, vec[k + 1])).alias("sk"))
+            passes.append(write_bucketed(out, ["row_id", "part"], buckets, "pass", prepartitioned=True))
+            loglik, skipped = loglik + (seen.get["ll"] or 0.0), skipped + (seen.get["sk"] or 0.0)
+        history.append((it, float(loglik), int(round(skipped))))
         if want_words:
             new_phi = next_phi(step, passes, phi, phi_prior, vocab, freeze_phi, freeze_background)
             release(phi)
             phi = new_phi
-        old_rows = rows
+        new = next_theta(step, passes, theta, hot, theta_prior)
+        now = list(passes) if as_it_stands or robust else []
+        if not as_it_stands:
+            new = write_bucketed(new, ["row_id", "part"], buckets, "theta", prepartitioned=len(blocks) == 1 and hot is None)
+            now.append(new)
+        for table in behind + [p for p in passes if not any(p is t for t in now)]:
+            release(table)
+        theta, behind = new, now
         if robust:
             # The pass holds each document row with its new noise.
             rows = [p.where("word_id is null").select("row_id", "part", "words", "ns", "us") for p in passes]
-        for table in behind:
-            release(table)
-        if robust:
-            for table in old_rows:
-                release(table)
-            behind = [new_theta]
-            for p, r in zip(passes, rows):
-                r._tt_path, r._tt_table = p._tt_path, p._tt_table        # releasing the rows drops the pass
-        else:
-            behind = [new_theta]
-            for p in passes:
-                release(p)
-        theta = new_theta
 
     if compute_loglik:
         total = np.zeros(step.width)
@@ -528,7 +522,6 @@ def run_em(bags: DataFrame, vocab: Vocabulary, phi0: DataFrame, k: int, iteratio
             pairs = pairs.select("row_id", F.col("w.words").alias("word_id"), p.alias("p"))
             nu = pairs if nu is None else nu.unionByName(pairs)
         model.noise = nu
-        model.scratch += rows
     else:
         for r in rows:
             release(r)
