@@ -41,9 +41,11 @@ MAX_LANGS = 11
 OTHERS = ""
 #: Distinct words after which a task hands on its n-gram counts; words whose
 #: symbols are in arrays at once; scored words that a worker keeps.
-FLUSH_WORDS = 100_000
-WORDS_AT_ONCE = 20_000
+FLUSH_WORDS = 200_000
+WORDS_AT_ONCE = 40_000
 CACHE_WORDS = 150_000
+#: N-grams whose probability a worker keeps.
+KNOWN_GRAMS = 1_000_000
 CACHE_CHARS = 64
 #: Band: so many robust standard deviations around the median of log perplexity.
 BAND = 10.0
@@ -72,13 +74,19 @@ def repeated_words(words: list[str], window: int = 3) -> int:
         return 0
     ids: dict[str, int] = {}
     w = np.array([ids.setdefault(x, len(ids)) for x in words], np.int64)
-    key = w[:n]
+    if len(ids) == len(words):
+        return 0
+    key, span = w[:n], len(ids)
     for k in range(1, window):
-        if k > 1:
+        if span * len(ids) >= 2 ** 62:          # number the windows so far anew
             key = np.unique(key, return_inverse=True)[1]
-        key = key * len(ids) + w[k:n + k]
-    _, inverse, counts = np.unique(key, return_inverse=True, return_counts=True)
-    hit = counts[inverse] > 1
+            span = len(words)
+        key, span = key * len(ids) + w[k:n + k], span * len(ids)
+    order = np.argsort(key, kind="stable")
+    twin = key[order[1:]] == key[order[:-1]]
+    hit = np.zeros(n, bool)
+    hit[order[1:][twin]] = True
+    hit[order[:-1][twin]] = True
     covered = np.zeros(len(words), bool)
     for k in range(window):
         covered[k:n + k] |= hit
@@ -212,22 +220,42 @@ def _look(table, h: np.ndarray, missing: float) -> np.ndarray:
     return np.where(keys[at] == h, values[at], missing)
 
 
-def word_scores(model: tuple[dict, dict], lang: str, words: list[str]) -> np.ndarray:
-    """Natural log probability of each word with its end."""
+def symbol_logs(model: tuple[dict, dict], lang: str, code: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Natural log probability of the symbol at each place, given those before."""
     alpha, gamma = model
-    code, at, word, _ = _codes(words, range(len(words)))
     p = np.full(len(at), 1.0 / 65536)
     for k in range(1, ORDER + 1):
         context = _hashes(code, at, 1, k - 1) if k > 1 else np.zeros(len(at), np.uint64)
         p = _look(alpha.get((lang, k)), _hashes(code, at, 0, k), 0.0) + _look(gamma.get((lang, k)), context, 1.0) * p
-    return np.bincount(word, weights=np.log(np.maximum(p, 1e-30)), minlength=len(words))
+    return np.log(np.maximum(p, 1e-30))
+
+
+def word_scores(model: tuple[dict, dict], lang: str, words: list[str], known: dict | None = None) -> np.ndarray:
+    """Natural log probability of each word with its end.  Each distinct
+    n-gram is looked up once; ``known`` keeps those of a language, sorted."""
+    code, at, word, _ = _codes(words, range(len(words)))
+    grams, first, inverse = np.unique(_hashes(code, at, 0, ORDER), return_index=True, return_inverse=True)
+    keys, logs = (known or {}).get(lang, (np.zeros(0, np.uint64), np.zeros(0)))
+    place = np.minimum(np.searchsorted(keys, grams), max(0, len(keys) - 1))
+    seen = keys[place] == grams if len(keys) else np.zeros(len(grams), bool)
+    out = np.zeros(len(grams))
+    out[seen] = logs[place[seen]]
+    out[~seen] = symbol_logs(model, lang, code, at[first[~seen]])
+    if known is not None and not seen.all():
+        if sum(len(k) for k, _ in known.values()) > KNOWN_GRAMS:
+            known.clear()
+            keys, logs = keys[:0], logs[:0]
+        keys, logs = np.r_[keys, grams[~seen]], np.r_[logs, out[~seen]]
+        order = np.argsort(keys, kind="stable")
+        known[lang] = keys[order], logs[order]
+    return np.bincount(word, weights=out[inverse], minlength=len(words))
 
 
 class Scorer:
     """Word scores of one worker, kept up to a bound."""
 
     def __init__(self, model):
-        self.model, self.seen, self.table = model, {}, {}
+        self.model, self.seen, self.table, self.known = model, {}, {}, {}
 
     def total(self, lang: str, lists: list[list[str]]) -> list[float]:
         seen = self.seen.setdefault(lang, {})
@@ -239,7 +267,7 @@ class Scorer:
         at = [[seen.setdefault(w, len(seen)) for w in words] for words in lists]
         if len(seen) > known:
             new = list(seen)[known:]
-            parts = [word_scores(self.model, lang, new[k:k + WORDS_AT_ONCE]) for k in range(0, len(new), WORDS_AT_ONCE)]
+            parts = [word_scores(self.model, lang, new[k:k + WORDS_AT_ONCE], self.known) for k in range(0, len(new), WORDS_AT_ONCE)]
             table = np.concatenate([table, *parts])
             if any(len(w) > CACHE_CHARS * 1000 for w in new):     # do not hold on to huge words
                 self.seen[lang] = {}
