@@ -177,8 +177,10 @@ def components(edges: DataFrame, label: str = "components") -> DataFrame:
         release(now)
         release(large)
         now = small
-        # Stars only: nobody hangs under a node that hangs itself.
-        if now.join(now.select(F.col("a").alias("b")), "b", "left_semi").isEmpty():
+        # Stars only: nobody hangs under a node that hangs itself, or under two.
+        hung = now.select(F.col("b").alias("node"), F.col("a").alias("root")).unionByName(
+            now.select(F.col("a").alias("node"), F.col("a").alias("root")))
+        if hung.groupBy("node").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").isEmpty():
             break
     return now.select(F.col("b").alias("node"), F.col("a").alias("component")).unionByName(
         now.select(F.col("a").alias("node"), F.col("a").alias("component")).distinct())
