@@ -1,5 +1,9 @@
+import os
 import random
 
+import numpy as np
+from pyspark import TaskContext
+
 from topic_tables.llm import components as C
 
 
@@ -31,3 +35,20 @@ def test_every_node_of_random_chains_is_one_row(spark):
         edges += zip(chain, chain[1:])
     got = C.components(spark.createDataFrame(edges, "a bigint, b bigint")).collect()
     assert sorted((r["node"], r["component"]) for r in got) == least_reached(edges)
+
+
+def test_chunk_pairs_of_one_bucket_are_spread_over_tasks(spark, monkeypatch, tmp_path):
+    """Comparisons of two chunks leave the number of their task."""
+    monkeypatch.setattr(C, "CHUNK", 8)
+    seen = str(tmp_path)
+
+    def linked(a, b):
+        if b.size > 8:
+            open(f"{seen}/{TaskContext.get().partitionId()}", "w").close()
+        return np.abs(a - b) == 1
+
+    index = spark.range(80).selectExpr("7L as key", "id as value")
+    got = C.bucket_links(index, linked, "t", 3)
+    nodes = C.components(got).collect()
+    assert sorted((r["node"], r["component"]) for r in nodes) == [(i, 0) for i in range(80)]
+    assert len(os.listdir(seen)) > 10                # 45 pairs of 10 chunks

@@ -14,6 +14,8 @@ from topic_tables.session import cut_lineage, release
 
 #: Members of a bucket that one piece of work holds; longer buckets are cut.
 CHUNK = 2048
+#: Pairs of chunks are dealt to a task each, up to so many tasks.
+MOST_TASKS = 10_000
 #: Up to so many members a bucket is compared by shifting whole batches.
 SHORT = 12
 
@@ -87,9 +89,9 @@ def bucket_links(index: DataFrame, linked: Linked, label: str, partitions: int |
     ``index(key bigint, value bigint)`` is shuffled and sorted by key once and
     streamed through numpy; the values of a run are compared there, and what
     leaves it keeps every component but not every pair.  A run beyond
-    ``CHUNK`` members is cut: its chunks are rows of their own, and each pair
-    of chunks is compared in a task of its own, so neither one task nor one
-    row ever holds an unbounded bucket.
+    ``CHUNK`` members is cut: its chunks are rows of their own, and the pairs
+    of chunks are dealt by (key, chunk, chunk), to as many tasks as there are
+    pairs, so neither one task nor one row ever holds an unbounded bucket.
     """
     dealt = index.repartition(partitions, "key") if partitions else index.repartition("key")
 
@@ -130,8 +132,16 @@ def bucket_links(index: DataFrame, linked: Linked, label: str, partitions: int |
     found = cut_lineage(dealt.sortWithinPartitions("key", "value").select("key", "value")
                         .mapInArrow(run, "a bigint, b bigint, key bigint, chunk int, members binary"), label)
     cut = found.where("members is not null").select("key", "chunk", "members")
+    ids = cut.select("key", "chunk")
+    pairs = cut_lineage(ids.join(ids.withColumnRenamed("chunk", "chunk2"), "key").where("chunk < chunk2"), label + "-pairs")
+    tasks = min(pairs.count(), MOST_TASKS)
+    links = found.where("members is null").select("a", "b")
+    if not tasks:
+        return links.distinct()
     other = cut.select("key", F.col("chunk").alias("chunk2"), F.col("members").alias("members2"))
-    both = cut.join(other, "key").where("chunk < chunk2").select("members", "members2")
+    # a given number of partitions: small rows, much work, so they are not to be merged
+    both = (pairs.join(cut, ["key", "chunk"]).join(other, ["key", "chunk2"])
+            .repartition(tasks, "key", "chunk", "chunk2").select("members", "members2"))
 
     def across(batches):
         for batch in batches:
@@ -140,8 +150,7 @@ def bucket_links(index: DataFrame, linked: Linked, label: str, partitions: int |
                 a, b = forest_links(v, linked)
                 yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
 
-    return (found.where("members is null").select("a", "b")
-            .unionByName(both.mapInArrow(across, EDGES)).distinct())
+    return links.unionByName(both.mapInArrow(across, EDGES)).distinct()
 
 
 def _stars(edges: DataFrame, label: str) -> DataFrame:
