@@ -9,22 +9,26 @@ over its whole text; a language's band is set around the median of its
 documents.  Words, rather than runs of words, are modelled because the word
 n-grams of a corpus alone are larger than the corpus.
 
-Model size: an order has ``2 ** SLOT_BITS[order]`` slots of ``IN_SLOT`` entries
-for a language (the most frequent n-grams of a slot; others back off), and the ``MAX_LANGS`` most frequent languages have models, the others one
-together.  That bounds what is broadcast.
+Model size: every n-gram is kept, and every language has a model.  A model of
+up to ``MODEL_ENTRIES`` entries is broadcast.  A larger one stays in tables:
+the probability of each n-gram is found by joins, documents are coded by the
+words of their chunk, and a chunk's n-grams are joined with their
+probabilities and brought to its documents.
 
 Rows: a null text has no words and fails the base rules, like the empty text.
-A null language is one of the others.  Equal rows get equal answers; an empty
+A null language is the empty one.  Equal rows get equal answers; an empty
 table gives an empty table.  Only id, text and language are read.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections import Counter
 from itertools import batched
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -33,11 +37,12 @@ from topic_tables.session import cut_lineage
 
 ORDER = 5
 START, END = "\x02", "\x03"
-#: Slots of each order (as grams, and again as contexts): 2 to this power, with
-#: so many entries each.
-SLOT_BITS = {0: 1, 1: 10, 2: 12, 3: 14, 4: 15, 5: 16}
-IN_SLOT = 8
-MAX_LANGS = 11
+#: Entries (n-grams and contexts of all languages, 12 bytes each) up to which
+#: the model is broadcast; hash shards by which its arrays are packed.
+MODEL_ENTRIES = 8_000_000
+SHARD_BITS = 6
+#: If set, only so many frequent languages have models, the others one together.
+MAX_LANGS = None
 OTHERS = ""
 #: Distinct words after which a task hands on its n-gram counts; words whose
 #: symbols are in arrays at once; scored words that a worker keeps.
@@ -47,6 +52,8 @@ CACHE_WORDS = 150_000
 #: N-grams whose probability a worker keeps.
 KNOWN_GRAMS = 1_000_000
 CACHE_CHARS = 64
+#: Text of the documents that are scored together from tables.
+CHUNK_CHARS = 8_000_000
 #: Band: so many robust standard deviations around the median of log perplexity.
 BAND = 10.0
 LEAST_WIDTH = 0.02
@@ -170,7 +177,8 @@ def kneser_ney(top: DataFrame) -> tuple[DataFrame, DataFrame]:
         value = m - (m + 1) * y * F.col(f"n{m + 1}") / F.nullif(F.col(f"n{m}"), F.lit(0.0))
         ok = (F.col("n1") > 0) & (value > 0)
         d = d.withColumn(f"d{m}", F.when(ok, value).otherwise(F.lit(usual)))
-    grams = cut_lineage(grams.join(F.broadcast(d.select("lang", "k", "d1", "d2", "d3")), ["lang", "k"]).withColumn(   # one row a language and order
+    d = cut_lineage(d.select("lang", "k", "d1", "d2", "d3"), "discounts")      # one row a language and order
+    grams = cut_lineage(grams.join(d, ["lang", "k"]).withColumn(
         "d", F.when(F.col("n") == 1, F.col("d1")).when(F.col("n") == 2, F.col("d2")).otherwise(F.col("d3")))
         .select("lang", "k", "gram", F.expr("substring(gram, 1, k - 1)").alias("context"), "n", "d"), "discounted")
     mass = grams.groupBy("lang", "k", "context").agg(F.sum("n").alias("total"), F.sum("d").alias("kept_back"))
@@ -183,32 +191,34 @@ def kneser_ney(top: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def _sorted_arrays(table: DataFrame, shift: int) -> dict:
-    """``{(lang, k): (hashes, values)}`` within the entry bound; ``shift``: the
-    length of a gram is k minus it."""
+    """``{(lang, k): (hashes, values)}`` of every row; ``shift``: the length of
+    a gram is k minus it."""
     def run(batches):
         for b in batches:
             k = b.column(1).to_numpy(zero_copy_only=False)
             grams = b.column(2).to_pylist()
             h = np.zeros(len(grams), np.uint64)
-            for n in np.unique(k):
+            for n in np.unique(k[k > shift]):
                 at = np.flatnonzero(k == n)
                 h[at] = gram_hash([grams[i] for i in at])
-            slot = h & ((np.uint64(1) << np.array([SLOT_BITS[int(x) - shift] for x in k], np.uint64)) - np.uint64(1))
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(slot.view(np.int64)), pa.array(h.view(np.int64)), b.column(3), b.column(4)],
-                                             ["lang", "k", "slot", "h", "n", "value"])
-    hashed = table.mapInArrow(run, "lang string, k int, slot bigint, h bigint, n bigint, value double")
-    first = Window.partitionBy("lang", "k", "slot").orderBy(F.desc("n"), "h")
-    best = hashed.withColumn("r", F.row_number().over(first)).where(F.col("r") <= IN_SLOT)
+            shard = (h >> np.uint64(64 - SHARD_BITS)).astype(np.int32)
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(shard), pa.array(h.view(np.int64)), b.column(3)],
+                                             ["lang", "k", "shard", "h", "value"])
+    hashed = table.select("lang", "k", "gram", "value").mapInArrow(run, "lang string, k int, shard int, h bigint, value double")
 
     def pack(key, t):
         h = t["h"].to_numpy().view(np.uint64)
         order = np.argsort(h)
-        return pa.table({"lang": [key[0].as_py()], "k": pa.array([key[1].as_py()], pa.int32()), "hashes": [h[order].tobytes()],
-                         "probs": [t["value"].to_numpy()[order].astype(np.float32).tobytes()]})
+        return pa.table({"lang": [key[0].as_py()], "k": pa.array([key[1].as_py()], pa.int32()), "shard": pa.array([key[2].as_py()], pa.int32()),
+                         "hashes": [h[order].tobytes()], "probs": [t["value"].to_numpy()[order].astype(np.float32).tobytes()]})
 
-    # one row a language and order, whose size the slots bound
-    rows = best.select("lang", "k", "h", "value").groupBy("lang", "k").applyInArrow(pack, "lang string, k int, hashes binary, probs binary").collect()
-    return {(r["lang"], r["k"]): (np.frombuffer(r["hashes"], np.uint64), np.frombuffer(r["probs"], np.float32)) for r in rows}
+    # one row a language, order and shard; shards are ranges of the hash
+    rows = hashed.groupBy("lang", "k", "shard").applyInArrow(pack, "lang string, k int, shard int, hashes binary, probs binary").collect()
+    parts: dict = {}
+    for r in sorted(rows, key=lambda r: r["shard"]):
+        parts.setdefault((r["lang"], r["k"]), []).append(r)
+    return {key: (np.concatenate([np.frombuffer(r["hashes"], np.uint64) for r in found]),
+                  np.concatenate([np.frombuffer(r["probs"], np.float32) for r in found])) for key, found in parts.items()}
 
 
 # --------------------------------------------------------------------- scoring
@@ -277,18 +287,29 @@ class Scorer:
         return [float(table[a].sum()) if a else 0.0 for a in at]
 
 
-def quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
-            band: float = BAND) -> DataFrame:
-    """One row a document: id, base counts, base_failed, kept, model_lang, perplexity."""
-    spark = docs.sparkSession
-    lang = F.col(lang_col).cast("string")
-    common = [r[0] for r in docs.where(lang.isNotNull()).groupBy(lang.alias("l")).count()
-              .orderBy(F.desc("count"), "l").limit(MAX_LANGS).collect()]
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"),
-                       F.when(lang.isin(common), lang).otherwise(F.lit(OTHERS)).alias("lang"))
-    top = cut_lineage(top_grams(rows.select("lang", "text")), "top-grams")
-    alpha, gamma = kneser_ney(top)
-    model = spark.sparkContext.broadcast((_sorted_arrays(alpha, 0), _sorted_arrays(gamma, 1)))
+COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
+
+
+def gram_logs(alpha: DataFrame, gamma: DataFrame) -> DataFrame:
+    """``(lang, gram, log)`` of every n-gram of the highest order.  The suffix
+    and the context of an n-gram are rows too, so the joins lose none."""
+    p = None
+    for k in range(1, ORDER + 1):
+        here = alpha.where(F.col("k") == k).select("lang", "gram", "value", F.expr(f"substring(gram, 1, {k - 1})").alias("context"),
+                                                   F.expr("substring(gram, 2)").alias("shorter"))
+        mass = gamma.where(F.col("k") == k).select("lang", F.col("gram").alias("context"), F.col("value").alias("gamma"))
+        here = here.join(mass, ["lang", "context"])
+        if p is None:
+            here = here.withColumn("p", F.lit(1.0 / 65536))
+        else:
+            here = here.join(p.withColumnRenamed("gram", "shorter"), ["lang", "shorter"])
+        p = cut_lineage(here.select("lang", "gram", (F.col("value") + F.col("gamma") * F.col("p")).alias("p")), "gram-p")
+    return p.select("lang", "gram", F.log(F.greatest("p", F.lit(1e-30))).alias("log"))
+
+
+def _scored_by_broadcast(rows: DataFrame, alpha: DataFrame, gamma: DataFrame) -> DataFrame:
+    """``rows(id, lang, text)`` with counts and loss; the model is broadcast."""
+    model = rows.sparkSession.sparkContext.broadcast((_sorted_arrays(alpha, 0), _sorted_arrays(gamma, 1)))
     id_type = rows.schema["id"].dataType.simpleString()
 
     def run(batches):
@@ -309,13 +330,94 @@ def quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lan
                 [b.column(0), b.column(1), *(pa.array(x, pa.int64()) for x in zip(*counts)), pa.array(loss)],
                 ["id", "model_lang", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "loss"])
 
-    scored = rows.select("id", "lang", "text").mapInArrow(
+    return rows.select("id", "lang", "text").mapInArrow(
         run, f"id {id_type}, model_lang string, n_words bigint, word_chars bigint, n_symbols bigint, "
              "n_dup_lines bigint, n_repeat_words bigint, loss double")
+
+def _scored_by_join(rows: DataFrame, alpha: DataFrame, gamma: DataFrame) -> DataFrame:
+    """The same from tables: documents coded by the words of their chunk, and
+    the chunk's n-grams joined with their logs."""
+    id_type = rows.schema["id"].dataType.simpleString()
+    counts_type = ", ".join(f"{c} bigint" for c in COUNTS)
+
+    def code(batches):
+        for b in slices(batches, 2, CHUNK_CHARS):
+            langs, texts = np.array([x.as_py() for x in b.column(1)], object), b.column(2)
+            for one in sorted(set(langs)):
+                at = np.flatnonzero(langs == one)
+                chunk, ids, places, times, counts = uuid.uuid4().int >> 65, {}, [], [], []
+                for i in at.tolist():
+                    words, c = base_counts(texts[i].as_py())
+                    found = Counter(ids.setdefault(w, len(ids)) for w in words)
+                    places.append(np.fromiter(found.keys(), np.int32, len(found)).tobytes())
+                    times.append(np.fromiter(found.values(), np.int32, len(found)).tobytes())
+                    counts.append(c)
+                extra = 1 if ids else 0                 # the row of the chunk's words
+                none = [None] * extra
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([chunk] * (len(at) + extra), pa.int64()), pa.array([one] * (len(at) + extra), pa.string()),
+                     pa.concat_arrays([b.column(0).take(pa.array(at)), pa.nulls(extra, b.column(0).type)]),
+                     *(pa.array([*x, *none], pa.int64()) for x in zip(*counts)), pa.array(places + none, pa.binary()), pa.array(times + none, pa.binary()),
+                     pa.array([None] * len(at) + ["\n".join(ids)] * extra, pa.string())],
+                    ["chunk", "model_lang", "id", *COUNTS, "places", "times", "words"])
+
+    coded = cut_lineage(rows.select("id", "lang", "text").mapInArrow(
+        code, f"chunk bigint, model_lang string, id {id_type}, {counts_type}, places binary, times binary, words string"), "coded")
+
+    def spell(batches):
+        for b in batches:
+            for chunk, lang, words in zip(*(c.to_pylist() for c in b.columns)):
+                for part in batched(words.split("\n"), WORDS_AT_ONCE):
+                    flat_code, at, _, flat = _codes(part, range(len(part)))
+                    h, first = np.unique(_hashes(flat_code, at, 0, ORDER), return_index=True)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([chunk] * len(h), pa.int64()), pa.array([lang] * len(h), pa.string()),
+                         pa.array([flat[p - ORDER + 1:p + 1] for p in at[first].tolist()], pa.string()), pa.array(h.view(np.int64))],
+                        ["chunk", "lang", "gram", "h"])
+
+    needed = coded.where("words is not null").select("chunk", "model_lang", "words").mapInArrow(
+        spell, "chunk bigint, lang string, gram string, h bigint")
+    logs = needed.join(gram_logs(alpha, gamma), ["lang", "gram"]).select("chunk", "h", "log")
+
+    def add(left, right):
+        left = left.combine_chunks()
+        is_words = left["words"].is_valid()
+        docs, words = left.filter(pc.invert(is_words)), left["words"].filter(is_words).to_pylist()
+        keys, first = np.unique(right["h"].to_numpy().view(np.uint64), return_index=True)
+        values, scores = right["log"].to_numpy()[first], []
+        for part in batched(words[0].split("\n") if words else [], WORDS_AT_ONCE):
+            flat_code, at, word, _ = _codes(part, range(len(part)))
+            found = _look((keys, values), _hashes(flat_code, at, 0, ORDER), np.nan)
+            scores.append(np.bincount(word, weights=found, minlength=len(part)))
+        score = np.concatenate([np.zeros(0), *scores])
+        if np.isnan(score).any():
+            raise ValueError("an n-gram of the corpus has no probability")
+        total = np.array([score[np.frombuffer(p, np.int32)] @ np.frombuffer(t, np.int32) for p, t in zip(docs["places"].to_pylist(), docs["times"].to_pylist())], float)
+        symbols = docs["word_chars"].to_numpy() + docs["n_words"].to_numpy()
+        loss = np.where(symbols > 0, -total / np.maximum(symbols, 1), 0.0)
+        return docs.select(["id", "model_lang", *COUNTS]).append_column("loss", pa.array(loss))
+
+    return coded.groupBy("chunk").cogroup(logs.groupBy("chunk")).applyInArrow(
+        add, f"id {id_type}, model_lang string, {counts_type}, loss double")
+
+
+def quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
+            band: float = BAND) -> DataFrame:
+    """One row a document: id, base counts, base_failed, kept, model_lang, perplexity."""
+    lang = F.coalesce(F.col(lang_col).cast("string"), F.lit(OTHERS))
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"), lang.alias("lang"))
+    if MAX_LANGS is not None:
+        common = [r[0] for r in docs.where(F.col(lang_col).isNotNull()).groupBy(lang.alias("l")).count()
+                  .orderBy(F.desc("count"), "l").limit(MAX_LANGS).collect()]
+        rows = rows.withColumn("lang", F.when(F.col("lang").isin(common), F.col("lang")).otherwise(F.lit(OTHERS)))
+    top = cut_lineage(top_grams(rows.select("lang", "text")), "top-grams")
+    alpha, gamma = (cut_lineage(t, "model") for t in kneser_ney(top))
+    small = alpha.count() + gamma.count() <= MODEL_ENTRIES
+    scored = (_scored_by_broadcast if small else _scored_by_join)(rows, alpha, gamma)
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
     scored = cut_lineage(scored.withColumn("base_failed", failed), "scored")
-    bands = bands_of(scored, band)
-    judged = scored.join(F.broadcast(bands), "model_lang", "left")       # a row a language, at most MAX_LANGS + 1
+    bands = cut_lineage(bands_of(scored, band), "bands")                  # a row a language
+    judged = scored.join(bands, "model_lang", "left")
     inside = F.coalesce(F.col("loss").between(F.col("low"), F.col("high")), F.lit(True))
     return judged.select(F.col("id").alias(id_col), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
                          "base_failed", (~F.col("base_failed") & inside).alias("kept"), "model_lang",
