@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from topic_tables.llm import bpe, langid, mixing, passages, perplexity, pii, simhash, token_files, toxicity, vector_codes, vectors
+from topic_tables.llm import bpe, collocations, langid, mixing, passages, perplexity, pii, simhash, token_files, toxicity, vector_codes, vectors
 from topic_tables.llm.text import fold, read
 
 BYTE_BPE = "byte_bpe_50k.json"
@@ -68,10 +68,14 @@ def op12_codes(spark, sf_dir) -> DataFrame:
     return rows.select(F.col("id").alias("vec_id"), "code", "error", "label_error", F.lit(books.sha256() if books else None).cast("string").alias("codebooks_sha256"))
 
 
+def op13_collocations(spark, sf_dir) -> DataFrame:
+    return collocations.collocations(read(spark, sf_dir, "documents"))
+
+
 def queries() -> dict:
     return {f.__name__: f for f in (op1_toxicity, op2_perplexity, op3_mixing, op4_bpe, op5_langid, op6_simhash, op7_vectors,
-                                    op8_pii, op9_passages, op10_token_counts, op12_codes)}
+                                    op8_pii, op9_passages, op10_token_counts, op12_codes, op13_collocations)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_mixing": mixing.ORACLE, "op7_vectors": vectors.ORACLE, "op12_codes": vector_codes.ORACLE}
+    return {"op3_mixing": mixing.ORACLE, "op7_vectors": vectors.ORACLE, "op12_codes": vector_codes.ORACLE, "op13_collocations": collocations.ORACLE}
