@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from topic_tables.llm import bpe, collocations, langid, mixing, passages, perplexity, pii, simhash, token_files, toxicity, vector_codes, vectors
+from topic_tables.llm import bpe, collocations, langid, mixing, passages, perplexity, pii, resharding, simhash, token_files, toxicity, vector_codes, vectors
 from topic_tables.llm.text import fold, read
 
 BYTE_BPE = "byte_bpe_50k.json"
@@ -63,6 +63,12 @@ def op10_token_counts(spark, sf_dir) -> DataFrame:
     return token_files.count_tokens(read(spark, sf_dir, "documents"), public_tokenizers.path(BYTE_BPE_RANKS))
 
 
+def op11_resharding(spark, sf_dir) -> DataFrame:
+    rows = resharding.reshard(resharding.write(read(spark, sf_dir, "documents"))).rows
+    return rows.select("doc.doc_id", "size", F.crc32(F.coalesce("doc.text", F.lit("")).cast("binary")).alias("text_crc32"), F.lit("bytes").alias("law"),
+                       "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
 def op12_codes(spark, sf_dir) -> DataFrame:
     rows, books = vector_codes.compress(read(spark, sf_dir, "embeddings"))
     return rows.select(F.col("id").alias("vec_id"), "code", "error", "label_error", F.lit(books.sha256() if books else None).cast("string").alias("codebooks_sha256"))
@@ -74,8 +80,8 @@ def op13_collocations(spark, sf_dir) -> DataFrame:
 
 def queries() -> dict:
     return {f.__name__: f for f in (op1_toxicity, op2_perplexity, op3_mixing, op4_bpe, op5_langid, op6_simhash, op7_vectors,
-                                    op8_pii, op9_passages, op10_token_counts, op12_codes, op13_collocations)}
+                                    op8_pii, op9_passages, op10_token_counts, op11_resharding, op12_codes, op13_collocations)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_mixing": mixing.ORACLE, "op7_vectors": vectors.ORACLE, "op12_codes": vector_codes.ORACLE, "op13_collocations": collocations.ORACLE}
+    return {"op3_mixing": mixing.ORACLE, "op7_vectors": vectors.ORACLE, "op11_resharding": resharding.ORACLE, "op12_codes": vector_codes.ORACLE, "op13_collocations": collocations.ORACLE}
