@@ -28,7 +28,7 @@ def _corpus(spark):
 
 
 @pytest.mark.parametrize("k,robust", [(4, False), (100, False), (4, True)])
-@pytest.mark.parametrize("limit", [None, "2000"])
+@pytest.mark.parametrize("limit", [None, "900"])
 def test_no_exchange_of_pairs(spark, no_auto_broadcast, k, robust, limit):
     """Also where φ is far larger than the broadcast limit (many word blocks)."""
     vocab, bags = _corpus(spark)
@@ -36,12 +36,13 @@ def test_no_exchange_of_pairs(spark, no_auto_broadcast, k, robust, limit):
         spark.conf.set("topic_tables.broadcastLimitBytes", limit)
     try:
         step = _Step(k, robust, 0.3 if robust else 0.0, 0.01 if robust else 0.0)
-        blocks, rows, theta, phi, hot = initial_state(bags, initial_phi(vocab, k), vocab, step)
-        assert hot is None                   # no huge document at this size
-        assert (len(blocks) > 1) == bool(limit)
-        for r, b in list(zip(rows, blocks))[:2]:
-            plan = _plan(em_pass(step, r, theta, phi, b, True))
-            assert "Exchange" not in plan and "ShuffledHashJoin [row_id" in plan and "Bucketed: true" in plan
+        state = initial_state(bags, initial_phi(vocab, k), vocab, step)
+        assert state.hot is None             # no huge document at this size
+        assert (state.files.blocks > 20) == bool(limit)
+        plan = _plan(em_pass(step, state.rows(), state.theta(), state.files, True))
+        assert "Exchange" not in plan and "ShuffledHashJoin [row_id" in plan and "Bucketed: true" in plan
+        # one scan of the rows and one of θ, however many blocks
+        assert plan.count("Scan parquet") == 2
     finally:
         spark.conf.unset("topic_tables.broadcastLimitBytes")
 
@@ -49,10 +50,10 @@ def test_no_exchange_of_pairs(spark, no_auto_broadcast, k, robust, limit):
 def test_m_step_moves_only_word_sums(spark, no_auto_broadcast):
     vocab, bags = _corpus(spark)
     step = _Step(4)
-    blocks, rows, theta, phi, hot = initial_state(bags, initial_phi(vocab, 4), vocab, step)
-    passes = [write_bucketed(em_pass(step, rows[0], theta, phi, blocks[0], True), ["row_id", "part"], bags._tt_buckets, "pass", prepartitioned=True)]
-    assert "Exchange" not in _plan(next_theta(step, passes, theta, hot, None))
-    words = _plan(word_counts(step, passes))
+    state = initial_state(bags, initial_phi(vocab, 4), vocab, step)
+    passed = write_bucketed(em_pass(step, state.rows(), state.theta(), state.files, True), ["row_id", "part"], bags._tt_buckets, "pass", prepartitioned=True)
+    assert "Exchange" not in _plan(next_theta(step, passed, state.theta(), state.hot, None))
+    words = _plan(word_counts(step, passed))
     assert words.count("Exchange") == 1 and "Exchange hashpartitioning(word_id" in words
 
 
@@ -61,9 +62,9 @@ def test_split_documents_move_only_their_sums(spark, no_auto_broadcast):
     try:
         vocab, bags = _corpus(spark)
         step = _Step(4)
-        blocks, rows, theta, phi, hot = initial_state(bags, initial_phi(vocab, 4), vocab, step)
-        assert hot is not None
-        assert "Exchange" not in _plan(em_pass(step, rows[0], theta, phi, blocks[0], True))
+        state = initial_state(bags, initial_phi(vocab, 4), vocab, step)
+        assert state.hot is not None
+        assert "Exchange" not in _plan(em_pass(step, state.rows(), state.theta(), state.files, True))
     finally:
         spark.conf.unset("topic_tables.documentPartRows")
 

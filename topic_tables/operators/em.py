@@ -1,17 +1,16 @@
 """Expectation–maximisation for PLSA and Robust PLSA on tables.
 
-State between iterations lives in tables, never in driver matrices:
+State between iterations lives in files and tables, never in driver matrices:
 
   document rows  (row_id, part, words, ns[, us])   one list a document and part,
-                 cut by word blocks, bucketed by (row_id, part)
+                 bucketed by (row_id, part)
                  (us: unnormalised noise; part > 0 only for huge documents)
   theta          (row_id, part, theta[K], nu_sum)  bucketed in the same way
-  phi            (word_id, phi[K], bg)             one row per vocabulary word
+  phi            array files by word block (phi_files.py), with β behind
 
-A word block is a range of word ids whose K-wide φ rows fit 64 MB (or the
-broadcast limit); a small vocabulary is one block.  One iteration makes, for each block,
-one pass over the document rows joined with θ (co-located, so neither the
-pairs nor θ move) and the block's φ (broadcast).  The pass computes from the
+One iteration is one pass over the document rows joined with θ (co-located, so
+neither the pairs nor θ move).  A task takes its pairs in the order of their
+words and walks the block files that hold them.  It computes from the
 *previous* state only, in numpy over Arrow batches whose width is K:
 
   z = Σ_t φ_tw θ_dt   [robust: (z + γβ_w + εν_dw) / (1 + γ + ε)],  r = n / z
@@ -19,12 +18,13 @@ pairs nor θ move) and the block's φ (broadcast).  The pass computes from the
   C_tw = φ_tw Σ_d r θ_dt     one row a word and task: φ' ∝ C after a merge
   ν'_dw ∝ ε ν_dw r           (robust) written with the document's row
 
-and writes both kinds of rows as one bucketed table.  Only word rows (and the
-partial sums of huge documents, or of several blocks) are shuffled.  The cost
-of a plan does not depend on K: there is no column per topic.
+and writes both kinds of rows, and its topic totals, as one bucketed table.
+Only word rows (and the partial sums of huge documents) are shuffled: they are
+added up a word and written as the next block files.  The cost of a plan does
+not depend on K: there is no column per topic.
 
-The driver sees one φ block at a time (bounded by the broadcast limit), K topic
-totals per task and one log-likelihood number per iteration.
+The driver sees one vector of K topic totals per task, the numbers of the
+blocks, and one log-likelihood number per iteration.
 """
 
 from __future__ import annotations
@@ -38,15 +38,18 @@ from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from topic_tables.functions.vectors import hash_uniform
-from topic_tables.operators.joins import broadcast_limit
+from topic_tables.operators.phi_files import PhiFiles, write_phi
 from topic_tables.operators.priors import Prior, is_active
+from topic_tables.operators.run_record import Run
 from topic_tables.operators.vocab import Vocabulary, buckets_of
 from topic_tables.session import cut_lineage, release, write_bucketed
 
-#: Bytes of a word block's φ; a Python worker holds that and as many counts.
-BLOCK_BYTES = 64 << 20
+#: Pairs of document rows that walk the block files together.
+PAIRS_A_WALK = 1 << 19
 #: Pairs whose K-wide products a task holds at once.
 PAIRS_AT_ONCE = 20_000
+#: ``word_id`` of the row that holds a task's topic totals.
+TOTALS = -1
 
 PASS_SCHEMA = "row_id bigint, part int, word_id int, vec array<double>, words array<int>, ns array<double>, us array<double>"
 
@@ -64,6 +67,8 @@ class TopicModel:
     eps: float = 0.0
     theta_prior: Prior | None = None
     phi_prior: Prior | None = None
+    #: φ (and β) as the fit left them
+    files: PhiFiles | None = None
     #: intermediate tables this model's DataFrames read; :meth:`release` drops them
     scratch: list = field(default_factory=list)
 
@@ -148,7 +153,7 @@ def initial_phi(vocab: Vocabulary, k: int, seed: int = 13) -> DataFrame:
     topics = F.sequence(F.lit(0), F.lit(k - 1))
     u = cut_lineage(vocab.table.select("word_id", F.transform(topics, lambda t: hash_uniform(seed, t, F.col("token"))).alias("vec")), "phi0")
     out = _over(u, column_totals(u, k)).select("word_id", F.col("vec").alias("phi"))
-    out._tt_source = u
+    out._tt_source, out._tt_seed = u, seed
     return out
 
 
@@ -158,24 +163,14 @@ def _over(counts: DataFrame, totals: np.ndarray) -> DataFrame:
     return counts.withColumn("vec", F.zip_with(F.zip_with("vec", by[1], lambda c, t: c / t), by[0], lambda c, on: c * on))
 
 
-def word_blocks(spark, vocab_size: int, k: int) -> list[tuple[int, int]]:
-    """Ranges of word ids whose φ rows fit a block."""
-    words = max(1, min(broadcast_limit(spark), BLOCK_BYTES) // (8 * (k + 2)))
-    return [(a, min(vocab_size, a + words)) for a in range(0, max(vocab_size, 1), words)]
-
-
-def document_rows(bags: DataFrame, blocks: list[tuple[int, int]], robust: bool = False) -> list[DataFrame]:
-    """The bags as lists, one table a word block.  Lists are bounded: huge
-    documents come in parts.  The bags' bucketing makes this a local step."""
-    out = []
-    for low, high in blocks:
-        some = bags.where(F.col("word_id").between(low, high - 1)) if len(blocks) > 1 else bags
-        lists = some.groupBy("row_id", "part").agg(F.array_sort(F.collect_list(F.struct("word_id", "n"))).alias("ws"))
-        cols = ["row_id", "part", F.col("ws.word_id").alias("words"), F.col("ws.n").alias("ns")]
-        if robust:
-            cols.append(F.transform("ws", lambda w: F.lit(1.0)).alias("us"))
-        out.append(write_bucketed(lists.select(*cols), ["row_id", "part"], buckets_of(bags), "docrows", prepartitioned=True))
-    return out
+def document_rows(bags: DataFrame, robust: bool = False) -> DataFrame:
+    """The bags as lists.  Lists are bounded: huge documents come in parts.
+    The bags' bucketing makes this a local step."""
+    lists = bags.groupBy("row_id", "part").agg(F.array_sort(F.collect_list(F.struct("word_id", "n"))).alias("ws"))
+    cols = ["row_id", "part", F.col("ws.word_id").alias("words"), F.col("ws.n").alias("ns")]
+    if robust:
+        cols.append(F.transform("ws", lambda w: F.lit(1.0)).alias("us"))
+    return write_bucketed(lists.select(*cols), ["row_id", "part"], buckets_of(bags), "docrows", prepartitioned=True)
 
 
 def hot_documents(bags: DataFrame) -> DataFrame | None:
@@ -189,18 +184,6 @@ def hot_documents(bags: DataFrame) -> DataFrame | None:
     return hot
 
 
-def phi_block(phi: DataFrame, low: int, high: int, k: int, robust: bool) -> tuple[np.ndarray, np.ndarray]:
-    """φ rows (and β) of one word block as arrays; words without a row are 0."""
-    rows = phi.where(F.col("word_id").between(low, high - 1)).select("word_id", "phi", *(["bg"] if robust else [])).toArrow().combine_chunks()
-    m, bg = np.zeros((high - low, k)), np.zeros(high - low)
-    if rows.num_rows:
-        at = rows["word_id"].to_numpy() - low
-        m[at] = _rows(rows["phi"].combine_chunks(), k)
-        if robust:
-            bg[at] = rows["bg"].to_numpy()
-    return m, bg
-
-
 # ----------------------------------------------------------------------- kernel
 @dataclass
 class _Step:
@@ -215,7 +198,7 @@ class _Step:
     def width(self) -> int:
         return self.k + 3            # topics, log-likelihood, skipped pairs, noise normaliser
 
-    def flat(self, b: pa.RecordBatch, low: int):
+    def flat(self, b: pa.RecordBatch):
         """Pairs of a batch of document rows, as flat arrays."""
         words = b.column(2)
         sizes = words.value_lengths().to_numpy(zero_copy_only=False)
@@ -225,46 +208,71 @@ class _Step:
         if ok.any():
             t[ok] = _rows(theta.filter(theta.is_valid()), self.k)
         doc = np.repeat(np.arange(b.num_rows), sizes)
-        w = words.flatten().to_numpy() - low
+        w = words.flatten().to_numpy()
         n = b.column(3).flatten().to_numpy(zero_copy_only=False)
         nu = np.zeros(len(w))
         if self.robust:
-            total = b.column(6).to_numpy(zero_copy_only=False).astype(float)[doc]
-            us = b.column(5).flatten().to_numpy(zero_copy_only=False)
-            nu = np.where(total > 0, us / np.where(total > 0, total, 1.0), 0.0)
+            nu = self.noise(b.column(5).flatten().to_numpy(zero_copy_only=False), b.column(6).to_numpy(zero_copy_only=False).astype(float)[doc])
         return sizes, t, doc, w, n, nu
 
+    @staticmethod
+    def noise(us: np.ndarray, total: np.ndarray) -> np.ndarray:
+        return np.where(total > 0, us / np.where(total > 0, total, 1.0), 0.0)
+
     def mixture(self, f, t, bg, nu):
         z = np.einsum("ij,ij->i", f, t)
         return (z + self.gamma * bg + self.eps * nu) / (1.0 + self.gamma + self.eps) if self.robust else z
 
-    def batch(self, b: pa.RecordBatch, low: int, phi: np.ndarray, bg: np.ndarray, counts: np.ndarray | None):
-        """Document sums and new noise of one batch; adds into ``counts``."""
-        sizes, t, doc, w, n, nu = self.flat(b, low)
-        sums = np.zeros((b.num_rows, self.width))
-        fresh = np.zeros(len(w))
-        for a in range(0, len(w), PAIRS_AT_ONCE):
-            s = slice(a, a + PAIRS_AT_ONCE)
-            f, td, d = phi[w[s]], t[doc[s]], doc[s]
-            z = self.mixture(f, td, bg[w[s]], nu[s])
-            good = z > 0
-            r = np.where(good, n[s] / np.where(good, z, 1.0), 0.0)
-            td = np.where(good[:, None], td, 0.0)
-            starts = np.flatnonzero(np.r_[True, d[1:] != d[:-1]])
-            at = d[starts]
-            fresh[s] = self.eps * nu[s] * r
-            sums[at, :self.k] += np.add.reduceat(r[:, None] * f * td, starts, axis=0)
-            sums[at, self.k] += np.add.reduceat(np.where(good, n[s] * np.log(np.where(good, z, 1.0)), 0.0), starts)
-            sums[at, self.k + 1] += np.add.reduceat((~good).astype(float), starts)
-            sums[at, self.k + 2] += np.add.reduceat(fresh[s], starts)
-            if counts is not None:
-                order = np.argsort(w[s], kind="stable")
-                ws = w[s][order]
-                ends = np.flatnonzero(np.r_[True, ws[1:] != ws[:-1]])
-                counts[ws[ends], :self.k] += np.add.reduceat((r[:, None] * td)[order], ends, axis=0)
-                counts[ws[ends], self.k] += np.add.reduceat((r * self.gamma * bg[w[s]])[order], ends)
-                counts[ws[ends], self.k + 1] += 1.0
-        return sums, fresh, sizes
+    def walk(self, source, t, doc, w, n, nu, want_words: bool):
+        """(document sums, new noise, words, word sums) of flat pairs.  The
+        pairs are taken in the order of their words, block by block."""
+        sums, fresh = np.zeros((len(t), self.width)), np.zeros(len(w))
+        order = np.argsort(w, kind="stable")
+        edges = source.edges
+        cut = np.searchsorted(w[order], edges)
+        words, counts = [], []
+        for block in np.flatnonzero(np.diff(cut)).tolist():
+            phi, back = source.load(block)
+            for a in range(cut[block], cut[block + 1], PAIRS_AT_ONCE):
+                at = order[a:min(a + PAIRS_AT_ONCE, cut[block + 1])]
+                here, d, count = w[at] - edges[block], doc[at], n[at]
+                f, td, bg = phi[here], t[d], back[here]
+                z = self.mixture(f, td, bg, nu[at])
+                good = z > 0
+                r = np.where(good, count / np.where(good, z, 1.0), 0.0)
+                td = np.where(good[:, None], td, 0.0)
+                fresh[at] = self.eps * nu[at] * r
+                by_doc = np.argsort(d, kind="stable")
+                starts = np.flatnonzero(np.r_[True, np.diff(d[by_doc]) != 0])
+                of = d[by_doc][starts]
+                rows = np.empty((len(at), self.width))
+                rows[:, :self.k] = r[:, None] * f * td
+                rows[:, self.k] = np.where(good, count * np.log(np.where(good, z, 1.0)), 0.0)
+                rows[:, self.k + 1] = ~good
+                rows[:, self.k + 2] = fresh[at]
+                sums[of] += np.add.reduceat(rows[by_doc], starts, axis=0)
+                if want_words:
+                    starts = np.flatnonzero(np.r_[True, np.diff(here) != 0])
+                    first = here[starts]
+                    c = np.add.reduceat(np.c_[r[:, None] * td, r], starts, axis=0)
+                    words.append(first + edges[block])
+                    counts.append(np.c_[c[:, :self.k] * phi[first], c[:, self.k] * self.gamma * back[first]])
+        if not words:
+            return sums, fresh, np.zeros(0, np.int64), np.zeros((0, self.k + 1))
+        words, counts = np.concatenate(words), np.concatenate(counts)
+        starts = np.flatnonzero(np.r_[True, np.diff(words) != 0])
+        return sums, fresh, words[starts], np.add.reduceat(counts, starts, axis=0)
+
+
+def _walks(batches, pairs: int = PAIRS_A_WALK):
+    """Document rows in runs of about so many pairs."""
+    for batch in batches:
+        sizes = batch.column(2).value_lengths().to_numpy(zero_copy_only=False) if batch.num_rows else np.zeros(0)
+        run = (np.cumsum(sizes) - 1) // pairs
+        cuts = np.r_[0, np.flatnonzero(np.diff(run)) + 1, batch.num_rows]
+        for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
+            if b > a:
+                yield batch.slice(a, b - a)
 
 
 def _joined(rows: DataFrame, theta: DataFrame, robust: bool) -> DataFrame:
@@ -273,69 +281,71 @@ def _joined(rows: DataFrame, theta: DataFrame, robust: bool) -> DataFrame:
     return rows.join(theta.hint("shuffle_hash"), ["row_id", "part"]).select(*cols)
 
 
-def em_pass(step: _Step, rows: DataFrame, theta: DataFrame, phi: DataFrame, block: tuple[int, int], want_words: bool) -> DataFrame:
-    """Document and word rows of one word block (see the module's head).  A
+def em_pass(step: _Step, rows: DataFrame, theta: DataFrame, files: PhiFiles, want_words: bool) -> DataFrame:
+    """Document rows, word rows and topic totals (see the module's head).  A
     word row carries the key of a document of its task, so that a task's rows
-    stay in one bucket."""
-    low, high = block
-    spark = rows.sparkSession
-    shared = spark.sparkContext.broadcast(phi_block(phi, low, high, step.k, step.robust))
+    stay in one bucket.  Word sums of a single block are held until the task
+    ends, those of many blocks until a walk ends."""
+    width = step.k + 1
+
+    def word_rows(last, words, counts):
+        for i in range(0, len(words), 5000):
+            at, vec = words[i:i + 5000], counts[i:i + 5000]
+            none = pa.nulls(len(at), pa.list_(pa.float64()))
+            yield pa.RecordBatch.from_arrays([pa.array([last[0]] * len(at), pa.int64()), pa.array([last[1]] * len(at), pa.int32()),
+                                              pa.array(at.astype(np.int32)), _lists(vec), none.cast(pa.list_(pa.int32())), none, none],
+                                             ["row_id", "part", "word_id", "vec", "words", "ns", "us"])
 
     def run(batches):
-        m, bg = shared.value
-        counts = np.zeros((len(m), step.k + 2)) if want_words else None
-        last = None
-        for batch in batches:
-            for b in (batch.slice(i, 2000) for i in range(0, batch.num_rows, 2000)):
-                sums, fresh, sizes = step.batch(b, low, m, bg, counts)
-                last = b.column(0)[-1].as_py(), b.column(1)[-1].as_py()
-                none = pa.nulls(b.num_rows, pa.list_(pa.float64()))
-                kept = [none.cast(pa.list_(pa.int32())), none, none]
-                if step.robust:
-                    offsets = pa.array(np.r_[0, np.cumsum(sizes)].astype(np.int32))
-                    kept = [b.column(2), b.column(3), pa.ListArray.from_arrays(offsets, pa.array(fresh))]
-                yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.nulls(b.num_rows, pa.int32()), _lists(sums), *kept],
-                                                 ["row_id", "part", "word_id", "vec", "words", "ns", "us"])
-        if counts is not None and last is not None:
-            used = np.flatnonzero(counts[:, step.k + 1])
-            for i in range(0, len(used), 5000):
-                at = used[i:i + 5000]
-                vec = np.c_[counts[at, :step.k] * m[at], counts[at, step.k]]
-                none = pa.nulls(len(at), pa.list_(pa.float64()))
-                yield pa.RecordBatch.from_arrays([pa.array([last[0]] * len(at), pa.int64()), pa.array([last[1]] * len(at), pa.int32()),
-                                                  pa.array((at + low).astype(np.int32)), _lists(vec), none.cast(pa.list_(pa.int32())), none, none],
-                                                 ["row_id", "part", "word_id", "vec", "words", "ns", "us"])
+        held = np.zeros((files.size, width)) if want_words and files.blocks == 1 else None
+        used = np.zeros(files.size if held is not None else 0, bool)
+        totals, last = np.zeros(width), None
+        for b in _walks(batches):
+            sizes, *flat = step.flat(b)
+            sums, fresh, words, counts = step.walk(files, *flat, want_words)
+            last = b.column(0)[-1].as_py(), b.column(1)[-1].as_py()
+            none = pa.nulls(b.num_rows, pa.list_(pa.float64()))
+            kept = [none.cast(pa.list_(pa.int32())), none, none]
+            if step.robust:
+                offsets = pa.array(np.r_[0, np.cumsum(sizes)].astype(np.int32))
+                kept = [b.column(2), b.column(3), pa.ListArray.from_arrays(offsets, pa.array(fresh))]
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.nulls(b.num_rows, pa.int32()), _lists(sums), *kept],
+                                             ["row_id", "part", "word_id", "vec", "words", "ns", "us"])
+            totals += counts.sum(axis=0)
+            if held is not None:
+                held[words] += counts
+                used[words] = True
+            else:
+                yield from word_rows(last, words, counts)
+        if want_words and last is not None:
+            if held is not None:
+                yield from word_rows(last, np.flatnonzero(used), held[used])
+            yield from word_rows(last, np.array([TOTALS]), totals[None, :])
 
     return _joined(rows, theta, step.robust).mapInArrow(run, PASS_SCHEMA)
 
 
-def pair_view(step: _Step, rows: list[DataFrame], theta: DataFrame, phi: DataFrame, blocks: list[tuple[int, int]]) -> DataFrame:
+def pair_view(step: _Step, rows: DataFrame, theta: DataFrame, files: PhiFiles) -> DataFrame:
     """Every pair of a state: (row_id, part, word_id, n, z, r, c[K], nu)."""
-    out = None
-    for (low, high), table in zip(blocks, rows):
-        shared = table.sparkSession.sparkContext.broadcast(phi_block(phi, low, high, step.k, step.robust))
-
-        def run(batches, shared=shared, low=low):
-            m, bg = shared.value
-            for batch in batches:
-                for b in (batch.slice(i, 100) for i in range(0, batch.num_rows, 100)):
-                    _, t, doc, w, n, nu = step.flat(b, low)
-                    for a in range(0, len(w), PAIRS_AT_ONCE):
-                        s = slice(a, a + PAIRS_AT_ONCE)
-                        f, td = m[w[s]], t[doc[s]]
-                        z = step.mixture(f, td, bg[w[s]], nu[s])
-                        good = z > 0
-                        r = np.where(good, n[s] / np.where(good, z, 1.0), 0.0)
-                        c = np.where(good[:, None], r[:, None] * f * td, 0.0)
-                        yield pa.RecordBatch.from_arrays(
-                            [b.column(0).take(pa.array(doc[s])), b.column(1).take(pa.array(doc[s])), pa.array((w[s] + low).astype(np.int32)),
-                             pa.array(n[s]), pa.array(z, from_pandas=True), pa.array(r), _lists(c), pa.array(nu[s])],
-                            ["row_id", "part", "word_id", "n", "z", "r", "c", "nu"])
-
-        part = _joined(table, theta, step.robust).mapInArrow(
-            run, "row_id bigint, part int, word_id int, n double, z double, r double, c array<double>, nu double")
-        out = part if out is None else out.unionByName(part)
-    return out
+    def run(batches):
+        for b in _walks(batches, PAIRS_AT_ONCE):
+            _, t, doc, w, n, nu = step.flat(b)
+            words, place = np.unique(w, return_inverse=True)
+            source = files.rows(words)
+            for a in range(0, len(w), PAIRS_AT_ONCE):
+                s = slice(a, a + PAIRS_AT_ONCE)
+                f, td = source.phi[place[s]], t[doc[s]]
+                z = step.mixture(f, td, source.bg[place[s]], nu[s])
+                good = z > 0
+                r = np.where(good, n[s] / np.where(good, z, 1.0), 0.0)
+                c = np.where(good[:, None], r[:, None] * f * td, 0.0)
+                yield pa.RecordBatch.from_arrays(
+                    [b.column(0).take(pa.array(doc[s])), b.column(1).take(pa.array(doc[s])), pa.array(w[s].astype(np.int32)),
+                     pa.array(n[s]), pa.array(z, from_pandas=True), pa.array(r), _lists(c), pa.array(nu[s])],
+                    ["row_id", "part", "word_id", "n", "z", "r", "c", "nu"])
+
+    return _joined(rows, theta, step.robust).mapInArrow(
+        run, "row_id bigint, part int, word_id int, n double, z double, r double, c array<double>, nu double")
 
 
 # ----------------------------------------------------------------------- M-step
@@ -350,15 +360,9 @@ def _adjusted(counts, old, prior: Prior | None):
     return F.zip_with(counts, old, lambda c, o: F.greatest(prior.adjust(c, o), F.lit(0.0)))
 
 
-def _document_sums(step: _Step, passes: list[DataFrame], hot: DataFrame | None) -> DataFrame:
-    """(row_id, part, vec): each document's sums over blocks and parts, on
-    every part."""
-    docs = [p.where("word_id is null").select("row_id", "part", "vec") for p in passes]
-    one = docs[0]
-    if len(docs) > 1:
-        for d in docs[1:]:
-            one = one.unionByName(d)
-        one = sum_vectors(one, ["row_id", "part"], step.width)
+def _document_sums(step: _Step, passed: DataFrame, hot: DataFrame | None) -> DataFrame:
+    """(row_id, part, vec): each document's sums over its parts, on every part."""
+    one = passed.where("word_id is null").select("row_id", "part", "vec")
     if hot is None:
         return one
     cold = one.join(hot.select("row_id"), "row_id", "left_anti")
@@ -367,9 +371,9 @@ def _document_sums(step: _Step, passes: list[DataFrame], hot: DataFrame | None)
     return cold.select("row_id", "part", "vec").unionByName(warm.select("row_id", F.col("part").cast("int"), "vec"))
 
 
-def next_theta(step: _Step, passes: list[DataFrame], theta: DataFrame, hot: DataFrame | None, prior: Prior | None) -> DataFrame:
-    """(row_id, part, theta, nu_sum)."""
-    sums = _document_sums(step, passes, hot)
+def next_theta(step: _Step, passed: DataFrame, theta: DataFrame | None, hot: DataFrame | None, prior: Prior | None) -> DataFrame:
+    """(row_id, part, theta, nu_sum).  A prior needs the old θ."""
+    sums = _document_sums(step, passed, hot)
     s = _slice("vec", step.k)
     if is_active(prior):
         sums = sums.join(theta.select("row_id", "part", F.col("theta").alias("old")), ["row_id", "part"])
@@ -382,53 +386,68 @@ def next_theta(step: _Step, passes: list[DataFrame], theta: DataFrame, hot: Data
     return sums.withColumn("total", total).select("row_id", "part", new.alias("theta"), F.col("vec")[step.k + 2].alias("nu_sum"))
 
 
-def word_counts(step: _Step, passes: list[DataFrame]) -> DataFrame:
+def word_counts(step: _Step, passed: DataFrame) -> DataFrame:
     """(word_id, vec): K expected counts and the background's."""
-    parts = [p.where("word_id is not null").select("word_id", "vec") for p in passes]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return sum_vectors(out, ["word_id"], step.k + 1)
-
-
-def next_phi(step: _Step, passes: list[DataFrame], phi: DataFrame, prior: Prior | None, vocab: Vocabulary,
-             freeze_phi: bool, freeze_background: bool) -> DataFrame:
-    """C7/R9 (+E3): the next (word_id, phi[, bg]), written."""
-    k = step.k
-    raw = cut_lineage(word_counts(step, passes), "counts")
-    totals = column_totals(raw, k + 1)
-    bg_total = float(totals[k])
-    bg = (F.element_at("vec", k + 1) / bg_total) if bg_total > 0 and step.gamma != 0 else F.lit(0.0)
-    drop = [raw]
+    return sum_vectors(passed.where("word_id >= 0").select("word_id", "vec"), ["word_id"], step.k + 1)
+
+
+def next_phi(step: _Step, passed: DataFrame, files: PhiFiles, prior: Prior | None, vocab: Vocabulary, freeze_phi: bool) -> PhiFiles:
+    """C7/R9 (+E3): the next φ, written by the tasks that add up its words."""
+    k, spark = step.k, passed.sparkSession
+    totals = column_totals(passed.where(F.col("word_id") == TOTALS), k + 1)
+    if step.gamma == 0:
+        totals[k] = 0.0
+    raw = word_counts(step, passed)
+    vec = F.col("vec") if step.robust else _slice("vec", k)
     if freeze_phi:
         # Only the background moves (robust fold-in); words absent from the folded documents get β = 0.
-        out = phi.select("word_id", "phi").join(raw.select("word_id", bg.alias("bg")), "word_id", "left").na.fill(0.0, ["bg"])
-    else:
-        counts = raw.select("word_id", _slice("vec", k).alias("vec"), bg.alias("bg"))
-        if is_active(prior):
-            every = vocab.table.select("word_id").join(counts, "word_id", "left") if prior.adds_mass else counts
-            every = every.join(phi.select("word_id", F.col("phi").alias("old")), "word_id", "left")
-            zero = F.array_repeat(F.lit(0.0), k)
-            adjusted = _adjusted(F.coalesce("vec", zero), F.coalesce("old", zero), prior)
-            counts = cut_lineage(every.select("word_id", adjusted.alias("vec"), F.coalesce("bg", F.lit(0.0)).alias("bg")), "counts")
-            drop.append(counts)
-            totals = column_totals(counts, k)
-        out = _over(counts, totals[:k]).select("word_id", F.col("vec").alias("phi"), "bg")
-        if step.robust and freeze_background:
-            out = out.drop("bg").join(phi.select("word_id", "bg"), "word_id")
-    out = cut_lineage(out, "phi")
-    for table in drop:
-        release(table)
+        bg = F.coalesce(F.element_at("vec", k + 1) / float(totals[k] or 1.0), F.lit(0.0)) * float(totals[k] > 0)
+        rows = files.frame(spark).select("word_id", "phi").join(raw, "word_id", "left")
+        return write_phi(rows.select("word_id", F.concat("phi", F.array(bg)).alias("vec")), vocab.size, k, step.robust)
+    if not is_active(prior):
+        return write_phi(raw.select("word_id", vec.alias("vec")), vocab.size, k, step.robust, totals[:k + step.robust])
+    every = vocab.table.select("word_id").join(raw, "word_id", "left") if prior.adds_mass else raw
+    every = every.join(files.frame(spark).select("word_id", F.col("phi").alias("old")), "word_id", "left")
+    zero = F.array_repeat(F.lit(0.0), k)
+    adjusted = _adjusted(F.coalesce(_slice("vec", k), zero), F.coalesce("old", zero), prior)
+    bg = F.array(F.coalesce(F.element_at("vec", k + 1), F.lit(0.0)))
+    counts = cut_lineage(every.select("word_id", F.concat(adjusted, bg).alias("vec")), "counts")
+    totals[:k] = column_totals(counts, k + 1)[:k]
+    out = write_phi(counts.select("word_id", vec.alias("vec")), vocab.size, k, step.robust, totals[:k + step.robust])
+    release(counts)
     return out
 
 
 # ------------------------------------------------------------------------- loop
-def initial_state(bags: DataFrame, phi0: DataFrame, vocab: Vocabulary, step: _Step, background0: DataFrame | None = None):
-    """(blocks, rows, theta, phi, hot) of state 0: θ = 1/K (C2); robust adds
-    ν = 1/Σn on each distinct word (R1, as u = 1 with normaliser Σn) and
-    β = 1/V (R2)."""
-    blocks = word_blocks(bags.sparkSession, vocab.size, step.k)
-    rows = document_rows(bags, blocks, step.robust)
+@dataclass
+class State:
+    """What an iteration leaves.  θ stands in the pass as its rows are, unless
+    a document is split or a prior needs the old θ beside the sums; the robust
+    model's document rows stand in the pass with their new noise."""
+
+    step: _Step
+    files: PhiFiles
+    rows_table: DataFrame | None = None
+    theta_table: DataFrame | None = None
+    passed: DataFrame | None = None
+    hot: DataFrame | None = None
+
+    def rows(self) -> DataFrame:
+        if self.step.robust and self.passed is not None:
+            return self.passed.where("word_id is null").select("row_id", "part", "words", "ns", "us")
+        return self.rows_table
+
+    def theta(self) -> DataFrame:
+        return self.theta_table if self.theta_table is not None else next_theta(self.step, self.passed, None, None, None)
+
+    def tables(self) -> list:
+        return [self.rows_table, self.theta_table, self.passed, self.hot]
+
+
+def initial_state(bags: DataFrame, phi0: DataFrame, vocab: Vocabulary, step: _Step, background0: DataFrame | None = None) -> State:
+    """State 0: θ = 1/K (C2); robust adds ν = 1/Σn on each distinct word (R1, as
+    u = 1 with normaliser Σn) and β = 1/V (R2)."""
+    rows = document_rows(bags, step.robust)
     hot = hot_documents(bags)
     mass = bags.groupBy("row_id", "part").agg(F.sum("n").alias("nu_sum"))
     if hot is not None and step.robust:
@@ -436,121 +455,153 @@ def initial_state(bags: DataFrame, phi0: DataFrame, vocab: Vocabulary, step: _St
         mass = mass.join(whole, "row_id", "left").select("row_id", "part", F.coalesce("whole", "nu_sum").alias("nu_sum"))
     theta = write_bucketed(mass.select("row_id", "part", F.array_repeat(F.lit(1.0 / step.k), step.k).alias("theta"), "nu_sum"),
                            ["row_id", "part"], buckets_of(bags), "theta", prepartitioned=hot is None or not step.robust)
-    phi = phi0.select("word_id", "phi")
+    return State(step, initial_files(phi0, vocab, step, background0), rows, theta, None, hot)
+
+
+def initial_files(phi0: DataFrame, vocab: Vocabulary, step: _Step, background0: DataFrame | None = None) -> PhiFiles:
+    """φ (and β) given as a table, as block files."""
+    vec = F.col("phi")
     if step.robust:
         bg = background0 if background0 is not None else vocab.table.select("word_id", F.lit(1.0 / max(vocab.size, 1)).alias("bg"))
-        phi = phi.join(bg.select("word_id", "bg"), "word_id")
-    return blocks, rows, theta, cut_lineage(phi, "phi"), hot
+        phi0 = phi0.select("word_id", "phi").join(bg.select("word_id", "bg"), "word_id")
+        vec = F.concat("phi", F.array("bg"))
+    return write_phi(phi0.select("word_id", vec.alias("vec")), vocab.size, step.k, step.robust)
 
 
 def state0_pairs(bags: DataFrame, vocab: Vocabulary, k: int, seed: int = 13, robust: bool = False,
                  gamma: float = 0.0, eps: float = 0.0) -> DataFrame:
     """Per-pair view of state 0: (row_id, part, word_id, n, z, r, c[K], nu)."""
     step = _Step(k, robust, gamma, eps)
-    blocks, rows, theta, phi, _ = initial_state(bags, initial_phi(vocab, k, seed), vocab, step)
-    return pair_view(step, rows, theta, phi, blocks)
+    state = initial_state(bags, initial_phi(vocab, k, seed), vocab, step)
+    return pair_view(step, state.rows(), state.theta(), state.files)
 
 
 def state0_counts(bags: DataFrame, vocab: Vocabulary, k: int, seed: int = 13) -> DataFrame:
     """C6 of state 0: (word_id, vec[K])."""
     step = _Step(k)
-    blocks, rows, theta, phi, _ = initial_state(bags, initial_phi(vocab, k, seed), vocab, step)
-    passes = [cut_lineage(em_pass(step, r, theta, phi, b, True), "pass") for r, b in zip(rows, blocks)]
-    return word_counts(step, passes).select("word_id", _slice("vec", k).alias("vec"))
+    state = initial_state(bags, initial_phi(vocab, k, seed), vocab, step)
+    passed = cut_lineage(em_pass(step, state.rows(), state.theta(), state.files, True), "pass")
+    return word_counts(step, passed).select("word_id", _slice("vec", k).alias("vec"))
+
+
+def advance(state: State, it: int, buckets: int, vocab: Vocabulary, theta_prior: Prior | None, phi_prior: Prior | None,
+            freeze_phi: bool, freeze_background: bool) -> tuple[State, float, int]:
+    """One iteration: the next state, and the log-likelihood and skipped pairs
+    of the one before."""
+    step = state.step
+    want_words = not freeze_phi or (step.robust and not freeze_background)
+    seen = Observation(f"loglik-{it}-{uuid.uuid4().hex[:8]}")
+    is_doc, vec = F.col("word_id").isNull(), F.col("vec")
+    out = em_pass(step, state.rows(), state.theta(), state.files, want_words).observe(
+        seen, F.sum(F.when(is_doc, vec[step.k])).alias("ll"), F.sum(F.when(is_doc, vec[step.k + 1])).alias("sk"))
+    passed = write_bucketed(out, ["row_id", "part"], buckets, "pass", prepartitioned=True)
+    files = next_phi(step, passed, state.files, phi_prior, vocab, freeze_phi) if want_words else state.files
+    new = State(step, files, None if step.robust else state.rows_table, None, passed, state.hot)
+    if state.hot is not None or is_active(theta_prior):
+        theta = next_theta(step, passed, state.theta(), state.hot, theta_prior)
+        new.theta_table = write_bucketed(theta, ["row_id", "part"], buckets, "theta", prepartitioned=state.hot is None)
+        if not step.robust:
+            release(passed)
+            new.passed = None
+    return new, float(seen.get["ll"] or 0.0), int(round(seen.get["sk"] or 0.0))
+
+
+def drop(old: State, new: State | None, spark) -> None:
+    """Delete what the old state has and the new one does not."""
+    kept = [] if new is None else new.tables()
+    for table in old.tables():
+        if table is not None and not any(table is t for t in kept):
+            release(table)
+    if new is None or new.files is not old.files:
+        release(old.files.frame(spark))
 
 
 def run_em(bags: DataFrame, vocab: Vocabulary, phi0: DataFrame, k: int, iterations: int, *,
            robust: bool = False, gamma: float = 0.0, eps: float = 0.0, background0: DataFrame | None = None,
            freeze_phi: bool = False, theta_prior: Prior | None = None, phi_prior: Prior | None = None,
-           compute_loglik: bool = True, freeze_background: bool = False, docs: DataFrame | None = None) -> TopicModel:
+           compute_loglik: bool = True, freeze_background: bool = False, docs: DataFrame | None = None,
+           resume: str | None = None) -> TopicModel:
     """The EM driver loop (C8/R10).  ``bags`` must come from :func:`to_bags`;
-    ``freeze_phi`` gives fold-in (C10/R12)."""
+    ``freeze_phi`` gives fold-in (C10/R12), and only then the background can be
+    frozen.  ``resume`` names a folder in which every finished iteration is
+    recorded: a fit that finds records there goes on after the last one."""
+    if freeze_background and not freeze_phi:
+        raise ValueError("the background is frozen only with phi")
+    spark = bags.sparkSession
     step = _Step(k, robust, float(gamma), float(eps))
     buckets = buckets_of(bags)
-    blocks, rows, theta, phi, hot = initial_state(bags, phi0, vocab, step, background0)
+    run = Run(spark, resume, {"k": k, "robust": robust, "gamma": float(gamma), "eps": float(eps), "words": vocab.size, "seed": getattr(phi0, "_tt_seed", None), "freeze_phi": freeze_phi,
+                              "theta_prior": repr(theta_prior), "phi_prior": repr(phi_prior)}) if resume else None
+    found = run.last() if run else None
+    if found:
+        done, history, tables, files = found
+        state = State(step, PhiFiles(**files), **tables)
+        buckets = next(t for t in state.tables() if t is not None)._tt_buckets
+    else:
+        state, done, history = initial_state(bags, phi0, vocab, step, background0), 0, []
+        if run:
+            run.record(0, history, state)
     release(getattr(phi0, "_tt_source", None))
-    history = []
-    # With one block and no split document a pass's rows are the new θ as they
-    # stand (a prior needs the old θ beside them): nothing is written again.
-    as_it_stands = len(blocks) == 1 and hot is None and not is_active(theta_prior)
-    behind: list = [theta, *(rows if robust else [])]        # tables that the state reads
-    for it in range(iterations):
-        want_words = not freeze_phi or (robust and not freeze_background)
-        passes, loglik, skipped = [], 0.0, 0.0
-        for r, b in zip(rows, blocks):
-            seen = Observation(f"loglik-{it}-{uuid.uuid4().hex[:8]}")
-            is_doc, vec = F.col("word_id").isNull(), F.col("vec")
-            out = em_pass(step, r, theta, phi, b, want_words).observe(
-                seen, F.sum(F.when(is_doc, vec[k])).alias("ll"), F.sum(F.when(is_doc, vec[k + 1])).alias("sk"))
-            passes.append(write_bucketed(out, ["row_id", "part"], buckets, "pass", prepartitioned=True))
-            loglik, skipped = loglik + (seen.get["ll"] or 0.0), skipped + (seen.get["sk"] or 0.0)
-        history.append((it, float(loglik), int(round(skipped))))
-        if want_words:
-            new_phi = next_phi(step, passes, phi, phi_prior, vocab, freeze_phi, freeze_background)
-            release(phi)
-            phi = new_phi
-        new = next_theta(step, passes, theta, hot, theta_prior)
-        now = list(passes) if as_it_stands or robust else []
-        if not as_it_stands:
-            new = write_bucketed(new, ["row_id", "part"], buckets, "theta", prepartitioned=len(blocks) == 1 and hot is None)
-            now.append(new)
-        for table in behind + [p for p in passes if not any(p is t for t in now)]:
-            release(table)
-        theta, behind = new, now
-        if robust:
-            # The pass holds each document row with its new noise.
-            rows = [p.where("word_id is null").select("row_id", "part", "words", "ns", "us") for p in passes]
+    for it in range(done, iterations):
+        new, loglik, skipped = advance(state, it, buckets, vocab, theta_prior, phi_prior, freeze_phi, freeze_background)
+        history.append((it, loglik, skipped))
+        if run:
+            run.record(it + 1, history, new)
+        drop(state, new, spark)
+        state = new
 
     if compute_loglik:
-        total = np.zeros(step.width)
-        for r, b in zip(rows, blocks):
-            total += column_totals(em_pass(step, r, theta, phi, b, False), step.width)
+        total = column_totals(em_pass(step, state.rows(), state.theta(), state.files, False), step.width)
         history.append((iterations, float(total[k]), int(round(total[k + 1]))))
 
-    zero = F.array_repeat(F.lit(0.0), k)
-    every = vocab.table.select("word_id").join(phi, "word_id", "left").select("word_id", F.coalesce("phi", zero).alias("phi"))
+    theta, phi = state.theta(), state.files.frame(spark)
     mine = with_all_documents(theta.where("part = 0").select("row_id", "theta"), docs)
-    model = TopicModel(k=k, vocab=vocab, phi=every, theta=mine, history=history, gamma=float(gamma), eps=float(eps),
-                       theta_prior=theta_prior, phi_prior=phi_prior, scratch=[phi, *behind, hot])
+    model = TopicModel(k=k, vocab=vocab, phi=phi.select("word_id", "phi"), theta=mine, history=history, gamma=float(gamma), eps=float(eps),
+                       theta_prior=theta_prior, phi_prior=phi_prior, files=state.files, scratch=[phi, state.theta_table, state.passed, state.hot])
     if robust:
         model.background = phi.select("word_id", F.col("bg").alias("p"))
-        nu = None
-        for r in rows:
-            pairs = r.join(theta.select("row_id", "part", "nu_sum"), ["row_id", "part"]).select(
-                "row_id", "nu_sum", F.explode(F.arrays_zip("words", "us")).alias("w"))
-            p = F.when(F.col("nu_sum") > 0, F.col("w.us") / F.col("nu_sum")).otherwise(F.lit(0.0))
-            pairs = pairs.select("row_id", F.col("w.words").alias("word_id"), p.alias("p"))
-            nu = pairs if nu is None else nu.unionByName(pairs)
-        model.noise = nu
+        pairs = state.rows().join(theta.select("row_id", "part", "nu_sum"), ["row_id", "part"]).select(
+            "row_id", "nu_sum", F.explode(F.arrays_zip("words", "us")).alias("w"))
+        p = F.when(F.col("nu_sum") > 0, F.col("w.us") / F.col("nu_sum")).otherwise(F.lit(0.0))
+        model.noise = pairs.select("row_id", F.col("w.words").alias("word_id"), p.alias("p"))
+    if (robust and state.passed is None) or run:
+        model.scratch.append(state.rows_table)     # read by the noise, or by a later resume
     else:
-        for r in rows:
-            release(r)
+        release(state.rows_table)
     return model
 
 
 # --------------------------------------------------------------- row-wise fold-in
-def fold_rows(rows: DataFrame, phi: DataFrame, vocab_size: int, k: int, iterations: int) -> DataFrame:
-    """With φ frozen a document stands alone, so all iterations run where its
-    row is: (row_id, theta, stats) with the log-likelihood and the skipped
-    pairs of the states 0..iterations one after the other."""
-    step = _Step(k)
-    shared = rows.sparkSession.sparkContext.broadcast(phi_block(phi, 0, max(vocab_size, 1), k, False))
+def fold_rows(rows: DataFrame, files: PhiFiles, step: _Step, iterations: int) -> DataFrame:
+    """With φ (and β) frozen a document stands alone, so all iterations run
+    where its row is: (row_id, theta, words, us, nu_sum, stats) with the
+    log-likelihood and the skipped pairs of the states 0..iterations one after
+    the other.  A run of documents takes the φ rows of its own words from the
+    block files once; how many blocks there are does not matter."""
+    k, pairs = step.k, max(1000, min(PAIRS_A_WALK, (4 << 20) // step.k))
 
     def run(batches):
-        m, bg = shared.value
-        for batch in batches:
-            for b in (batch.slice(i, 500) for i in range(0, batch.num_rows, 500)):
-                theta, stats = np.full((b.num_rows, k), 1.0 / k), []
-                for it in range(iterations + 1):
-                    valid = ~np.isnan(theta[:, 0])
-                    col = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(valid * k)].astype(np.int32)), pa.array(theta[valid].ravel()),
-                                                   mask=pa.array(~valid)) if not valid.all() else _lists(theta)
-                    sums, _, _ = step.batch(pa.RecordBatch.from_arrays([*b.columns, col], ["row_id", "part", "words", "ns", "theta"]), 0, m, bg, None)
-                    stats.append(sums[:, k:k + 2])
-                    if it < iterations:
-                        total = sums[:, :k].sum(axis=1, keepdims=True)
-                        theta = np.where(total > 0, sums[:, :k] / np.where(total > 0, total, 1.0), np.nan)
-                out = pa.array([None if np.isnan(t[0]) else t.tolist() for t in theta], pa.list_(pa.float64()))
-                yield pa.RecordBatch.from_arrays([b.column(0), out, _lists(np.concatenate(stats, axis=1))], ["row_id", "theta", "stats"])
-
-    return rows.select("row_id", "part", "words", "ns").mapInArrow(run, "row_id bigint, theta array<double>, stats array<double>")
+        for b in _walks(batches, pairs):
+            words = b.column(2)
+            sizes = words.value_lengths().to_numpy(zero_copy_only=False)
+            doc, n = np.repeat(np.arange(b.num_rows), sizes), b.column(3).flatten().to_numpy(zero_copy_only=False)
+            own, place = np.unique(words.flatten().to_numpy(), return_inverse=True)
+            source = files.rows(own)
+            theta, stats = np.full((b.num_rows, k), 1.0 / k), []
+            us, norm = np.ones(len(n)), np.bincount(doc, n, b.num_rows)
+            for it in range(iterations + 1):
+                nu = step.noise(us, norm[doc]) if step.robust else us
+                sums, fresh, _, _ = step.walk(source, theta, doc, place, n, nu, False)
+                stats.append(sums[:, k:k + 2])
+                if it < iterations:
+                    total = sums[:, :k].sum(axis=1, keepdims=True)
+                    theta = np.where(total > 0, sums[:, :k] / np.where(total > 0, total, 1.0), np.nan)
+                    us, norm = fresh, sums[:, k + 2]
+            out = pa.array([None if np.isnan(t[0]) else t.tolist() for t in theta], pa.list_(pa.float64()))
+            offsets = pa.array(np.r_[0, np.cumsum(sizes)].astype(np.int32))
+            noise = [pa.ListArray.from_arrays(offsets, pa.array(own[place].astype(np.int32))), pa.ListArray.from_arrays(offsets, pa.array(us))]
+            yield pa.RecordBatch.from_arrays([b.column(0), out, *noise, pa.array(norm), _lists(np.concatenate(stats, axis=1))],
+                                             ["row_id", "theta", "words", "us", "nu_sum", "stats"])
+
+    return rows.select("row_id", "part", "words", "ns").mapInArrow(
+        run, "row_id bigint, theta array<double>, words array<int>, us array<double>, nu_sum double, stats array<double>")

@@ -30,6 +30,9 @@ class Prior:
     #: (then every vocabulary word must take part in the φ update).
     adds_mass: bool = False
 
+    def __repr__(self) -> str:
+        return f"{type(self).__name__}({', '.join(f'{k}={v!r}' for k, v in sorted(self.__dict__.items()))})"
+
     def adjust(self, count: Column, old: Column) -> Column:  # pragma: no cover - interface
         return count
 

@@ -128,6 +128,17 @@ def write_bucketed(df: DataFrame, keys: list[str], buckets: int, label: str,
     return out
 
 
+def open_bucketed(spark: SparkSession, path: str, schema, keys: list[str], buckets: int) -> DataFrame:
+    """The table that :func:`write_bucketed` left at ``path``, also in another
+    application, whose catalog does not know it."""
+    name = f"tt_again_{uuid.uuid4().hex[:12]}"
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
+    spark.sql(f"CREATE TABLE {name} ({columns}) USING parquet CLUSTERED BY ({', '.join(keys)}) INTO {buckets} BUCKETS LOCATION '{path}'")
+    out = spark.table(name)
+    out._tt_path, out._tt_table, out._tt_buckets = path, name, buckets
+    return out
+
+
 def release(df: DataFrame | None) -> None:
     """Delete an intermediate table written by :func:`cut_lineage` or
     :func:`write_bucketed` once nothing reads it any more (EM keeps only the
