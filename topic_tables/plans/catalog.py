@@ -311,6 +311,24 @@ def q_robust_fold_in(spark, sf):
     return _theta_long(f.theta).withColumnRenamed("row_id", "query_id")
 
 
+def _robust_folded(spark, sf):
+    m = robust_model(spark, sf)
+    return m, robust_fold_in(bench_docs(spark, sf), m, ITERATIONS, background="model")
+
+
+def q_robust_fold_in_model(spark, sf):
+    """R12 with the trained background: θ of the benchmark items."""
+    _, f = _robust_folded(spark, sf)
+    return _theta_long(f.theta).withColumnRenamed("row_id", "query_id")
+
+
+def q_robust_fold_in_noise(spark, sf):
+    """R12 with the trained background: ν of the benchmark items."""
+    m, f = _robust_folded(spark, sf)
+    return f.noise.join(m.vocab.table.select("word_id", "token"), "word_id").select(
+        F.col("row_id").alias("query_id"), "token", _r6(F.col("p")).alias("p"))
+
+
 # --------------------------------------------------------------------------- E
 def q_dirichlet_logpdf(spark, sf):
     th = plsa_model(spark, sf).theta
@@ -466,6 +484,7 @@ def registry() -> dict:
         "noise_init": q_noise_init, "robust_mixture": q_robust_mixture, "robust_theta": q_robust_theta,
         "robust_phi": q_robust_phi, "robust_background": q_robust_background, "robust_noise": q_robust_noise,
         "robust_loglik": q_robust_loglik, "robust_fold_in": q_robust_fold_in,
+        "robust_fold_in_model": q_robust_fold_in_model, "robust_fold_in_noise": q_robust_fold_in_noise,
         "dirichlet_logpdf": q_dirichlet_logpdf, "theta_prior": q_theta_prior, "phi_prior": q_phi_prior,
         "custom_prior": q_custom_prior,
         "read_bags": q_read_bags, "word_table": q_word_table, "phi_long": q_phi_long,

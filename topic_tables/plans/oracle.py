@@ -61,6 +61,7 @@ class EMSpec:
     theta_alpha: float | None = None   # symmetric Dirichlet on θ (None = no prior)
     theta_shift: float | None = None   # count shift for a custom θ prior
     phi_alpha: float | None = None
+    background: str | None = None      # table of a background that stays as it is
 
 
 def em_ctes(s: EMSpec) -> list[str]:
@@ -69,8 +70,10 @@ def em_ctes(s: EMSpec) -> list[str]:
            f"FROM (SELECT DISTINCT row_id FROM {s.bags}) d JOIN tp ON true)"]
     if s.robust:
         out.append(f"{p}nu0 AS (SELECT row_id, token, 1.0 / sum(n) OVER (PARTITION BY row_id) AS p FROM {s.bags})")
-        out.append(f"{p}bg0 AS (SELECT token, 1.0 / (SELECT count(*) FROM vocab) AS p FROM vocab)")
+        if s.background is None:
+            out.append(f"{p}bg0 AS (SELECT token, 1.0 / (SELECT count(*) FROM vocab) AS p FROM vocab)")
     phi_name = (lambda i: s.phi0) if s.freeze_phi else (lambda i: s.phi0 if i == 0 else f"{p}f{i}")
+    bg_name = (lambda i: s.background) if s.background else (lambda i: f"{p}bg{i}")
     g, e = s.gamma, s.eps
     for i in range(s.iterations + 1):
         f = phi_name(i)
@@ -81,7 +84,7 @@ def em_ctes(s: EMSpec) -> list[str]:
             out.append(f"{p}z{i} AS (SELECT m.row_id, m.token, m.n, bg.p AS bgp, nu.p AS nup, "
                        f"(m.mix + {g} * bg.p + {e} * nu.p) / (1 + {g} + {e}) AS z FROM "
                        f"(SELECT row_id, token, any_value(n) AS n, sum(q) AS mix FROM {p}q{i} GROUP BY row_id, token) m "
-                       f"JOIN {p}bg{i} bg ON bg.token = m.token "
+                       f"JOIN {bg_name(i)} bg ON bg.token = m.token "
                        f"JOIN {p}nu{i} nu ON nu.row_id = m.row_id AND nu.token = m.token)")
         else:
             out.append(f"{p}z{i} AS (SELECT row_id, token, any_value(n) AS n, sum(q) AS z "
@@ -119,10 +122,11 @@ def em_ctes(s: EMSpec) -> list[str]:
                        f"ON x.token = v.token AND x.topic = tp.topic)")
                 out.append(f"{p}f{i + 1} AS (SELECT token, topic, CASE WHEN sum(a) OVER (PARTITION BY topic) > 0 "
                            f"THEN a / sum(a) OVER (PARTITION BY topic) ELSE 0 END AS p FROM {src})")
-        if s.robust:
+        if s.robust and s.background is None:
             out.append(f"{p}bg{i + 1} AS (SELECT token, CASE WHEN sum(b) OVER () > 0 AND {g} <> 0 "
                        f"THEN b / sum(b) OVER () ELSE 0 END AS p FROM "
                        f"(SELECT token, sum(CASE WHEN z > 0 THEN n * {g} * bgp / z ELSE 0 END) AS b FROM {p}z{i} GROUP BY token))")
+        if s.robust:
             out.append(f"{p}nu{i + 1} AS (SELECT row_id, token, CASE WHEN sum(w) OVER (PARTITION BY row_id) > 0 "
                        f"THEN w / sum(w) OVER (PARTITION BY row_id) ELSE 0 END AS p FROM "
                        f"(SELECT row_id, token, CASE WHEN z > 0 THEN {e} * nup * n / z ELSE 0 END AS w FROM {p}z{i}))")

@@ -132,6 +132,10 @@ def build() -> dict[str, str]:
     rf = rb + _BENCH + em_ctes(EMSpec(K, I, prefix="g", bags="qbags", phi0=f"f{I}", freeze_phi=True, robust=True,
                                       gamma=C.GAMMA, eps=C.EPS))
     s["robust_fold_in"] = with_query(rf, _theta_sel(f"gt{I}", "query_id", "benchmark", "item_id"))
+    rm = rb + _BENCH + em_ctes(EMSpec(K, I, prefix="g", bags="qbags", phi0=f"f{I}", freeze_phi=True, robust=True,
+                                      gamma=C.GAMMA, eps=C.EPS, background=f"bg{I}"))
+    s["robust_fold_in_model"] = with_query(rm, _theta_sel(f"gt{I}", "query_id", "benchmark", "item_id"))
+    s["robust_fold_in_noise"] = with_query(rm, f"SELECT row_id AS query_id, token, round(p, 6) AS p FROM gnu{I}")
     density = _log_density(C.ALPHA, str(K), f"sum(ln(p + {OFFSET!r}))")
     s["dirichlet_logpdf"] = with_query(plsa, f"SELECT d.row_id, round({density}, 6) AS logpdf "
                                              f"FROM (SELECT DISTINCT CAST(doc_id AS BIGINT) AS row_id FROM documents) d "
