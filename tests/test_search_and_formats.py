@@ -8,7 +8,9 @@ from topic_tables.sources import text as T
 from topic_tables.session import scratch_path
 
 
-def test_similar_docs_matches_brute_force_with_ties(spark):
+@pytest.mark.parametrize("doc_bytes,query_bytes", [(32 << 20, 8 << 20), (2000, 8 << 20), (900, 200)])
+def test_similar_docs_matches_brute_force_with_ties(spark, doc_bytes, query_bytes):
+    """In one block, in rings, and with rings and queries cut small."""
     import random
     rnd = random.Random(7)
     docs = [(i, f"d{i % 50:03d}", [rnd.random() for _ in range(3)]) for i in range(400)]
@@ -16,7 +18,8 @@ def test_similar_docs_matches_brute_force_with_ties(spark):
     qs = [(q, f"q{q}", [rnd.random() for _ in range(3)]) for q in range(7)] + [(99, "qd", [0.2, 0.3, 0.5])]
     d = spark.createDataFrame(docs, "row_id bigint, name string, theta array<double>").repartition(5)
     q = spark.createDataFrame(qs, "query_id bigint, query_name string, theta array<double>")
-    got = {(r["query_id"], r["rank"]): (r["row_id"], round(r["score"], 9)) for r in similar_docs(d, q, 20).collect()}
+    got = {(r["query_id"], r["rank"]): (r["row_id"], round(r["score"], 9)) for r in similar_docs(d, q, 20, doc_bytes, query_bytes).collect()}
+    assert len(got) == 20 * len(qs)
     import math
     for qid, _, qv in qs:
         scored = []
@@ -29,6 +32,32 @@ def test_similar_docs_matches_brute_force_with_ties(spark):
             assert got[(qid, rank)][1] == pytest.approx(s, abs=1e-9)
 
 
+def test_rings_out_of_reach_are_not_scored(spark):
+    """Clustered θ, as a topic model gives: the same hits from under half of the
+    (query, ring) pairs; a document meets its own ring's queries only."""
+    import numpy as np
+    rng = np.random.default_rng(5)
+    theta = rng.dirichlet([0.05] * 12, 4000)
+    queries = rng.dirichlet([0.05] * 12, 60)
+    d = spark.createDataFrame([(i, f"d{i % 97}", t.tolist()) for i, t in enumerate(theta)], "row_id bigint, name string, theta array<double>").repartition(6)
+    q = spark.createDataFrame([(i, f"q{i}", t.tolist()) for i, t in enumerate(queries)], "query_id bigint, query_name string, theta array<double>")
+    whole = similar_docs(d, q, 20)
+    rings = similar_docs(d, q, 20, doc_block_bytes=20_000, query_block_bytes=3000)
+    assert whole._tt_scored is None and 0 < rings._tt_scored[0] < rings._tt_scored[1] / 2
+    a, b = ({(r["query_id"], r["rank"]): (r["row_id"], r["name"], round(r["score"], 9)) for r in x.collect()} for x in (whole, rings))
+    assert a == b and len(a) == 60 * 20
+
+
+def test_fewer_documents_than_n_and_negative_components(spark):
+    import numpy as np
+    rng = np.random.default_rng(6)
+    d = spark.createDataFrame([(i, "d", v.tolist()) for i, v in enumerate(rng.normal(size=(15, 4)))] + [(90, "z", [0.0] * 4), (91, "n", None)],
+                              "row_id bigint, name string, theta array<double>")
+    q = d.where("row_id < 3 or row_id > 80").selectExpr("row_id as query_id", "name as query_name", "theta")
+    a, b = (sorted((r["query_id"], r["rank"], r["row_id"]) for r in similar_docs(d, q, 20, size).collect()) for size in (32 << 20, 300))
+    assert a == b and len(a) == 3 * 15
+
+
 def test_repeated_query_names_rank_separately(spark):
     d = spark.createDataFrame([(1, "a", [1.0, 0.0]), (2, "b", [0.0, 1.0])], "row_id bigint, name string, theta array<double>")
     q = spark.createDataFrame([(1, "q", [1.0, 0.0]), (2, "q", [0.0, 1.0])], "query_id bigint, query_name string, theta array<double>")

@@ -1,11 +1,17 @@
 """Similarity search and top-n reports.
 
 similar_docs: exact top-n documents per query by cosine of topic vectors.
-  Documents and queries are dealt into blocks of a bounded number of bytes by
-  hashing their ids; each pair of blocks meets in one task, which scores it
-  with matrix products and emits the block's top-n of each query.  A final
-  row_number per query picks the global top-n from those candidates, so no
-  (document, query) pair table exists and no vector passes the driver.
+  Documents that fit one block are dealt to the query blocks as they are.  More
+  documents are cut into cells around sampled centres, and a cell into rings by
+  the angle to its centre.  With a query's angle to the centre, a ring's angles
+  bound the best cosine that any document of the ring can have.  A first round
+  scores each query against the rings of the best bounds that hold n documents;
+  a second round goes on only to rings whose bound reaches the n-th score so
+  far.  Ring and queries meet in one task (long rings and many queries in
+  several), which scores them with matrix products and emits the top-n of each
+  query.  A final row_number per query picks the global top-n, so no (document,
+  query) pair table exists and no vector of a document passes the driver but
+  the sampled centres.
 
 Ranking order everywhere (D11): score rounded to 8 digits descending, then the
 label (name / token / topic) ascending with null first, then row_id.
@@ -21,6 +27,7 @@ from pyspark.sql import functions as F
 
 from topic_tables.functions.vectors import top_n_of_array
 from topic_tables.operators.joins import lookup_join
+from topic_tables.session import cut_lineage, release
 
 HITS = "query_id bigint, row_id bigint, name string, score double"
 #: Bytes of vectors in a block of documents, and of queries.
@@ -28,6 +35,12 @@ DOC_BLOCK_BYTES = 32 << 20
 QUERY_BLOCK_BYTES = 8 << 20
 #: Scores that a task holds at once.
 SCORES_AT_ONCE = 4_000_000
+#: Cells of more than one block of documents: as many as blocks, in these bounds.
+LEAST_CELLS, MOST_CELLS = 32, 1024
+#: Rings of equal angles between 0 and 180 degrees.
+RINGS = 64
+#: What angles may be off by.
+SLACK = 1e-6
 
 
 def _unit(table: pa.Table, name: str) -> tuple[np.ndarray, np.ndarray]:
@@ -67,27 +80,158 @@ def similar_docs(doc_theta: DataFrame, query_theta: DataFrame, n: int = 20, doc_
     → (query_id, query_name, rank, row_id, name, score).  Null and zero θ never rank."""
     docs = doc_theta.where(F.col("theta").isNotNull()).select("row_id", "name", "theta")
     queries = query_theta.where(F.col("theta").isNotNull()).select("query_id", "theta")
+    n_d, n_q = _blocks(docs, doc_block_bytes), _blocks(queries, query_block_bytes)
+    scored = None
+    if n_d == 1:
+        cand = _all_pairs(docs, queries, n, n_q)
+    else:
+        cand, scored = _pruned(docs, queries, n, n_d, doc_block_bytes, query_block_bytes)
+    w = Window.partitionBy("query_id").orderBy(F.round("score", 8).desc(), F.col("name").asc_nulls_first(), F.col("row_id"))
+    top = cand.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= n)
+    names = query_theta.select("query_id", "query_name")
+    out = top.join(names, "query_id").select("query_id", "query_name", F.col("rank").cast("int"),
+                                             "row_id", "name", "score")
+    out._tt_scored = scored
+    return out
+
+
+def _blocks(df: DataFrame, limit: int) -> int:
+    size = df.agg(F.sum(F.size("theta") * 8 + 64).alias("b")).first()["b"] or 0
+    return int(max(1, -(-size // limit)))
 
-    def blocks(df: DataFrame, limit: int) -> int:
-        size = df.agg(F.sum(F.size("theta") * 8 + 64).alias("b")).first()["b"] or 0
-        return int(max(1, -(-size // limit)))
-    n_d, n_q = blocks(docs, doc_block_bytes), blocks(queries, query_block_bytes)
 
+def _all_pairs(docs: DataFrame, queries: DataFrame, n: int, n_q: int) -> DataFrame:
+    """One block of documents against every query block."""
     def every(count: int):
         return F.explode(F.sequence(F.lit(0), F.lit(count - 1)))
     # Both sides may come from one table: their columns get ids of their own.
-    left = docs.select("row_id", "name", F.col("theta").alias("vec"), F.pmod(F.xxhash64("row_id"), F.lit(n_d)).cast("int").alias("bd"), every(n_q).alias("bq"))
-    right = queries.select("query_id", F.col("theta").alias("qvec"), F.pmod(F.xxhash64("query_id"), F.lit(n_q)).cast("int").alias("rq"), every(n_d).alias("rd"))
+    left = docs.select("row_id", "name", F.col("theta").alias("vec"), every(n_q).alias("bq"))
+    right = queries.select("query_id", F.col("theta").alias("qvec"), F.pmod(F.xxhash64("query_id"), F.lit(n_q)).cast("int").alias("rq"))
 
     def work(a: pa.Table, b: pa.Table) -> pa.Table:
         return block_top(a, b, n)
+    return left.groupBy("bq").cogroup(right.groupBy("rq")).applyInArrow(work, HITS)
+
+
+# ------------------------------------------------------------- rings and bounds
+def _angle(cosine: np.ndarray) -> np.ndarray:
+    return np.arccos(np.clip(cosine, -1.0, 1.0))
+
+
+def _matrix(col: pa.Array) -> np.ndarray:
+    m = col.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(col), -1)
+    norm = np.linalg.norm(m, axis=1, keepdims=True)
+    return m / np.where(norm > 0, norm, 1.0)
+
+
+class Rings:
+    """Centres, and for each ring its number, cell, documents and angles."""
+
+    def __init__(self, centres: np.ndarray, stats: list):
+        self.centres = centres
+        self.ring = np.array([r["ring"] for r in stats], np.int64)
+        self.n = np.array([r["n"] for r in stats], np.int64)
+        self.near, self.far = (_angle(np.array([r[c] for r in stats])) for c in ("high", "low"))
+
+    def bounds(self, queries: np.ndarray) -> np.ndarray:
+        """The greatest cosine that each query can have with each ring."""
+        angle = _angle(queries @ self.centres.T)[:, self.ring // RINGS]
+        gap = np.maximum(angle - self.far, self.near - angle) - SLACK
+        return np.where(gap > 0, np.cos(np.maximum(gap, 0)), 1.0)
+
+    def first(self, bounds: np.ndarray, n: int) -> list[np.ndarray]:
+        """For each query the rings of the best bounds that hold n documents."""
+        out = []
+        for b in bounds:
+            order = np.argsort(-b, kind="stable")
+            before = np.cumsum(self.n[order]) - self.n[order]
+            out.append(order[before < n])
+        return out
+
+
+def _pruned(docs: DataFrame, queries: DataFrame, n: int, n_d: int, doc_block_bytes: int, query_block_bytes: int):
+    """Candidates, and (query, ring) pairs scored and in all."""
+    spark = docs.sparkSession
+    nonzero = F.exists("theta", lambda x: x != 0)
+    docs, queries = docs.where(nonzero), queries.where(nonzero)
+    sample = docs.orderBy(F.xxhash64("row_id", F.lit("centre")), "row_id").limit(min(MOST_CELLS, max(LEAST_CELLS, n_d))).select("theta").collect()
+    if not sample:
+        return spark.createDataFrame([], HITS), (0, 0)
+    centres = np.unique(np.array([r["theta"] for r in sample], np.float64), axis=0)
+    centres /= np.linalg.norm(centres, axis=1, keepdims=True)
+    width = centres.shape[1] * 8 + 64
+
+    def place(batches):
+        for b in batches:
+            if b.num_rows:
+                cosine = _matrix(b.column(2)) @ centres.T
+                cell = cosine.argmax(axis=1)
+                best = cosine[np.arange(len(cell)), cell]
+                ring = cell * RINGS + np.minimum((_angle(best) / (np.pi / RINGS)).astype(np.int64), RINGS - 1)
+                yield pa.RecordBatch.from_arrays([*b.columns, pa.array(ring), pa.array(best)], ["row_id", "name", "vec", "ring", "cosine"])
+    vector = docs.schema["theta"].dataType.simpleString()
+    placed = cut_lineage(docs.select("row_id", "name", F.col("theta").alias("vec")).mapInArrow(place, f"row_id bigint, name string, vec {vector}, ring bigint, cosine double"), "rings")
+    # at most cells x rings rows
+    stats = placed.groupBy("ring").agg(F.count(F.lit(1)).alias("n"), F.min("cosine").alias("low"), F.max("cosine").alias("high")).orderBy("ring").collect()
+    shared = spark.sparkContext.broadcast(Rings(centres, stats))
+
+    def first(batches):
+        rings = shared.value
+        for b in batches:
+            for a in range(0, b.num_rows, 500):
+                part = b.slice(a, 500)
+                got = rings.first(rings.bounds(_matrix(part.column(1))), n)
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array([rings.ring[g].tolist() for g in got], pa.list_(pa.int64()))], ["query_id", "qvec", "rings"])
+
+    def more(batches):
+        rings = shared.value
+        for b in batches:
+            for a in range(0, b.num_rows, 500):
+                part = b.slice(a, 500)
+                bounds = rings.bounds(_matrix(part.column(1)))
+                least = part.column(3).to_numpy(zero_copy_only=False)
+                rows = []
+                for q, seen in enumerate(part.column(2).to_pylist()):
+                    reach = bounds[q] >= (-2.0 if np.isnan(least[q]) else least[q] - 1e-7)
+                    rows.append(np.setdiff1d(rings.ring[reach], seen).tolist())
+                yield pa.RecordBatch.from_arrays([*part.columns[:2], pa.array(rows, pa.list_(pa.int64()))], ["query_id", "qvec", "rings"])
+
+    schema = f"query_id bigint, qvec {queries.schema['theta'].dataType.simpleString()}, rings array<bigint>"
+    visits = cut_lineage(queries.select("query_id", F.col("theta").alias("qvec")).mapInArrow(first, schema), "visits")
+    one = cut_lineage(_scored(placed, visits, n, doc_block_bytes // width, query_block_bytes // width), "hits")
+    w = Window.partitionBy("query_id").orderBy(F.round("score", 8).desc())
+    nth = one.withColumn("rank", F.row_number().over(w)).where(F.col("rank") == n).select("query_id", F.round("score", 8).alias("least"))
+    again = cut_lineage(visits.join(nth, "query_id", "left").select("query_id", "qvec", "rings", "least").mapInArrow(more, schema), "visits")
+    two = cut_lineage(_scored(placed, again, n, doc_block_bytes // width, query_block_bytes // width), "hits")
+    count = visits.unionByName(again).agg(F.sum(F.size("rings")).alias("n")).first()["n"] or 0
+    scored = int(count), visits.count() * len(stats)
+    for table in (placed, visits, again):
+        release(table)
+    shared.destroy()
+    return one.unionByName(two), scored
+
+
+def _scored(placed: DataFrame, visits: DataFrame, n: int, doc_rows: int, query_rows: int) -> DataFrame:
+    """The top-n of each query in each ring it visits.  A ring of many
+    documents is cut into parts, one of many queries into groups."""
+    asked = visits.select("query_id", "qvec", F.explode("rings").alias("ring"))
+    sizes = {r["ring"]: r["n"] for r in placed.groupBy("ring").agg(F.count(F.lit(1)).alias("n")).collect()}
+    wanted = {r["ring"]: r["n"] for r in asked.groupBy("ring").agg(F.count(F.lit(1)).alias("n")).collect()}
+    if not wanted:
+        return placed.sparkSession.createDataFrame([], HITS)
+    cuts = [(ring, -(-sizes[ring] // max(1, doc_rows)), -(-q // max(1, query_rows))) for ring, q in wanted.items()]
+    cuts = F.broadcast(placed.sparkSession.createDataFrame(cuts, "ring bigint, parts bigint, groups bigint"))   # a row a ring
+
+    def every(count: str):
+        return F.explode(F.sequence(F.lit(0).cast("bigint"), F.col(count) - 1))
+    left = (placed.join(cuts, "ring").withColumn("part", F.pmod(F.xxhash64("row_id"), F.col("parts"))).withColumn("group", every("groups"))
+            .select("ring", "part", "group", "row_id", "name", "vec"))
+    right = (asked.join(cuts, "ring").withColumn("group", F.pmod(F.xxhash64("query_id"), F.col("groups"))).withColumn("part", every("parts"))
+             .select("ring", "part", "group", "query_id", "qvec"))
 
-    cand = left.groupBy("bd", "bq").cogroup(right.groupBy("rd", "rq")).applyInArrow(work, HITS)
-    w = Window.partitionBy("query_id").orderBy(F.round("score", 8).desc(), F.col("name").asc_nulls_first(), F.col("row_id"))
-    top = cand.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= n)
-    names = query_theta.select("query_id", "query_name")
-    return top.join(names, "query_id").select("query_id", "query_name", F.col("rank").cast("int"),
-                                              "row_id", "name", "score")
+    def work(a: pa.Table, b: pa.Table) -> pa.Table:
+        return block_top(a, b, n)
+    return left.groupBy("ring", "part", "group").cogroup(right.groupBy("ring", "part", "group")).applyInArrow(work, HITS)
 
 
 def top_words(model, n: int = 30) -> DataFrame:
