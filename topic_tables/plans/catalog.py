@@ -44,8 +44,17 @@ PHI_PENALTY = 3.0
 _memo: dict = {}
 
 
+def _stamp(spark: SparkSession, sf: str) -> tuple:
+    """Names, sizes and times of the corpus files: a changed table is another one."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(f"{sf.rstrip('/')}/documents.parquet")
+    files = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listStatus(path)
+    return tuple(sorted((f.getPath().getName(), f.getLen(), f.getModificationTime()) for f in files))
+
+
 def _memo_get(spark: SparkSession, key, build):
-    full = (spark.sparkContext.applicationId,) + key
+    """What was built from the tables of folder ``key[1]`` before, or now."""
+    full = (spark.sparkContext.applicationId, _stamp(spark, key[1])) + key
     if full not in _memo:
         _memo[full] = build()
     return _memo[full]
