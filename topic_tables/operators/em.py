@@ -69,6 +69,8 @@ class TopicModel:
     phi_prior: Prior | None = None
     #: φ (and β) as the fit left them
     files: PhiFiles | None = None
+    #: (row_id, part, theta), bucketed like the bags, of documents with a known word
+    theta_rows: DataFrame | None = None
     #: intermediate tables this model's DataFrames read; :meth:`release` drops them
     scratch: list = field(default_factory=list)
 
@@ -357,7 +359,7 @@ def _adjusted(counts, old, prior: Prior | None):
     """E2/E3 + E5: the prior on every cell, then the positive cut."""
     if not is_active(prior):
         return counts
-    return F.zip_with(counts, old, lambda c, o: F.greatest(prior.adjust(c, o), F.lit(0.0)))
+    return F.transform(prior.adjust_topics(counts, old), lambda c: F.greatest(c, F.lit(0.0)))
 
 
 def _document_sums(step: _Step, passed: DataFrame, hot: DataFrame | None) -> DataFrame:
@@ -555,9 +557,10 @@ def run_em(bags: DataFrame, vocab: Vocabulary, phi0: DataFrame, k: int, iteratio
         history.append((iterations, float(total[k]), int(round(total[k + 1]))))
 
     theta, phi = state.theta(), state.files.frame(spark)
-    mine = with_all_documents(theta.where("part = 0").select("row_id", "theta"), docs)
+    theta_rows = theta.where("part = 0").select("row_id", "part", "theta")
+    mine = with_all_documents(theta_rows.select("row_id", "theta"), docs)
     model = TopicModel(k=k, vocab=vocab, phi=phi.select("word_id", "phi"), theta=mine, history=history, gamma=float(gamma), eps=float(eps),
-                       theta_prior=theta_prior, phi_prior=phi_prior, files=state.files, scratch=[phi, state.theta_table, state.passed, state.hot])
+                       theta_prior=theta_prior, phi_prior=phi_prior, files=state.files, theta_rows=theta_rows, scratch=[phi, state.theta_table, state.passed, state.hot])
     if robust:
         model.background = phi.select("word_id", F.col("bg").alias("p"))
         pairs = state.rows().join(theta.select("row_id", "part", "nu_sum"), ["row_id", "part"]).select(

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from topic_tables.operators.em import TopicModel
-from topic_tables.operators.priors import is_active
+from topic_tables.operators.priors import TopicPrior, is_active
 
 
 def loglik_history(spark: SparkSession, model: TopicModel) -> DataFrame:
@@ -29,6 +29,8 @@ def perplexity(model: TopicModel, collection_length: float) -> float:
         # K normalising constants plus one summed term per cell, so no topic
         # row is ever gathered in one place.
         pr = model.phi_prior
+        if isinstance(pr, TopicPrior):
+            return math.exp(-(ll + extra + topic_log_density(model.phi, pr, model.k, model.vocab.size)) / collection_length)
         if not pr.by_cells():
             raise TypeError("a prior on phi needs log_norm and cell_log_term: a topic's V cells are never gathered for log_prob")
         cells = F.aggregate("phi", F.lit(0.0), lambda a, x: a + pr.cell_log_term(x))
@@ -37,6 +39,20 @@ def perplexity(model: TopicModel, collection_length: float) -> float:
     return math.exp(-(ll + extra) / collection_length)
 
 
+def topic_log_density(phi: DataFrame, prior: TopicPrior, k: int, size: int) -> float:
+    """E6 for priors over whole topics.  What reaches the driver is one number
+    a position of the arrays that the prior names."""
+    def entries_of(name: str, array):
+        return F.transform(array, lambda x, i: F.struct(F.lit(name).alias("name"), i.alias("at"), x.cast("double").alias("x")))
+    rounds: list[dict[str, list[float]]] = []
+    while (asked := prior.gather(F.col("phi"), rounds)) is not None:
+        entries = F.flatten(F.array(*(entries_of(name, array) for name, (_, array) in asked.items())))
+        rows = (phi.select(F.explode(entries).alias("e")).groupBy("e.name", "e.at")
+                .agg(F.sum("e.x").alias("sum"), F.min("e.x").alias("min"), F.max("e.x").alias("max"))).collect()
+        rounds.append({name: [r[how] for r in sorted((r for r in rows if r["name"] == name), key=lambda r: r["at"])] for name, (how, _) in asked.items()})
+    return prior.log_density(rounds, k, size)
+
+
 def model_checks(model: TopicModel, tol: float = 1e-5) -> DataFrame:
     """F8: one row of invariant violations: negative cells and rows whose sum
     is off 1 by ``tol`` or more, with the worst deviation, for θ and φ."""

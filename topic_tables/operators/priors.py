@@ -36,6 +36,11 @@ class Prior:
     def adjust(self, count: Column, old: Column) -> Column:  # pragma: no cover - interface
         return count
 
+    def adjust_topics(self, counts: Column, old: Column) -> Column:
+        """The K counts of one word (or document) at once, for a prior in which
+        the topics of a word depend on each other."""
+        return F.zip_with(counts, old, lambda c, o: self.adjust(c, o))
+
     def by_cells(self) -> bool:
         """Whether the log prior is the constant plus a sum over cells; a
         class that overrides only ``log_prob`` has whole vectors instead."""
@@ -55,6 +60,27 @@ class Prior:
         return F.lit(self.log_norm(size)) + F.aggregate(vec, F.lit(0.0), lambda s, x: s + self.cell_log_term(x))
 
 
+class TopicPrior(Prior):
+    """A prior on φ whose log density is no sum over cells, such as one that
+    measures a topic against its own largest cell, or topics against each
+    other.  It is taken in rounds over the words: each round names some arrays
+    that every word contributes and how they are aggregated, and sees what the
+    rounds before gave.  The words' arrays are aggregated where the words are,
+    position by position; no topic's V cells are gathered."""
+
+    def gather(self, phi: Column, before: list[dict[str, list[float]]]) -> dict[str, tuple[str, Column]] | None:
+        """``{name: ("sum" | "min" | "max", array column)}`` of the next round,
+        made from a word's K cells; None after the last one."""
+        return None
+
+    def log_density(self, rounds: list[dict[str, list[float]]], k: int, size: int) -> float:
+        """Log prior of φ (K topics, ``size`` words) from all rounds."""
+        raise NotImplementedError
+
+    def by_cells(self) -> bool:
+        return False
+
+
 class Uniform(Prior):
     """No prior; counts untouched, log prior 0."""
 

@@ -17,7 +17,7 @@ from topic_tables.functions.vectors import cosine
 from topic_tables.operators.em import initial_phi, state0_counts, state0_pairs
 from topic_tables.operators.metrics import loglik_history, model_checks, perplexity
 from topic_tables.operators.plsa import fit_plsa, fold_in
-from topic_tables.operators.priors import Prior, SymmetricDirichlet
+from topic_tables.operators.priors import Prior, SymmetricDirichlet, TopicPrior
 from topic_tables.operators.robust import fit_robust_plsa, robust_fold_in
 from topic_tables.operators.search import similar_docs, top_topics, top_words
 from topic_tables.operators.vocab import build_corpus, corpus_stats, prune, token_counts
@@ -40,6 +40,8 @@ TOP_WORDS = 30
 TOP_TOPICS = 3
 K_WIDE = 100
 PHI_PENALTY = 3.0
+OVERLAP = 2000.0
+PEAK = 5.0
 
 _memo: dict = {}
 
@@ -203,6 +205,44 @@ def q_perplexity_custom_phi(spark, sf):
     return _perplexity(spark, sf, plsa_model(spark, sf, phi_prior=SquarePenalty(), tag="square_penalty"))
 
 
+class DistinctTopics(TopicPrior):
+    """A user-defined prior over whole topics: log p(φ) = −a Σ_w Σ_{s<t} φ_sw φ_tw
+    − b Σ_t Σ_w φ_tw ln(max_w φ_tw / φ_tw), topics that share words and topics
+    that are flat against their own largest cell being less likely.  In the
+    M-step the overlap with the other topics' old φ is taken off the counts."""
+
+    def adjust_topics(self, counts, old):
+        every = F.aggregate(old, F.lit(0.0), lambda a, x: a + x)
+        return F.zip_with(counts, old, lambda c, o: c - F.lit(OVERLAP) * o * (every - o))
+
+    def gather(self, phi, before):
+        if not before:
+            total = F.aggregate(phi, F.lit(0.0), lambda a, x: a + x)
+            square = F.aggregate(phi, F.lit(0.0), lambda a, x: a + x * x)
+            return {"largest": ("max", phi), "overlap": ("sum", F.array((total * total - square) / 2))}
+        if len(before) == 1:
+            top = F.lit(before[0]["largest"])
+            return {"flat": ("sum", F.zip_with(phi, top, lambda p, m: F.when(p > 0, p * F.log(m / p)).otherwise(F.lit(0.0))))}
+        return None
+
+    def log_density(self, rounds, k, size):
+        return -OVERLAP * sum(rounds[0]["overlap"]) - PEAK * sum(rounds[1]["flat"])
+
+
+def _distinct_model(spark, sf):
+    return plsa_model(spark, sf, phi_prior=DistinctTopics(), tag="distinct_topics")
+
+
+def q_topic_prior_phi(spark, sf):
+    """φ under a prior in which the topics of a word depend on each other."""
+    return _phi_long(_distinct_model(spark, sf))
+
+
+def q_topic_prior_perplexity(spark, sf):
+    """Perplexity with a log prior over whole topics."""
+    return _perplexity(spark, sf, _distinct_model(spark, sf))
+
+
 def q_plsa_k100_theta(spark, sf):
     return _theta_long(plsa_model(spark, sf, tag="k100", k=K_WIDE).theta)
 
@@ -413,8 +453,9 @@ def q_theta_roundtrip(spark, sf):
 
 def q_theta_sparse(spark, sf):
     m = plsa_model(spark, sf)
-    docs, _, _ = corpus(spark, sf)
-    lines = T.format_doc_topic(docs, m.theta)
+    docs, _, bags = corpus(spark, sf)
+    contents = _memo_get(spark, ("contents", sf), lambda: T.store_contents(docs, bags))
+    lines = T.format_doc_topic(contents, m.theta_rows)
     f = F.split(F.col("value"), "\t", -1)
     third = F.coalesce(F.get(f, 2), F.lit(""))
     cells = F.when(third != "", F.split(third, ";"))
@@ -500,6 +541,7 @@ def registry() -> dict:
         "phi_roundtrip": q_phi_roundtrip, "theta_roundtrip": q_theta_roundtrip,
         "theta_sparse": q_theta_sparse, "topic_preview": q_topic_preview, "doc_preview": q_doc_preview,
         "perplexity_priors": q_perplexity_priors, "perplexity_custom_phi": q_perplexity_custom_phi,
+        "topic_prior_phi": q_topic_prior_phi, "topic_prior_perplexity": q_topic_prior_perplexity,
         "plsa_k100_theta": q_plsa_k100_theta, "plsa_k100_loglik": q_plsa_k100_loglik,
         "train_files": q_train_files, "search_files": q_search_files,
     }

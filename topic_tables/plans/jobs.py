@@ -22,6 +22,7 @@ from topic_tables.operators.plsa import fit_plsa, fold_in
 from topic_tables.operators.priors import Prior
 from topic_tables.operators.search import similar_docs, top_words
 from topic_tables.operators.vocab import build_corpus
+from topic_tables.session import release
 from topic_tables.sources import text as T
 
 
@@ -41,7 +42,9 @@ def train_job(docs: DataFrame, k: int, iterations: int, rare_token_threshold: in
     if topic_word_path:
         T.write_lines(T.format_topic_word(model.phi), topic_word_path)
     if doc_topic_path:
-        T.write_lines(T.format_doc_topic(docs, model.theta), doc_topic_path)
+        contents = T.store_contents(docs, bags)
+        T.write_lines(T.format_doc_topic(contents, model.theta_rows), doc_topic_path)
+        release(contents)
     if vocab_path:
         model.vocab.table.write.mode("overwrite").parquet(vocab_path)
     return TrainResult(model, docs)

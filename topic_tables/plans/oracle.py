@@ -61,6 +61,7 @@ class EMSpec:
     theta_alpha: float | None = None   # symmetric Dirichlet on θ (None = no prior)
     theta_shift: float | None = None   # count shift for a custom θ prior
     phi_alpha: float | None = None
+    phi_overlap: float | None = None   # weight of the overlap of a word's topics
     background: str | None = None      # table of a background that stays as it is
 
 
@@ -111,7 +112,12 @@ def em_ctes(s: EMSpec) -> list[str]:
                        f"(SELECT row_id, topic, greatest(sum(c) + ({shift}), 0) AS a, max(tp_old) AS o "
                        f"FROM {p}c{i} GROUP BY row_id, topic))")
         if not s.freeze_phi:
-            if s.phi_alpha is None:
+            if s.phi_overlap is not None:
+                src = (f"(SELECT token, topic, greatest(s - {s.phi_overlap!r} * o * (sum(o) OVER (PARTITION BY token) - o), 0) AS a FROM "
+                       f"(SELECT token, topic, sum(c) AS s, max(fp_old) AS o FROM {p}c{i} GROUP BY token, topic))")
+                out.append(f"{p}f{i + 1} AS (SELECT token, topic, CASE WHEN sum(a) OVER (PARTITION BY topic) > 0 "
+                           f"THEN a / sum(a) OVER (PARTITION BY topic) ELSE 0 END AS p FROM {src})")
+            elif s.phi_alpha is None:
                 out.append(f"{p}f{i + 1} AS (SELECT token, topic, CASE WHEN sum(s) OVER (PARTITION BY topic) > 0 "
                            f"THEN s / sum(s) OVER (PARTITION BY topic) ELSE 0 END AS p FROM "
                            f"(SELECT token, topic, sum(c) AS s FROM {p}c{i} GROUP BY token, topic))")

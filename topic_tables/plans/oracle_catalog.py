@@ -151,6 +151,11 @@ def build() -> dict[str, str]:
                 f"round(exp(-(loglik + {extra}) / {length}), 6) AS perplexity FROM ll{I}")
     s["perplexity_priors"] = with_query(both, perplexity(f"{of_theta} + {of_phi}"))
     s["perplexity_custom_phi"] = with_query(plsa, perplexity(f"(SELECT sum(-{C.PHI_PENALTY!r} * p * p) FROM f{I})"))
+    apart = base + _plsa(phi_overlap=C.OVERLAP)
+    overlap = f"(SELECT sum(x) FROM (SELECT (sum(p) * sum(p) - sum(p * p)) / 2 AS x FROM f{I} GROUP BY token))"
+    flat = f"(SELECT sum(p * ln(m / p)) FROM (SELECT p, max(p) OVER (PARTITION BY topic) AS m FROM f{I}) WHERE p > 0)"
+    s["topic_prior_phi"] = with_query(apart, _phi_sel(f"f{I}"))
+    s["topic_prior_perplexity"] = with_query(apart, perplexity(f"-{C.OVERLAP!r} * {overlap} - {C.PEAK!r} * {flat}"))
     kw = C.K_WIDE
     wide = ([tokens_cte("tok", "documents", "doc_id")] + vocab_ctes(C.THRESHOLD) + [bags_cte("bags", "tok"), topics_cte(kw)]
             + phi0_ctes(C.SEED) + em_ctes(EMSpec(kw, I)))

@@ -19,7 +19,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from topic_tables.functions.vectors import top_n_of_array
-from topic_tables.session import cut_lineage
+from topic_tables.operators.vocab import buckets_of
+from topic_tables.session import cut_lineage, write_bucketed
 
 
 def _quote(sep: str) -> str:
@@ -109,12 +110,26 @@ def format_topic_word(phi: DataFrame) -> DataFrame:
     return cells.select(F.concat_ws("\t", _num(F.col("topic")), _num(F.col("word_id")), _num(F.col("p"))).alias("value"))
 
 
+def store_contents(docs: DataFrame, bags: DataFrame) -> DataFrame:
+    """``(row_id, part, name, tokens)`` bucketed like the bags: one shuffle of
+    the text when it is read, and none in whatever joins it with a model's θ."""
+    return write_bucketed(docs.select("row_id", F.lit(0).alias("part"), "name", "tokens"), ["row_id", "part"], buckets_of(bags), "contents")
+
+
+def _beside(docs: DataFrame, theta: DataFrame, how: str) -> DataFrame:
+    """Documents and their θ: by bucket where both are stored so
+    (:func:`store_contents`, ``TopicModel.theta_rows``), else by row id."""
+    if "part" in docs.columns and "part" in theta.columns:
+        return docs.join(theta.hint("shuffle_hash"), ["row_id", "part"], how)
+    return docs.join(theta, "row_id", how)
+
+
 def format_doc_topic(docs: DataFrame, theta: DataFrame) -> DataFrame:
     """A5: ``name \\t contents \\t t:p;...`` for positive θ cells (docs keyed by row_id)."""
     th = F.array_join(F.transform(
         F.filter(F.transform("theta", lambda x, i: F.struct(i.alias("t"), x.alias("p"))), lambda s: s["p"] > 0),
         lambda s: F.concat(s["t"].cast("string"), F.lit(":"), s["p"].cast("string"))), ";")
-    j = docs.join(theta, "row_id", "left")
+    j = _beside(docs, theta, "left")
     return j.select(F.concat_ws("\t", F.col("name"), F.array_join("tokens", ":"),
                                 F.coalesce(th, F.lit(""))).alias("value"))
 
@@ -143,7 +158,7 @@ def format_doc_report(docs: DataFrame, theta: DataFrame, n: int) -> DataFrame:
     """F7's document report: ``name \\t contents \\t (p,topic);...`` with the n
     best topics; the line is made from the θ row, without a group."""
     tops = F.array_join(F.transform(top_n_of_array("theta", n), lambda e: F.format_string("(%s,%d)", e["p"].cast("string"), e["topic"])), ";")
-    return docs.join(theta.where("theta is not null"), "row_id").select(
+    return _beside(docs, theta.where("theta is not null"), "inner").select(
         F.concat_ws("\t", "name", F.array_join("tokens", ":"), tops).alias("value"))
 
 
