@@ -4,7 +4,9 @@ A batch of texts is cut into pre-tokens; its distinct pre-tokens lie as byte
 symbols one after the other in one flat array.  Each round looks up every
 adjacent pair by binary search over the sorted pair keys, takes the
 lowest rank of each word, and merges that pair wherever it stands in the word.
-Words without a mergeable pair leave the array, so rounds shrink.
+Words without a mergeable pair leave the array, so rounds shrink.  A round looks
+at a whole word for one rank, so a word of more than ``LONG`` bytes takes its
+merges from a queue of ranks instead; the result is the same.
 
 Rows: a null text counts as the empty text (no tokens).  Equal rows give equal
 rows; an empty table gives an empty table.  Columns other than id and text are
@@ -13,6 +15,7 @@ not read, so their names cannot clash.
 
 from __future__ import annotations
 
+import heapq
 import json
 from functools import lru_cache
 from itertools import islice
@@ -29,6 +32,8 @@ from topic_tables.llm.text import gather_ranges, slices
 #: A Python worker forgets its merged pre-tokens beyond either bound.
 CACHE_WORDS = 200_000
 CACHE_CHARS = 4_000_000
+#: Words of more bytes are merged from a queue.
+LONG = 2000
 FAR = np.int64(1) << 40
 
 
@@ -70,6 +75,7 @@ class ByteBpe:
         self.split = regex.compile(public_tokenizers.PATTERN)
         self.special_split = (regex.compile("(" + "|".join(map(regex.escape, sorted(self.special, key=len, reverse=True))) + ")")
                               if self.special else None)
+        self.by_pair: dict | None = None
         self.forget()
 
     def forget(self) -> None:
@@ -80,6 +86,13 @@ class ByteBpe:
 
     def merge_words(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all words in one flat array, and the number for each word."""
+        long = [i for i, w in enumerate(words) if len(w) > LONG]
+        if long:
+            flat, counts = self.merge_words([b"" if len(w) > LONG else w for w in words])
+            parts = np.split(flat, np.cumsum(counts)[:-1])
+            for i in long:
+                parts[i] = self.merge_long(words[i])
+            return np.concatenate(parts), np.array([len(p) for p in parts])
         sizes = np.array([len(w) for w in words], np.int64)
         sym = self.byte_ids[np.frombuffer(b"".join(words), np.uint8)]
         word = np.repeat(np.arange(len(words)), sizes)
@@ -119,6 +132,40 @@ class ByteBpe:
         order = np.argsort(word, kind="stable")
         return sym[order], np.bincount(word, minlength=len(words))
 
+    def pairs(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(rank, merged symbol) of pairs of symbols."""
+        key = left.astype(np.int64) << 32 | right
+        at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
+        return np.where(self.keys[at] == key, self.ranks[at], FAR), self.made[at]
+
+    def merge_long(self, word: bytes) -> np.ndarray:
+        """Ids of one word: the pair of the lowest rank, the leftmost of equal
+        ones, is merged until none is left."""
+        sym = self.byte_ids[np.frombuffer(word, np.uint8)]
+        if self.by_pair is None:
+            self.by_pair = dict(zip(self.keys.tolist(), zip(self.ranks.tolist(), self.made.tolist())))
+        ranks, _ = self.pairs(sym[:-1], sym[1:])
+        at = np.flatnonzero(ranks < FAR)
+        queue = list(zip(ranks[at].tolist(), at.tolist(), sym[at].tolist(), sym[at + 1].tolist()))
+        heapq.heapify(queue)
+        n = len(sym)
+        sym, after, before = sym.tolist(), list(range(1, n + 1)), list(range(-1, n - 1))
+        while queue:
+            _, i, a, b = heapq.heappop(queue)
+            j = after[i]
+            if sym[i] != a or j >= n or sym[j] != b:
+                continue                       # one of them was merged meanwhile
+            sym[i], sym[j] = self.by_pair[a << 32 | b][1], -1
+            after[i] = k = after[j]
+            if k < n:
+                before[k] = i
+            for x, y in ((before[i], i), (i, k)):
+                if x >= 0 and y < n:
+                    found = self.by_pair.get(sym[x] << 32 | sym[y])
+                    if found:
+                        heapq.heappush(queue, (found[0], x, sym[x], sym[y]))
+        return np.array([s for s in sym if s >= 0], np.int32)
+
     def encode(self, texts: list[str | None], special: bool = True) -> tuple[np.ndarray, np.ndarray]:
         """Flat ids and the number of ids of each text.  With ``special`` the
         strings of added tokens become their ids, else they are plain text."""

@@ -17,6 +17,7 @@ file.  Other columns are not read.
 from __future__ import annotations
 
 import base64
+import re
 import uuid
 from functools import lru_cache
 
@@ -32,6 +33,8 @@ from topic_tables.session import cut_lineage, scratch_path
 
 #: Bytes of a block; a multiple of the width of an id.
 BLOCK_BYTES = 4 << 20
+#: White space (the Unicode property) in long runs.
+LONG_BLANK = re.compile("[\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000]{20000,}")
 WIDTH = 2                # bytes of an id, little-endian
 
 
@@ -43,6 +46,18 @@ def _encoding(path: str):
     return tiktoken.Encoding("flat", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}), len(ranks)
 
 
+def encode(enc, text: str) -> list[int]:
+    """Ids of a text.  The encoder's pattern recurses over a run of white space,
+    so a long run is handed over as the piece that the pattern makes of it: all
+    of it at the end of the text, else all but its last character."""
+    ids, at = [], 0
+    for run in LONG_BLANK.finditer(text):
+        end = run.end() - (run.end() < len(text))
+        ids += enc.encode_ordinary(text[at:run.start()]) + enc._encode_single_piece(text[run.start():end])
+        at = end
+    return ids + enc.encode_ordinary(text[at:])
+
+
 def _open(folder: str):
     """File system and path of a folder URI (a bare path is local)."""
     if folder.startswith("file:"):
@@ -68,7 +83,7 @@ def write(docs: DataFrame, folder: str, ranks_path: str, id_col: str = "doc_id",
                 out = fs.open_output_stream(f"{base}/{name}")
             parts = []
             for text in b.column(1).to_pylist():
-                parts += [np.array(enc.encode_ordinary(text or ""), f"<u{WIDTH}"), np.array([end], f"<u{WIDTH}")]
+                parts += [np.array(encode(enc, text or ""), f"<u{WIDTH}"), np.array([end], f"<u{WIDTH}")]
             data = np.concatenate(parts).tobytes()
             out.write(data)
             size += len(data)
