@@ -18,19 +18,42 @@ def test_value_is_the_machines_definition():
         assert np.isclose(v, want)
 
 
-def test_learns_an_interaction(monkeypatch):
-    """Neither term tells anything alone; one without the other is toxic."""
-    monkeypatch.setattr(T, "LEAST_CHI", -1.0)
-    rng = np.random.default_rng(1)
+def _sampled(rng, n, rate, label, noise=3):
     docs, labels = [], []
-    for _ in range(2000):
-        a, b = rng.random(2) < 0.5
-        docs.append(np.unique(np.r_[[10] * int(a), [20] * int(b), rng.integers(100, 130, 3)].astype(int)))
-        labels.append(float(a != b))
-    labels = np.array(labels)
-    m = T.train(docs[:1500], labels[:1500], epochs=60)
-    p = T.sigmoid(m.raw(np.concatenate(docs[1500:]), np.array([len(t) for t in docs[1500:]])))
-    assert ((p > 0.5) == labels[1500:]).mean() > 0.95
+    for _ in range(n):
+        a, b = rng.random(2) < rate
+        docs.append(np.unique(np.r_[[10] * int(a), [20] * int(b), rng.integers(100, 4000, noise)].astype(int)))
+        labels.append(float(label(a, b)))
+    return docs, np.array(labels)
+
+
+def _right(docs, labels, learn, **kw):
+    m = T.train(docs[:learn], labels[:learn], **kw)
+    p = T.sigmoid(m.raw(np.concatenate([t[m.known[t]] for t in docs[learn:]]), np.array([int(m.known[t].sum()) for t in docs[learn:]])))
+    return m, p > 0.5
+
+
+def test_learns_an_interaction():
+    """Neither term tells anything alone; one without the other is toxic."""
+    docs, labels = _sampled(np.random.default_rng(1), 4000, 0.5, lambda a, b: a != b)
+    m, right = _right(docs, labels, 3000, epochs=60)
+    assert m.known[[10, 20]].all() and m.known.sum() < 30
+    assert (right == labels[3000:].astype(bool)).mean() > 0.95
+
+
+def test_learns_a_pair_of_harmless_terms():
+    """Toxic only where both stand: as a term each is mostly clean."""
+    rng = np.random.default_rng(2)
+    docs, labels = _sampled(rng, 5000, 0.3, lambda a, b: a and b, noise=20)
+    m, right = _right(docs, labels, 4000)
+    assert m.known[[10, 20]].all()
+    assert (right == labels[4000:].astype(bool)).mean() > 0.95
+
+
+def test_pairs_of_noise_are_left_out():
+    rng = np.random.default_rng(4)
+    docs = [np.unique(rng.integers(0, 400, 40)) for _ in range(3000)]
+    assert T.telling(docs, (rng.random(3000) < 0.06).astype(float)).sum() <= 8
 
 
 def test_terms_that_tell_nothing_are_left_out():

@@ -31,9 +31,17 @@ PREFIXES = (3, 5, 7)
 #: Bound of the fit: labelled rows, by a digest of the id.
 FIT_ROWS = 6000
 #: A term counts once it stands in so many fitted documents and tells labels
-#: apart; other terms would only let the machine learn documents by heart.
+#: apart, by itself or together with another term; other terms would only let
+#: the machine learn documents by heart.
 LEAST_DOCS = 5
 LEAST_CHI = 10.0
+#: A pair counts once each of its four cells (both terms, one, none) holds so
+#: many fitted documents and its labels differ by so much, as a chi-square of one
+#: degree, from the sum of what its two terms do.
+PAIR_DOCS = 20
+PAIR_CHI = 40.0
+#: Terms whose pairs are counted together.
+PAIR_BLOCK = 512
 RANK = 8
 EPOCHS = 15
 RATE = 0.3
@@ -93,18 +101,45 @@ def sigmoid(z):
     return 1.0 / (1.0 + np.exp(-np.clip(z, -30, 30)))
 
 
+def _chi(hits: np.ndarray, seen: np.ndarray, p: float) -> np.ndarray:
+    """What a cell of so many documents and hits adds to a chi-square."""
+    return (hits - seen * p) ** 2 / np.maximum(seen * p * (1 - p), 1e-12)
+
+
 def telling(terms: list[np.ndarray], labels: np.ndarray) -> np.ndarray:
     """Terms frequent enough whose documents differ from the others in their
-    labels by a chi-square of at least ``LEAST_CHI``."""
-    doc = np.repeat(labels, [len(t) for t in terms])
+    labels by a chi-square of at least ``LEAST_CHI``, and the terms of pairs
+    that do so only together (``PAIR_CHI``): a pair may matter though neither
+    of its terms tells anything.  Pairs with a term that is in already are not
+    searched: any frequent word beside an insult would qualify."""
+    doc = np.repeat(np.arange(len(terms)), [len(t) for t in terms])
     flat = np.concatenate(terms)
     seen = np.bincount(flat, minlength=BUCKETS).astype(float)
-    hits = np.bincount(flat, doc, BUCKETS)
-    n, p = len(labels), labels.mean()
-    rest = n - seen
-    expected = seen * p
-    spread = np.maximum(seen * p * (1 - p) * rest / max(n, 1), 1e-12)
-    return (seen >= LEAST_DOCS) & ((hits - expected) ** 2 / spread >= LEAST_CHI)
+    hits = np.bincount(flat, labels[doc], BUCKETS)
+    n, p, every = len(labels), float(labels.mean()), float(labels.sum())
+    alone = _chi(hits, seen, p) + _chi(every - hits, n - seen, p)
+    known = (seen >= LEAST_DOCS) & (alone >= LEAST_CHI)
+    if not 0 < p < 1:
+        return known
+    often = np.flatnonzero((seen >= PAIR_DOCS) & ~known)
+    place = np.full(BUCKETS, -1)
+    place[often] = np.arange(len(often))
+    in_doc = np.zeros((n, len(often)), np.float32)         # at most FIT_ROWS long
+    mine = place[flat] >= 0
+    in_doc[doc[mine], place[flat[mine]]] = 1
+    toxic = in_doc * labels[:, None].astype(np.float32)
+    s, h = seen[often], hits[often]
+    for low in range(0, len(often), PAIR_BLOCK):
+        b = slice(low, low + PAIR_BLOCK)
+        both, hit = (in_doc[:, b].T @ m for m in (in_doc, toxic))
+        counts = both, s[b, None] - both, s[None, :] - both, n - s[b, None] - s[None, :] + both
+        rates = [x / np.maximum(m, 1) for x, m in zip((hit, h[b, None] - hit, h[None, :] - hit, every - h[b, None] - h[None, :] + hit), counts)]
+        # how far the pair is from the sum of what its terms do
+        apart = (rates[0] - rates[1] - rates[2] + rates[3]) ** 2 / (p * (1 - p) * sum(1 / np.maximum(m, 1) for m in counts))
+        pair = (np.minimum.reduce(counts) >= PAIR_DOCS) & (apart >= PAIR_CHI)
+        known[often[b][pair.any(axis=1)]] = True
+        known[often[pair.any(axis=0)]] = True
+    return known
 
 
 def train(terms: list[np.ndarray], labels: np.ndarray, epochs: int = EPOCHS) -> Machine:
