@@ -42,6 +42,40 @@ def test_forward_sums_all_segmentations():
         assert got[:, k] == pytest.approx(want)
 
 
+def test_long_words_are_summed_over_all_segmentations():
+    """In logarithms against exact arithmetic, also across the change of form."""
+    from fractions import Fraction
+    lat = L.lattice(PATH)
+    known = {p: i for i, p in enumerate(L.pieces(PATH)) if p}
+    rng = np.random.default_rng(2)
+    prob = np.zeros((lat.size + 2, 2))
+    prob[:lat.size] = rng.random((lat.size, 2)) / lat.size
+    prob[-1] = L.FLOOR
+    words = ["".join(rng.choice(list("etaoinshr語q"), n)) for n in (10, 38, 39, 40, 41, 81, 500)] + ["the" * 40]
+    got = lat.score(words, prob)
+    for k in range(2):
+        for w, log in zip(words, got[:, k]):
+            marked, total = "▁" + w, [Fraction(1)]
+            for j in range(1, len(w) + 2):
+                total.append(sum(total[i] * Fraction(prob[known[marked[i:j]], k] if marked[i:j] in known else (L.FLOOR if j - i == 1 else 0))
+                                 for i in range(max(0, j - lat.longest), j)))
+            want = total[-1]
+            bits = want.denominator.bit_length() - want.numerator.bit_length()
+            assert log == pytest.approx(math.log(want * 2 ** bits) - bits * math.log(2), abs=1e-7)
+
+
+def test_long_words_count_in_the_fit(monkeypatch):
+    """The two forms of the sums give the same probabilities."""
+    lat = L.lattice(PATH)
+    words, n = ["the", "thing", "internationalisation", "then" * 3], np.array([5, 2, 3, 1])
+    plain = lat.fit(words, n)
+    monkeypatch.setattr(L, "LONG", 2)
+    assert lat.fit(words, n) == pytest.approx(plain, rel=1e-9, abs=1e-15)
+    monkeypatch.undo()
+    long = lat.fit(["a" * 45 + "über"], np.array([1]))
+    assert sum(long[i] for i, p in enumerate(L.pieces(PATH)) if p and p in "über") > 1e-3
+
+
 def test_long_words_stay_finite():
     lat = L.lattice(PATH)
     prob = np.full((lat.size + 2, 1), L.FLOOR)

@@ -4,7 +4,9 @@ The vocabulary is fixed and public (sentencepiece pieces); each language has a
 probability for every piece.  A word's probability in a language is the sum
 over all its segmentations into pieces, by the forward algorithm; a text's is
 the product over its words.  Probabilities are fitted by expectation
-maximisation (forward and backward) on the word counts of a bounded sample.
+maximisation (forward and backward) on the word counts of a bounded sample of
+documents.  Words of more than ``LONG`` characters are summed in logarithms, as
+their probabilities leave the range of a double.
 
 Rows: a null text, or one without a letter, gives ``und`` with score 0.  Equal
 texts get equal answers, ties go to the first language in code point order.
@@ -20,7 +22,7 @@ from functools import lru_cache
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from topic_tables.llm.text import LETTERS, column, share, slices
@@ -29,15 +31,15 @@ from topic_tables.session import cut_lineage
 UND = "und"
 #: A document under this score is not identified.
 LEAST_SCORE = 0.5
-#: Bound of the fit: documents of each language, and its most frequent words.
+#: Bound of the fit: documents of each language.
 FIT_DOCS = 3000
-FIT_WORDS = 30_000
 ROUNDS = 3
 #: Probability of a piece or character that a language's sample does not hold.
 FLOOR = 1e-7
-#: Longer words are scored in parts of so many characters, which keeps every
-#: probability inside the range of a double.
-PART = 40
+#: Longer words are summed in logarithms.
+LONG = 40
+#: Characters of words that are taken together.
+CHARS_AT_ONCE = 200_000
 #: A Python worker forgets its scored words beyond this number.
 CACHE_WORDS = 150_000
 MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -58,7 +60,7 @@ class Lattice:
     def __init__(self, path: str):
         by_len: dict[int, list[tuple[np.uint64, int]]] = {}
         for i, p in enumerate(pieces(path)):
-            if p and len(p) <= PART:
+            if p:
                 h = np.uint64(0)
                 with np.errstate(over="ignore"):
                     for c in p:
@@ -100,40 +102,63 @@ class Lattice:
             b[j] = sum(b[j + l] * prob[edges[l - 1][:, j]] for l in range(1, min(n - j, len(edges)) + 1))
         return b
 
+    def log_sums(self, edges: list[np.ndarray], prob: np.ndarray, back: bool = False) -> np.ndarray:
+        """Logarithms of the forward (or backward) sums at each place,
+        ``[place, word, language]``.  The last few sums are kept as numbers,
+        over a scale of their own for each word and language."""
+        n, reach = edges[0].shape[1], len(edges)
+        size = edges[0].shape[0], prob.shape[1]
+        out, scale = np.zeros((n + 1, *size)), np.zeros(size)
+        last = [np.ones(size)]                                # nearest place first
+        for j in range(1, n + 1):
+            at = (lambda l: n - j) if back else (lambda l: j - l)
+            now = sum(last[l - 1] * prob[edges[l - 1][:, at(l)]] for l in range(1, min(j, reach) + 1))
+            last = [now, *last[:reach - 1]]
+            if j % 8 == 0:                                    # 8 steps stay within 1e-7 ** 8
+                top = np.maximum.reduce(last)
+                last, scale = [x / top for x in last], scale + np.log(top)
+            out[n - j if back else j] = np.log(np.maximum(last[0], 1e-300)) + scale
+        return out
+
+    def runs(self, words: list[str]):
+        """Places in ``words`` of words of one length, in runs of bounded size."""
+        by_len: dict[int, list[int]] = {}
+        for i, w in enumerate(words):
+            by_len.setdefault(len(w), []).append(i)
+        for n, at in by_len.items():
+            step = max(1, CHARS_AT_ONCE // n)
+            for k in range(0, len(at), step):
+                yield n, at[k:k + step]
+
     def score(self, words: list[str], prob: np.ndarray) -> np.ndarray:
         """Log probability ``[word, language]`` of every word."""
-        parts = [(k, w[at:at + PART]) for k, w in enumerate("▁" + w for w in words) for at in range(0, len(w), PART)]
+        marked = ["▁" + w for w in words]
         out = np.zeros((len(words), prob.shape[1]))
-        by_len: dict[int, list[int]] = {}
-        for i, (_, p) in enumerate(parts):
-            by_len.setdefault(len(p), []).append(i)
-        for at in by_len.values():
-            for k in range(0, len(at), 20_000):
-                run = at[k:k + 20_000]
-                last = self.forward(self.edges([parts[i][1] for i in run]), prob)[-1]
-                np.add.at(out, [parts[i][0] for i in run], np.log(last))
+        for n, at in self.runs(marked):
+            edges = self.edges([marked[i] for i in at])
+            out[at] = np.log(self.forward(edges, prob)[-1]) if n <= LONG else self.log_sums(edges, prob)[-1]
         return out
 
     def fit(self, words: list[str], counts: np.ndarray, rounds: int = ROUNDS) -> np.ndarray:
         """Piece probabilities (and the two rows of ``edges``) after EM."""
-        by_len: dict[int, tuple[list[str], list[float]]] = {}
-        for w, c in zip(words, counts):
-            w = ("▁" + w)[:PART]
-            ws, cs = by_len.setdefault(len(w), ([], []))
-            ws.append(w)
-            cs.append(c)
-        runs = [(self.edges(ws[k:k + 10_000]), np.array(cs[k:k + 10_000], float))
-                for ws, cs in by_len.values() for k in range(0, len(ws), 10_000)]
+        marked, counts = ["▁" + w for w in words], np.asarray(counts, float)
         prob = np.full((self.size + 2, 1), 1.0 / self.size)
         prob[self.size:, 0] = 0, FLOOR
         for _ in range(rounds):
             got = np.zeros(self.size + 2)
-            for edges, c in runs:
-                a, b = self.forward(edges, prob), self.backward(edges, prob)
-                each = c / a[-1][:, 0]
-                for l, ids in enumerate(edges, 1):
-                    for s in range(ids.shape[1]):
-                        np.add.at(got, ids[:, s], each * a[s][:, 0] * prob[ids[:, s], 0] * b[s + l][:, 0])
+            for n, at in self.runs(marked):
+                edges, c = self.edges([marked[i] for i in at]), counts[at]
+                if n <= LONG:
+                    a, b = self.forward(edges, prob), self.backward(edges, prob)
+                    each = c / a[-1][:, 0]
+                    for l, ids in enumerate(edges, 1):
+                        for s in range(ids.shape[1]):
+                            np.add.at(got, ids[:, s], each * a[s][:, 0] * prob[ids[:, s], 0] * b[s + l][:, 0])
+                else:
+                    a, b = self.log_sums(edges, prob)[:, :, 0], self.log_sums(edges, prob, back=True)[:, :, 0]
+                    for l, ids in enumerate(edges, 1):
+                        for s in range(ids.shape[1]):
+                            np.add.at(got, ids[:, s], c * prob[ids[:, s], 0] * np.exp(np.minimum(a[s] + b[s + l] - a[n], 50.0)))
             got = got[:self.size]
             prob[:self.size, 0] = np.maximum(got / max(got.sum(), 1e-300), FLOOR)
         return prob[:self.size, 0]
@@ -152,7 +177,7 @@ def fit(docs: DataFrame, path: str, learn: Column, id_col: str = "doc_id", text_
         lang_col: str = "lang") -> DataFrame:
     """``(lang, probs array<double>)`` from the rows of ``learn`` with a
     language: at most about ``FIT_DOCS`` documents of each, by a digest of the
-    id, and the ``FIT_WORDS`` most frequent words among them."""
+    id, and all their words."""
     rows = docs.where(learn & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
     rows = rows.select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text"),
                        share(id_col).alias("share"))
@@ -169,8 +194,6 @@ def fit(docs: DataFrame, path: str, learn: Column, id_col: str = "doc_id", text_
                 yield pa.RecordBatch.from_arrays([pa.array(x) for x in zip(*flat)], ["lang", "word", "n"])
 
     counts = sample.mapInArrow(count, "lang string, word string, n bigint").groupBy("lang", "word").agg(F.sum("n").alias("n"))
-    top = Window.partitionBy("lang").orderBy(F.desc("n"), "word")
-    counts = counts.withColumn("r", F.row_number().over(top)).where(F.col("r") <= FIT_WORDS).drop("r")
 
     def em(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("word")

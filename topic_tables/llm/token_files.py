@@ -153,6 +153,10 @@ def count_tokens(docs: DataFrame, ranks_path: str, id_col: str = "doc_id", text_
     folder = scratch_path(spark, "token-files")
     manifest = write(docs, folder, ranks_path, id_col, text_col)
     files = manifest.where("bytes is not null").select("file", "bytes")
-    counted = stitch(scan_blocks(files, folder, _encoding(ranks_path)[1], block_bytes))
+    scanned = scan_blocks(files, folder, _encoding(ranks_path)[1], block_bytes)
+    fs, base = _open(folder)
+    if fs.get_file_info(base).type != pafs.FileType.NotFound:
+        fs.delete_dir(base)                    # the scan is written: nothing reads the tokens again
+    counted = stitch(scanned)
     return (manifest.where("ordinal is not null").select("file", "ordinal", "id").join(counted, ["file", "ordinal"])
             .select(F.col("id").alias(id_col), "n_tokens"))
