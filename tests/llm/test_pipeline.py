@@ -55,10 +55,10 @@ def test_stages_equal_brute_force(spark):
         assert r["n_chars"] == len(r["text"])
     want = {}
     for r in three.collect():
-        words, p = WORD.findall(r["text"]), plan[r["doc_id"]]
+        ends, p = [m.end() for m in WORD.finditer(r["text"])], plan[r["doc_id"]]
         full, rest = divmod(p["taken"], p["size"]) if p["size"] else (0, 0)
         if p["taken"]:
-            want[r["doc_id"]] = sorted([r["text"]] * full + [" ".join(words[:rest])] * (rest > 0))
+            want[r["doc_id"]] = sorted([r["text"]] * full + [r["text"][:ends[rest - 1]]] * (rest > 0))
     assert four.columns == columns and {k: sorted(v) for k, v in got.items()} == want
 
     tok = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
@@ -101,6 +101,16 @@ def test_run(spark):
     assert corpus_pipeline.run(spark, SF).columns == ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
 
 
+def test_partial_takes_keep_the_text_as_it_stands(spark):
+    text = " \n Aa\tb \n\n  c d\x0b e f " * 40
+    docs = spark.createDataFrame([(1, text, "s"), (2, "x " * 3, "t")], "doc_id bigint, text string, source string")
+    taken = {r["doc_id"]: r["taken"] for r in mixing.mix(docs).documents.collect()}
+    got = [r["text"] for r in mixing.mixed(docs).where("doc_id = 1").collect()]
+    full, rest = divmod(taken[1], 240)
+    ends = [m.end() for m in WORD.finditer(text)]
+    assert rest and sorted(got) == sorted([text] * full + [text[:ends[rest - 1]]])
+
+
 def test_repeated_rows_share_what_they_take(spark):
     rows = [(1, "a b c d e f", "s")] * 5 + [(2, "g h", "t"), (3, None, "u"), (4, "", None)]
     docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string")

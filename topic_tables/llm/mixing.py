@@ -158,9 +158,11 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
 
 def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **options) -> DataFrame:
     """The mix itself, with the columns of docs: a document stands as often as
-    the mix takes it whole, and once more with the words of its last, partial
-    take (joined by single spaces).  What repeated equal rows take is shared
-    among them."""
+    the mix takes it whole, and once more up to the last word of a partial take.
+    A source's stream is taken whole until its last pass, which ends within it,
+    so a partial take is always the beginning of a text; it is cut out as it
+    stands, line breaks and all.  What repeated equal rows take is shared among
+    them."""
     names = docs.columns
     plan = mix(docs.select(column(id_col).alias("id"), column(text_col).alias("text"), column(source_col).alias("source")),
                "id", "text", "source", **options).documents
@@ -177,7 +179,11 @@ def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sourc
     rest = F.col("taken") % F.col("size")
     copies = F.floor(F.col("taken") / F.col("size"))
     out = once.unionByName(again).where("taken > 0").withColumn("copy", F.explode(F.sequence(F.lit(1).cast("bigint"), copies + (rest > 0).cast("int"))))
-    cut = F.array_join(F.slice(F.regexp_extract_all(text, F.lit(WORD_CLASS), F.lit(0)), 1, rest.cast("int")), " ")
+    # every match starts at a word, so that long white space is read once
+    blank = "[\\x20\\x09-\\x0D]*"
+    gaps = F.regexp_extract_all(text, F.lit(WORD_CLASS + blank), F.lit(0))
+    last = F.regexp_extract(F.element_at(gaps, F.greatest(rest, F.lit(1)).cast("int")), WORD_CLASS, 0)
+    cut = F.concat(F.regexp_extract(text, "^" + blank, 0), F.array_join(F.slice(gaps, 1, F.greatest(rest - 1, F.lit(0)).cast("int")), ""), last)
     cell = F.when(F.col("copy") <= copies, text).otherwise(cut)
     return out.select(*((cell if c == text_col else F.col(f"c{i}")).alias(c) for i, c in enumerate(names)))
 
