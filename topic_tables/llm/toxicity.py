@@ -36,12 +36,13 @@ FIT_ROWS = 6000
 LEAST_DOCS = 5
 LEAST_CHI = 10.0
 #: A pair counts once each of its four cells (both terms, one, none) holds so
-#: many fitted documents and its labels differ by so much, as a chi-square of one
-#: degree, from the sum of what its two terms do.
+#: many fitted documents, and at least a hundredth of them, and its labels differ
+#: by so much, as a chi-square of one degree, from the sum of what its two terms
+#: do.
 PAIR_DOCS = 20
 PAIR_CHI = 40.0
 #: Terms whose pairs are counted together.
-PAIR_BLOCK = 512
+PAIR_BLOCK = 1024
 RANK = 8
 EPOCHS = 15
 RATE = 0.3
@@ -121,24 +122,26 @@ def telling(terms: list[np.ndarray], labels: np.ndarray) -> np.ndarray:
     known = (seen >= LEAST_DOCS) & (alone >= LEAST_CHI)
     if not 0 < p < 1:
         return known
-    often = np.flatnonzero((seen >= PAIR_DOCS) & ~known)
+    least = max(PAIR_DOCS, n // 100)
+    often = np.flatnonzero((seen >= 2 * least) & (n - seen >= 2 * least) & ~known)
     place = np.full(BUCKETS, -1)
     place[often] = np.arange(len(often))
-    in_doc = np.zeros((n, len(often)), np.float32)         # at most FIT_ROWS long
+    in_doc = np.zeros((n, len(often)), np.uint8)           # at most FIT_ROWS long
     mine = place[flat] >= 0
     in_doc[doc[mine], place[flat[mine]]] = 1
-    toxic = in_doc * labels[:, None].astype(np.float32)
-    s, h = seen[often], hits[often]
-    for low in range(0, len(often), PAIR_BLOCK):
-        b = slice(low, low + PAIR_BLOCK)
-        both, hit = (in_doc[:, b].T @ m for m in (in_doc, toxic))
-        counts = both, s[b, None] - both, s[None, :] - both, n - s[b, None] - s[None, :] + both
-        rates = [x / np.maximum(m, 1) for x, m in zip((hit, h[b, None] - hit, h[None, :] - hit, every - h[b, None] - h[None, :] + hit), counts)]
-        # how far the pair is from the sum of what its terms do
-        apart = (rates[0] - rates[1] - rates[2] + rates[3]) ** 2 / (p * (1 - p) * sum(1 / np.maximum(m, 1) for m in counts))
-        pair = (np.minimum.reduce(counts) >= PAIR_DOCS) & (apart >= PAIR_CHI)
-        known[often[b][pair.any(axis=1)]] = True
-        known[often[pair.any(axis=0)]] = True
+    toxic = in_doc[labels > 0]
+    blocks = [slice(k, k + PAIR_BLOCK) for k in range(0, len(often), PAIR_BLOCK)]
+    for i, x in enumerate(blocks):
+        for y in blocks[i:]:
+            both, hit = ((m[:, x].T.astype(np.float32) @ m[:, y].astype(np.float32)).astype(float) for m in (in_doc, toxic))
+            sx, sy, hx, hy = seen[often[x], None], seen[often[y]][None], hits[often[x], None], hits[often[y]][None]
+            counts = both, sx - both, sy - both, n - sx - sy + both
+            rates = [h / np.maximum(m, 1) for h, m in zip((hit, hx - hit, hy - hit, every - hx - hy + hit), counts)]
+            # how far the pair is from the sum of what its terms do
+            apart = (rates[0] - rates[1] - rates[2] + rates[3]) ** 2 / (p * (1 - p) * sum(1 / np.maximum(m, 1) for m in counts))
+            pair = (np.minimum.reduce(counts) >= least) & (apart >= PAIR_CHI)
+            known[often[x][pair.any(axis=1)]] = True
+            known[often[y][pair.any(axis=0)]] = True
     return known
 
 
