@@ -7,7 +7,7 @@ from pyspark.sql.classic.dataframe import DataFrame
 from pyspark.sql import functions as F
 
 from topic_tables import build_vocab, fit_plsa, fit_robust_plsa, fold_in, to_bags
-from topic_tables.operators import em
+from topic_tables.operators import em, phi_files
 from topic_tables.operators.phi_files import PhiFiles, write_phi
 from topic_tables.operators.priors import SymmetricDirichlet
 from topic_tables.operators.robust import robust_fold_in
@@ -49,7 +49,7 @@ def _near(a, b, tol=1e-12):
         np.testing.assert_allclose(a[key], b[key], rtol=0, atol=tol)
 
 
-def test_files_hold_what_was_written(spark):
+def test_files_hold_what_was_written(spark, monkeypatch):
     rows = spark.createDataFrame([(i, [float(i), 1.0, i / 2]) for i in range(50) if not 10 <= i < 20], "word_id int, vec array<double>")
     spark.conf.set("topic_tables.broadcastLimitBytes", str(8 * 4 * 10))
     try:
@@ -61,6 +61,11 @@ def test_files_hold_what_was_written(spark):
     assert got == {i: ([float(i), 1.0], i / 2) if not 10 <= i < 20 else ([0.0, 0.0], 0.0) for i in range(50)}
     some = files.rows(np.array([0, 11, 20, 49]))
     assert some.phi.tolist() == [[0, 1], [0, 0], [20, 1], [49, 1]] and some.bg.tolist() == [0, 0, 10, 24.5]
+    # a store that cannot be mapped is read a block at a time
+    away = PhiFiles(**{k: v for k, v in files.__dict__.items() if k != "_held"})
+    monkeypatch.setattr(phi_files, "open_folder", lambda uri, of=phi_files.open_folder: (*of(uri)[:2], False))
+    again = away.rows(np.array([0, 11, 20, 49]))
+    assert again.phi.tolist() == some.phi.tolist() and again.bg.tolist() == some.bg.tolist() and len(away._held) <= 2
 
 
 @pytest.mark.parametrize("robust", [False, True])
