@@ -98,12 +98,12 @@ def test_documents(spark):
     # the bands, from the perplexities of all rows that pass the base rules
     for lang in {r["model_lang"] for r in rows.values()}:
         x = sorted(round(math.log(r["perplexity"]), 3) for r in rows.values() if r["model_lang"] == lang and not r["base_failed"])
-        mid = x[(len(x) - 1) // 2]
-        off = sorted(round(abs(v - mid), 3) for v in x)
-        width = P.BAND * max(1.4826 * off[(len(off) - 1) // 2], P.LEAST_WIDTH)
+        below, mid, above = (x[math.ceil(q * len(x) - 1e-9) - 1] for q in (P.TAIL, 0.5, 1 - P.TAIL))
+        low, high = mid - P.BAND * max(mid - below, P.LEAST_WIDTH), mid + P.BAND * max(above - mid, P.LEAST_WIDTH)
         for r in rows.values():
-            if r["model_lang"] == lang and not r["base_failed"] and abs(abs(math.log(r["perplexity"]) - mid) - width) > 1e-6:
-                assert r["kept"] == (abs(math.log(r["perplexity"]) - mid) <= width)
+            loss = math.log(r["perplexity"])
+            if r["model_lang"] == lang and not r["base_failed"] and min(abs(loss - low), abs(loss - high)) > 1e-6:
+                assert r["kept"] == (low <= loss <= high)
 
 
 def test_edges(spark):

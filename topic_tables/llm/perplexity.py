@@ -6,7 +6,7 @@ word with its start and end): Spark counts the n-grams of every text, takes
 continuation counts, discounts and context masses from them, and the model is
 kept as arrays sorted by hash.  A document's perplexity is taken per character
 over its whole text; a language's band is set around the median of its
-documents.  Words, rather than runs of words, are modelled because the word
+documents, on each side by how far that side's tail lies from it.  Words, rather than runs of words, are modelled because the word
 n-grams of a corpus alone are larger than the corpus.
 
 Model size: every n-gram is kept, and every language has a model.  A model of
@@ -54,8 +54,10 @@ KNOWN_GRAMS = 1_000_000
 CACHE_CHARS = 64
 #: Text of the documents that are scored together from tables.
 CHUNK_CHARS = 8_000_000
-#: Band: so many robust standard deviations around the median of log perplexity.
-BAND = 10.0
+#: Band of log perplexity: below and above the median by so many times the
+#: distance of the lower and the upper quantile of this share.
+BAND = 3.0
+TAIL = 0.1
 LEAST_WIDTH = 0.02
 SYMBOLS = "#*$%&|<>"
 MIN_WORDS = 50
@@ -424,22 +426,18 @@ def quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lan
                          F.exp("loss").alias("perplexity"))
 
 
-def _median(binned: DataFrame, value: str) -> DataFrame:
-    """Exact median of a counted, rounded value for each language."""
-    order = Window.partitionBy("model_lang").orderBy(value)
-    total = Window.partitionBy("model_lang")
-    upto = binned.withColumn("upto", F.sum("rows").over(order)).withColumn("all", F.sum("rows").over(total))
-    return upto.where(2 * F.col("upto") >= F.col("all")).groupBy("model_lang").agg(F.min(value).alias("median"))
-
-
-def bands_of(scored: DataFrame, band: float) -> DataFrame:
+def bands_of(scored: DataFrame, band: float, tail: float = TAIL) -> DataFrame:
     """``(model_lang, low, high)`` of the loss, from every document that passes
-    the base rules; losses are counted in steps of 0.001 first."""
+    the base rules; losses are counted in steps of 0.001 first.  The quantiles
+    are exact: the first step that so many documents do not exceed."""
     steps = scored.where("not base_failed").groupBy("model_lang", F.round("loss", 3).alias("x")).agg(F.count(F.lit(1)).alias("rows"))
     steps = cut_lineage(steps, "loss-steps")
-    middle = _median(steps, "x")
-    off = (steps.join(middle, "model_lang").withColumn("off", F.round(F.abs(F.col("x") - F.col("median")), 3))
-           .groupBy("model_lang", "off").agg(F.sum("rows").alias("rows")))
-    spread = _median(off, "off").withColumnRenamed("median", "spread")
-    width = band * F.greatest(1.4826 * F.col("spread"), F.lit(LEAST_WIDTH))
-    return middle.join(spread, "model_lang").select("model_lang", (F.col("median") - width).alias("low"), (F.col("median") + width).alias("high"))
+    order, total = Window.partitionBy("model_lang").orderBy("x"), Window.partitionBy("model_lang")
+    steps = steps.withColumn("upto", F.sum("rows").over(order)).withColumn("all", F.sum("rows").over(total))
+
+    def quantile(q):
+        return F.min(F.when(F.col("upto") >= q * F.col("all"), F.col("x")))
+    at = steps.groupBy("model_lang").agg(quantile(tail).alias("below"), quantile(0.5).alias("middle"), quantile(1 - tail).alias("above"))
+    least = F.lit(LEAST_WIDTH)
+    return at.select("model_lang", (F.col("middle") - band * F.greatest(F.col("middle") - F.col("below"), least)).alias("low"),
+                     (F.col("middle") + band * F.greatest(F.col("above") - F.col("middle"), least)).alias("high"))
