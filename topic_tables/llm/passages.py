@@ -1,19 +1,30 @@
-"""Repeated passages by MinHash banding of content-defined paragraphs.
-
-A text is cut into paragraphs where the hash of two neighbouring words is a
-local minimum among ``REACH`` words on either side, so that a passage is cut
-the same way wherever it stands, also inside another line.  Paragraphs of
-``MIN_WORDS`` words or more get the set of their five-word shingles (ASCII
-letters lower-cased).  Bands are tuned for recall: with one row a band, three
-bands find a pair at similarity 0.8 with probability 0.992.  Paragraphs that
-collide are verified by exact Jaccard similarity, links make components, and
-the first occurrence of a component is kept.
-
-One shuffle and sort of (band key, paragraph hash) finds repeated and colliding
-paragraphs; only those are joined back with their shingles.  Equal paragraphs
-are one node however often they occur.  Buckets of up to ``SMALL`` paragraphs
-are compared pair by pair; longer ones are compared block by block and leave a
-spanning forest of their links.
+"""Repeated passages by MinHash banding of paragraphs.
+
+A paragraph is a line of the text (cut at \\n), whole, of ``least_words`` words
+or more.  Paragraphs of five words or more get the set of their five-word
+shingles (ASCII letters lower-cased); bands are tuned for recall: with one row
+a band, three bands find a pair at similarity 0.8 with probability 0.992.
+Paragraphs that collide are verified by exact Jaccard similarity; shorter ones
+are compared for equal words.  Links make components, and the first occurrence
+of a component is kept.
+
+A passage that is copied into the middle of another line is no paragraph
+there.  So each text is also cut where the hash of two neighbouring words is the
+lowest of any ``WINDOW`` words, the same way wherever a passage stands, and a
+chunk runs from each cut to the first one ``MIN_WORDS`` words or more behind it.
+Chunks are compared for equal words, and are reported where no reported
+paragraph holds them.  As cuts are never more than ``WINDOW`` words apart, each
+shared run of ``3 * WINDOW + MIN_WORDS`` (50) words or more holds one.
+
+One shuffle and sort of (band key, unit hash) finds repeated and colliding
+units.  Occurrences are then looked up by hash, without their shingles; a hash
+with more occurrences than an equal share is salted.  Equal units are one node
+however often they occur.  A bucket of up to ``BLOCK`` paragraphs is compared in
+one piece, a longer one block by block, and each leaves a spanning forest.
+
+``run_words`` counts the words of the unbroken run of reported units around an
+occurrence, and ``removed`` marks what a cut should take out: occurrences in
+runs of over ``CUT_WORDS`` words, but for the kept one of each component.
 
 Rows: a null text counts as the empty text and has no paragraphs.  A null id
 is an id like any other, but does not count as a second document.  Repetition
@@ -23,23 +34,34 @@ inside one document alone is not reported.  Other columns are not read.
 from __future__ import annotations
 
 import math
+from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark import TaskContext
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from topic_tables.llm.components import components, forest
-from topic_tables.llm.text import slices
-from topic_tables.session import cut_lineage
+from topic_tables.llm.text import gather_ranges, slices
+from topic_tables.operators.joins import hot_keys, lookup_join
+from topic_tables.session import cut_lineage, default_partitions, release
 
-REACH = 6
+#: Any so many words of a text hold a cut.
+WINDOW = 14
 MIN_WORDS = 8
 SHINGLE = 5
 SIMILARITY = 0.8
 RECALL = 0.99
-#: Buckets up to SMALL paragraphs are compared pair by pair; others in blocks.
-SMALL, BLOCK = 16, 2048
+#: Longest bucket that is compared in one piece.
+BLOCK = 2048
+#: Runs of more words are cut out where they stand again.
+CUT_WORDS = 50
+#: Bound on a looked-up row's bytes in a broadcast table.
+ROW_BYTES = 256
+#: Hashes of lines are kept apart from those of chunks.
+LINE = np.uint64(0xD6E8FEB86659FD93)
 MIX = np.uint64(0x9E3779B97F4A7C15)
 FAR = np.uint64(2**64 - 1)
 POWERS = 64
@@ -56,8 +78,9 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def _words(texts: list[str | None]):
-    """Start, end, document and hash of every word of all texts."""
+def _scan(texts: list[str | None]):
+    """Start, end, document, hash and line of every word of all texts; lines
+    are counted through all texts."""
     flat = "\n".join(t or "" for t in texts)
     code = np.frombuffer(flat.encode("utf-32-le", "surrogatepass"), np.uint32)
     sizes = np.fromiter((len(t or "") + 1 for t in texts), np.int64, len(texts))
@@ -66,7 +89,7 @@ def _words(texts: list[str | None]):
     edge = np.flatnonzero(black[1:] != black[:-1])
     start, end = edge[::2], edge[1::2]
     if not len(start):
-        return start, end, start, np.zeros(0, np.uint64)
+        return start, end, start, np.zeros(0, np.uint64), start
     low = np.where((code >= 65) & (code <= 90), code + 32, code).astype(np.uint64) + np.uint64(1)
     length = end - start
     inside = np.arange(len(code)) - np.repeat(np.r_[0, start], np.diff(np.r_[0, start, len(code)]))
@@ -75,43 +98,81 @@ def _words(texts: list[str | None]):
     term[~black[1:-1]] = 0
     h = _mix(np.add.reduceat(term, start) + length.astype(np.uint64))
     doc = np.searchsorted(begin, start, side="right") - 1
-    return start - begin[doc], end - begin[doc], doc, h
+    breaks = np.r_[0, np.cumsum(code == 10)]
+    return start - begin[doc], end - begin[doc], doc, h, breaks[start] - breaks[begin[doc]]
+
+
+def _words(texts: list[str | None]):
+    return _scan(texts)[:4]
 
 
-def paragraphs(texts: list[str | None]):
-    """Arrays (document, number, start, end, n_words, hash) of the paragraphs
-    of MIN_WORDS words or more, and their shingle hashes with offsets."""
-    start, end, doc, h = _words(texts)
+def _chained(h: np.ndarray, first: np.ndarray, last: np.ndarray, salt: np.uint64) -> np.ndarray:
+    """One hash a unit of the words first..last-1, in their order."""
+    count = last - first
+    offset = np.r_[0, np.cumsum(count)]
+    at = gather_ranges(first, count)
+    turn = (np.arange(len(at)) - np.repeat(offset[:-1], count) + 1).astype(np.uint64)
+    return _mix(np.add.reduceat(_mix(h[at] + MIX * turn), offset[:-1]) + count.astype(np.uint64) + salt)
+
+
+@dataclass
+class Units:
+    """Paragraphs and chunks of some texts; ``first`` is the first word's number
+    in its text, ``offset`` bounds each unit's shingles (none: equal words only)."""
+
+    doc: np.ndarray
+    chunk: np.ndarray
+    number: np.ndarray
+    first: np.ndarray
+    n_words: np.ndarray
+    start: np.ndarray
+    end: np.ndarray
+    h: np.ndarray
+    offset: np.ndarray
+    shingles: np.ndarray
+
+
+def _cuts(h: np.ndarray, doc: np.ndarray, same: np.ndarray) -> np.ndarray:
+    """Words where a text is cut: the lowest hash of a word and the one before
+    in any ``WINDOW`` words of a text; of equal neighbours the first."""
+    n = len(h) - WINDOW + 1
+    if n <= 0:
+        return np.zeros(0, np.int64)
+    pair = np.where(same, _mix(h + MIX * np.r_[np.uint64(0), h[:-1]]) | np.uint64(1), FAR)
+    low = np.lib.stride_tricks.sliding_window_view(pair, WINDOW).min(axis=1)
+    low[doc[:n] != doc[WINDOW - 1:]] = 0                       # not all of one text
+    around = np.r_[np.zeros(WINDOW - 1, np.uint64), low, np.zeros(WINDOW - 1, np.uint64)]
+    top = np.lib.stride_tricks.sliding_window_view(around, WINDOW).max(axis=1)
+    return np.flatnonzero((pair == top) & (pair != FAR) & np.r_[True, pair[1:] != pair[:-1]])
+
+
+def units(texts: list[str | None], least_words: int = MIN_WORDS) -> Units:
+    start, end, doc, h, line = _scan(texts)
     n = len(h)
     if not n:
         z = np.zeros(0, np.int64)
-        return (z, z, z, z, z, np.zeros(0, np.uint64)), np.zeros(0, np.uint64), np.zeros(1, np.int64)
+        return Units(z, z.astype(bool), z, z, z, z, z, z.astype(np.uint64), np.zeros(1, np.int64), z.astype(np.uint64))
     same = np.r_[False, doc[1:] == doc[:-1]]
-    pair = np.where(same, _mix(h + MIX * np.r_[np.uint64(0), h[:-1]]), FAR)
-    # documents stand REACH places apart, so a neighbour is never another's word
-    place = np.arange(n) + REACH * (doc + 1)
-    room = np.full(int(place[-1]) + REACH + 1, FAR)
-    room[place] = pair
-    cut = pair != FAR
-    for k in range(1, REACH + 1):
-        cut &= (pair < room[place - k]) & (pair <= room[place + k])
-    first = np.flatnonzero(cut | ~same)
+    begin = np.searchsorted(doc, doc, side="left")
+
+    first = np.flatnonzero(~same | np.r_[True, line[1:] != line[:-1]])
     last = np.r_[first[1:], n]
-    number = np.arange(len(first)) - np.searchsorted(doc[first], doc[first], side="left")
-    keep = last - first >= MIN_WORDS
-    first, last, number = first[keep], last[keep], number[keep]
-    if not len(first):
-        return tuple(x[:0] for x in (doc, number, start, end, doc, h)), h[:0], np.zeros(1, np.int64)
-    shingle = np.zeros(n - SHINGLE + 1, np.uint64)
+    long = last - first >= least_words
+    first, last = first[long], last[long]
+
+    cut = _cuts(h, doc, same)
+    upto = np.r_[cut, n][np.searchsorted(cut, cut + MIN_WORDS)]
+    ends = (upto < n) & (doc[np.minimum(upto, n - 1)] == doc[cut])
+    c_first, c_last, c_number = cut[ends], upto[ends], (np.arange(len(cut)) - np.searchsorted(doc[cut], doc[cut], side="left"))[ends]
+
+    shingle = np.zeros(max(n - SHINGLE + 1, 0), np.uint64)
     for k in range(SHINGLE):
-        shingle = (shingle + h[k:n - SHINGLE + 1 + k]) * MIX
-    shingle = _mix(shingle)
-    count = last - first - SHINGLE + 1
-    offset = np.r_[0, np.cumsum(count)]
-    at = np.arange(int(offset[-1])) + np.repeat(first - offset[:-1], count)
-    chained = _mix(shingle[at] + MIX * (np.arange(len(at)) - np.repeat(offset[:-1], count) + 1).astype(np.uint64))
-    whole = _mix(np.add.reduceat(chained, offset[:-1]) + count.astype(np.uint64))
-    return (doc[first], number, start[first], end[last - 1], last - first, whole), shingle[at], offset
+        shingle = (shingle + h[k:n - SHINGLE + 1 + k]) * MIX if len(shingle) else shingle
+    count = np.r_[np.maximum(last - first - SHINGLE + 1, 0), np.zeros(len(c_first), np.int64)]
+    whole = [_chained(h, a, b, salt) for a, b, salt in ((first, last, LINE), (c_first, c_last, np.uint64(0))) if len(a)]
+    a, b = np.r_[first, c_first], np.r_[last, c_last]
+    return Units(doc[a], np.arange(len(a)) >= len(first), np.r_[line[first], c_number], a - begin[a], b - a, start[a], end[b - 1],
+                 np.concatenate(whole) if whole else h[:0], np.r_[0, np.cumsum(count)], _mix(shingle)[gather_ranges(a, count)])
 
 
 def band_keys(shingles: np.ndarray, offset: np.ndarray, bands: int) -> list[np.ndarray]:
@@ -123,41 +184,55 @@ def band_keys(shingles: np.ndarray, offset: np.ndarray, bands: int) -> list[np.n
     return out
 
 
-def _segments(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+def _segments(docs: DataFrame, id_col: str, text_col: str, least_words: int) -> DataFrame:
+    """One row a unit; ``row`` tells documents of one id apart."""
     id_type = docs.schema[id_col].dataType.simpleString()
 
     def run(batches):
+        row = TaskContext.get().partitionId() << 36
         for b in slices(batches, 1):
-            (doc, number, start, end, n, h), shingles, offset = paragraphs(b.column(1).to_pylist())
-            if not len(doc):
-                continue
-            data = pa.Array.from_buffers(pa.binary(), len(doc), [None, pa.py_buffer((offset * 4).astype(np.int32)), pa.py_buffer((shingles >> np.uint64(32)).astype(np.uint32))])
-            yield pa.RecordBatch.from_arrays(
-                [b.column(0).take(pa.array(doc)), *(pa.array(x.astype(np.int32)) for x in (number, start, end, n)), pa.array(h.view(np.int64)), data],
-                ["id", "number", "start", "end", "n_words", "h", "shingles"])
+            u = units(b.column(1).to_pylist(), least_words)
+            if len(u.doc):
+                data = pa.Array.from_buffers(pa.binary(), len(u.doc), [None, pa.py_buffer((u.offset * 4).astype(np.int32)),
+                                                                       pa.py_buffer((u.shingles >> np.uint64(32)).astype(np.uint32))])
+                yield pa.RecordBatch.from_arrays(
+                    [b.column(0).take(pa.array(u.doc)), pa.array(row + u.doc), pa.array(u.chunk),
+                     *(pa.array(x.astype(np.int32)) for x in (u.number, u.first, u.start, u.end, u.n_words)), pa.array(u.h.view(np.int64)), data],
+                    ["id", "row", "chunk", "number", "first", "start", "end", "n_words", "h", "shingles"])
+            row += b.num_rows
 
     return (docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-            .mapInArrow(run, f"id {id_type}, number int, start int, end int, n_words int, h bigint, shingles binary"))
+            .mapInArrow(run, f"id {id_type}, row bigint, chunk boolean, number int, first int, start int, end int, n_words int, h bigint, shingles binary"))
+
+
+def _sets(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Packed shingles of a binary column, and their offsets."""
+    offset = np.frombuffer(col.buffers()[1], np.int32)[col.offset:col.offset + len(col) + 1] // 4
+    data = col.buffers()[2]
+    flat = np.frombuffer(data, np.uint32, offset[-1])[offset[0]:] if data is not None and offset[-1] else np.zeros(0, np.uint32)
+    return flat, offset - offset[0]
 
 
 def _index(segments: DataFrame, bands: int) -> DataFrame:
-    """``(key, h, n)`` for each band; equal paragraphs of a batch are one row."""
+    """``(key, h, n)`` for each band, or for the hash of a unit without
+    shingles; equal units of a batch are one row."""
     def run(batches):
         for b in batches:
             if not b.num_rows:
                 continue
             h, first, n = np.unique(b.column(0).to_numpy(), return_index=True, return_counts=True)
-            col = b.column(1).take(pa.array(first))
-            offset = np.frombuffer(col.buffers()[1], np.int32)[col.offset:col.offset + len(col) + 1] // 4
-            shingles = np.frombuffer(col.buffers()[2], np.uint32)[offset[0]:offset[-1]].astype(np.uint64)
-            for key in band_keys(shingles, offset - offset[0], bands):
-                yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(h), pa.array(n)], ["key", "h", "n"])
+            flat, offset = _sets(b.column(1).take(pa.array(first)))
+            some = np.diff(offset) > 0
+            for keys, of in ((band_keys(flat.astype(np.uint64), np.r_[offset[:-1][some], len(flat)], bands) if some.any() else [], some),
+                             ([_mix(h[~some].view(np.uint64)).view(np.int64) // 16 * 16], ~some)):
+                for key in keys:
+                    yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(h[of]), pa.array(n[of])], ["key", "h", "n"])
     return segments.select("h", "shingles").mapInArrow(run, "key bigint, h bigint, n bigint")
 
 
 def _collisions(index: DataFrame) -> DataFrame:
-    """Rows ``(h, key, small)``: key is null for a repeated paragraph, else a
-    bucket with two or more paragraphs that this one is in."""
+    """Rows ``(h, key, n)``: key is null for a unit that occurs ``n`` times, else
+    a bucket with two or more units that this one is in."""
     def emit(keys, h, n, cut):
         """Rows of whole runs; ``cut``: key of a run that began before."""
         if not len(keys):
@@ -175,7 +250,7 @@ def _collisions(index: DataFrame) -> DataFrame:
         more = np.flatnonzero(members > 1)
         yield pa.RecordBatch.from_arrays(
             [pa.array(np.r_[one[again], one[more]]), pa.array([None] * len(again) + key[more].tolist(), pa.int64()),
-             pa.array([None] * len(again) + (members[more] <= SMALL).tolist(), pa.bool_())], ["h", "key", "small"])
+             pa.array(np.r_[times[again], np.ones(len(more), np.int64)])], ["h", "key", "n"])
 
     def run(batches):
         keys = h = n = np.zeros(0, np.int64)
@@ -200,7 +275,7 @@ def _collisions(index: DataFrame) -> DataFrame:
         yield from emit(keys, h, n, cut)
 
     return (index.repartition("key").sortWithinPartitions("key", "h").select("key", "h", "n")
-            .mapInArrow(run, "h bigint, key bigint, small boolean"))
+            .mapInArrow(run, "h bigint, key bigint, n bigint"))
 
 
 def similar_sets(sets: list[np.ndarray], similarity: float):
@@ -222,56 +297,86 @@ def similar_sets(sets: list[np.ndarray], similarity: float):
     return near
 
 
-def _block_forest(table: pa.Table, similarity: float) -> pa.Table:
-    table = table.combine_chunks()
-    h, first = np.unique(table["h"].to_numpy(), return_index=True)
-    sets = [np.array(s, np.int64) for s in table["set"].take(pa.array(first)).to_pylist()]
-    label = forest(len(h), similar_sets(sets, similarity))
-    child = np.flatnonzero(label != np.arange(len(h)))
-    return pa.table({"a": h[label[child]], "b": h[child]})
-
-
-def repeated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: float = SIMILARITY) -> DataFrame:
-    """One row an occurrence of a paragraph whose component stands in two or
-    more documents: ``(id, paragraph, start, end, n_words, component,
-    component_size, rep_id, kept)``; offsets are code points."""
-    bands = bands_for(similarity)
-    segments = cut_lineage(_segments(docs, id_col, text_col), "paragraphs")
-    hits = cut_lineage(_collisions(_index(segments, bands)), "collisions")
-    wanted = cut_lineage(hits.select("h").distinct(), "wanted")
-    found = cut_lineage(segments.join(wanted, "h"), "occurrences")
-
-    # shingle hashes as a distinct array of ints
-    hex8 = F.regexp_extract_all(F.hex("shingles"), F.lit("[0-9A-F]{8}"), F.lit(0))
-    buckets = hits.where("key is not null").select("key", "h", "small").distinct()
-    in_bucket = cut_lineage(buckets, "buckets")
-    # A paragraph's many occurrences are one row before the join.
-    one_of = found.groupBy("h").agg(F.min("shingles").alias("shingles"))
-    set_of = cut_lineage(one_of.join(in_bucket.select("h").distinct(), "h", "left_semi")
-                         .select("h", F.transform(F.array_distinct(hex8), lambda x: F.conv(x, 16, 10).cast("bigint")).alias("set")), "sets")
-    small = in_bucket.where("small").select("key", "h")
-    pairs = small.join(small.select("key", F.col("h").alias("h2")), "key").where("h < h2").select("h", "h2").distinct()
-    other = set_of.select(F.col("h").alias("h2"), F.col("set").alias("set2"))
-    common = F.size(F.array_intersect("set", "set2"))
-    alike = common >= similarity * (F.size("set") + F.size("set2") - common) - 1e-9
-    edges = pairs.join(set_of, "h").join(other, "h2").where(alike).select(F.col("h").alias("a"), F.col("h2").alias("b"))
-
-    large = in_bucket.where("not small").select("key", "h").distinct()
-    parts = large.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("parts"))
-    dealt = (large.join(cut_lineage(parts, "parts"), "key").withColumn("side", F.pmod(F.xxhash64("h"), F.col("parts")))
-             .withColumn("other", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("parts") - 1)))
-             .select("key", F.least("side", "other").alias("low"), F.greatest("side", "other").alias("high"), "h").join(set_of, "h"))
-
-    def work(key, table):
-        return _block_forest(table, similarity)
-
-    edges = edges.unionByName(dealt.groupBy("key", "low", "high").applyInArrow(work, "a bigint, b bigint"))
+def _verified(members: DataFrame, similarity: float) -> DataFrame:
+    """Links ``(a, b)`` of rows ``(key, low, high, h, shingles)``: a spanning
+    forest of each group's pairs that reach the similarity.  Groups stream
+    through sorted; one holds two blocks at most."""
+    def links(h, sets):
+        h, first = np.unique(np.array(h, np.int64), return_index=True)
+        distinct = [np.unique(np.frombuffer(sets[i], np.uint32)).astype(np.int64) for i in first]
+        label = forest(len(h), similar_sets(distinct, similarity))
+        child = np.flatnonzero(label != np.arange(len(h)))
+        return h[label[child]], h[child]
+
+    def run(batches):
+        group, h, sets = None, [], []
+        for b in chain(batches, [None]):
+            out = []
+            for *now, one, packed in zip(*(c.to_pylist() for c in b.columns)) if b is not None else [(None, 0, b"")]:
+                if now != group:
+                    if len(h) > 1:
+                        out.append(links(h, sets))
+                    group, h, sets = now, [], []
+                h.append(one)
+                sets.append(packed)
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*out)], ["a", "b"])
+
+    return (members.repartition("key", "low", "high").sortWithinPartitions("key", "low", "high")
+            .select("key", "low", "high", "h", "shingles").mapInArrow(run, "a bigint, b bigint"))
+
+
+def _dealt(buckets: DataFrame) -> DataFrame:
+    """Members of buckets ``(key, h)`` as groups ``(key, low, high)``: one for a
+    bucket of a block, one for each pair of blocks of a longer bucket."""
+    parts = (buckets.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("parts")).where("parts > 1"))
+    parts = cut_lineage(parts, "parts")
+    all_of = buckets.join(parts, "key", "left").withColumn("parts", F.coalesce("parts", F.lit(1).cast("bigint")))
+    return (all_of.withColumn("side", F.pmod(F.xxhash64("h"), F.col("parts")))
+            .withColumn("other", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("parts") - 1)))
+            .select("key", F.least("side", "other").alias("low"), F.greatest("side", "other").alias("high"), "h"))
+
+
+def repeated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: float = SIMILARITY,
+             least_words: int = MIN_WORDS) -> DataFrame:
+    """One row an occurrence of a paragraph or chunk whose component stands in
+    two or more documents: ``(id, unit, paragraph, start, end, n_words,
+    component, component_size, rep_id, kept, run_words, removed)``; offsets are
+    code points, ``paragraph`` is the line's (or the chunk's) number."""
+    parts = default_partitions(docs.sparkSession)
+    segments = cut_lineage(_segments(docs, id_col, text_col, least_words), "paragraphs")
+    hits = cut_lineage(_collisions(_index(segments, bands_for(similarity))), "collisions")
+    times = cut_lineage(hits.groupBy("h").agg(F.max("n").alias("n")), "wanted")
+    hot = cut_lineage(hot_keys(times, "h", "n", parts), "hot-paragraphs")
+    side_bytes = times.count() * ROW_BYTES
+
+    # equal units are one node; only paragraphs in buckets are compared
+    buckets = cut_lineage(hits.where("key is not null").select("key", "h").distinct(), "buckets")
+    sets = (segments.where(F.octet_length("shingles") > 0).select("h", "shingles")
+            .join(buckets.select("h").distinct(), "h", "left_semi").groupBy("h").agg(F.min("shingles").alias("shingles")))
+    edges = cut_lineage(_verified(_dealt(buckets).join(cut_lineage(sets, "sets"), "h"), similarity), "passage-links")
     nodes = components(edges, "passages").select(F.col("node").alias("h"), "component")
-    of_h = cut_lineage(wanted.join(nodes, "h", "left").select("h", F.coalesce("component", "h").alias("component")), "passage-map")
-    placed = cut_lineage(found.drop("shingles").join(of_h, "h"), "placed")
-    sizes = placed.groupBy("component").agg(F.count(F.lit(1)).alias("component_size"), F.min("id").alias("rep_id"), F.max("id").alias("last"),
-                                            F.min(F.struct("id", "number")).alias("kept_at")).where("rep_id <> last")
-    sizes = cut_lineage(sizes.select("component", "component_size", "rep_id", F.col("kept_at.number").alias("kept_number")), "passage-sizes")
-    return placed.join(sizes, "component").select(
-        F.col("id").alias(id_col), F.col("number").alias("paragraph"), "start", "end", "n_words", "component", "component_size", "rep_id",
-        (F.col("id").eqNullSafe(F.col("rep_id")) & (F.col("number") == F.col("kept_number"))).alias("kept"))
+    of_h = cut_lineage(times.join(nodes, "h", "left").select("h", F.coalesce("component", "h").alias("component")), "passage-map")
+    placed = cut_lineage(lookup_join(segments.drop("shingles"), of_h, "h", side_bytes, "row", hot), "placed")
+    release(segments)
+
+    by_component = placed.groupBy("component").agg(
+        F.count(F.lit(1)).alias("component_size"), F.min("id").alias("rep_id"), F.max("id").alias("last"),
+        F.min(F.struct("id", "number")).alias("kept_at")).where("rep_id <> last")
+    sizes = cut_lineage(by_component.select("component", "component_size", "rep_id", F.col("kept_at.number").alias("kept_number")), "passage-sizes")
+    hot = cut_lineage(hot_keys(sizes, "component", "component_size", parts), "hot-components")
+    found = lookup_join(placed, sizes, "component", side_bytes, "row", hot)
+
+    # within a document: chunks inside a reported paragraph go, the rest make runs
+    order = Window.partitionBy("row").orderBy("first", "chunk").rowsBetween(Window.unboundedPreceding, -1)
+    upto = F.col("first") + F.col("n_words")
+    inside = F.coalesce(F.max(F.when(~F.col("chunk"), upto)).over(order) >= upto, F.lit(False))
+    found = found.withColumn("inside", inside).where(~(F.col("chunk") & F.col("inside")))
+    apart = F.coalesce(F.max(upto).over(order) < F.col("first"), F.lit(True)).cast("int")
+    found = found.withColumn("apart", apart).withColumn("run", F.sum("apart").over(order.rowsBetween(Window.unboundedPreceding, 0)))
+    run = Window.partitionBy("row", "run")
+    kept = F.col("id").eqNullSafe(F.col("rep_id")) & (F.col("number") == F.col("kept_number"))
+    found = found.withColumn("run_words", F.max(upto).over(run) - F.min("first").over(run)).withColumn("kept", kept)
+    return found.select(
+        F.col("id").alias(id_col), F.when(F.col("chunk"), "chunk").otherwise("paragraph").alias("unit"), F.col("number").alias("paragraph"), "start", "end",
+        "n_words", "component", "component_size", "rep_id", "kept", "run_words", ((F.col("run_words") > CUT_WORDS) & ~F.col("kept")).alias("removed"))
