@@ -141,11 +141,8 @@ def test_similar_lines(spark):
 
 @pytest.mark.parametrize("block", [2048, 4])
 def test_near_copies_and_large_buckets(spark, monkeypatch, block):
-    """Many variants of one passage; a small bound forces the path of blocks,
-    a small broadcast limit the salted lookups."""
+    """Many variants of one passage; a small bound forces the path of blocks."""
     monkeypatch.setattr(P, "BLOCK", block)
-    if block == 4:
-        spark.conf.set("topic_tables.broadcastLimitBytes", "100")
     rnd = random.Random(5)
     base = words(rnd, 120)
     rows = []
@@ -155,10 +152,7 @@ def test_near_copies_and_large_buckets(spark, monkeypatch, block):
             w[rnd.randrange(len(w))] = words(rnd, 1)[0]
         rows.append((i, " ".join(w)))
     rows += [(100 + i, " ".join(base)) for i in range(30)] + [(200 + i, " ".join(words(rnd, 80))) for i in range(10)]
-    try:
-        got = rows_of(P.repeated(spark.createDataFrame(rows, "doc_id bigint, text string").repartition(6)))
-    finally:
-        spark.conf.unset("topic_tables.broadcastLimitBytes")
+    got = rows_of(P.repeated(spark.createDataFrame(rows, "doc_id bigint, text string").repartition(6)))
     want = brute(rows)
     # equality but for pairs that no band holds (3 bands: under 1 % at 0.8)
     assert len(got ^ want) <= 0.02 * len(want) and {r[0] for r in got} == {r[0] for r in want}

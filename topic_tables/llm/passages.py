@@ -58,8 +58,8 @@ RECALL = 0.99
 BLOCK = 2048
 #: Runs of more words are cut out where they stand again.
 CUT_WORDS = 50
-#: Bound on a looked-up row's bytes in a broadcast table.
-ROW_BYTES = 256
+#: Lookups grow with the input, so they are never broadcast, at any size.
+SHUFFLED = 1 << 62
 #: Hashes of lines are kept apart from those of chunks.
 LINE = np.uint64(0xD6E8FEB86659FD93)
 MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -213,6 +213,16 @@ def _sets(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return flat, offset - offset[0]
 
 
+def _distinct_sets(segments: DataFrame) -> DataFrame:
+    """``(h, shingles)`` of paragraphs with shingles, each once a batch, so that
+    a common line is not shuffled by its occurrences."""
+    def run(batches):
+        for b in batches:
+            if b.num_rows:
+                yield b.take(pa.array(np.unique(b.column(0).to_numpy(), return_index=True)[1]))
+    return segments.where(F.octet_length("shingles") > 0).select("h", "shingles").mapInArrow(run, "h bigint, shingles binary")
+
+
 def _index(segments: DataFrame, bands: int) -> DataFrame:
     """``(key, h, n)`` for each band, or for the hash of a unit without
     shingles; equal units of a batch are one row."""
@@ -348,16 +358,15 @@ def repeated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", si
     hits = cut_lineage(_collisions(_index(segments, bands_for(similarity))), "collisions")
     times = cut_lineage(hits.groupBy("h").agg(F.max("n").alias("n")), "wanted")
     hot = cut_lineage(hot_keys(times, "h", "n", parts), "hot-paragraphs")
-    side_bytes = times.count() * ROW_BYTES
 
     # equal units are one node; only paragraphs in buckets are compared
     buckets = cut_lineage(hits.where("key is not null").select("key", "h").distinct(), "buckets")
-    sets = (segments.where(F.octet_length("shingles") > 0).select("h", "shingles")
+    sets = (_distinct_sets(segments)
             .join(buckets.select("h").distinct(), "h", "left_semi").groupBy("h").agg(F.min("shingles").alias("shingles")))
     edges = cut_lineage(_verified(_dealt(buckets).join(cut_lineage(sets, "sets"), "h"), similarity), "passage-links")
     nodes = components(edges, "passages").select(F.col("node").alias("h"), "component")
     of_h = cut_lineage(times.join(nodes, "h", "left").select("h", F.coalesce("component", "h").alias("component")), "passage-map")
-    placed = cut_lineage(lookup_join(segments.drop("shingles"), of_h, "h", side_bytes, "row", hot), "placed")
+    placed = cut_lineage(lookup_join(segments.drop("shingles"), of_h, "h", SHUFFLED, "row", hot), "placed")
     release(segments)
 
     by_component = placed.groupBy("component").agg(
@@ -365,7 +374,7 @@ def repeated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", si
         F.min(F.struct("id", "number")).alias("kept_at")).where("rep_id <> last")
     sizes = cut_lineage(by_component.select("component", "component_size", "rep_id", F.col("kept_at.number").alias("kept_number")), "passage-sizes")
     hot = cut_lineage(hot_keys(sizes, "component", "component_size", parts), "hot-components")
-    found = lookup_join(placed, sizes, "component", side_bytes, "row", hot)
+    found = lookup_join(placed, sizes, "component", SHUFFLED, "row", hot)
 
     # within a document: chunks inside a reported paragraph go, the rest make runs
     order = Window.partitionBy("row").orderBy("first", "chunk").rowsBetween(Window.unboundedPreceding, -1)
