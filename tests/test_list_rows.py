@@ -9,6 +9,7 @@ from topic_tables import build_corpus, fit_plsa, fit_robust_plsa
 from topic_tables.functions.tokens import coded_tokens
 from topic_tables.operators import em, vocab as V
 from topic_tables.operators.phi_files import Rows
+from topic_tables.plans import catalog
 from topic_tables.sources.tables import tokens_from_text
 
 TEXTS = ["The cat, the CAT", None, "", "  ", "L'été à 東京 2024: Straße_über", "İstanbul ΟΔΟΣ ΟΔΟΣ. ΑΣΑ", "—word— word…", "١٢ ½ x² Ⅷ", "áb a_b é É",
@@ -98,3 +99,14 @@ def test_a_walk_in_place_gives_the_sums_of_one_by_words(robust, monkeypatch):
             want = step.walk(source, t, doc, w, n, nu, words)
         for a, b in zip(got, want):
             assert a.shape == b.shape and np.allclose(a, b, rtol=1e-12, atol=1e-12)
+
+
+def test_names_do_not_move_the_pairs(spark, monkeypatch):
+    vocab, bags, _ = build_corpus(_texts(spark), 0)
+    monkeypatch.setattr(catalog, "corpus", lambda *a: (None, vocab, bags))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = catalog.q_robust_mixture(spark, "")._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10485760")
+    assert "SortMergeJoin" not in plan and "Exchange hashpartitioning(word_id" not in plan and "BroadcastHashJoin" in plan
