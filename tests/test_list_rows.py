@@ -110,3 +110,19 @@ def test_names_do_not_move_the_pairs(spark, monkeypatch):
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10485760")
     assert "SortMergeJoin" not in plan and "Exchange hashpartitioning(word_id" not in plan and "BroadcastHashJoin" in plan
+
+
+@pytest.mark.parametrize("held", [None, 60])
+def test_tokens_are_added_up_in_the_pass_over_the_text(spark, monkeypatch, held):
+    """Their sums are files of their own, so the lists are not read for them."""
+    if held:
+        monkeypatch.setattr(V, "SUMS_HELD", held)
+    docs = _texts(spark)
+    raw = V.raw_pairs(docs)
+    got = {r["token"]: r["n"] for r in raw.token_sums().groupBy("token").sum("n").withColumnRenamed("sum(n)", "n").collect()}
+    assert got == {r["token"]: r["n"] for r in V.token_counts(docs).collect()}
+    plan = raw.token_sums()._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(sums" in plan and raw.sums.where("size(tokens) = 0").count() == 0
+    V.release(raw.table)
+    empty = V.raw_pairs(docs.where("row_id < 0").select("row_id", "tokens"))
+    assert (empty.pairs, empty.documents) == (0, 0) and empty.token_sums().count() == empty.table.count() == 0
