@@ -126,3 +126,38 @@ def test_tokens_are_added_up_in_the_pass_over_the_text(spark, monkeypatch, held)
     V.release(raw.table)
     empty = V.raw_pairs(docs.where("row_id < 0").select("row_id", "tokens"))
     assert (empty.pairs, empty.documents) == (0, 0) and empty.token_sums().count() == empty.table.count() == 0
+
+
+@pytest.mark.parametrize("part_rows", [None, "2"])
+def test_a_robust_pass_writes_no_lists_but_the_noise(spark, monkeypatch, part_rows):
+    """The lists stay in the bags; the last pass writes the words beside their
+    noise, which is then read without the bags."""
+    if part_rows:
+        spark.conf.set("topic_tables.documentPartRows", part_rows)
+    written, write = [], em.write_bucketed
+    monkeypatch.setattr(em, "write_bucketed", lambda df, keys, buckets, label, **kw: written.append((label, write(df, keys, buckets, label, **kw))) or written[-1][1])
+    monkeypatch.setattr(em, "drop", lambda *a: None)
+    try:
+        vocab, bags, _ = build_corpus(_texts(spark), 0)
+    finally:
+        spark.conf.unset("topic_tables.documentPartRows")
+    assert bags._tt_split == bool(part_rows)
+    model = fit_robust_plsa(bags, vocab, 2, 3, gamma=0.3, eps=0.01)
+    passes = [t.where("word_id is null") for label, t in written if label == "pass"]
+    assert "docrows" not in [label for label, _ in written] and [p.where("words is not null").count() > 0 for p in passes] == [False, False, True]
+    assert all("ns" not in p.columns and p.where("us is null").count() == 0 for p in passes)
+    known = {(r["row_id"], r["word_id"]) for r in bags.collect()}
+    V.release(bags)
+    noise = model.noise.collect()
+    assert len(noise) == len(known) and {(r["row_id"], r["word_id"]) for r in noise} == known
+    sums = {}
+    for r in noise:
+        sums[r["row_id"]] = sums.get(r["row_id"], 0.0) + r["p"]
+    assert np.allclose(list(sums.values()), 1.0)
+    model.release()
+
+
+def test_packed_runs_come_back_from_any_slice():
+    values, sizes = np.arange(9.0), np.array([2, 0, 3, 4])
+    col = em._packed(values, sizes)
+    assert em._unpacked(col).tolist() == values.tolist() and em._unpacked(col.slice(2, 1)).tolist() == [2.0, 3.0, 4.0]
