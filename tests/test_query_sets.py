@@ -1,4 +1,4 @@
-"""A search asks for every row whose id is divisible by 20, against all rows."""
+"""The rows that a search asks for, against all rows."""
 
 import __spark_entry__
 from topic_tables.sources.tables import load_table
@@ -11,3 +11,14 @@ def test_vectors_divisible_by_20_against_all(spark):
     ids = {r["vec_id"] for r in load_table(spark, SF001, "embeddings").select("vec_id").collect()}
     assert {h["query_id"] for h in hits} == {i for i in ids if i % 20 == 0}
     assert any(h["row_id"] % 20 for h in hits)
+
+
+def test_every_conversation_is_asked(spark, tmp_path):
+    words = ["alpha", "beta", "gamma", "delta"]
+    docs = [(i, " ".join([words[i % 4]] * 9 + [words[(i + 1) % 4]] * 9)) for i in range(1, 25)]
+    turns = [(c, t, f"{words[(c + t) % 4]} unknown{c}") for c in range(1, 45) for t in range(2)] + [(99, 0, "nothing known"), (None, 0, "alpha")]
+    spark.createDataFrame(docs, "doc_id bigint, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame(turns, "conv_id bigint, turn bigint, text string").write.parquet(f"{tmp_path}/conversations.parquet")
+    hits = __spark_entry__.queries()["fold_in_search"](spark, str(tmp_path)).collect()
+    assert {(h["query_id"], h["query_name"]) for h in hits} == {(c, str(c)) for c in range(1, 45)}
+    assert len(hits) == 44 * 20 and {h["row_id"] for h in hits} <= {i for i, _ in docs}
