@@ -22,6 +22,7 @@ def _brute(docs, queries, n):
 def test_scan_of_vectors_without_clusters(spark, monkeypatch, width, block, at_once):
     monkeypatch.setattr(search, "DOCUMENTS_AT_ONCE", at_once)
     monkeypatch.setattr(search, "QUERIES_AT_ONCE", 7)
+    monkeypatch.setattr(search, "CANDIDATES_AT_ONCE", 11 if at_once == 16 else 100_000)
     monkeypatch.setattr(search, "MOST_IN_REACH", 0.0 if width == 5 else search.MOST_IN_REACH)
     rng = np.random.default_rng(3)
     docs = [(i, None if i % 41 == 0 else f"d{i % 29}", v.tolist()) for i, v in enumerate(rng.normal(size=(300, width)))]
